@@ -156,16 +156,6 @@ def trace_line_sums(ledger: DataFrame, report_lines: DataFrame, ids: DataFrame)
     )
 
 
-def largest_per_line(ledger: DataFrame) -> DataFrame:
-    """The largest transaction of every entity and line, ties to the smallest id."""
-    rank = F.struct((-F.abs("signed_amount")).alias("size"), F.col("transaction_id"))
-    return (
-        ledger.groupBy("entity_id", "reporting_line")
-        .agg(F.min(rank).alias("top"))
-        .select("entity_id", "reporting_line", F.col("top.transaction_id").alias("transaction_id"))
-    )
-
-
 def drilldown(ledger: DataFrame, reporting_month: dt.date, reporting_line: str) -> DataFrame:
     """Transactions behind one report cell, of every entity.
 

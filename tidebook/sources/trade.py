@@ -165,3 +165,13 @@ PLANNED = [
     (dt.date(2003, 1, 1), "Credit drawn", 7),
     (dt.date(2000, 12, 1), "Unlisted line", 3),
 ]
+
+
+def example_ids(ledger: DataFrame) -> DataFrame:
+    """Ids to follow: the largest transaction of every entity and line."""
+    rank = F.struct((-F.abs("signed_amount")).alias("size"), F.col("transaction_id"))
+    return (
+        ledger.groupBy("entity_id", "reporting_line")
+        .agg(F.min(rank).alias("top"))
+        .select("entity_id", "reporting_line", F.col("top.transaction_id").alias("transaction_id"))
+    )
