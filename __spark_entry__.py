@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,44 +34,53 @@ class Book:
         self.sf_dir = sf_dir
         self.plan = trade.plan(spark, sf_dir) if planned else None
 
-    @property
+    @cached_property
     def extracts(self):
         return trade.extracts(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def mapping(self) -> DataFrame:
         return trade.mapping(self.spark)
 
+    @cached_property
     def full_ledger(self) -> DataFrame:
         return ledger.build_ledger(self.extracts, self.mapping)
 
+    @cached_property
     def actuals(self) -> DataFrame:
         return ledger.build_ledger(self.extracts, self.mapping, closed_only=SCENARIO)
 
+    @cached_property
     def opening(self) -> DataFrame:
         return ledger.opening_balance(trade.bank(self.spark, self.sf_dir))
 
+    @cached_property
     def totals(self) -> DataFrame:
-        return ledger.monthly_totals(self.actuals())
+        return ledger.monthly_totals(self.actuals)
 
+    @cached_property
     def profile(self) -> DataFrame:
-        return forecast.entity_profile(self.totals(), SCENARIO, LINES, roster=self.opening())
+        return forecast.entity_profile(self.totals, SCENARIO, LINES, roster=self.opening)
 
+    @cached_property
     def forecast(self) -> DataFrame:
-        return forecast.project_forecast(self.profile(), SCENARIO, LINES, self.plan)
+        return forecast.project_forecast(self.profile, SCENARIO, LINES, self.plan)
 
     def cells(self, which: str = "all") -> DataFrame:
-        return forecast.calendar_cells(self.profile(), SCENARIO, LINES, self.plan, which)
+        return forecast.calendar_cells(self.profile, SCENARIO, LINES, self.plan, which)
 
+    @cached_property
     def lines(self) -> DataFrame:
         return report.monthly_lines(self.cells(), SCENARIO, LINES)
 
+    @cached_property
     def summary(self) -> DataFrame:
-        return report.monthly_summary(self.lines(), self.opening(), LINES)
+        return report.monthly_summary(self.lines, self.opening, LINES)
 
+    @cached_property
     def cash(self) -> DataFrame:
         """Totals of both ledgers, the far side of every reconciliation."""
-        return self.totals().unionByName(ledger.monthly_totals(self.forecast()))
+        return self.totals.unionByName(ledger.monthly_totals(self.forecast))
 
 
 def in_cents(frame: DataFrame, *columns: str) -> DataFrame:
@@ -90,7 +100,7 @@ def canonical_ledger(spark, sf_dir):
 
 
 def mapped_signed_ledger(spark, sf_dir):
-    return in_cents(Book(spark, sf_dir).full_ledger(), "signed_amount")
+    return in_cents(Book(spark, sf_dir).full_ledger, "signed_amount")
 
 
 def unmapped_categories(spark, sf_dir):
@@ -109,12 +119,12 @@ def repeated_mapping_keys(spark, sf_dir):
 
 def duplicate_line_ids(spark, sf_dir):
     items = trade.read(spark, sf_dir, "lineitem").filter(status_code(F.col("l_linestatus")) == "F")
-    ids = items.select(F.concat_ws("-", F.lit("LIN"), *trade.line_key()).alias("transaction_id"))
+    ids = items.selectExpr("concat_ws('-', 'LIN', l_orderkey, l_linenumber) AS transaction_id")
     return checks.repeated_ids(ids, "transaction_id")
 
 
 def missing_counterparty_counts(spark, sf_dir):
-    rows = Book(spark, sf_dir).full_ledger()
+    rows = Book(spark, sf_dir).full_ledger
     blank_vendor = F.coalesce(F.trim("vendor"), F.lit("")) == ""
     return rows.groupBy("source").agg(
         F.count("*").alias("n_records"),
@@ -124,7 +134,7 @@ def missing_counterparty_counts(spark, sf_dir):
 
 
 def out_of_window_rejects(spark, sf_dir):
-    _, rejects = ledger.close_actuals(Book(spark, sf_dir).full_ledger(), SCENARIO)
+    _, rejects = ledger.close_actuals(Book(spark, sf_dir).full_ledger, SCENARIO)
     return rejects.groupBy("source", "reporting_month").agg(
         F.count("*").alias("n_records"),
         F.sum("signed_amount_usd").alias("signed_amount_usd"),
@@ -132,16 +142,16 @@ def out_of_window_rejects(spark, sf_dir):
 
 
 def closed_actuals(spark, sf_dir):
-    actuals, _ = ledger.close_actuals(Book(spark, sf_dir).full_ledger(), SCENARIO)
+    actuals, _ = ledger.close_actuals(Book(spark, sf_dir).full_ledger, SCENARIO)
     return ledger.transactions(actuals)
 
 
 def opening_by_entity(spark, sf_dir):
-    return Book(spark, sf_dir).opening()
+    return Book(spark, sf_dir).opening
 
 
 def control_totals(spark, sf_dir):
-    return in_cents(checks.control_totals(Book(spark, sf_dir).actuals()), "amount")
+    return in_cents(checks.control_totals(Book(spark, sf_dir).actuals), "amount")
 
 
 def control_totals_agree(spark, sf_dir):
@@ -179,7 +189,7 @@ def control_totals_agree(spark, sf_dir):
             total(closed_orders, "Operating", "inflow", F.col("o_totalprice").cast("decimal(18,2)"))
         )
     )
-    totals = checks.control_totals(Book(spark, sf_dir).actuals())
+    totals = checks.control_totals(Book(spark, sf_dir).actuals)
     return in_cents(checks.compare_totals(totals, expected), "amount", "expected_amount")
 
 
@@ -195,7 +205,7 @@ def forecast_months(spark, sf_dir):
 
 
 def _drivers_of(spark, sf_dir, kind):
-    drivers = forecast.line_drivers(Book(spark, sf_dir).profile(), LINES)
+    drivers = forecast.line_drivers(Book(spark, sf_dir).profile, LINES)
     return drivers.filter((F.col("driver_kind") == kind) & F.col("driver_amount_usd").isNotNull()).select(
         "entity_id", "reporting_line", F.col("driver_amount_usd").alias("amount_usd")
     )
@@ -210,25 +220,21 @@ def last_active_month_driver(spark, sf_dir):
 
 
 def forecast_no_plan(spark, sf_dir):
-    return Book(spark, sf_dir).forecast()
+    return Book(spark, sf_dir).forecast
 
 
 def forecast_with_plan(spark, sf_dir):
-    return Book(spark, sf_dir, planned=True).forecast()
+    return Book(spark, sf_dir, planned=True).forecast
 
 
 def unused_overrides(spark, sf_dir):
     book = Book(spark, sf_dir, planned=True)
-    return forecast.unused_overrides(book.plan, book.opening(), SCENARIO, LINES)
+    return forecast.unused_overrides(book.plan, book.opening, SCENARIO, LINES)
 
 
 def forecast_cardinality_and_unique(spark, sf_dir):
-    per_id = (
-        Book(spark, sf_dir)
-        .forecast()
-        .groupBy("entity_id", "transaction_id")
-        .agg(F.count("*").alias("n"))
-    )
+    ids = Book(spark, sf_dir).forecast.select("entity_id", "transaction_id")
+    per_id = ids.groupBy("entity_id", "transaction_id").agg(F.count("*").alias("n"))
     return per_id.groupBy("entity_id").agg(
         F.sum("n").alias("n_rows"),
         F.count(F.when(F.col("n") > 1, 1)).alias("repeated_ids"),
@@ -237,11 +243,11 @@ def forecast_cardinality_and_unique(spark, sf_dir):
 
 
 def monthly_lines_all(spark, sf_dir):
-    return Book(spark, sf_dir).lines()
+    return Book(spark, sf_dir).lines
 
 
 def monthly_lines_with_plan(spark, sf_dir):
-    return Book(spark, sf_dir, planned=True).lines()
+    return Book(spark, sf_dir, planned=True).lines
 
 
 def actual_lines(spark, sf_dir):
@@ -262,48 +268,48 @@ def section_nets(spark, sf_dir):
 
 
 def balance_rollforward(spark, sf_dir):
-    return Book(spark, sf_dir).summary()
+    return Book(spark, sf_dir).summary
 
 
 def balance_rollforward_with_plan(spark, sf_dir):
-    return Book(spark, sf_dir, planned=True).summary()
+    return Book(spark, sf_dir, planned=True).summary
 
 
 def final_balance_by_entity(spark, sf_dir):
-    return report.final_balance(Book(spark, sf_dir).summary())
+    return report.final_balance(Book(spark, sf_dir).summary)
 
 
 def recon_line(spark, sf_dir):
     book = Book(spark, sf_dir)
-    return reconcile.reconcile_lines(book.lines(), book.cash())
+    return reconcile.reconcile_lines(book.lines, book.cash)
 
 
 def recon_activity(spark, sf_dir):
     book = Book(spark, sf_dir)
-    return reconcile.reconcile_activities(book.lines(), book.cash())
+    return reconcile.reconcile_activities(book.lines, book.cash)
 
 
 def recon_section(spark, sf_dir):
     book = Book(spark, sf_dir)
-    return reconcile.reconcile_sections(book.summary(), book.cash())
+    return reconcile.reconcile_sections(book.summary, book.cash)
 
 
 def unknown_lines(spark, sf_dir):
-    return checks.unknown_lines(Book(spark, sf_dir).totals(), LINES.without("Equipment paid"))
+    return checks.unknown_lines(Book(spark, sf_dir).totals, LINES.without("Equipment paid"))
 
 
 def rollforward_identity(spark, sf_dir):
-    return checks.roll_forward_rows(Book(spark, sf_dir).summary())
+    return checks.roll_forward_rows(Book(spark, sf_dir).summary)
 
 
 def period_counts(spark, sf_dir):
-    lines = Book(spark, sf_dir).lines()
-    return checks.period_counts(lines, report.monthly_summary(lines, Book(spark, sf_dir).opening(), LINES))
+    book = Book(spark, sf_dir)
+    return checks.period_counts(book.lines, book.summary)
 
 
 def forecast_vs_driver(spark, sf_dir):
     book = Book(spark, sf_dir, planned=True)
-    open_lines = book.lines().filter(SCENARIO.is_open(F.col("reporting_month")))
+    open_lines = book.lines.filter(SCENARIO.is_open(F.col("reporting_month")))
     keys = ("entity_id", "reporting_month", "reporting_line")
     return reconcile.side_by_side(open_lines, book.cells("forecast"), keys)
 
@@ -311,8 +317,8 @@ def forecast_vs_driver(spark, sf_dir):
 def check_report(spark, sf_dir):
     """One gate row per rule, over ledger, forecast and report."""
     book = Book(spark, sf_dir)
-    rows, opening, cash = book.full_ledger(), book.opening(), book.cash()
-    lines, summary, projected = book.lines(), book.summary(), book.forecast()
+    rows, opening, cash = book.full_ledger, book.opening, book.cash
+    lines, summary, projected = book.lines, book.summary, book.forecast
     cell = ("entity_id", "reporting_month", "reporting_line")
     found = checks.combine(
         checks.mapping_checks(ledger.mapping_rules(book.mapping)),
@@ -342,58 +348,58 @@ def check_report(spark, sf_dir):
 def trace_ids(spark, sf_dir):
     """Every source record, followed to the report."""
     book = Book(spark, sf_dir)
-    traced = lineage.trace(book.extracts, book.mapping, book.actuals(), book.lines())
+    traced = lineage.trace(book.extracts, book.mapping, book.actuals, book.lines)
     return in_cents(traced, "amount")
 
 
 def trace_selected(spark, sf_dir):
     """The largest transaction of every entity and line, followed to the report."""
     book = Book(spark, sf_dir)
-    ids = trade.example_ids(book.actuals())
-    traced = lineage.trace(book.extracts, book.mapping, book.actuals(), book.lines(), ids)
+    ids = trade.example_ids(book.actuals)
+    traced = lineage.trace(book.extracts, book.mapping, book.actuals, book.lines, ids)
     return in_cents(traced, "amount")
 
 
 def id_audit(spark, sf_dir):
-    return lineage.id_audit(Book(spark, sf_dir).full_ledger())
+    return lineage.id_audit(Book(spark, sf_dir).full_ledger)
 
 
 def id_presence(spark, sf_dir):
     book = Book(spark, sf_dir)
-    ids = trade.example_ids(book.actuals())
-    return lineage.id_presence(ids, book.extracts, book.actuals())
+    ids = trade.example_ids(book.actuals)
+    return lineage.id_presence(ids, book.extracts, book.actuals)
 
 
 def trace_line_sum(spark, sf_dir):
     book = Book(spark, sf_dir)
-    actuals = book.actuals()
-    return lineage.trace_line_sums(actuals, book.lines(), trade.example_ids(actuals))
+    actuals = book.actuals
+    return lineage.trace_line_sums(actuals, book.lines, trade.example_ids(actuals))
 
 
 def drilldown_month_line(spark, sf_dir):
     """What is behind the parts paid in the last closed month."""
     rows = lineage.drilldown(
-        Book(spark, sf_dir).full_ledger(), SCENARIO.last_closed_month, "Parts paid"
+        Book(spark, sf_dir).full_ledger, SCENARIO.last_closed_month, "Parts paid"
     )
     return ledger.transactions(rows)
 
 
 def rollup_section(spark, sf_dir):
-    return report.rollup_by(Book(spark, sf_dir).actuals(), "cash_flow_section")
+    return report.rollup_by(Book(spark, sf_dir).actuals, "cash_flow_section")
 
 
 def rollup_activity(spark, sf_dir):
-    return report.rollup_by(Book(spark, sf_dir).actuals(), "business_activity")
+    return report.rollup_by(Book(spark, sf_dir).actuals, "business_activity")
 
 
 def cash_measures(spark, sf_dir):
     by = ("reporting_month", "cash_flow_section")
-    return report.cash_measures(Book(spark, sf_dir).actuals(), by)
+    return report.cash_measures(Book(spark, sf_dir).actuals, by)
 
 
 def cash_by_month_and_line(spark, sf_dir):
     by = ("entity_id", "reporting_month", "reporting_line")
-    return report.cash_measures(Book(spark, sf_dir).actuals(), by)
+    return report.cash_measures(Book(spark, sf_dir).actuals, by)
 
 
 QUERIES = (

@@ -2,7 +2,7 @@
 
 from tidebook.functions.money import MONEY, cents, money, signed, whole_dollars
 from tidebook.functions.months import month_label, month_start
-from tidebook.functions.text import blank, cleaned, status_code
+from tidebook.functions.text import blank, cleaned, status_code, text_literal
 
 __all__ = [
     "MONEY",
@@ -14,5 +14,6 @@ __all__ = [
     "month_start",
     "signed",
     "status_code",
+    "text_literal",
     "whole_dollars",
 ]

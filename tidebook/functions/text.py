@@ -17,3 +17,8 @@ def status_code(text: Column) -> Column:
 def blank(text: Column) -> Column:
     """True for NULL, empty and all-space text; never NULL."""
     return F.trim(F.coalesce(text, F.lit(""))) == ""
+
+
+def text_literal(text: str) -> str:
+    """``text`` quoted for a SQL expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

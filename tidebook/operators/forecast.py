@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.functions import month_label
+from tidebook.functions import month_label, text_literal
 from tidebook.operators.ledger import TRANSACTION_COLUMNS
 from tidebook.plans.lines import LAST_MONTH, RECURRING, Line, LineBook
 from tidebook.plans.scenario import TRAILING_MONTHS, Scenario
@@ -45,54 +45,57 @@ def entity_profile(
         .groupBy("entity_id", "reporting_month", "reporting_line")
         .agg(F.sum("signed_amount_usd").alias("signed_amount_usd"))
     )
-    month, name, amount = (
-        F.col("reporting_month"),
-        F.col("reporting_line"),
-        F.col("signed_amount_usd"),
-    )
-    in_report = lines.knows(name) & scenario.closed(month)
-    entry = F.struct(F.struct(month, name).alias("key"), amount.alias("value"))
-    drivers = []
-    for line in lines:
-        here = name == line.reporting_line
-        if line.driver_kind == RECURRING:
-            trailing = F.sum(F.when(here & scenario.trailing(month), amount))
-            value = F.round(trailing / TRAILING_MONTHS).cast("bigint")
-        elif line.driver_kind == LAST_MONTH:
-            value = F.max_by(amount, F.when(here, month))
-        else:
-            continue
-        drivers.append(value.alias(line.column))
+    in_report = lines.knows(F.col("reporting_line")) & scenario.closed(F.col("reporting_month"))
+    entry = F.expr("struct(struct(reporting_month, reporting_line) AS key, signed_amount_usd AS value)")
     return monthly.groupBy("entity_id").agg(
         F.map_from_entries(F.collect_list(F.when(in_report, entry))).alias("closed_amounts"),
-        *drivers,
+        *[
+            F.expr(rule(scenario, f"reporting_line = {text_literal(x.reporting_line)}")).alias(x.column)
+            for x, rule in ((x, DRIVER_RULES.get(x.driver_kind)) for x in lines)
+            if rule is not None
+        ],
     )
 
 
-def _driver(line: Line) -> Column:
-    if line.driver_kind in (RECURRING, LAST_MONTH):
-        return F.col(line.column)
-    return F.lit(None).cast("bigint")
+def _trailing_average(scenario: Scenario, here: str) -> str:
+    trailing = (
+        f"reporting_month BETWEEN DATE '{scenario.first_trailing_month}' "
+        f"AND DATE '{scenario.last_closed_month}'"
+    )
+    total = f"sum(signed_amount_usd) FILTER (WHERE {here} AND {trailing})"
+    return f"CAST(round({total} / {TRAILING_MONTHS}) AS BIGINT)"
+
+
+def _last_active_total(scenario: Scenario, here: str) -> str:
+    return f"max_by(signed_amount_usd, reporting_month) FILTER (WHERE {here})"
+
+
+# Lines of any other kind have no driver and wait for the plan.
+DRIVER_RULES = {RECURRING: _trailing_average, LAST_MONTH: _last_active_total}
+
+
+def _driver(line: Line) -> str:
+    return line.column if line.driver_kind in DRIVER_RULES else "CAST(NULL AS BIGINT)"
+
+
+LINE_FIELDS = (
+    "cash_flow_section",
+    "business_activity",
+    "reporting_line",
+    "cash_direction",
+    "id_prefix",
+    "driver_kind",
+)
 
 
 def _each_line(lines: LineBook, **values) -> Column:
-    """Rows of one struct per line; ``values`` are functions from a line to a column."""
-    return F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(x.cash_flow_section).alias("cash_flow_section"),
-                    F.lit(x.business_activity).alias("business_activity"),
-                    F.lit(x.reporting_line).alias("reporting_line"),
-                    F.lit(x.cash_direction).alias("cash_direction"),
-                    F.lit(x.id_prefix).alias("id_prefix"),
-                    F.lit(x.driver_kind).alias("driver_kind"),
-                    *[value(x).alias(name) for name, value in values.items()],
-                )
-                for x in lines
-            ]
-        )
-    )
+    """Rows of one struct per line; ``values`` are functions from a line to an expression."""
+    structs = []
+    for line in lines:
+        fields = [f"{text_literal(getattr(line, f))} AS {f}" for f in LINE_FIELDS]
+        fields += [f"{value(line)} AS {name}" for name, value in values.items()]
+        structs.append(f"struct({', '.join(fields)})")
+    return F.expr(f"inline(array({', '.join(structs)}))")
 
 
 def line_drivers(profile: DataFrame, lines: LineBook) -> DataFrame:
@@ -115,8 +118,8 @@ def calendar_cells(
     month = F.col("reporting_month")
 
     def closed_amount(line):
-        key = F.struct(month, F.lit(line.reporting_line).alias("reporting_line"))
-        return F.element_at("closed_amounts", key)
+        name = text_literal(line.reporting_line)
+        return f"element_at(closed_amounts, struct(reporting_month, {name} AS reporting_line))"
 
     cells = profile.select("*", F.explode(scenario.months(which)).alias("reporting_month")).select(
         "entity_id",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidebook.functions import text_literal
 from tidebook.plans.lines import SECTIONS, LineBook, section_rank
 from tidebook.plans.scenario import Scenario
 
@@ -60,9 +61,10 @@ def monthly_lines(cells: DataFrame, scenario: Scenario, lines: LineBook) -> Data
 def monthly_pivot(report_lines: DataFrame, lines: LineBook) -> DataFrame:
     """One column per line, zero where a month has none."""
     sums = [
-        F.sum(
-            F.when(F.col("reporting_line") == x.reporting_line, F.col("signed_amount_usd")).otherwise(0)
-        ).alias(x.column)
+        F.expr(
+            f"sum(CASE WHEN reporting_line = {text_literal(x.reporting_line)} "
+            f"THEN signed_amount_usd ELSE 0 END) AS {x.column}"
+        )
         for x in lines
     ]
     return report_lines.groupBy("entity_id", "reporting_month", "amount_type").agg(*sums)
@@ -76,19 +78,22 @@ def section_nets(pivoted: DataFrame, lines: LineBook) -> DataFrame:
     """Line columns grouped by section, each section's net, and the net change."""
     columns = []
     for section in SECTIONS:
-        members = [F.col(x.column) for x in lines.in_section(section)]
-        columns += members
-        columns.append(sum(members, F.lit(0).cast("bigint")).alias(net_column(section)))
-    net_change = sum([F.col(x.column) for x in lines], F.lit(0).cast("bigint"))
-    return pivoted.select(
+        members = [x.column for x in lines.in_section(section)]
+        columns += [*members, f"{_total(members)} AS {net_column(section)}"]
+    net_change = _total([x.column for x in lines])
+    return pivoted.selectExpr(
         "entity_id",
         "reporting_month",
         "amount_type",
         *columns,
-        net_change.alias("net_change_in_cash"),
+        f"{net_change} AS net_change_in_cash",
     )
 
 
+def _total(columns: list[str]) -> str:
+    return " + ".join(columns) or "CAST(0 AS BIGINT)"
+
+
 def roll_forward(nets: DataFrame, opening: DataFrame) -> DataFrame:
     """Beginning and ending cash.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidebook.functions import text_literal
 from tidebook.plans.lines import LAST_MONTH, PLAN_ONLY, RECURRING, Line, LineBook
 from tidebook.plans.scenario import Scenario
 from tidebook.sources import schemas
@@ -65,8 +66,8 @@ class CashbookFiles:
                 source=SALES,
                 system="Treasury / exchange",
                 record_id="sale_id",
-                category=F.lower(F.trim("status")),
-                vendor=F.lit(""),
+                category="lower(trim(status))",
+                vendor="''",
                 event_date="settlement_date",
                 direction="inflow",
                 amount="usd_received",
@@ -78,8 +79,8 @@ class CashbookFiles:
                 source=OPERATING,
                 system="Accounts payable",
                 record_id="invoice_id",
-                category=F.trim("cost_category"),
-                vendor=F.trim("vendor"),
+                category="trim(cost_category)",
+                vendor="trim(vendor)",
                 event_date="payment_date",
                 direction="outflow",
                 amount="amount_paid",
@@ -91,8 +92,8 @@ class CashbookFiles:
                 source=CAPITAL,
                 system="Capital projects / AP",
                 record_id="payment_id",
-                category=F.trim("spend_category"),
-                vendor=F.trim("vendor"),
+                category="trim(spend_category)",
+                vendor="trim(vendor)",
                 event_date="payment_date",
                 direction="outflow",
                 amount="amount_paid",
@@ -104,8 +105,8 @@ class CashbookFiles:
                 source=DRAWS,
                 system="Treasury / loan system",
                 record_id="draw_id",
-                category=F.lower(F.trim("status")),
-                vendor=F.trim("lender"),
+                category="lower(trim(status))",
+                vendor="trim(lender)",
                 event_date="funding_date",
                 direction="inflow",
                 amount="draw_amount",
@@ -118,17 +119,17 @@ class CashbookFiles:
     ) -> Extract:
         return Extract(
             frame=self._read(f"raw/{file}", schema),
-            source=F.lit(source),
-            source_system=F.lit(system),
-            source_file=F.lit(file),
-            entity_id=F.lit(ENTITY),
-            record_id=F.trim(record_id),
+            source=text_literal(source),
+            source_system=text_literal(system),
+            source_file=text_literal(file),
+            entity_id=text_literal(ENTITY),
+            record_id=f"trim({record_id})",
             category=category,
             vendor=vendor,
-            event_date=F.col(event_date),
-            direction=F.lit(direction),
-            amount=F.col(amount),
-            status=F.col("status"),
+            event_date=event_date,
+            direction=text_literal(direction),
+            amount=amount,
+            status="status",
             kept_status=kept,
         )
 

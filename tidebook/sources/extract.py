@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.functions import money, status_code
+from tidebook.functions import MONEY, text_literal
 
 RECORD_COLUMNS = (
     "entity_id",
@@ -29,24 +29,24 @@ RECORD_COLUMNS = (
 
 @dataclass(frozen=True)
 class Extract:
-    """Columns are expressions over ``frame``; ``event_date`` is the raw date column.
+    """All fields but ``frame`` and ``kept_status`` are SQL expressions over ``frame``.
 
     ``source``, ``source_system``, ``source_file`` and ``direction`` may be
-    constants or expressions, so one scan can feed several sources.
+    constants or depend on the row, so one scan can feed several sources.
     """
 
     frame: DataFrame
-    source: Column
-    source_system: Column
-    source_file: Column
-    entity_id: Column
-    record_id: Column
-    category: Column
-    vendor: Column
-    event_date: Column
-    direction: Column
-    amount: Column
-    status: Column
+    source: str
+    source_system: str
+    source_file: str
+    entity_id: str
+    record_id: str
+    category: str
+    vendor: str
+    event_date: str
+    direction: str
+    amount: str
+    status: str
     kept_status: str
 
     def records(self, scenario=None) -> DataFrame:
@@ -57,21 +57,21 @@ class Extract:
         """
         frame = self.frame
         if scenario is not None:
-            frame = frame.filter(scenario.closed(self.event_date))
-        status = status_code(self.status)
-        return frame.select(
-            self.entity_id.cast("string").alias("entity_id"),
-            self.record_id.alias("transaction_id"),
-            self.source_system.alias("source_system"),
-            self.source_file.alias("source_file"),
-            self.source.alias("source"),
-            self.category.alias("source_category"),
-            self.vendor.alias("vendor"),
-            self.event_date.cast("date").alias("cash_date"),
-            self.direction.alias("cash_direction"),
-            money(self.amount).alias("amount"),
-            status.alias("status"),
-            F.coalesce(status == self.kept_status, F.lit(False)).alias("kept"),
+            frame = frame.filter(scenario.closed(F.expr(self.event_date)))
+        status = f"upper(trim({self.status}))"
+        return frame.selectExpr(
+            f"CAST({self.entity_id} AS STRING) AS entity_id",
+            f"{self.record_id} AS transaction_id",
+            f"{self.source_system} AS source_system",
+            f"{self.source_file} AS source_file",
+            f"{self.source} AS source",
+            f"{self.category} AS source_category",
+            f"{self.vendor} AS vendor",
+            f"CAST({self.event_date} AS DATE) AS cash_date",
+            f"{self.direction} AS cash_direction",
+            f"CAST({self.amount} AS {MONEY.simpleString()}) AS amount",
+            f"{status} AS status",
+            f"coalesce({status} = {text_literal(self.kept_status)}, false) AS kept",
         )
 
     def kept_records(self, scenario=None) -> DataFrame:

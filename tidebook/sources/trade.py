@@ -51,9 +51,25 @@ MAPPING_SCHEMA = (
     "cash_flow_section string, reporting_line string"
 )
 
+SCHEMAS = {
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_extendedprice double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double",
+    "part": "p_partkey bigint, p_type string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int",
+}
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def mapping(spark: SparkSession) -> DataFrame:
@@ -77,52 +93,49 @@ def extracts(spark: SparkSession, sf_dir: str) -> list[Extract]:
         .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
     )
-    credit = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
-    capital = F.coalesce(F.col("p_type").isin(*CAPITAL_TYPES), F.lit(False))
+    credit = "l_returnflag = 'R'"
+    capital = f"p_type IN {CAPITAL_TYPES}"
 
-    def by_source(on_credit, on_capital, on_operating):
-        return F.when(credit, on_credit).when(capital, on_capital).otherwise(on_operating)
+    def by_source(on_credit: str, on_capital: str, on_operating: str) -> str:
+        return (
+            f"CASE WHEN {credit} THEN '{on_credit}' "
+            f"WHEN {capital} THEN '{on_capital}' ELSE '{on_operating}' END"
+        )
 
     return [
         Extract(
             frame=orders,
-            source=F.lit(RECEIPTS),
-            source_system=F.lit("Order desk"),
-            source_file=F.lit("orders.parquet"),
-            entity_id=F.col("c_nationkey"),
-            record_id=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")),
-            category=F.lower(F.trim("o_orderstatus")),
-            vendor=F.lit(""),
-            event_date=F.col("o_orderdate"),
-            direction=F.lit("inflow"),
-            amount=F.col("o_totalprice"),
-            status=F.col("o_orderstatus"),
+            source=f"'{RECEIPTS}'",
+            source_system="'Order desk'",
+            source_file="'orders.parquet'",
+            entity_id="c_nationkey",
+            record_id="concat('ORD-', o_orderkey)",
+            category="lower(trim(o_orderstatus))",
+            vendor="''",
+            event_date="o_orderdate",
+            direction="'inflow'",
+            amount="o_totalprice",
+            status="o_orderstatus",
             kept_status="F",
         ),
         Extract(
             frame=items,
-            source=by_source(F.lit(CREDITS), F.lit(CAPITAL), F.lit(OPERATING)),
-            source_system=by_source(
-                F.lit("Credit desk"), F.lit("Capital projects"), F.lit("Accounts payable")
-            ),
-            source_file=F.lit("lineitem.parquet"),
-            entity_id=F.col("s_nationkey"),
-            record_id=F.concat_ws("-", F.lit("LIN"), *line_key("l_partkey", "l_suppkey")),
-            category=F.when(credit, F.lower(F.trim("l_returnflag"))).otherwise(F.trim("p_type")),
-            vendor=F.trim("s_name"),
-            event_date=F.col("l_shipdate"),
-            direction=F.when(credit, "inflow").otherwise("outflow"),
-            amount=F.col("l_extendedprice"),
-            status=F.col("l_linestatus"),
+            source=by_source(CREDITS, CAPITAL, OPERATING),
+            source_system=by_source("Credit desk", "Capital projects", "Accounts payable"),
+            source_file="'lineitem.parquet'",
+            entity_id="s_nationkey",
+            record_id="concat_ws('-', 'LIN', l_orderkey, l_linenumber, l_partkey, l_suppkey)",
+            category=f"CASE WHEN {credit} THEN lower(trim(l_returnflag)) ELSE trim(p_type) END",
+            vendor="trim(s_name)",
+            event_date="l_shipdate",
+            direction=f"CASE WHEN {credit} THEN 'inflow' ELSE 'outflow' END",
+            amount="l_extendedprice",
+            status="l_linestatus",
             kept_status="F",
         ),
     ]
 
 
-def line_key(*more: str) -> list:
-    return [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", *more)]
-
-
 def bank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One opening snapshot per nation: what its customers hold."""
     return (
