@@ -313,7 +313,8 @@ FROM (
          CASE WHEN max(reporting_month) = DATE '2001-09-01' THEN 0 ELSE 1 END,
          CAST(max(reporting_month) AS VARCHAR), '2001-09-01', false FROM cash
   UNION ALL
-  SELECT 'report', 'unknown_reporting_line', 100, count(*), CAST(count(*) AS VARCHAR), '0', false
+  SELECT 'report', 'unknown_reporting_line', 100, count(*),
+         CAST(coalesce(sum(signed_amount_usd), 0) AS VARCHAR), '0', false
   FROM cash WHERE reporting_line IS NULL
      OR reporting_line NOT IN (SELECT reporting_line FROM lines)
   UNION ALL

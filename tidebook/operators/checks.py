@@ -336,16 +336,21 @@ def unknown_lines(totals: DataFrame, lines: LineBook) -> DataFrame:
 
 
 def unknown_line_checks(totals: DataFrame, lines: LineBook) -> DataFrame:
-    found = unknown_lines(totals, lines).agg(
-        F.count("*").alias("n"), F.min("reporting_line").alias("sample")
+    """Counts without filtering, so the totals stay one shared shuffle with other checks."""
+    unknown = ~lines.knows(F.col("reporting_line"))
+    found = totals.agg(
+        F.count(F.when(unknown, 1)).alias("n"),
+        F.coalesce(F.sum(F.when(unknown, F.col("signed_amount_usd"))), F.lit(0)).alias("amount"),
+        F.min(F.when(unknown, F.coalesce("reporting_line", F.lit("NULL")))).alias("sample"),
     )
     gate = Gate("report", "unknown_reporting_line", 100)
-    return _rows(found, gate.row(F.col("n"), sample_key=F.col("sample")))
+    return _rows(found, gate.row(F.col("n"), F.col("amount"), "0", F.col("sample")))
 
 
 def horizon_checks(totals: DataFrame, scenario: Scenario) -> DataFrame:
     """The cash behind the report, actual and projected, ends with the horizon."""
-    found = totals.agg(F.max("reporting_month").alias("last"))
+    with_cash = F.when(F.col("signed_amount_usd").isNotNull(), F.col("reporting_month"))
+    found = totals.agg(F.max(with_cash).alias("last"))
     wrong = ~F.col("last").eqNullSafe(F.lit(scenario.last_month))
     return _rows(
         found,

@@ -21,36 +21,20 @@ def _only(frame: DataFrame, ids: DataFrame | None) -> DataFrame:
     return frame.join(ids.select("transaction_id"), "transaction_id", "left_semi")
 
 
-def booked_once(ledger: DataFrame) -> DataFrame:
-    """One row per ledger id: how often it occurs, and its first occurrence.
+def booked_once(ledger: DataFrame, report_lines: DataFrame) -> DataFrame:
+    """One row per ledger id: how often it occurs, its first occurrence, its report line.
 
     Copies of an id meet in the partial aggregation, so a source record never
     joins with more than one row.
     """
-    first = F.min(
-        F.struct(
-            "entity_id",
-            "reporting_month",
-            *[F.col(c).alias(f"ledger_{c}") for c in CLASSIFICATION],
-            "signed_amount_usd",
-        )
-    )
+    cell = ["entity_id", "reporting_month", "reporting_line"]
+    reported = report_lines.select(*cell, F.col("signed_amount_usd").alias("line_amount_usd"))
+    first = ("reporting_month", *CLASSIFICATION, "signed_amount_usd", "line_amount_usd")
     return (
-        ledger.groupBy("transaction_id")
-        .agg(F.count("*").alias("ledger_rows"), first.alias("booked"))
-        .select(
-            "transaction_id",
-            "ledger_rows",
-            F.col("booked.entity_id").alias("ledger_entity_id"),
-            *[
-                F.col(f"booked.{c}").alias(c)
-                for c in (
-                    "reporting_month",
-                    *[f"ledger_{c}" for c in CLASSIFICATION],
-                    "signed_amount_usd",
-                )
-            ],
-        )
+        ledger.select("entity_id", "transaction_id", *first[:-1])
+        .join(reported, cell, "left")
+        .groupBy("transaction_id")
+        .agg(F.count("*").alias("ledger_rows"), F.min(F.struct(*first)).alias("booked"))
     )
 
 
@@ -66,46 +50,36 @@ def trace(
     Records that never reached the ledger are kept, with ``outcome`` saying why.
     """
     records = classify(_only(all_records(extracts), ids), mapping)
-    booked = booked_once(_only(ledger, ids))
-    lines = report_lines.select(
-        F.col("entity_id").alias("ledger_entity_id"),
-        "reporting_month",
-        F.col("reporting_line").alias("ledger_reporting_line"),
-        F.col("signed_amount_usd").alias("line_amount_usd"),
-    )
-    in_ledger = F.coalesce(F.col("ledger_rows") > 0, F.lit(False))
+    booked = booked_once(_only(ledger, ids), report_lines)
+    in_ledger = F.col("booked").isNotNull()
     same_class = F.lit(True)
     for c in CLASSIFICATION:
-        same_class = same_class & F.col(c).eqNullSafe(F.col(f"ledger_{c}"))
-    return (
-        records.join(booked, "transaction_id", "left")
-        .join(lines, ["ledger_entity_id", "reporting_month", "ledger_reporting_line"], "left")
-        .select(
-            "entity_id",
-            "transaction_id",
-            "source",
-            "status",
-            "vendor",
-            "cash_date",
-            "source_category",
-            "amount",
-            F.col("cash_flow_section").alias("rule_section"),
-            F.col("business_activity").alias("rule_activity"),
-            F.col("reporting_line").alias("rule_line"),
-            F.coalesce("ledger_rows", F.lit(0)).alias("ledger_rows"),
-            "reporting_month",
-            F.col("ledger_reporting_line").alias("reporting_line"),
-            "signed_amount_usd",
-            "line_amount_usd",
-            F.coalesce(F.col("ledger_rows") == 1, F.lit(False)).alias("booked_once"),
-            (in_ledger & F.col("reporting_line").isNotNull() & same_class).alias("rule_agrees"),
-            F.when(~F.col("kept"), "status not kept")
-            .when(F.col("reporting_line").isNull(), "unmapped")
-            .when(~in_ledger, "not in ledger")
-            .when(F.col("line_amount_usd").isNull(), "not reported")
-            .otherwise("reported")
-            .alias("outcome"),
-        )
+        same_class = same_class & F.col(c).eqNullSafe(F.col(f"booked.{c}"))
+    return records.join(booked, "transaction_id", "left").select(
+        "entity_id",
+        "transaction_id",
+        "source",
+        "status",
+        "vendor",
+        "cash_date",
+        "source_category",
+        "amount",
+        F.col("cash_flow_section").alias("rule_section"),
+        F.col("business_activity").alias("rule_activity"),
+        F.col("reporting_line").alias("rule_line"),
+        F.coalesce("ledger_rows", F.lit(0)).alias("ledger_rows"),
+        "booked.reporting_month",
+        "booked.reporting_line",
+        "booked.signed_amount_usd",
+        "booked.line_amount_usd",
+        F.coalesce(F.col("ledger_rows") == 1, F.lit(False)).alias("booked_once"),
+        (in_ledger & F.col("reporting_line").isNotNull() & same_class).alias("rule_agrees"),
+        F.when(~F.col("kept"), "status not kept")
+        .when(F.col("reporting_line").isNull(), "unmapped")
+        .when(~in_ledger, "not in ledger")
+        .when(F.col("booked.line_amount_usd").isNull(), "not reported")
+        .otherwise("reported")
+        .alias("outcome"),
     )
 
 
