@@ -325,8 +325,7 @@ def check_report(spark, sf_dir):
         checks.ledger_checks(rows, SCENARIO, VENDOR_SOURCES, strict_window=False),
         checks.opening_checks(opening, projected.select("entity_id").distinct()),
         checks.forecast_checks(projected, opening.select("entity_id"), SCENARIO, LINES),
-        checks.horizon_checks(cash, SCENARIO),
-        checks.unknown_line_checks(cash, LINES),
+        checks.cash_checks(cash, SCENARIO, LINES),
         checks.difference_checks(
             reconcile.reconcile_lines(lines, cash),
             checks.Gate("report", "line_equals_transactions", 110),
@@ -339,8 +338,8 @@ def check_report(spark, sf_dir):
             "reporting_month",
             "measure",
         ),
-        checks.period_checks(lines, summary, SCENARIO, LINES),
-        checks.roll_forward_checks(summary),
+        checks.line_checks(lines, SCENARIO, LINES),
+        checks.summary_checks(summary, SCENARIO),
     )
     return found.select("stage", "check_id", "ord", "violations", "observed", "expected", "passed")
 

@@ -146,13 +146,14 @@ def test_forecast_entity_left_out(spark, report_frames):
 
 def test_unknown_line(report_frames):
     given, tables = report_frames
-    odd = tables.totals.withColumn(
+    cash = staged_run.ledger_totals(tables)
+    odd = cash.withColumn(
         "reporting_line",
         F.when(F.col("reporting_line") != "Overhead paid", F.col("reporting_line")).otherwise("Other"),
     )
-    null = tables.totals.withColumn("reporting_line", F.lit(None).cast("string"))
+    null = cash.withColumn("reporting_line", F.lit(None).cast("string"))
     for totals in (odd, null):
-        assert first_failure(checks.unknown_line_checks(totals, given.lines)) == "unknown_reporting_line"
+        assert first_failure(checks.cash_checks(totals, given.scenario, given.lines)) == "unknown_reporting_line"
         assert checks.unknown_lines(totals, given.lines).count() > 0
 
 
@@ -184,10 +185,11 @@ def test_ledger_group_without_report_row(report_frames):
 
 def test_broken_balance(report_frames):
     _, tables = report_frames
-    adds = checks.roll_forward_checks(altered(tables.summary, "net_change_in_cash"))
+    scenario = report_frames[0].scenario
+    adds = checks.summary_checks(altered(tables.summary, "net_change_in_cash"), scenario)
     assert first_failure(adds) == "balance_adds_up"
     shifted = altered(altered(tables.summary, "beginning_cash"), "ending_cash")
-    assert first_failure(checks.roll_forward_checks(shifted)) == "balance_continues"
+    assert first_failure(checks.summary_checks(shifted, scenario)) == "balance_continues"
 
 
 @pytest.mark.parametrize(
@@ -199,15 +201,15 @@ def test_broken_balance(report_frames):
 )
 def test_missing_months(report_frames, where, gate):
     given, tables = report_frames
-    found = checks.period_checks(
-        tables.lines.filter(where), tables.summary.filter(where), given.scenario, given.lines
-    )
+    found = checks.summary_checks(tables.summary.filter(where), given.scenario)
     assert first_failure(found) == gate
+    short = checks.line_checks(tables.lines.filter(where), given.scenario, given.lines)
+    assert first_failure(short) == "line_row_count"
 
 
 def test_horizon_must_end_on_time(report_frames):
     given, tables = report_frames
-    assert first_failure(checks.horizon_checks(tables.totals, given.scenario)) == "horizon_end"
+    assert first_failure(checks.cash_checks(tables.totals, given.scenario, given.lines)) == "horizon_end"
 
 
 def test_agreed_amounts(report_frames):

@@ -7,7 +7,6 @@ many rules it covers. ``enforce`` raises the failed gate with the lowest ``ord``
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,33 +46,28 @@ class Gate:
     notice: bool = False
 
     def row(
-        self,
-        violations: Column,
-        observed: Column | None = None,
-        expected: Column | str | None = None,
-        sample_key: Column | None = None,
-    ) -> Column:
-        count = F.coalesce(violations, F.lit(0)).cast("bigint")
-        shown = count if observed is None else observed
-        wanted = expected if isinstance(expected, Column) else F.lit(expected or "0")
-        return F.struct(
-            F.lit(self.stage).alias("stage"),
-            F.lit(self.check_id).alias("check_id"),
-            F.lit(self.ord).alias("ord"),
-            count.alias("violations"),
-            shown.cast("string").alias("observed"),
-            wanted.cast("string").alias("expected"),
-            (F.lit(None) if sample_key is None else sample_key).cast("string").alias("sample_key"),
-            (F.lit(True) if self.notice else count == 0).alias("passed"),
+        self, violations: str, observed: str | None = None, expected: str = "0", sample: str = "NULL"
+    ) -> str:
+        """A struct of the check columns; the arguments are expressions over an aggregate."""
+        count = f"CAST(coalesce({violations}, 0) AS BIGINT)"
+        return (
+            f"struct('{self.stage}' AS stage, '{self.check_id}' AS check_id, {self.ord} AS ord, "
+            f"{count} AS violations, CAST({observed or count} AS STRING) AS observed, "
+            f"CAST({expected} AS STRING) AS expected, CAST({sample} AS STRING) AS sample_key, "
+            f"{'true' if self.notice else f'{count} = 0'} AS passed)"
         )
 
 
-def _rows(aggregated: DataFrame, *rows: Column) -> DataFrame:
-    return aggregated.select(F.inline(F.array(*rows))).select(*CHECK_COLUMNS)
+def _rows(aggregated: DataFrame, *rows: str) -> DataFrame:
+    return aggregated.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def combine(*parts: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    """Union of all parts, halves first, so no union stacks on a long chain."""
+    if len(parts) == 1:
+        return parts[0]
+    middle = len(parts) // 2
+    return combine(*parts[:middle]).unionByName(combine(*parts[middle:]))
 
 
 def enforce(checks: DataFrame) -> None:
@@ -102,7 +96,7 @@ def mapping_checks(rules: DataFrame) -> DataFrame:
         F.min(F.concat_ws("/", "source", "category")).alias("sample"),
     )
     return _rows(
-        found, Gate("close", "repeated_mapping_key", 5).row(F.col("n"), sample_key=F.col("sample"))
+        found, Gate("close", "repeated_mapping_key", 5).row("n", sample="sample")
     )
 
 
@@ -163,7 +157,7 @@ def ledger_checks(
     )
     return _rows(
         found,
-        *[g.row(F.col(c), sample_key=F.col(f"{c}_sample")) for g, c in gates],
+        *[g.row(c, sample=f"{c}_sample") for g, c in gates],
     )
 
 
@@ -179,14 +173,13 @@ def opening_checks(opening: DataFrame, roster: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("n") != 1, 1).otherwise(0)).alias("bad"),
         F.min(F.when(F.col("n") != 1, F.col("entity_id"))).alias("sample"),
     )
-    nothing = F.when(F.col("entities") == 0, 1).otherwise(0)
     return _rows(
         found,
         Gate("close", "one_opening_record", 50).row(
-            F.coalesce("bad", F.lit(0)) + nothing,
-            F.coalesce("records", F.lit(0)),
-            F.greatest("entities", F.lit(1)),
-            F.col("sample"),
+            "coalesce(bad, 0) + if(entities = 0, 1, 0)",
+            "coalesce(records, 0)",
+            "greatest(entities, 1)",
+            "sample",
         ),
     )
 
@@ -258,7 +251,7 @@ def amount_checks(actual: DataFrame, expected: DataFrame, gate: Gate) -> DataFra
     )
     return _rows(
         found,
-        gate.row(F.col("n"), F.col("amount"), F.col("expected_amount"), F.col("sample")),
+        gate.row("n", "amount", "expected_amount", "sample"),
     )
 
 
@@ -295,14 +288,9 @@ def forecast_checks(
     return _rows(
         found,
         Gate("forecast", "forecast_row_count", 70).row(
-            F.col("wrong"),
-            F.col("n_rows"),
-            F.col("entities") * per_entity_rows,
-            F.col("wrong_sample"),
-        ),
-        Gate("forecast", "repeated_forecast_id", 75).row(
-            F.col("repeated"), sample_key=F.col("repeated_sample")
+            "wrong", "n_rows", f"entities * {per_entity_rows}", "wrong_sample"
         ),
+        Gate("forecast", "repeated_forecast_id", 75).row("repeated", sample="repeated_sample"),
     )
 
 
@@ -314,7 +302,7 @@ def difference_checks(compared: DataFrame, gate: Gate, *key: str) -> DataFrame:
         F.sum(F.when(wrong, F.col("difference_usd")).otherwise(0)).alias("off"),
         F.min(F.when(wrong, F.concat_ws("/", *key))).alias("sample"),
     )
-    return _rows(found, gate.row(F.col("n"), F.col("off"), "0", F.col("sample")))
+    return _rows(found, gate.row("n", "off", sample="sample"))
 
 
 def unused_override_checks(unused: DataFrame) -> DataFrame:
@@ -323,7 +311,7 @@ def unused_override_checks(unused: DataFrame) -> DataFrame:
         F.min(F.concat_ws("/", "entity_id", "reporting_month", "reporting_line")).alias("sample"),
     )
     gate = Gate("forecast", "unused_override", 85, notice=True)
-    return _rows(found, gate.row(F.col("n"), sample_key=F.col("sample")))
+    return _rows(found, gate.row("n", sample="sample"))
 
 
 # --- report ------------------------------------------------------------------
@@ -335,38 +323,36 @@ def unknown_lines(totals: DataFrame, lines: LineBook) -> DataFrame:
     return totals.join(known, "reporting_line", "left_anti")
 
 
-def unknown_line_checks(totals: DataFrame, lines: LineBook) -> DataFrame:
-    """Counts without filtering, so the totals stay one shared shuffle with other checks."""
+def cash_checks(cash: DataFrame, scenario: Scenario, lines: LineBook) -> DataFrame:
+    """Totals of both ledgers: they end with the horizon, and name known lines only.
+
+    Counts instead of filtering, so the totals stay one shared shuffle with the
+    other checks.
+    """
     unknown = ~lines.knows(F.col("reporting_line"))
-    found = totals.agg(
+    amount = F.col("signed_amount_usd")
+    found = cash.agg(
+        F.max(F.when(amount.isNotNull(), F.col("reporting_month"))).alias("last"),
         F.count(F.when(unknown, 1)).alias("n"),
-        F.coalesce(F.sum(F.when(unknown, F.col("signed_amount_usd"))), F.lit(0)).alias("amount"),
+        F.coalesce(F.sum(F.when(unknown, amount)), F.lit(0)).alias("amount"),
         F.min(F.when(unknown, F.coalesce("reporting_line", F.lit("NULL")))).alias("sample"),
     )
-    gate = Gate("report", "unknown_reporting_line", 100)
-    return _rows(found, gate.row(F.col("n"), F.col("amount"), "0", F.col("sample")))
-
-
-def horizon_checks(totals: DataFrame, scenario: Scenario) -> DataFrame:
-    """The cash behind the report, actual and projected, ends with the horizon."""
-    with_cash = F.when(F.col("signed_amount_usd").isNotNull(), F.col("reporting_month"))
-    found = totals.agg(F.max(with_cash).alias("last"))
-    wrong = ~F.col("last").eqNullSafe(F.lit(scenario.last_month))
+    wanted = f"DATE '{scenario.last_month}'"
     return _rows(
         found,
-        Gate("report", "horizon_end", 95).row(
-            F.when(wrong, 1), F.col("last"), F.lit(scenario.last_month)
-        ),
+        Gate("report", "horizon_end", 95).row(f"if(last <=> {wanted}, 0, 1)", "last", wanted),
+        Gate("report", "unknown_reporting_line", 100).row("n", "amount", sample="sample"),
     )
 
 
-def roll_forward_rows(summary: DataFrame) -> DataFrame:
+def roll_forward_rows(summary: DataFrame, *keep: str) -> DataFrame:
     """Both identities of every month: inside the month, and with the month before."""
     by_month = Window.partitionBy("entity_id").orderBy("reporting_month")
     before = F.lag("ending_cash").over(by_month)
     return summary.select(
         "entity_id",
         "reporting_month",
+        *keep,
         "beginning_cash",
         "net_change_in_cash",
         "ending_cash",
@@ -398,61 +384,67 @@ def period_counts(report_lines: DataFrame, summary: DataFrame) -> DataFrame:
     return lines_per_entity.join(months, "entity_id", "full")
 
 
-def period_checks(
-    report_lines: DataFrame, summary: DataFrame, scenario: Scenario, lines: LineBook
-) -> DataFrame:
-    wanted = (
-        ("summary_row_count", 140, "summary_rows", scenario.total_months),
-        ("line_row_count", 150, "line_rows", scenario.total_months * len(lines)),
-        ("actual_month_count", 170, "actual_months", scenario.actual_months),
-        ("forecast_month_count", 180, "forecast_months", scenario.forecast_months),
-        ("last_month", 190, "last_month", scenario.last_month),
+def line_checks(report_lines: DataFrame, scenario: Scenario, lines: LineBook) -> DataFrame:
+    """Every entity has one row per month and line."""
+    per_entity = report_lines.groupBy("entity_id").agg(F.count("*").alias("line_rows"))
+    return _counted(per_entity, {"line_row_count": (150, "line_rows", scenario.total_months * len(lines))})
+
+
+def summary_checks(summary: DataFrame, scenario: Scenario) -> DataFrame:
+    """Months per entity, and both balance identities, in one pass over the summary."""
+    actual = F.col("amount_type") == "Actual"
+    per_entity = (
+        roll_forward_rows(summary, "amount_type")
+        .groupBy("entity_id")
+        .agg(
+            F.count("*").alias("summary_rows"),
+            F.sum(F.when(actual, 1).otherwise(0)).alias("actual_months"),
+            F.sum(F.when(actual, 0).otherwise(1)).alias("forecast_months"),
+            F.max("reporting_month").alias("last_month"),
+            *[F.sum(F.when(F.col(c), 0).otherwise(1)).alias(c) for c in ("adds_up", "continues")],
+        )
     )
-    aggregates = [F.count("*").alias("entities")]
-    for check_id, _, column, value in wanted:
-        wrong = ~F.col(column).eqNullSafe(F.lit(value))
+    wanted = {
+        "summary_row_count": (140, "summary_rows", scenario.total_months),
+        "actual_month_count": (170, "actual_months", scenario.actual_months),
+        "forecast_month_count": (180, "forecast_months", scenario.forecast_months),
+        "last_month": (190, "last_month", scenario.last_month),
+    }
+    identities = {"balance_adds_up": (160, "adds_up"), "balance_continues": (165, "continues")}
+    return _counted(per_entity, wanted, identities)
+
+
+def _counted(
+    per_entity: DataFrame,
+    wanted: dict[str, tuple[int, str, object]],
+    violations: dict[str, tuple[int, str]] | None = None,
+) -> DataFrame:
+    """Entities whose figure differs from the wanted one, and summed violation columns."""
+    aggregates, rows = ["count(*) AS entities"], []
+    for check_id, (position, column, value) in wanted.items():
+        wrong = f"NOT (CAST({column} AS STRING) <=> '{value}')"
         aggregates += [
-            F.sum(F.when(wrong, 1).otherwise(0)).alias(check_id),
-            F.min(F.when(wrong, F.col("entity_id"))).alias(f"{check_id}_sample"),
-            F.max(column).alias(f"{check_id}_seen"),
+            f"count_if({wrong}) AS {column}_wrong",
+            f"min(entity_id) FILTER (WHERE {wrong}) AS {column}_sample",
+            f"max({column}) AS {column}_seen",
         ]
-    found = period_counts(report_lines, summary).agg(*aggregates)
-    empty = F.when(F.col("entities") == 0, 1).otherwise(0)
-    return _rows(
-        found,
-        *[
+        rows.append(
             Gate("report", check_id, position).row(
-                F.coalesce(check_id, F.lit(0)) + empty,
-                F.col(f"{check_id}_seen"),
-                F.lit(value),
-                F.col(f"{check_id}_sample"),
-            )
-            for check_id, position, _, value in wanted
-        ],
-    )
-
-
-def roll_forward_checks(summary: DataFrame) -> DataFrame:
-    key = F.concat_ws("/", "entity_id", "reporting_month")
-    found = roll_forward_rows(summary).agg(
-        *[
-            aggregate
-            for c in ("adds_up", "continues")
-            for aggregate in (
-                F.sum(F.when(F.col(c), 0).otherwise(1)).alias(c),
-                F.min(F.when(~F.col(c), key)).alias(f"{c}_sample"),
+                f"{column}_wrong + if(entities = 0, 1, 0)",
+                f"{column}_seen",
+                f"'{value}'",
+                f"{column}_sample",
             )
+        )
+    for check_id, (position, column) in (violations or {}).items():
+        aggregates += [
+            f"sum({column}) AS {column}_wrong",
+            f"min(entity_id) FILTER (WHERE {column} > 0) AS {column}_sample",
         ]
-    )
-    return _rows(
-        found,
-        Gate("report", "balance_adds_up", 160).row(
-            F.col("adds_up"), sample_key=F.col("adds_up_sample")
-        ),
-        Gate("report", "balance_continues", 165).row(
-            F.col("continues"), sample_key=F.col("continues_sample")
-        ),
-    )
+        rows.append(
+            Gate("report", check_id, position).row(f"{column}_wrong", sample=f"{column}_sample")
+        )
+    return _rows(per_entity.selectExpr(*aggregates), *rows)
 
 
 def net_change_checks(summary: DataFrame, expected: DataFrame) -> DataFrame:

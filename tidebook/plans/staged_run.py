@@ -123,8 +123,7 @@ def run_checks(inputs: Inputs, tables: Tables) -> DataFrame:
             Gate("forecast", "forecast_matches_drivers", 80),
             *cell,
         ),
-        checks.horizon_checks(cash, scenario),
-        checks.unknown_line_checks(tables.totals, book),
+        checks.cash_checks(cash, scenario, book),
         checks.difference_checks(
             reconcile.reconcile_lines(tables.lines, cash),
             Gate("report", "line_equals_transactions", 110),
@@ -144,8 +143,8 @@ def run_checks(inputs: Inputs, tables: Tables) -> DataFrame:
             "reporting_month",
             "measure",
         ),
-        checks.period_checks(tables.lines, tables.summary, scenario, book),
-        checks.roll_forward_checks(tables.summary),
+        checks.line_checks(tables.lines, scenario, book),
+        checks.summary_checks(tables.summary, scenario),
         checks.difference_checks(
             reconcile.side_by_side(open_lines, expected_cells, cell),
             Gate("report", "report_matches_drivers", 220),
