@@ -18,7 +18,8 @@ CLASSIFICATION = ("source_category", "business_activity", "cash_flow_section", "
 def _only(frame: DataFrame, ids: DataFrame | None) -> DataFrame:
     if ids is None:
         return frame
-    return frame.join(ids.select("transaction_id"), "transaction_id", "left_semi")
+    # Distinct first: copies of an asked-for id collapse before the shuffle.
+    return frame.join(ids.select("transaction_id").distinct(), "transaction_id", "left_semi")
 
 
 def booked_once(ledger: DataFrame, report_lines: DataFrame) -> DataFrame:
