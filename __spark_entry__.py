@@ -8,7 +8,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +84,12 @@ class Book:
         return self.totals.unionByName(ledger.monthly_totals(self.forecast))
 
 
+@lru_cache(maxsize=4)
+def book_of(spark: SparkSession, sf_dir: str, planned: bool = False) -> Book:
+    """Queries of one session share their lazy frames; every query still computes its rows."""
+    return Book(spark, sf_dir, planned)
+
+
 def in_cents(frame: DataFrame, *columns: str) -> DataFrame:
     """Money columns ``x`` as ``x_cents``."""
     picked = [
@@ -101,11 +107,11 @@ def canonical_ledger(spark, sf_dir):
 
 
 def mapped_signed_ledger(spark, sf_dir):
-    return in_cents(Book(spark, sf_dir).full_ledger, "signed_amount")
+    return in_cents(book_of(spark, sf_dir).full_ledger, "signed_amount")
 
 
 def unmapped_categories(spark, sf_dir):
-    book = Book(spark, sf_dir)
+    book = book_of(spark, sf_dir)
     mapping = book.mapping.filter(F.col("category") != "PROMO")
     return checks.unmapped_categories(ledger.build_ledger(book.extracts, mapping))
 
@@ -127,7 +133,7 @@ def duplicate_line_ids(spark, sf_dir):
 
 
 def missing_counterparty_counts(spark, sf_dir):
-    rows = Book(spark, sf_dir).full_ledger
+    rows = book_of(spark, sf_dir).full_ledger
     blank_vendor = F.coalesce(F.trim("vendor"), F.lit("")) == ""
     return rows.groupBy("source").agg(
         F.count("*").alias("n_records"),
@@ -137,7 +143,7 @@ def missing_counterparty_counts(spark, sf_dir):
 
 
 def out_of_window_rejects(spark, sf_dir):
-    _, rejects = ledger.close_actuals(Book(spark, sf_dir).full_ledger, SCENARIO)
+    _, rejects = ledger.close_actuals(book_of(spark, sf_dir).full_ledger, SCENARIO)
     return rejects.groupBy("source", "reporting_month").agg(
         F.count("*").alias("n_records"),
         F.sum("signed_amount_usd").alias("signed_amount_usd"),
@@ -145,16 +151,16 @@ def out_of_window_rejects(spark, sf_dir):
 
 
 def closed_actuals(spark, sf_dir):
-    actuals, _ = ledger.close_actuals(Book(spark, sf_dir).full_ledger, SCENARIO)
+    actuals, _ = ledger.close_actuals(book_of(spark, sf_dir).full_ledger, SCENARIO)
     return ledger.transactions(actuals)
 
 
 def opening_by_entity(spark, sf_dir):
-    return Book(spark, sf_dir).opening
+    return book_of(spark, sf_dir).opening
 
 
 def control_totals(spark, sf_dir):
-    return in_cents(checks.control_totals(Book(spark, sf_dir).actuals), "amount")
+    return in_cents(checks.control_totals(book_of(spark, sf_dir).actuals), "amount")
 
 
 def control_totals_agree(spark, sf_dir):
@@ -192,7 +198,7 @@ def control_totals_agree(spark, sf_dir):
             total(closed_orders, "Operating", "inflow", F.col("o_totalprice").cast("decimal(18,2)"))
         )
     )
-    totals = checks.control_totals(Book(spark, sf_dir).actuals)
+    totals = checks.control_totals(book_of(spark, sf_dir).actuals)
     return in_cents(checks.compare_totals(totals, expected), "amount", "expected_amount")
 
 
@@ -208,7 +214,7 @@ def forecast_months(spark, sf_dir):
 
 
 def _drivers_of(spark, sf_dir, kind):
-    drivers = forecast.line_drivers(Book(spark, sf_dir).profile, LINES)
+    drivers = forecast.line_drivers(book_of(spark, sf_dir).profile, LINES)
     return drivers.filter((F.col("driver_kind") == kind) & F.col("driver_amount_usd").isNotNull()).select(
         "entity_id", "reporting_line", F.col("driver_amount_usd").alias("amount_usd")
     )
@@ -223,20 +229,20 @@ def last_active_month_driver(spark, sf_dir):
 
 
 def forecast_no_plan(spark, sf_dir):
-    return Book(spark, sf_dir).forecast
+    return book_of(spark, sf_dir).forecast
 
 
 def forecast_with_plan(spark, sf_dir):
-    return Book(spark, sf_dir, planned=True).forecast
+    return book_of(spark, sf_dir, planned=True).forecast
 
 
 def unused_overrides(spark, sf_dir):
-    book = Book(spark, sf_dir, planned=True)
+    book = book_of(spark, sf_dir, planned=True)
     return forecast.unused_overrides(book.plan, book.opening, SCENARIO, LINES)
 
 
 def forecast_cardinality_and_unique(spark, sf_dir):
-    ids = Book(spark, sf_dir).forecast.select("entity_id", "transaction_id")
+    ids = book_of(spark, sf_dir).forecast.select("entity_id", "transaction_id")
     per_id = ids.groupBy("entity_id", "transaction_id").agg(F.count("*").alias("n"))
     return per_id.groupBy("entity_id").agg(
         F.sum("n").alias("n_rows"),
@@ -246,11 +252,11 @@ def forecast_cardinality_and_unique(spark, sf_dir):
 
 
 def monthly_lines_all(spark, sf_dir):
-    return Book(spark, sf_dir).lines
+    return book_of(spark, sf_dir).lines
 
 
 def monthly_lines_with_plan(spark, sf_dir):
-    return Book(spark, sf_dir, planned=True).lines
+    return book_of(spark, sf_dir, planned=True).lines
 
 
 def actual_lines(spark, sf_dir):
@@ -271,47 +277,47 @@ def section_nets(spark, sf_dir):
 
 
 def balance_rollforward(spark, sf_dir):
-    return Book(spark, sf_dir).summary
+    return book_of(spark, sf_dir).summary
 
 
 def balance_rollforward_with_plan(spark, sf_dir):
-    return Book(spark, sf_dir, planned=True).summary
+    return book_of(spark, sf_dir, planned=True).summary
 
 
 def final_balance_by_entity(spark, sf_dir):
-    return report.final_balance(Book(spark, sf_dir).summary)
+    return report.final_balance(book_of(spark, sf_dir).summary)
 
 
 def recon_line(spark, sf_dir):
-    book = Book(spark, sf_dir)
+    book = book_of(spark, sf_dir)
     return reconcile.reconcile_lines(book.lines, book.cash)
 
 
 def recon_activity(spark, sf_dir):
-    book = Book(spark, sf_dir)
+    book = book_of(spark, sf_dir)
     return reconcile.reconcile_activities(book.lines, book.cash)
 
 
 def recon_section(spark, sf_dir):
-    book = Book(spark, sf_dir)
+    book = book_of(spark, sf_dir)
     return reconcile.reconcile_sections(book.summary, book.cash)
 
 
 def unknown_lines(spark, sf_dir):
-    return checks.unknown_lines(Book(spark, sf_dir).totals, LINES.without("Equipment paid"))
+    return checks.unknown_lines(book_of(spark, sf_dir).totals, LINES.without("Equipment paid"))
 
 
 def rollforward_identity(spark, sf_dir):
-    return checks.roll_forward_rows(Book(spark, sf_dir).summary)
+    return checks.roll_forward_rows(book_of(spark, sf_dir).summary)
 
 
 def period_counts(spark, sf_dir):
-    book = Book(spark, sf_dir)
+    book = book_of(spark, sf_dir)
     return checks.period_counts(book.lines, book.summary)
 
 
 def forecast_vs_driver(spark, sf_dir):
-    book = Book(spark, sf_dir, planned=True)
+    book = book_of(spark, sf_dir, planned=True)
     open_lines = book.lines.filter(SCENARIO.is_open(F.col("reporting_month")))
     keys = ("entity_id", "reporting_month", "reporting_line")
     return reconcile.side_by_side(open_lines, book.cells("forecast"), keys)
@@ -322,15 +328,16 @@ def check_report(spark, sf_dir):
 
     The monthly tiers have several consumers each, so they are stored once.
     """
-    book = Book(spark, sf_dir)
-    rows, opening = book.full_ledger, book.opening
-    book.totals = cut_lineage(book.totals)
+    shared, book = book_of(spark, sf_dir), Book(spark, sf_dir)
+    rows, opening = shared.full_ledger, shared.opening
+    book.opening = opening
+    book.totals = cut_lineage(shared.totals)
     book.forecast = projected = cut_lineage(book.forecast)
     book.lines = lines = cut_lineage(book.lines)
     summary, cash = book.summary, book.cash
     cell = ("entity_id", "reporting_month", "reporting_line")
     found = checks.combine(
-        checks.mapping_checks(ledger.mapping_rules(book.mapping)),
+        checks.mapping_checks(ledger.mapping_rules(shared.mapping)),
         checks.ledger_checks(rows, SCENARIO, VENDOR_SOURCES, strict_window=False),
         checks.opening_checks(opening, projected.select("entity_id").distinct()),
         checks.forecast_checks(projected, opening.select("entity_id"), SCENARIO, LINES),
@@ -355,31 +362,31 @@ def check_report(spark, sf_dir):
 
 def trace_ids(spark, sf_dir):
     """Every source record, followed to the report."""
-    book = Book(spark, sf_dir)
+    book = book_of(spark, sf_dir)
     traced = lineage.trace(book.extracts, book.mapping, book.actuals, book.lines)
     return in_cents(traced, "amount")
 
 
 def trace_selected(spark, sf_dir):
     """The largest transaction of every entity and line, followed to the report."""
-    book = Book(spark, sf_dir)
+    book = book_of(spark, sf_dir)
     ids = trade.example_ids(book.actuals)
     traced = lineage.trace(book.extracts, book.mapping, book.actuals, book.lines, ids)
     return in_cents(traced, "amount")
 
 
 def id_audit(spark, sf_dir):
-    return lineage.id_audit(Book(spark, sf_dir).full_ledger)
+    return lineage.id_audit(book_of(spark, sf_dir).full_ledger)
 
 
 def id_presence(spark, sf_dir):
-    book = Book(spark, sf_dir)
+    book = book_of(spark, sf_dir)
     ids = trade.example_ids(book.actuals)
     return lineage.id_presence(ids, book.extracts, book.actuals)
 
 
 def trace_line_sum(spark, sf_dir):
-    book = Book(spark, sf_dir)
+    book = book_of(spark, sf_dir)
     actuals = book.actuals
     return lineage.trace_line_sums(actuals, book.lines, trade.example_ids(actuals))
 
@@ -387,27 +394,27 @@ def trace_line_sum(spark, sf_dir):
 def drilldown_month_line(spark, sf_dir):
     """What is behind the parts paid in the last closed month."""
     rows = lineage.drilldown(
-        Book(spark, sf_dir).full_ledger, SCENARIO.last_closed_month, "Parts paid"
+        book_of(spark, sf_dir).full_ledger, SCENARIO.last_closed_month, "Parts paid"
     )
     return ledger.transactions(rows)
 
 
 def rollup_section(spark, sf_dir):
-    return report.rollup_by(Book(spark, sf_dir).actuals, "cash_flow_section")
+    return report.rollup_by(book_of(spark, sf_dir).actuals, "cash_flow_section")
 
 
 def rollup_activity(spark, sf_dir):
-    return report.rollup_by(Book(spark, sf_dir).actuals, "business_activity")
+    return report.rollup_by(book_of(spark, sf_dir).actuals, "business_activity")
 
 
 def cash_measures(spark, sf_dir):
     by = ("reporting_month", "cash_flow_section")
-    return report.cash_measures(Book(spark, sf_dir).actuals, by)
+    return report.cash_measures(book_of(spark, sf_dir).actuals, by)
 
 
 def cash_by_month_and_line(spark, sf_dir):
     by = ("entity_id", "reporting_month", "reporting_line")
-    return report.cash_measures(Book(spark, sf_dir).actuals, by)
+    return report.cash_measures(book_of(spark, sf_dir).actuals, by)
 
 
 QUERIES = (
