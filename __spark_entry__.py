@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import cached_property, lru_cache
 
@@ -18,10 +19,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_statements
 from tidebook.functions import cents, status_code
 from tidebook.operators import checks, forecast, ledger, lineage, reconcile, report
+from tidebook.plans import staged_run
 from tidebook.plans.lines import LAST_MONTH, RECURRING
-from tidebook.session import cut_lineage
+from tidebook.session import checkpoint_dir, cut_lineage
 from tidebook.sources import trade
 from tidebook.sources.extract import kept_records
+from tidebook.sources.files import read_csv, write_csv
 
 SCENARIO, LINES = trade.SCENARIO, trade.LINES
 VENDOR_SOURCES = (trade.OPERATING, trade.CAPITAL, trade.CREDITS)
@@ -417,6 +420,39 @@ def cash_by_month_and_line(spark, sf_dir):
     return report.cash_measures(book_of(spark, sf_dir).actuals, by)
 
 
+def _run_folder(spark: SparkSession) -> str:
+    """A new folder, in the place the cluster names for shared files."""
+    return f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+
+
+def published_summary(spark, sf_dir):
+    """The summary as a full run stages, checks and publishes it."""
+    book = book_of(spark, sf_dir, planned=True)
+    inputs = staged_run.Inputs(
+        extracts=book.extracts,
+        mapping=book.mapping,
+        bank=trade.bank(spark, sf_dir),
+        scenario=SCENARIO,
+        lines=LINES,
+        vendor_sources=VENDOR_SOURCES,
+        plan=book.plan,
+        strict_window=False,
+    )
+    folder = _run_folder(spark)
+    tables = staged_run.run(spark, inputs, folder)
+    published = staged_run.published_run(spark, folder)
+    return spark.read.schema(tables.summary.schema).parquet(f"{published}/cash_summary")
+
+
+def lines_through_csv(spark, sf_dir):
+    """Monthly lines written as ordered CSV and read back with declared columns."""
+    lines = book_of(spark, sf_dir).lines
+    folder = f"{_run_folder(spark)}/lines"
+    write_csv(lines, folder, "reporting_month", "entity_id", "display_order")
+    declared = ", ".join(f"{name} {kind}" for name, kind in lines.dtypes)
+    return read_csv(spark, folder, declared)
+
+
 QUERIES = (
     kept_status_counts,
     canonical_ledger,
@@ -464,6 +500,8 @@ QUERIES = (
     rollup_activity,
     cash_measures,
     cash_by_month_and_line,
+    published_summary,
+    lines_through_csv,
 )
 
 

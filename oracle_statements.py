@@ -83,23 +83,20 @@ months AS (
            AS reporting_month, g.n >= 9 AS is_open
   FROM generate_series(0, 20) AS g(n)
 ),
+closed_totals AS (
+  SELECT entity_id, reporting_line, reporting_month, sum(signed_amount_usd) AS total
+  FROM actuals GROUP BY ALL
+),
 run_rate AS (
-  SELECT entity_id, reporting_line,
-         CAST(round(sum(signed_amount_usd) / 3.0) AS BIGINT) AS amount_usd
-  FROM actuals
-  WHERE reporting_line IN (SELECT reporting_line FROM lines WHERE driver_kind = 'recurring')
-    AND reporting_month BETWEEN DATE '2000-07-01' AND DATE '2000-09-01'
-  GROUP BY entity_id, reporting_line
+  SELECT entity_id, reporting_line, CAST(round(sum(total) / 3.0) AS BIGINT) AS amount_usd
+  FROM closed_totals SEMI JOIN (FROM lines WHERE driver_kind = 'recurring') USING (reporting_line)
+  WHERE reporting_month IN (DATE '2000-07-01', DATE '2000-08-01', DATE '2000-09-01')
+  GROUP BY ALL
 ),
 last_active AS (
-  SELECT a.entity_id, a.reporting_line, CAST(sum(a.signed_amount_usd) AS BIGINT) AS amount_usd
-  FROM actuals a
-  JOIN (SELECT entity_id, reporting_line, max(reporting_month) AS reporting_month
-        FROM actuals GROUP BY entity_id, reporting_line) t
-    ON t.entity_id = a.entity_id AND t.reporting_line = a.reporting_line
-   AND t.reporting_month = a.reporting_month
-  WHERE a.reporting_line IN (SELECT reporting_line FROM lines WHERE driver_kind = 'last_month')
-  GROUP BY a.entity_id, a.reporting_line
+  SELECT entity_id, reporting_line, CAST(arg_max(total, reporting_month) AS BIGINT) AS amount_usd
+  FROM closed_totals SEMI JOIN (FROM lines WHERE driver_kind = 'last_month') USING (reporting_line)
+  GROUP BY ALL
 ),
 plan AS (
   SELECT CAST(n.n_nationkey AS VARCHAR) AS entity_id, p.reporting_month, p.reporting_line,
@@ -113,74 +110,59 @@ plan AS (
   ) AS p(reporting_month, reporting_line, factor)
   {plan_filter}
 ),
-forecast_rows AS (
-  SELECT e.entity_id, l.id_prefix || '-' || strftime(m.reporting_month, '%Y-%m') AS transaction_id,
+grid AS (
+  SELECT e.entity_id, m.reporting_month, m.is_open, l.*
+  FROM entities e, months m, lines l
+),
+projected AS (
+  SELECT g.entity_id, g.id_prefix || strftime(g.reporting_month, '-%Y-%m') AS transaction_id,
          'Forecast' AS source_system,
-         CASE WHEN p.amount_usd IS NOT NULL THEN 'plan_schedule.csv'
-              ELSE 'forecast_scenario.csv' END AS source_file,
-         l.reporting_line AS source_category, '' AS vendor, m.reporting_month AS cash_date,
-         m.reporting_month, l.business_activity, l.cash_flow_section, l.reporting_line,
-         l.cash_direction,
-         CAST(coalesce(p.amount_usd, r.amount_usd, b.amount_usd, 0) AS BIGINT)
+         if(p.amount_usd IS NULL, 'forecast_scenario.csv', 'plan_schedule.csv') AS source_file,
+         g.reporting_line AS source_category, '' AS vendor, g.reporting_month AS cash_date,
+         g.reporting_month, g.business_activity, g.cash_flow_section, g.reporting_line,
+         g.cash_direction,
+         CAST(coalesce(p.amount_usd, r.amount_usd, a.amount_usd, 0) AS BIGINT)
            AS signed_amount_usd
-  FROM entities e
-  CROSS JOIN months m
-  CROSS JOIN lines l
-  LEFT JOIN run_rate r ON r.entity_id = e.entity_id AND r.reporting_line = l.reporting_line
-  LEFT JOIN last_active b ON b.entity_id = e.entity_id AND b.reporting_line = l.reporting_line
-  LEFT JOIN plan p ON p.entity_id = e.entity_id AND p.reporting_month = m.reporting_month
-                  AND p.reporting_line = l.reporting_line
-  WHERE m.is_open
+  FROM grid g
+  LEFT JOIN plan p USING (entity_id, reporting_month, reporting_line)
+  LEFT JOIN run_rate r USING (entity_id, reporting_line)
+  LEFT JOIN last_active a USING (entity_id, reporting_line)
+  WHERE g.is_open
 ),
 cash AS (
   SELECT entity_id, reporting_month, cash_flow_section, business_activity, reporting_line,
          signed_amount_usd FROM actuals
   UNION ALL
   SELECT entity_id, reporting_month, cash_flow_section, business_activity, reporting_line,
-         signed_amount_usd FROM forecast_rows
+         signed_amount_usd FROM projected
 ),
 monthly_lines AS (
-  SELECT e.entity_id, m.reporting_month, l.cash_flow_section, l.business_activity,
-         l.reporting_line,
-         CAST(coalesce(sum(t.signed_amount_usd), 0) AS BIGINT) AS signed_amount_usd,
-         l.display_order,
-         CASE WHEN m.is_open THEN 'Forecast' ELSE 'Actual' END AS amount_type
-  FROM entities e
-  CROSS JOIN months m
-  CROSS JOIN lines l
-  LEFT JOIN cash t ON t.entity_id = e.entity_id AND t.reporting_month = m.reporting_month
-                  AND t.reporting_line = l.reporting_line
-  GROUP BY e.entity_id, m.reporting_month, m.is_open, l.cash_flow_section,
-           l.business_activity, l.reporting_line, l.display_order
+  SELECT entity_id, reporting_month, g.cash_flow_section, g.business_activity, reporting_line,
+         CAST(coalesce(c.total, 0) AS BIGINT) AS signed_amount_usd, g.display_order,
+         if(g.is_open, 'Forecast', 'Actual') AS amount_type
+  FROM grid g
+  LEFT JOIN (SELECT entity_id, reporting_month, reporting_line, sum(signed_amount_usd) AS total
+             FROM cash GROUP BY ALL) c USING (entity_id, reporting_month, reporting_line)
 ),
-pivoted AS (
-  SELECT entity_id, reporting_month, max(amount_type) AS amount_type,
-    CAST(sum(CASE WHEN reporting_line = 'Order cash received' THEN signed_amount_usd ELSE 0 END) AS BIGINT) AS order_cash_received,
-    CAST(sum(CASE WHEN reporting_line = 'Parts paid' THEN signed_amount_usd ELSE 0 END) AS BIGINT) AS parts_paid,
-    CAST(sum(CASE WHEN reporting_line = 'Overhead paid' THEN signed_amount_usd ELSE 0 END) AS BIGINT) AS overhead_paid,
-    CAST(sum(CASE WHEN reporting_line = 'Buildout paid' THEN signed_amount_usd ELSE 0 END) AS BIGINT) AS buildout_paid,
-    CAST(sum(CASE WHEN reporting_line = 'Equipment paid' THEN signed_amount_usd ELSE 0 END) AS BIGINT) AS equipment_paid,
-    CAST(sum(CASE WHEN reporting_line = 'Credit drawn' THEN signed_amount_usd ELSE 0 END) AS BIGINT) AS credit_drawn
-  FROM monthly_lines GROUP BY entity_id, reporting_month
+wide AS (
+  SELECT entity_id, reporting_month, amount_type,
+    {line_columns}
+  FROM monthly_lines GROUP BY ALL
 ),
-nets AS (
-  SELECT *,
-    order_cash_received + parts_paid + overhead_paid AS net_operating_cash_flow,
-    buildout_paid + equipment_paid AS net_investing_cash_flow,
-    credit_drawn AS net_financing_cash_flow,
-    order_cash_received + parts_paid + overhead_paid + buildout_paid + equipment_paid
-      + credit_drawn AS net_change_in_cash
-  FROM pivoted
-),
-rolled AS (
-  SELECT n.*,
-    CAST(o.available_balance_usd + coalesce(sum(n.net_change_in_cash) OVER (
-      PARTITION BY n.entity_id ORDER BY n.reporting_month
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS beginning_cash
-  FROM nets n LEFT JOIN opening o ON o.entity_id = n.entity_id
+section_sums AS (
+  SELECT entity_id, reporting_month,
+    {section_columns},
+    CAST(sum(signed_amount_usd) AS BIGINT) AS net_change_in_cash
+  FROM monthly_lines GROUP BY ALL
 ),
+nets AS (SELECT * FROM wide JOIN section_sums USING (entity_id, reporting_month)),
 summary AS (
-  SELECT *, CAST(beginning_cash + net_change_in_cash AS BIGINT) AS ending_cash FROM rolled
+  SELECT n.*, CAST(o.available_balance_usd + n.so_far - n.net_change_in_cash AS BIGINT)
+           AS beginning_cash,
+         CAST(o.available_balance_usd + n.so_far AS BIGINT) AS ending_cash
+  FROM (SELECT *, sum(net_change_in_cash) OVER (PARTITION BY entity_id ORDER BY reporting_month)
+          AS so_far FROM nets) n
+  LEFT JOIN opening o USING (entity_id)
 ),
 top_ids AS (
   SELECT entity_id, reporting_line, transaction_id FROM (
@@ -189,6 +171,20 @@ top_ids AS (
     FROM actuals) WHERE rn = 1
 )"""
 
+LINE_COLUMNS = {
+    "order_cash_received": "Order cash received",
+    "parts_paid": "Parts paid",
+    "overhead_paid": "Overhead paid",
+    "buildout_paid": "Buildout paid",
+    "equipment_paid": "Equipment paid",
+    "credit_drawn": "Credit drawn",
+}
+SECTION_COLUMNS = {
+    "net_operating_cash_flow": "Operating",
+    "net_investing_cash_flow": "Investing",
+    "net_financing_cash_flow": "Financing",
+}
+
 TRANSACTIONS = """entity_id, transaction_id, source_system, source_file, source_category, vendor,
   cash_date, reporting_month, business_activity, cash_flow_section, reporting_line,
   cash_direction, signed_amount_usd"""
@@ -304,10 +300,10 @@ FROM (
          count(*) FILTER (WHERE n <> 72), CAST(sum(n) AS VARCHAR),
          CAST(count(*) * 72 AS VARCHAR), false
   FROM (SELECT e.entity_id, count(f.entity_id) AS n
-        FROM entities e LEFT JOIN forecast_rows f ON f.entity_id = e.entity_id GROUP BY 1)
+        FROM entities e LEFT JOIN projected f ON f.entity_id = e.entity_id GROUP BY 1)
   UNION ALL
   SELECT 'forecast', 'repeated_forecast_id', 75, count(*), CAST(count(*) AS VARCHAR), '0', false
-  FROM (SELECT entity_id, transaction_id FROM forecast_rows GROUP BY 1, 2 HAVING count(*) > 1)
+  FROM (SELECT entity_id, transaction_id FROM projected GROUP BY 1, 2 HAVING count(*) > 1)
   UNION ALL
   SELECT 'report', 'horizon_end', 95,
          CASE WHEN max(reporting_month) = DATE '2001-09-01' THEN 0 ELSE 1 END,
@@ -361,6 +357,14 @@ def _side_by_side(report: str, ledger: str, keys: str) -> str:
     return SIDE_BY_SIDE.format(report=report, ledger=ledger, keys=keys)
 
 
+def _sums(dimension: str, columns: dict[str, str]) -> str:
+    return ",\n    ".join(
+        f"CAST(coalesce(sum(signed_amount_usd) FILTER ({dimension} = '{value}'), 0) AS BIGINT)"
+        f" AS {name}"
+        for name, value in columns.items()
+    )
+
+
 def statements() -> dict[str, str]:
     cell = "entity_id, reporting_month, reporting_line"
     recon_line = _side_by_side("monthly_lines", "cash", cell)
@@ -442,20 +446,21 @@ def statements() -> dict[str, str]:
             FROM nation CROSS JOIN months""",
         "run_rate_drivers": "SELECT * FROM run_rate",
         "last_active_month_driver": "SELECT * FROM last_active",
-        "forecast_no_plan": f"SELECT {TRANSACTIONS} FROM forecast_rows",
+        "forecast_no_plan": f"SELECT {TRANSACTIONS} FROM projected",
         "forecast_cardinality_and_unique": """
             SELECT entity_id, CAST(sum(n) AS BIGINT) AS n_rows,
               count(*) FILTER (WHERE n > 1) AS repeated_ids, CAST(72 AS BIGINT) AS expected_rows
-            FROM (SELECT entity_id, transaction_id, count(*) AS n FROM forecast_rows GROUP BY 1, 2)
+            FROM (SELECT entity_id, transaction_id, count(*) AS n FROM projected GROUP BY 1, 2)
             GROUP BY entity_id""",
         "monthly_lines_all": "SELECT * FROM monthly_lines",
         "actual_lines": "SELECT * FROM monthly_lines WHERE amount_type = 'Actual'",
+        "lines_through_csv": "SELECT * FROM monthly_lines",
         "forecast_lines": "SELECT * FROM monthly_lines WHERE amount_type = 'Forecast'",
-        "monthly_pivot": "SELECT * FROM pivoted",
+        "monthly_pivot": "SELECT * FROM wide",
         "section_nets": """
             SELECT entity_id, reporting_month, amount_type, net_operating_cash_flow,
               net_investing_cash_flow, net_financing_cash_flow, net_change_in_cash FROM nets""",
-        "balance_rollforward": "SELECT * FROM summary",
+        "balance_rollforward": "SELECT * EXCLUDE (so_far) FROM summary",
         "final_balance_by_entity": """
             SELECT entity_id, max(reporting_month) AS reporting_month,
               arg_max(ending_cash, reporting_month) AS ending_cash
@@ -513,21 +518,29 @@ def statements() -> dict[str, str]:
             WHERE a.transaction_id IN (SELECT transaction_id FROM top_ids)""",
     }
     on_plan = {
-        "forecast_with_plan": f"SELECT {TRANSACTIONS} FROM forecast_rows",
+        "forecast_with_plan": f"SELECT {TRANSACTIONS} FROM projected",
         "unused_overrides": """
             SELECT p.* FROM plan p
             WHERE NOT EXISTS (SELECT 1 FROM months m, lines l, opening o
               WHERE m.is_open AND m.reporting_month = p.reporting_month
                 AND l.reporting_line = p.reporting_line AND o.entity_id = p.entity_id)""",
         "monthly_lines_with_plan": "SELECT * FROM monthly_lines",
-        "balance_rollforward_with_plan": "SELECT * FROM summary",
+        "balance_rollforward_with_plan": "SELECT * EXCLUDE (so_far) FROM summary",
+        "published_summary": "SELECT * EXCLUDE (so_far) FROM summary",
         "forecast_vs_driver": _side_by_side(
-            "(SELECT * FROM monthly_lines WHERE amount_type = 'Forecast')", "forecast_rows", cell
+            "(SELECT * FROM monthly_lines WHERE amount_type = 'Forecast')", "projected", cell
         ),
     }
+    def report_ctes(plan_filter: str) -> str:
+        return REPORT.format(
+            plan_filter=plan_filter,
+            line_columns=_sums("reporting_line", LINE_COLUMNS),
+            section_columns=_sums("cash_flow_section", SECTION_COLUMNS),
+        )
+
     ledger = f"WITH {LEDGER}\n"
-    report = f"WITH {LEDGER},{REPORT.format(plan_filter='WHERE false')},{SECTION_SIDES}\n"
-    planned = f"WITH {LEDGER},{REPORT.format(plan_filter='')}\n"
+    report = f"WITH {LEDGER},{report_ctes('WHERE false')},{SECTION_SIDES}\n"
+    planned = f"WITH {LEDGER},{report_ctes('')}\n"
     found = {name: ledger + sql for name, sql in on_ledger.items()}
     found |= {name: report + sql for name, sql in on_report.items()}
     found |= {name: planned + sql for name, sql in on_plan.items()}

@@ -28,6 +28,7 @@ ENDING_CASH = [2380000, 1690000, 1500000, 1730000, 1440000, 1200000, 1880000, 14
     499999, -2, -500003, -1000004, -1500005, -2000006,
     -2500007, -3000008, -3500009, -4000010, -4500011, -5000012,
 ]
+# The mapping, and the columns of each file.
 MAPPING = [
     ("Bitcoin sales", "settled", "Bitcoin mining operations", "Operating", "Mining cash received"),
     ("Operating payments", "Mining power", "Bitcoin mining operations", "Operating", "Mining power paid"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from tidebook.operators import checks, forecast, ledger, lineage, report
 from tidebook.sources import trade
-from tidebook.sources.extract import Extract
+from tidebook.sources.extract import Extract, kept_records
 
 SCENARIO, LINES = trade.SCENARIO, trade.LINES
 
@@ -34,7 +34,11 @@ def test_one_pass_over_the_facts(spark, sf_dir, name):
     assert scans(plan, "l_") == scans(plan, "o_") == 1
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+# These run a whole write first; what they return is a plain file scan.
+WRITTEN = {"published_summary", "lines_through_csv"}
+
+
+@pytest.mark.parametrize("name", [n for n in registry.queries() if n not in WRITTEN])
 def test_no_cross_joins_and_no_python_workers(spark, sf_dir, name):
     plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|MapInPandas", plan)
@@ -119,6 +123,15 @@ def test_hot_party_is_split_when_nothing_is_broadcast(spark, shuffled_joins):
     assert "BroadcastHashJoin" not in plan
 
 
+def test_hot_party_is_split_below_the_union_and_the_aggregation(spark, shuffled_joins):
+    extracts = [hot_extract(spark), hot_extract(spark)]
+    records = kept_records(extracts)
+    totals = records.groupBy("entity_id", "source_category").agg(F.sum("amount").alias("amount"))
+    plan = executed(totals)
+    assert plan.count("SortMergeJoin(skew=true)") >= 1
+    assert totals.agg(F.sum("amount")).first()[0] == records.agg(F.sum("amount")).first()[0]
+
+
 def test_hot_keys_give_whole_results(spark, shuffled_joins):
     n = 30_000
     rows = ledger.build_ledger([hot_extract(spark, n)], trade.mapping(spark))
