@@ -402,6 +402,22 @@ def drilldown_month_line(spark, sf_dir):
     return ledger.transactions(rows)
 
 
+def _all_transactions(spark, sf_dir):
+    book = book_of(spark, sf_dir, planned=True)
+    return ledger.all_transactions(book.actuals, book.forecast, SCENARIO)
+
+
+def drilldown_forecast_cell(spark, sf_dir):
+    """What is behind the credit drawn in a planned month."""
+    return lineage.drilldown(_all_transactions(spark, sf_dir), trade.PLANNED[1][0], "Credit drawn")
+
+
+def cash_measures_by_type(spark, sf_dir):
+    """Inflow, outflow and net movement by month, category and actual or forecast."""
+    by = ("reporting_month", "cash_flow_section", "amount_type")
+    return report.cash_measures(_all_transactions(spark, sf_dir), by)
+
+
 def rollup_section(spark, sf_dir):
     return report.rollup_by(book_of(spark, sf_dir).actuals, "cash_flow_section")
 
@@ -496,6 +512,8 @@ QUERIES = (
     id_presence,
     trace_line_sum,
     drilldown_month_line,
+    drilldown_forecast_cell,
+    cash_measures_by_type,
     rollup_section,
     rollup_activity,
     cash_measures,

@@ -517,7 +517,15 @@ def statements() -> dict[str, str]:
             LEFT JOIN monthly_lines l USING ({cell})
             WHERE a.transaction_id IN (SELECT transaction_id FROM top_ids)""",
     }
+    both = f"""(SELECT {TRANSACTIONS}, 'Actual' AS amount_type FROM actuals
+      UNION ALL SELECT {TRANSACTIONS}, 'Forecast' FROM projected)"""
     on_plan = {
+        "drilldown_forecast_cell": f"""
+            SELECT * FROM {both}
+            WHERE reporting_month = DATE '2001-02-01' AND reporting_line = 'Credit drawn'""",
+        "cash_measures_by_type": f"""
+            SELECT reporting_month, cash_flow_section, amount_type, {MEASURES}
+            FROM {both} GROUP BY 1, 2, 3""",
         "forecast_with_plan": f"SELECT {TRANSACTIONS} FROM projected",
         "unused_overrides": """
             SELECT p.* FROM plan p

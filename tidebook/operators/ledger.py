@@ -111,6 +111,12 @@ def transactions(ledger: DataFrame) -> DataFrame:
     return ledger.select("entity_id", *TRANSACTION_COLUMNS)
 
 
+def all_transactions(actuals: DataFrame, forecast: DataFrame, scenario: Scenario) -> DataFrame:
+    """Actual and projected transactions together, told apart by their month."""
+    both = transactions(actuals).unionByName(transactions(forecast))
+    return both.withColumn("amount_type", scenario.amount_type(F.col("reporting_month")))
+
+
 def opening_balance(bank: DataFrame) -> DataFrame:
     """Account snapshots as opening cash. Keyed by entity, never joined on date."""
     return bank.select(
