@@ -248,28 +248,27 @@ FROM actuals GROUP BY cash_flow_section, cash_direction
 UNION ALL
 SELECT 'All', 'net', CAST(sum(signed_amount) * 100 AS BIGINT) FROM actuals HAVING count(*) > 0"""
 
-CONTROL_EXPECTED = """
-SELECT cash_flow_section, cash_direction, amount_cents, expected_amount_cents,
-  amount_cents IS NOT DISTINCT FROM expected_amount_cents AS agrees
+CONTROL_SIDES = """
+SELECT cash_flow_section, cash_direction, t.amount, e.expected_amount
 FROM (
-  SELECT 'Operating' AS cash_flow_section, 'inflow' AS cash_direction,
-         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) * 100 AS BIGINT) AS expected_amount_cents
-  FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '2000-01-01'
-    AND o_orderdate < TIMESTAMP '2000-10-01'
-  UNION ALL
-  SELECT CASE WHEN l_returnflag = 'R' THEN 'Financing'
-              WHEN p_type IN ('LARGE', 'PROMO') THEN 'Investing' ELSE 'Operating' END,
-         CASE WHEN l_returnflag = 'R' THEN 'inflow' ELSE 'outflow' END,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))
-           * CASE WHEN l_returnflag = 'R' THEN 1 ELSE -1 END) * 100 AS BIGINT)
-  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
-  WHERE l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '2000-01-01'
-    AND l_shipdate < TIMESTAMP '2000-10-01'
-  GROUP BY 1, 2
-) e LEFT JOIN (
-  SELECT cash_flow_section, cash_direction, CAST(sum(signed_amount) * 100 AS BIGINT) AS amount_cents
-  FROM actuals GROUP BY 1, 2
-) t USING (cash_flow_section, cash_direction)"""
+  SELECT cash_flow_section, cash_direction, sum(amount) AS expected_amount FROM (
+    SELECT 'Operating' AS cash_flow_section, 'inflow' AS cash_direction,
+           CAST(o_totalprice AS DECIMAL(18,2)) AS amount
+    FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '2000-01-01'
+      AND o_orderdate < TIMESTAMP '2000-10-01'
+    UNION ALL
+    SELECT CASE WHEN l_returnflag = 'R' THEN 'Financing'
+                WHEN p_type IN ('LARGE', 'PROMO') THEN 'Investing' ELSE 'Operating' END,
+           if(l_returnflag = 'R', 'inflow', 'outflow'),
+           if(l_returnflag = 'R', CAST(l_extendedprice AS DECIMAL(18,2)),
+              -CAST(l_extendedprice AS DECIMAL(18,2)))
+    FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+    WHERE l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '2000-01-01'
+      AND l_shipdate < TIMESTAMP '2000-10-01')
+  GROUP BY ALL) e
+LEFT JOIN (
+  SELECT cash_flow_section, cash_direction, sum(signed_amount) AS amount
+  FROM actuals GROUP BY ALL) t USING (cash_flow_section, cash_direction)"""
 
 CHECKS = """
 SELECT stage, check_id, ord, CAST(violations AS BIGINT) AS violations, observed, expected,
@@ -318,6 +317,26 @@ FROM (
          CAST(coalesce(sum(difference_usd) FILTER (WHERE NOT agrees), 0) AS VARCHAR), '0', false
   FROM ({recon_line})
   UNION ALL
+  SELECT 'report', 'activity_equals_transactions', 120, count(*) FILTER (WHERE NOT agrees),
+         CAST(coalesce(sum(difference_usd) FILTER (WHERE NOT agrees), 0) AS VARCHAR), '0', false
+  FROM ({recon_activity})
+  UNION ALL
+  SELECT 'forecast', 'forecast_matches_drivers', 80, count(*) FILTER (WHERE NOT agrees),
+         CAST(coalesce(sum(difference_usd) FILTER (WHERE NOT agrees), 0) AS VARCHAR), '0', false
+  FROM ({forecast_side})
+  UNION ALL
+  SELECT 'report', 'report_matches_drivers', 220, count(*) FILTER (WHERE NOT agrees),
+         CAST(coalesce(sum(difference_usd) FILTER (WHERE NOT agrees), 0) AS VARCHAR), '0', false
+  FROM ({report_side})
+  UNION ALL
+  SELECT 'forecast', 'unused_override', 85, count(*), CAST(count(*) AS VARCHAR), '0', true
+  FROM ({unused})
+  UNION ALL
+  SELECT 'close', concat_ws('_', 'control', lower(cash_flow_section), lower(cash_direction)), 60,
+         if(amount IS NOT DISTINCT FROM expected_amount, 0, 1), CAST(amount AS VARCHAR),
+         CAST(expected_amount AS VARCHAR), false
+  FROM ({control_sides})
+  UNION ALL
   SELECT 'report', 'section_equals_transactions', 130, count(*) FILTER (WHERE NOT agrees),
          CAST(coalesce(sum(difference_usd) FILTER (WHERE NOT agrees), 0) AS VARCHAR), '0', false
   FROM ({recon_section})
@@ -371,6 +390,15 @@ def statements() -> dict[str, str]:
     recon_section = _side_by_side(
         "reported_sections", "booked_sections", "entity_id, reporting_month, measure"
     )
+    recon_activity = _side_by_side(
+        "monthly_lines", "cash", "entity_id, reporting_month, cash_flow_section, business_activity"
+    )
+    open_lines = "(SELECT * FROM monthly_lines WHERE amount_type = 'Forecast')"
+    unused = """
+        SELECT p.* FROM plan p
+        WHERE NOT EXISTS (SELECT 1 FROM months m, lines l, opening o
+          WHERE m.is_open AND m.reporting_month = p.reporting_month
+            AND l.reporting_line = p.reporting_line AND o.entity_id = p.entity_id)"""
     on_ledger = {
         "kept_status_counts": """
             SELECT source, status, coalesce(status = 'F', false) AS kept, count(*) AS n_records,
@@ -415,7 +443,11 @@ def statements() -> dict[str, str]:
         "closed_actuals": f"SELECT {TRANSACTIONS} FROM actuals",
         "opening_by_entity": "SELECT * FROM opening",
         "control_totals": CONTROL_TOTALS,
-        "control_totals_agree": CONTROL_EXPECTED,
+        "control_totals_agree": f"""
+            SELECT cash_flow_section, cash_direction, CAST(amount * 100 AS BIGINT) AS amount_cents,
+              CAST(expected_amount * 100 AS BIGINT) AS expected_amount_cents,
+              amount IS NOT DISTINCT FROM expected_amount AS agrees
+            FROM ({CONTROL_SIDES})""",
         "id_audit": """
             SELECT CAST(sum(n) AS BIGINT) AS n_rows,
               CAST(coalesce(sum(n) FILTER (WHERE id = ''), 0) AS BIGINT) AS blank_ids,
@@ -466,11 +498,7 @@ def statements() -> dict[str, str]:
               arg_max(ending_cash, reporting_month) AS ending_cash
             FROM summary GROUP BY entity_id""",
         "recon_line": recon_line,
-        "recon_activity": _side_by_side(
-            "monthly_lines",
-            "cash",
-            "entity_id, reporting_month, cash_flow_section, business_activity",
-        ),
+        "recon_activity": recon_activity,
         "recon_section": recon_section,
         "unknown_lines": """
             SELECT reporting_line, entity_id, reporting_month, cash_flow_section,
@@ -493,7 +521,6 @@ def statements() -> dict[str, str]:
                 count(*) FILTER (WHERE amount_type = 'Actual') AS actual_months,
                 count(*) FILTER (WHERE amount_type = 'Forecast') AS forecast_months,
                 max(reporting_month) AS last_month FROM summary GROUP BY 1) USING (entity_id)""",
-        "check_report": CHECKS.format(recon_line=recon_line, recon_section=recon_section),
         "trace_ids": TRACE,
         "trace_selected": TRACE
         + "WHERE r.transaction_id IN (SELECT transaction_id FROM top_ids)",
@@ -527,18 +554,22 @@ def statements() -> dict[str, str]:
             SELECT reporting_month, cash_flow_section, amount_type, {MEASURES}
             FROM {both} GROUP BY 1, 2, 3""",
         "forecast_with_plan": f"SELECT {TRANSACTIONS} FROM projected",
-        "unused_overrides": """
-            SELECT p.* FROM plan p
-            WHERE NOT EXISTS (SELECT 1 FROM months m, lines l, opening o
-              WHERE m.is_open AND m.reporting_month = p.reporting_month
-                AND l.reporting_line = p.reporting_line AND o.entity_id = p.entity_id)""",
+        "unused_overrides": unused,
         "monthly_lines_with_plan": "SELECT * FROM monthly_lines",
         "balance_rollforward_with_plan": "SELECT * EXCLUDE (so_far) FROM summary",
         "published_summary": "SELECT * EXCLUDE (so_far) FROM summary",
-        "forecast_vs_driver": _side_by_side(
-            "(SELECT * FROM monthly_lines WHERE amount_type = 'Forecast')", "projected", cell
+        "forecast_vs_driver": _side_by_side(open_lines, "projected", cell),
+        "check_report": CHECKS.format(
+            recon_line=recon_line,
+            recon_activity=recon_activity,
+            recon_section=recon_section,
+            forecast_side=_side_by_side("projected", "projected", cell),
+            report_side=_side_by_side(open_lines, "projected", cell),
+            unused=unused,
+            control_sides=CONTROL_SIDES,
         ),
     }
+
     def report_ctes(plan_filter: str) -> str:
         return REPORT.format(
             plan_filter=plan_filter,
@@ -548,7 +579,7 @@ def statements() -> dict[str, str]:
 
     ledger = f"WITH {LEDGER}\n"
     report = f"WITH {LEDGER},{report_ctes('WHERE false')},{SECTION_SIDES}\n"
-    planned = f"WITH {LEDGER},{report_ctes('')}\n"
+    planned = f"WITH {LEDGER},{report_ctes('')},{SECTION_SIDES}\n"
     found = {name: ledger + sql for name, sql in on_ledger.items()}
     found |= {name: report + sql for name, sql in on_report.items()}
     found |= {name: planned + sql for name, sql in on_plan.items()}

@@ -73,13 +73,16 @@ class Tables:
         return self.ledger.filter(F.col("window") == OUTSIDE).drop("window")
 
 
+def with_window(full_ledger: DataFrame, scenario: Scenario) -> DataFrame:
+    """Mark each event as inside the closed window or outside; no date is outside."""
+    inside = F.coalesce(scenario.closed(F.col("cash_date")), F.lit(False))
+    return full_ledger.withColumn("window", F.when(inside, CLOSED).otherwise(OUTSIDE))
+
+
 def stage(inputs: Inputs, folder: str) -> Tables:
     """Write all tiers of one run under ``folder``."""
     scenario, book = inputs.scenario, inputs.lines
-    inside = F.coalesce(scenario.closed(F.col("cash_date")), F.lit(False))
-    full_ledger = ledger.build_ledger(inputs.extracts, inputs.mapping).withColumn(
-        "window", F.when(inside, CLOSED).otherwise(OUTSIDE)
-    )
+    full_ledger = with_window(ledger.build_ledger(inputs.extracts, inputs.mapping), scenario)
     staged_ledger = write_table(full_ledger, f"{folder}/ledger", "window", "reporting_month")
     closed = staged_ledger.filter(F.col("window") == CLOSED)
     totals = write_table(ledger.monthly_totals(closed), f"{folder}/monthly_totals")
