@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import sample
-from tidebook.operators import lineage, report
+from tidebook.operators import checks, forecast, lineage, report
 from tidebook.plans import staged_run
 from tidebook.sources import cashbook
 from tidebook.sources.constants import constant_frame
@@ -136,9 +136,23 @@ def test_drilldown_of_one_cell(run):
     assert [r["transaction_id"] for r in rows] == ["INV-OH-2026-09"]
 
 
-def test_override_replaces_the_driver(spark, run):
-    from tidebook.operators import checks, forecast
+def test_drilldown_reads_one_partition_of_the_staged_ledger(run):
+    inputs, tables, _ = run
+    rows = lineage.drilldown(tables.actuals, inputs.scenario.last_closed_month, "Overhead paid")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "window" in pruned and "reporting_month" in pruned
+
 
+def test_period_spine(spark, run):
+    scenario = run[0].scenario
+    rows = forecast.period_spine(spark, scenario).orderBy("reporting_month").collect()
+    assert [r["amount_type"] for r in rows] == ["Actual"] * 9 + ["Forecast"] * 12
+    assert rows[0][0] == scenario.first_month and rows[-1][0] == scenario.last_month
+    assert forecast.period_spine(spark, scenario, "actual").count() == 9
+
+
+def test_override_replaces_the_driver(spark, run):
     inputs, tables, _ = run
     plan = constant_frame(
         spark,

@@ -16,18 +16,6 @@ from tidebook.operators.report import final_balance
 from tidebook.plans.lines import LineBook
 from tidebook.plans.scenario import Scenario
 
-CHECK_COLUMNS = (
-    "stage",
-    "check_id",
-    "ord",
-    "violations",
-    "observed",
-    "expected",
-    "sample_key",
-    "passed",
-)
-
-
 class GateFailure(Exception):
     """A gate failed; nothing may be published."""
 

@@ -11,21 +11,6 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import MONEY, text_literal
 
-RECORD_COLUMNS = (
-    "entity_id",
-    "transaction_id",
-    "source_system",
-    "source_file",
-    "source",
-    "source_category",
-    "vendor",
-    "cash_date",
-    "cash_direction",
-    "amount",
-    "status",
-    "kept",
-)
-
 
 @dataclass(frozen=True)
 class Extract:
