@@ -55,6 +55,25 @@ def test_closed_window_reaches_the_scan(spark, sf_dir):
     assert "l_orderkey" not in read and "l_linenumber" not in read
 
 
+@pytest.mark.parametrize(
+    ("name", "tables"),
+    [
+        ("rollup_section", {"orders", "lineitem", "part"}),
+        ("id_audit", {"orders", "lineitem", "part"}),
+        ("cash_by_month_and_line", {"orders", "lineitem", "part", "supplier", "customer"}),
+    ],
+)
+def test_only_needed_parties_are_joined(spark, sf_dir, name, tables):
+    files = registry.queries()[name](spark, sf_dir).inputFiles()
+    assert {re.search(r"(\w+)\.parquet", f).group(1) for f in files} == tables
+
+
+def test_repeated_party_does_not_multiply(spark):
+    rows = spark.createDataFrame([(1, "b", 5), (1, "a", 9), (2, "c", 7)], "k int, name string, home int")
+    got = trade.one_per_key(rows, "k").orderBy("k").collect()
+    assert [tuple(r) for r in got] == [(1, "a", 9), (2, "c", 7)]
+
+
 def test_closed_only_equals_filtering_afterwards(spark, sf_dir):
     book = registry.Book(spark, sf_dir)
     after, rejects = ledger.close_actuals(book.full_ledger, SCENARIO)

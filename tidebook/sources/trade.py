@@ -76,18 +76,32 @@ def mapping(spark: SparkSession) -> DataFrame:
     return constant_frame(spark, MAPPING_ROWS, MAPPING_SCHEMA)
 
 
+def one_per_key(frame: DataFrame, key: str) -> DataFrame:
+    """One row per key, the smallest.
+
+    A repeated dimension row cannot multiply an event, and since the key is known
+    to be unique, the optimizer leaves the join out where nothing of it is used.
+    The shuffle is the one a shuffled join on the key needs anyway.
+    """
+    others = [c for c in frame.columns if c != key]
+    smallest = frame.groupBy(key).agg(F.min(F.struct(*others)).alias("row"))
+    return smallest.select(key, *[f"row.{c}" for c in others])
+
+
 def extracts(spark: SparkSession, sf_dir: str) -> list[Extract]:
     """Dimension joins are left joins: an event of an unknown party must not vanish.
 
     Unhinted, so dimensions are broadcast only while their known size allows it;
     beyond that they are shuffled and adaptive execution splits hot keys.
     """
-    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customers = one_per_key(
+        read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey"
+    )
     orders = read(spark, sf_dir, "orders").join(
         customers, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
-    parts = read(spark, sf_dir, "part").select("p_partkey", "p_type")
-    suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    parts = one_per_key(read(spark, sf_dir, "part"), "p_partkey")
+    suppliers = one_per_key(read(spark, sf_dir, "supplier"), "s_suppkey")
     items = (
         read(spark, sf_dir, "lineitem")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
