@@ -5,6 +5,7 @@ Every query reads whole driver tables. Amounts with cents leave as whole cents.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 import uuid
@@ -518,9 +519,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return balance_rollforward(spark, "/root/testdata/sf0.001")
 
 
+def _text_queries():
+    """The registry of the text operators, or None where that subpackage is not installed."""
+    try:
+        from tidebook.llm import registry
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("tidebook.llm", "tidebook.llm.registry", "corpus_pipeline"):
+            raise
+        return None
+    except ImportError:
+        # An emptied folder still imports as a namespace without a registry in it.
+        if importlib.util.find_spec("tidebook.llm.registry"):
+            raise
+        return None
+    return registry
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    texts = _text_queries()
+    own = {query.__name__: query for query in QUERIES}
+    return own | (texts.queries() if texts else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_statements.statements()
+    texts = _text_queries()
+    return oracle_statements.statements() | (texts.oracle_sql() if texts else {})

