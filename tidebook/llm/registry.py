@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import decontaminate, exact_dedup, secrets, statements, warc
+from tidebook.llm import decontaminate, exact_dedup, langid, secrets, statements, warc
 from tidebook.llm.common import scratch, table
 
+LANGUAGE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -53,6 +56,19 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(hashed).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def language_fold(doc_id: str = "doc_id"):
+    """The remainder that sets documents apart: 2 is held out. A null id counts as empty."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 4
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    pieces = langid.read_vocabulary(public_tokenizers.path(LANGUAGE_VOCABULARY))
+    model = langid.train(docs.filter(language_fold() != 2), pieces, pick=F.xxhash64("doc_id"))
+    judged = langid.identify(docs, model)
+    return judged.select("doc_id", (language_fold() == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_warc(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
     return warc.read_warc(manifest).select(
@@ -60,7 +76,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op2_decontamination, op4_secrets, op6_exact_dedup, op10_warc)
+QUERIES = (op2_decontamination, op4_secrets, op6_exact_dedup, op9_language_id, op10_warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

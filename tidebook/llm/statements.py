@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-  'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '')"""
+WORDS = r"""regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 DECONTAMINATION = f"""
 WITH items AS (
