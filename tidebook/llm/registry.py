@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import decontaminate, exact_dedup, langid, secrets, statements, warc
+from tidebook.llm import decontaminate, exact_dedup, langid, packing, secrets, statements, warc
 from tidebook.llm.common import scratch, table
 
 LANGUAGE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PACKING_TOKENIZER = "word_bpe_49k.json"
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.token_pieces(docs, public_tokenizers.path(PACKING_TOKENIZER))
+    return packing.pack(pieces)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hashed = docs.withColumn("text_sha256", F.sha2(exact_dedup.normalised(F.col("text")), 256))
@@ -76,7 +83,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op2_decontamination, op4_secrets, op6_exact_dedup, op9_language_id, op10_warc)
+QUERIES = (op2_decontamination, op4_secrets, op5_packing, op6_exact_dedup, op9_language_id, op10_warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
