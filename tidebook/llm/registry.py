@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import decontaminate, exact_dedup, langid, packing, secrets, statements, warc
+from tidebook.llm import decontaminate, exact_dedup, langid, near_dedup, packing, secrets, statements, warc
 from tidebook.llm.common import scratch, table
 
 LANGUAGE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -29,6 +29,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = near_dedup.near_dedup(docs, width=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.RatioModel.fit(secrets.labelled_samples(spark, docs))
@@ -83,7 +89,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op2_decontamination, op4_secrets, op5_packing, op6_exact_dedup, op9_language_id, op10_warc)
+QUERIES = (op2_decontamination, op3_near_dedup, op4_secrets, op5_packing, op6_exact_dedup, op9_language_id, op10_warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
