@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import decontaminate, exact_dedup, langid, near_dedup, packing, secrets, statements, warc
+from tidebook.llm import decontaminate, exact_dedup, langid, near_dedup, packing, secrets, statements, substring_dedup, suffix_dedup, warc
 from tidebook.llm.common import scratch, table
 
 LANGUAGE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PACKING_TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -69,6 +73,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(hashed).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated_words(table(spark, sf_dir, "documents"))
+
+
 def language_fold(doc_id: str = "doc_id"):
     """The remainder that sets documents apart: 2 is held out. A null id counts as empty."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 4
@@ -89,7 +97,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op2_decontamination, op3_near_dedup, op4_secrets, op5_packing, op6_exact_dedup, op9_language_id, op10_warc)
+QUERIES = (
+    op1_suffix_dedup,
+    op2_decontamination,
+    op3_near_dedup,
+    op4_secrets,
+    op5_packing,
+    op6_exact_dedup,
+    op8_substring_dedup,
+    op9_language_id,
+    op10_warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
