@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from tidebook.llm import common
 
 UND = "und"
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 RUN = 32
 MAX_PIECE = 8
 SAMPLE_DOCUMENTS = 600
@@ -248,6 +249,11 @@ def train(
     return LanguageModel(languages, [vocabulary[i] for i in used], odds, np.log(seen / seen.sum()))
 
 
+def fold(id_col: str) -> Column:
+    """The remainder that sets documents apart: 2 is held out. A null id counts as empty."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 4
+
+
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """The rows with ``lang_pred`` and ``score``, the share of that language among all."""
 

@@ -40,6 +40,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tidebook.llm import common
 
+TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 CLOSING = 0
 PARTITION_PIECES = 5_000

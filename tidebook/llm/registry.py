@@ -8,12 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import decontaminate, exact_dedup, langid, near_dedup, packing, secrets, statements, substring_dedup, suffix_dedup, warc
+import corpus_pipeline
+from tidebook.llm import (
+    decontaminate,
+    exact_dedup,
+    html_main,
+    langid,
+    near_dedup,
+    packing,
+    secrets,
+    statements,
+    substring_dedup,
+    suffix_dedup,
+    warc,
+)
 from tidebook.llm.common import scratch, table
 
-LANGUAGE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-PACKING_TOKENIZER = "word_bpe_49k.json"
-
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
@@ -63,7 +73,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.token_pieces(docs, public_tokenizers.path(PACKING_TOKENIZER))
+    pieces = packing.token_pieces(docs, public_tokenizers.path(packing.TOKENIZER))
     return packing.pack(pieces)
 
 
@@ -73,21 +83,22 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(hashed).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove_repeated_words(table(spark, sf_dir, "documents"))
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = F.col("main_text")
+    return html_main.extract(pages).select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
 
 
-def language_fold(doc_id: str = "doc_id"):
-    """The remainder that sets documents apart: 2 is held out. A null id counts as empty."""
-    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 4
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated_words(table(spark, sf_dir, "documents"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    pieces = langid.read_vocabulary(public_tokenizers.path(LANGUAGE_VOCABULARY))
-    model = langid.train(docs.filter(language_fold() != 2), pieces, pick=F.xxhash64("doc_id"))
+    pieces = langid.read_vocabulary(public_tokenizers.path(langid.VOCABULARY))
+    model = langid.train(docs.filter(langid.fold("doc_id") != 2), pieces, pick=F.xxhash64("doc_id"))
     judged = langid.identify(docs, model)
-    return judged.select("doc_id", (language_fold() == 2).alias("held_out"), "lang_pred", "score")
+    return judged.select("doc_id", (langid.fold("doc_id") == 2).alias("held_out"), "lang_pred", "score")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +115,7 @@ QUERIES = (
     op4_secrets,
     op5_packing,
     op6_exact_dedup,
+    op7_html_extraction,
     op8_substring_dedup,
     op9_language_id,
     op10_warc,
@@ -111,8 +123,9 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    return {query.__name__: query for query in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return statements.STATEMENTS
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return statements.STATEMENTS | pipeline
