@@ -70,7 +70,7 @@ ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 TOKEN = re.compile(
     rf"<!--(?:.*?-->|.*)|<(?P<raw>{'|'.join(RAW)})\b{ATTRIBUTES}(?:/>|>(?:.*?</(?P=raw)\s*>|.*))"
     rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attributes>{ATTRIBUTES})>"
-    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attributes2>[^>]*)>|<[!?/][^>]*>",
+    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attributes2>[^>]*)>|<[!?/][^>]*>|<[a-zA-Z!?/][^>]*+\Z",
     re.DOTALL | re.IGNORECASE,
 )
 MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)

@@ -7,12 +7,13 @@
    where the least room is left.
 3. Dual feasible functions give a lower bound on a partition's sequences: such a
    function maps lengths so that what fits into one sequence still adds up to at
-   most one, so the mapped sum needs at least as many sequences as any packing.
-   A partition that meets its bound is certified and done.
+   most one, so no packing has fewer sequences than the mapped sum. A partition that
+   meets its bound exactly is certified and done; all are when their sequences
+   together are no more than their bounds together, rounded up.
 4. Partitions with a gap exchange documents: the pieces of their sequences that are
    not full are dealt anew, to partitions twice as large, and packed again. The new
-   packing replaces the old one if it has fewer sequences. This ends when no
-   partition has a gap, when a round gains nothing, or after ``ROUNDS``.
+   packing replaces the old one if it has fewer sequences. This ends when all are
+   certified, when a round gains nothing, or after ``ROUNDS``.
 
 The driver sees two sums per round. A partition is a bounded number of rows by a
 hash of the row's own number, so no id can make it large.
@@ -178,8 +179,8 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return sequence, offset, n
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """The largest of the bounds that two families of dual feasible functions give."""
+def lower_bound(lengths: np.ndarray, capacity: int) -> float:
+    """The largest of the sums that two families of dual feasible functions give, in sequences."""
     count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     size = np.arange(capacity + 1)
     number, total = np.cumsum(count), np.cumsum(count * size)
@@ -188,12 +189,12 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     large = number[capacity] - number[capacity - small]
     below = np.where(small > 0, total[np.maximum(small - 1, 0)], 0)
     middle = total[capacity - small] - below
-    best = int(np.ceil((capacity * large + middle) / capacity).max(initial=0))
+    best = float((large + middle / capacity).max(initial=0))
     for k in range(1, DUAL_STEPS + 1):
         steps, rest = np.divmod((k + 1) * size, capacity)
         # In units of capacity / k: whole steps keep their length, others are rounded down.
         scaled = np.where(rest == 0, k * size, steps * capacity)
-        best = max(best, -(-int((count * scaled).sum()) // (k * capacity)))
+        best = max(best, float((count * scaled).sum()) / (k * capacity))
     return best
 
 
@@ -202,13 +203,15 @@ def _packer(capacity: int, round_: int):
         lengths = rows["length"].to_numpy()
         sequence, offset, n = best_fit_decreasing(lengths, capacity)
         filled = np.bincount(sequence, weights=lengths, minlength=n)
+        bound = lower_bound(lengths, capacity)
         number = (round_ << 58) + (int(rows["bucket"].iloc[0]) << 20)
         return rows.drop(columns="bucket").assign(
             sequence_id=number + sequence,
             offset=offset,
-            gap=n - lower_bound(lengths, capacity),
             first=offset == 0,
             open=filled[sequence] < capacity,
+            bound=np.where(np.arange(len(rows)) == 0, bound, 0.0),
+            gap=n - bound > 1e-6,
         )
 
     return pack
@@ -222,9 +225,10 @@ def _deal_and_pack(pieces: DataFrame, n: int, per_partition: int, capacity: int,
             *pieces.schema.fields,
             T.StructField("sequence_id", T.LongType()),
             T.StructField("offset", T.LongType()),
-            T.StructField("gap", T.LongType()),
             T.StructField("first", T.BooleanType()),
             T.StructField("open", T.BooleanType()),
+            T.StructField("bound", T.DoubleType()),
+            T.StructField("gap", T.BooleanType()),
         ]
     )
     packed = dealt.groupBy("bucket").applyInPandas(_packer(capacity, round_), kinds)
@@ -240,20 +244,22 @@ def pack(
     n = rows.count()
     current = _deal_and_pack(rows, n, per_partition, capacity, 0)
     done = []
+    loose = F.col("gap") & F.col("open")
     for round_ in range(1, rounds + 1):
-        loose = (F.col("gap") > 0) & F.col("open")
-        before = current.filter(loose).agg(
-            F.count("*").alias("pieces"), F.count_if("first").alias("sequences")
+        found = current.agg(
+            F.count_if("first").alias("sequences"),
+            F.sum("bound").alias("bound"),
+            F.count_if(loose).alias("pieces"),
+            F.count_if(loose & F.col("first")).alias("open"),
         ).first()
-        if not before["pieces"] or before["pieces"] == before["sequences"]:
+        if not found["pieces"] or found["sequences"] <= np.ceil(found["bound"] - 1e-6):
             break
-        done.append(current.filter(~loose))
         pool = current.filter(loose)
         per_partition *= 2
-        again = _deal_and_pack(pool.select(*rows.columns), before["pieces"], per_partition, capacity, round_)
-        if again.filter("first").count() >= before["sequences"]:
-            current = pool
+        again = _deal_and_pack(pool.select(*rows.columns), found["pieces"], per_partition, capacity, round_)
+        if again.filter("first").count() >= found["open"]:
             break
+        done.append(current.filter(~loose))
         current = again
     for part in done:
         current = current.unionByName(part)

@@ -44,6 +44,7 @@ SAMPLE_DOCUMENTS = 2_000
 SEED = 7
 #: A token is a secret when the ratio's logarithm reaches this sum and this mean per pair.
 MIN_SUM, MIN_MEAN = 12.0, 0.5
+BACK_OFF = 5.0
 
 FOUND = "struct<spans:array<struct<kind:string,start:long,stop:long>>>"
 
@@ -103,14 +104,17 @@ class RatioModel:
         usable = samples.filter(F.col("token").rlike(r"\A[A-Za-z0-9+/_=-]+\z"))
         counted = usable.select("is_secret", pair.alias("pair")).groupBy("is_secret", "pair").count()
         size = len(ALPHABET) + 1
-        counts = np.ones((2, size, size))
+        counts = np.zeros((2, size, size))
         code = {c: i for i, c in enumerate(ALPHABET)} | {"^": size - 1}
         for is_secret, pair_, n in counted.collect():
             counts[int(is_secret), code[pair_[0]], code[pair_[1]]] += n
-        if (counts.sum(axis=(1, 2)) == size * size).any():
+        if (counts.sum(axis=(1, 2)) == 0).any():
             return cls(np.zeros((size, size)))
-        odds = np.log(counts / counts.sum(axis=2, keepdims=True))
-        return cls(odds[1] - odds[0])
+        # Pairs that a sample lacks get their second character's share in it.
+        single = counts.sum(axis=1) + 1
+        single /= single.sum(axis=1, keepdims=True)
+        odds = (counts + BACK_OFF * single[:, None, :]) / (counts.sum(axis=2, keepdims=True) + BACK_OFF)
+        return cls(np.log(odds[1] / odds[0]))
 
     def scores(self, token: str) -> tuple[float, float]:
         """Sum and mean over the token's pairs."""
