@@ -24,7 +24,7 @@ from tidebook.plans import staged_run
 from tidebook.plans.lines import LAST_MONTH, RECURRING
 from tidebook.session import checkpoint_dir, cut_lineage
 from tidebook.sources import trade
-from tidebook.sources.extract import kept_records
+from tidebook.sources.extract import UNKNOWN_ENTITY, kept_records
 from tidebook.sources.files import read_csv, write_csv
 
 SCENARIO, LINES = trade.SCENARIO, trade.LINES
@@ -129,10 +129,11 @@ def repeated_mapping_keys(spark, sf_dir):
 
 
 def duplicate_line_ids(spark, sf_dir):
-    """Order line numbers are not unique; grouped as numbers, named afterwards."""
+    """Order line numbers are not unique; grouped as numbers, named afterwards. Blank ids are audited apart."""
     items = trade.read(spark, sf_dir, "lineitem").filter(status_code(F.col("l_linestatus")) == "F")
-    return checks.repeated_ids(items, "l_orderkey", "l_linenumber").selectExpr(
-        "concat_ws('-', 'LIN', l_orderkey, l_linenumber) AS transaction_id", "n_rows"
+    named = items.filter("l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL")
+    return checks.repeated_ids(named, "l_orderkey", "l_linenumber").selectExpr(
+        "concat('LIN-', l_orderkey, '-', l_linenumber) AS transaction_id", "n_rows"
     )
 
 
@@ -172,30 +173,82 @@ def raw_totals(spark, sf_dir):
     price = "CAST(l_extendedprice AS DECIMAL(18,2))"
     items = (
         trade.read(spark, sf_dir, "lineitem")
-        .filter((F.col("l_linestatus") == "F") & SCENARIO.closed(F.col("l_shipdate")))
+        .filter((status_code(F.col("l_linestatus")) == "F") & SCENARIO.closed(F.col("l_shipdate")))
         .join(trade.read(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"), "left")
         .selectExpr(
             f"CASE WHEN l_returnflag = 'R' THEN 'Financing' "
             f"WHEN p_type IN {trade.CAPITAL_TYPES} THEN 'Investing' "
             f"ELSE 'Operating' END AS cash_flow_section",
             "if(l_returnflag <=> 'R', 'inflow', 'outflow') AS cash_direction",
-            f"if(l_returnflag <=> 'R', {price}, -{price}) AS price",
+            f"if(l_returnflag <=> 'R', {price}, -{price}) AS signed_amount",
         )
     )
     orders = (
         trade.read(spark, sf_dir, "orders")
-        .filter((F.col("o_orderstatus") == "F") & SCENARIO.closed(F.col("o_orderdate")))
+        .filter((status_code(F.col("o_orderstatus")) == "F") & SCENARIO.closed(F.col("o_orderdate")))
         .selectExpr(
             "'Operating' AS cash_flow_section",
             "'inflow' AS cash_direction",
-            "CAST(o_totalprice AS DECIMAL(18,2)) AS price",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS signed_amount",
         )
     )
+    return checks.control_totals(items.unionByName(orders)).withColumnRenamed("amount", "expected_amount")
+
+
+def agreed_opening(spark, sf_dir):
+    """What each nation's customers hold, added up in cents."""
+    held = F.sum((F.col("c_acctbal").cast("decimal(18,2)") * 100).cast("bigint"))
+    nation = F.coalesce(F.col("c_nationkey").cast("string"), F.lit(UNKNOWN_ENTITY)).alias("entity_id")
+    per_nation = trade.read(spark, sf_dir, "customer").groupBy(nation).agg(held.alias("cents"))
+    return per_nation.selectExpr(
+        "entity_id", "CAST(bround(CAST(cents AS DECIMAL(30,2)) / 100, 0) AS BIGINT) AS expected_amount"
+    )
+
+
+def driver_cells(book: Book) -> DataFrame:
+    """Forecast cells from closed transactions, without the profile that forecasts are made of."""
+    monthly = book.actuals.groupBy("entity_id", "reporting_line", "reporting_month").agg(
+        F.sum("signed_amount_usd").alias("total")
+    )
+    kinds = {kind: [x.reporting_line for x in LINES if x.driver_kind == kind] for kind in (RECURRING, LAST_MONTH)}
+    closing = F.col("reporting_month") >= F.lit(SCENARIO.first_trailing_month)
+    rates = (
+        monthly.filter(F.col("reporting_line").isin(kinds[RECURRING]) & closing)
+        .groupBy("entity_id", "reporting_line")
+        .agg(F.round(F.sum("total") / 3).cast("bigint").alias("driver"))
+    )
+    latest = F.max(F.struct("reporting_month", "total"))["total"]
+    last = (
+        monthly.filter(F.col("reporting_line").isin(kinds[LAST_MONTH]))
+        .groupBy("entity_id", "reporting_line")
+        .agg(latest.alias("driver"))
+    )
+    entities = book.opening.select("entity_id").unionByName(book.actuals.select("entity_id")).distinct()
+    names = F.explode(F.array(*[F.lit(x.reporting_line) for x in LINES])).alias("reporting_line")
+    months = F.explode(SCENARIO.months("forecast")).alias("reporting_month")
+    grid = entities.select("entity_id", names).select("entity_id", "reporting_line", months)
+    planned = book.plan.select(
+        "entity_id", "reporting_month", "reporting_line", F.col("amount_usd").alias("planned")
+    )
     return (
-        items.unionByName(orders)
-        .groupBy("cash_flow_section", "cash_direction")
-        .agg(F.sum("price").alias("expected_amount"))
+        grid.join(rates.unionByName(last), ["entity_id", "reporting_line"], "left")
+        .join(planned, ["entity_id", "reporting_month", "reporting_line"], "left")
+        .withColumn("signed_amount_usd", F.coalesce("planned", "driver", F.lit(0)).cast("bigint"))
+        .select("entity_id", "reporting_month", "reporting_line", "signed_amount_usd")
+    )
+
+
+def agreed_net_change(book: Book) -> DataFrame:
+    """Closed transactions and forecast cells of each entity, added up."""
+    moves = book.actuals.select("entity_id", "signed_amount_usd").unionByName(
+        driver_cells(book).select("entity_id", "signed_amount_usd")
     )
+    return moves.groupBy("entity_id").agg(F.sum("signed_amount_usd").alias("expected_amount"))
+
+
+def agreed_balance(opening: DataFrame, net_change: DataFrame) -> DataFrame:
+    both = opening.unionByName(net_change).groupBy("entity_id")
+    return both.agg(F.sum("expected_amount").alias("expected_amount"))
 
 
 def control_totals_agree(spark, sf_dir):
@@ -205,6 +258,25 @@ def control_totals_agree(spark, sf_dir):
     return in_cents(compared, "amount", "expected_amount")
 
 
+def control_totals_unexpected(spark, sf_dir):
+    """An agreement that leaves a group out: the ledger's group has nothing to agree with."""
+    agreed = raw_totals(spark, sf_dir).filter("cash_flow_section <> 'Financing'")
+    compared = checks.compare_totals(checks.control_totals(book_of(spark, sf_dir).actuals), agreed)
+    return in_cents(compared, "amount", "expected_amount")
+
+
+def repeated_dimension_keys(spark, sf_dir):
+    return checks.repeated_dimension_keys(trade.dimension_keys(spark, sf_dir)).drop("sample_key")
+
+
+def ids_with_null_parts(spark, sf_dir):
+    """The id audit where order lines numbered 4 have lost their number."""
+    items = trade.read(spark, sf_dir, "lineitem")
+    items = items.withColumn("l_linenumber", F.nullif("l_linenumber", F.lit(4)))
+    extracts = trade.extracts(spark, sf_dir, lineitem=items)
+    return lineage.id_audit(ledger.build_ledger(extracts, trade.mapping(spark)))
+
+
 def forecast_months(spark, sf_dir):
     """The horizon of every nation."""
     nations = trade.read(spark, sf_dir, "nation").select(
@@ -323,7 +395,7 @@ def forecast_vs_driver(spark, sf_dir):
     book = book_of(spark, sf_dir, planned=True)
     open_lines = book.lines.filter(SCENARIO.is_open(F.col("reporting_month")))
     keys = ("entity_id", "reporting_month", "reporting_line")
-    return reconcile.side_by_side(open_lines, book.cells("forecast"), keys)
+    return reconcile.side_by_side(open_lines, driver_cells(book), keys)
 
 
 def run_inputs(book: Book, expectations=staged_run.Expectations()) -> staged_run.Inputs:
@@ -337,6 +409,7 @@ def run_inputs(book: Book, expectations=staged_run.Expectations()) -> staged_run
         plan=book.plan,
         expectations=expectations,
         strict_window=False,
+        dimensions=trade.dimension_keys(book.spark, book.sf_dir),
     )
 
 
@@ -359,7 +432,13 @@ def check_report(spark, sf_dir):
         lines=book.lines,
         summary=book.summary,
     )
-    agreed = staged_run.Expectations(control_totals=raw_totals(spark, sf_dir))
+    opening, net_change = agreed_opening(spark, sf_dir), agreed_net_change(shared)
+    agreed = staged_run.Expectations(
+        control_totals=raw_totals(spark, sf_dir),
+        opening=opening,
+        net_change=net_change,
+        final_balance=agreed_balance(opening, net_change),
+    )
     found = staged_run.run_checks(run_inputs(shared, agreed), tables)
     return found.select("stage", "check_id", "ord", "violations", "observed", "expected", "passed")
 
@@ -473,6 +552,9 @@ QUERIES = (
     opening_by_entity,
     control_totals,
     control_totals_agree,
+    control_totals_unexpected,
+    repeated_dimension_keys,
+    ids_with_null_parts,
     forecast_months,
     run_rate_drivers,
     last_active_month_driver,

@@ -24,7 +24,7 @@ mapping(source, category, business_activity, cash_flow_section, reporting_line)
   ('Credits', 'r', 'Credit', 'Financing', 'Credit drawn')
 ),
 records AS (
-  SELECT CAST(c_nationkey AS VARCHAR) AS entity_id,
+  SELECT coalesce(CAST(c_nationkey AS VARCHAR), 'unknown') AS entity_id,
          'ORD-' || CAST(o_orderkey AS VARCHAR) AS transaction_id,
          'Order desk' AS source_system, 'orders.parquet' AS source_file, 'Receipts' AS source,
          lower(trim(o_orderstatus)) AS source_category, '' AS vendor,
@@ -33,7 +33,7 @@ records AS (
          upper(trim(o_orderstatus)) AS status
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey
   UNION ALL
-  SELECT CAST(s_nationkey AS VARCHAR),
+  SELECT coalesce(CAST(s_nationkey AS VARCHAR), 'unknown'),
          'LIN-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
            || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR),
          CASE WHEN l_returnflag = 'R' THEN 'Credit desk'
@@ -67,8 +67,8 @@ actuals AS (
   WHERE year(cash_date) = 2000 AND month(cash_date) <= 9
 ),
 opening AS (
-  SELECT CAST(c_nationkey AS VARCHAR) AS entity_id,
-         'ACCT-' || CAST(c_nationkey AS VARCHAR) AS account_id,
+  SELECT coalesce(CAST(c_nationkey AS VARCHAR), 'unknown') AS entity_id,
+         'ACCT-' || coalesce(CAST(c_nationkey AS VARCHAR), 'unknown') AS account_id,
          DATE '1999-12-31' AS balance_date, 'USD' AS currency,
          CAST(CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS BIGINT)
            AS available_balance_usd
@@ -198,14 +198,15 @@ FROM (SELECT {keys}, CAST(sum(signed_amount_usd) AS BIGINT) AS report_usd
 FULL JOIN (SELECT {keys}, CAST(sum(signed_amount_usd) AS BIGINT) AS ledger_usd
       FROM {ledger} GROUP BY {keys}) USING ({keys})"""
 
+# One row per ledger id: how often it is booked, and its first occurrence.
 TRACE = """
 SELECT r.entity_id, r.transaction_id, r.source, r.status, r.vendor, r.cash_date,
   r.source_category, CAST(r.amount * 100 AS BIGINT) AS amount_cents,
   m.cash_flow_section AS rule_section, m.business_activity AS rule_activity,
   m.reporting_line AS rule_line,
-  coalesce(c.ledger_rows, 0) AS ledger_rows, a.reporting_month, a.reporting_line,
-  a.signed_amount_usd, l.signed_amount_usd AS line_amount_usd,
-  coalesce(c.ledger_rows = 1, false) AS booked_once,
+  coalesce(a.ledger_rows, 0) AS ledger_rows, a.reporting_month, a.reporting_line,
+  a.signed_amount_usd, a.line_amount_usd,
+  coalesce(a.ledger_rows = 1, false) AS booked_once,
   a.transaction_id IS NOT NULL AND m.reporting_line IS NOT NULL
     AND a.source_category IS NOT DISTINCT FROM r.source_category
     AND a.business_activity IS NOT DISTINCT FROM m.business_activity
@@ -214,15 +215,20 @@ SELECT r.entity_id, r.transaction_id, r.source, r.status, r.vendor, r.cash_date,
   CASE WHEN r.status IS DISTINCT FROM 'F' THEN 'status not kept'
        WHEN m.reporting_line IS NULL THEN 'unmapped'
        WHEN a.transaction_id IS NULL THEN 'not in ledger'
-       WHEN l.signed_amount_usd IS NULL THEN 'not reported'
+       WHEN a.line_amount_usd IS NULL THEN 'not reported'
        ELSE 'reported' END AS outcome
 FROM records r
 LEFT JOIN mapping m ON m.source = r.source AND m.category = r.source_category
-LEFT JOIN (SELECT transaction_id, count(*) AS ledger_rows FROM actuals GROUP BY transaction_id) c
-  ON c.transaction_id = r.transaction_id
-LEFT JOIN actuals a ON a.transaction_id = r.transaction_id
-LEFT JOIN monthly_lines l ON l.entity_id = a.entity_id AND l.reporting_month = a.reporting_month
-                         AND l.reporting_line = a.reporting_line
+LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY reporting_month NULLS FIRST,
+      source_category NULLS FIRST, business_activity NULLS FIRST, cash_flow_section NULLS FIRST,
+      reporting_line NULLS FIRST, signed_amount_usd NULLS FIRST, line_amount_usd NULLS FIRST) AS place,
+    count(*) OVER (PARTITION BY transaction_id) AS ledger_rows
+  FROM (SELECT b.transaction_id, b.source_category, b.business_activity, b.cash_flow_section,
+          b.signed_amount_usd, reporting_month, reporting_line, l.signed_amount_usd AS line_amount_usd
+        FROM actuals b
+        LEFT JOIN monthly_lines l USING (entity_id, reporting_month, reporting_line))
+  QUALIFY place = 1) a ON a.transaction_id = r.transaction_id
 """
 
 MEASURES = """
@@ -248,13 +254,16 @@ FROM actuals GROUP BY cash_flow_section, cash_direction
 UNION ALL
 SELECT 'All', 'net', CAST(sum(signed_amount) * 100 AS BIGINT) FROM actuals HAVING count(*) > 0"""
 
+# Expected totals come from the raw tables, with the net of all as a group of its own.
 CONTROL_SIDES = """
 SELECT cash_flow_section, cash_direction, t.amount, e.expected_amount
 FROM (
-  SELECT cash_flow_section, cash_direction, sum(amount) AS expected_amount FROM (
+  SELECT coalesce(cash_flow_section, 'All') AS cash_flow_section,
+         coalesce(cash_direction, 'net') AS cash_direction, sum(amount) AS expected_amount
+  FROM (
     SELECT 'Operating' AS cash_flow_section, 'inflow' AS cash_direction,
            CAST(o_totalprice AS DECIMAL(18,2)) AS amount
-    FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '2000-01-01'
+    FROM orders WHERE upper(trim(o_orderstatus)) = 'F' AND o_orderdate >= TIMESTAMP '2000-01-01'
       AND o_orderdate < TIMESTAMP '2000-10-01'
     UNION ALL
     SELECT CASE WHEN l_returnflag = 'R' THEN 'Financing'
@@ -263,12 +272,21 @@ FROM (
            if(l_returnflag = 'R', CAST(l_extendedprice AS DECIMAL(18,2)),
               -CAST(l_extendedprice AS DECIMAL(18,2)))
     FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
-    WHERE l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '2000-01-01'
+    WHERE upper(trim(l_linestatus)) = 'F' AND l_shipdate >= TIMESTAMP '2000-01-01'
       AND l_shipdate < TIMESTAMP '2000-10-01')
-  GROUP BY ALL) e
-LEFT JOIN (
-  SELECT cash_flow_section, cash_direction, sum(signed_amount) AS amount
-  FROM actuals GROUP BY ALL) t USING (cash_flow_section, cash_direction)"""
+  GROUP BY GROUPING SETS ((cash_flow_section, cash_direction), ())
+  HAVING {agreed}) e
+FULL JOIN (
+  SELECT coalesce(cash_flow_section, 'All') AS cash_flow_section,
+         coalesce(cash_direction, 'net') AS cash_direction, sum(signed_amount) AS amount
+  FROM actuals GROUP BY GROUPING SETS ((cash_flow_section, cash_direction), ())) t
+  USING (cash_flow_section, cash_direction)"""
+
+CONTROL_COMPARED = """
+SELECT cash_flow_section, cash_direction, CAST(amount * 100 AS BIGINT) AS amount_cents,
+  CAST(expected_amount * 100 AS BIGINT) AS expected_amount_cents,
+  coalesce(amount = expected_amount, false) AS agrees
+FROM ({sides})"""
 
 CHECKS = """
 SELECT stage, check_id, ord, CAST(violations AS BIGINT) AS violations, observed, expected,
@@ -281,8 +299,27 @@ FROM (
   SELECT 'close', 'unmapped_category', 10, count(*), CAST(count(*) AS VARCHAR), '0', false
   FROM ledger WHERE reporting_line IS NULL
   UNION ALL
-  SELECT 'close', 'repeated_transaction_id', 20, count(*), CAST(count(*) AS VARCHAR), '0', false
-  FROM (SELECT transaction_id FROM ledger GROUP BY 1 HAVING count(*) > 1)
+  SELECT 'close', 'repeated_transaction_id', 20, n, CAST(n AS VARCHAR), '0', false
+  FROM (SELECT CAST(coalesce(sum(CASE WHEN trim(coalesce(transaction_id, '')) = '' THEN n
+                                      WHEN n > 1 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n
+        FROM (SELECT transaction_id, count(*) AS n FROM ledger GROUP BY 1))
+  UNION ALL
+  SELECT 'close', 'repeated_dimension_key', 7, count(*), CAST(count(*) AS VARCHAR), '0', false
+  FROM (SELECT 'c', c_custkey FROM customer WHERE c_custkey IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1
+    UNION ALL SELECT 'p', p_partkey FROM part WHERE p_partkey IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1
+    UNION ALL SELECT 's', s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1)
+  UNION ALL
+  SELECT 'close', 'missing_entity', 35, count(*), CAST(count(*) AS VARCHAR), '0', false
+  FROM ledger WHERE entity_id = 'unknown'
+  UNION ALL
+  SELECT 'close', 'control_agreement', 59, CASE WHEN count(expected_amount) = 0 THEN 1 ELSE 0 END,
+         CASE WHEN count(expected_amount) = 0 THEN 'none' ELSE 'given' END, 'given', false
+  FROM ({control_sides})
+  UNION ALL
+  SELECT 'report', gate, place,
+         CAST(count(*) FILTER (WHERE amount IS NULL OR agreed IS NULL OR amount <> agreed) AS BIGINT),
+         CAST(CAST(sum(amount) AS BIGINT) AS VARCHAR), CAST(CAST(sum(agreed) AS BIGINT) AS VARCHAR), false
+  FROM ({agreed_amounts}) GROUP BY gate, place
   UNION ALL
   SELECT 'close', 'missing_counterparty', 30, count(*), CAST(count(*) AS VARCHAR), '0', false
   FROM ledger WHERE source <> 'Receipts' AND trim(coalesce(vendor, '')) = ''
@@ -332,8 +369,11 @@ FROM (
   SELECT 'forecast', 'unused_override', 85, count(*), CAST(count(*) AS VARCHAR), '0', true
   FROM ({unused})
   UNION ALL
-  SELECT 'close', concat_ws('_', 'control', lower(cash_flow_section), lower(cash_direction)), 60,
-         if(amount IS NOT DISTINCT FROM expected_amount, 0, 1), CAST(amount AS VARCHAR),
+  SELECT 'close', concat_ws('_', 'control', lower(cash_flow_section), lower(cash_direction)),
+         CASE lower(cash_flow_section || '/' || cash_direction) WHEN 'operating/inflow' THEN 60
+           WHEN 'operating/outflow' THEN 61 WHEN 'investing/outflow' THEN 62
+           WHEN 'financing/inflow' THEN 63 WHEN 'all/net' THEN 64 ELSE 65 END,
+         if(coalesce(amount = expected_amount, false), 0, 1), CAST(amount AS VARCHAR),
          CAST(expected_amount AS VARCHAR), false
   FROM ({control_sides})
   UNION ALL
@@ -372,6 +412,46 @@ FROM (
 )"""
 
 
+# Opening amount, net change and final balance per entity, from raw tables and drivers.
+AGREED_AMOUNTS = """
+WITH held AS (
+  SELECT coalesce(CAST(c_nationkey AS VARCHAR), 'unknown') AS entity_id,
+         CAST(round_even(sum(CAST(c_acctbal AS DECIMAL(18,2))), 0) AS BIGINT) AS agreed
+  FROM customer GROUP BY 1
+),
+moves AS (
+  SELECT entity_id, CAST(sum(amount) AS BIGINT) AS agreed FROM (
+    SELECT entity_id, signed_amount_usd AS amount FROM actuals
+    UNION ALL SELECT entity_id, signed_amount_usd FROM ({driver_cells})) GROUP BY 1
+)
+SELECT 'opening_amount' AS gate, 90 AS place, entity_id, available_balance_usd AS amount, agreed
+FROM opening FULL JOIN held USING (entity_id)
+UNION ALL
+SELECT 'total_net_change', 200, entity_id, amount, agreed
+FROM (SELECT entity_id, sum(net_change_in_cash) AS amount FROM summary GROUP BY 1) FULL JOIN moves USING (entity_id)
+UNION ALL
+SELECT 'final_balance', 210, entity_id, amount, agreed
+FROM (SELECT entity_id, arg_max(ending_cash, reporting_month) AS amount FROM summary GROUP BY 1)
+FULL JOIN (SELECT entity_id, coalesce(h.agreed, 0) + coalesce(m.agreed, 0) AS agreed
+           FROM held h FULL JOIN moves m USING (entity_id)) USING (entity_id)"""
+
+# The forecast's cells from closed transactions, past the projected ledger.
+DRIVER_CELLS = """
+SELECT g.entity_id, g.reporting_month, g.reporting_line,
+  CAST(coalesce(
+    (SELECT p.amount_usd FROM plan p WHERE p.entity_id = g.entity_id
+       AND p.reporting_month = g.reporting_month AND p.reporting_line = g.reporting_line),
+    CASE g.driver_kind
+      WHEN 'recurring' THEN d.closing
+      WHEN 'last_month' THEN d.latest END, 0) AS BIGINT) AS signed_amount_usd
+FROM grid g LEFT JOIN (
+  SELECT entity_id, reporting_line,
+    CAST(round(sum(total) FILTER (month(reporting_month) >= 7) / 3.0) AS BIGINT) AS closing,
+    CAST(max_by(total, reporting_month) AS BIGINT) AS latest
+  FROM closed_totals GROUP BY 1, 2) d USING (entity_id, reporting_line)
+WHERE g.is_open"""
+
+
 def _side_by_side(report: str, ledger: str, keys: str) -> str:
     return SIDE_BY_SIDE.format(report=report, ledger=ledger, keys=keys)
 
@@ -428,6 +508,7 @@ def statements() -> dict[str, str]:
             SELECT 'LIN-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
               AS transaction_id, count(*) AS n_rows
             FROM lineitem WHERE upper(trim(l_linestatus)) = 'F'
+              AND l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
             GROUP BY 1 HAVING count(*) > 1""",
         "missing_counterparty_counts": """
             SELECT source, count(*) AS n_records,
@@ -443,11 +524,24 @@ def statements() -> dict[str, str]:
         "closed_actuals": f"SELECT {TRANSACTIONS} FROM actuals",
         "opening_by_entity": "SELECT * FROM opening",
         "control_totals": CONTROL_TOTALS,
-        "control_totals_agree": f"""
-            SELECT cash_flow_section, cash_direction, CAST(amount * 100 AS BIGINT) AS amount_cents,
-              CAST(expected_amount * 100 AS BIGINT) AS expected_amount_cents,
-              amount IS NOT DISTINCT FROM expected_amount AS agrees
-            FROM ({CONTROL_SIDES})""",
+        "control_totals_agree": CONTROL_COMPARED.format(sides=CONTROL_SIDES.format(agreed="true")),
+        "control_totals_unexpected": CONTROL_COMPARED.format(
+            sides=CONTROL_SIDES.format(agreed="coalesce(cash_flow_section, 'All') <> 'Financing'")
+        ),
+        "repeated_dimension_keys": """
+            SELECT dimension, CAST(sum(n) AS BIGINT) AS n_rows, count(k) AS n_keys,
+              count(*) FILTER (WHERE k IS NOT NULL AND n > 1) AS repeated_keys
+            FROM (SELECT 'customer' AS dimension, c_custkey AS k, count(*) AS n FROM customer GROUP BY 1, 2
+              UNION ALL SELECT 'part', p_partkey, count(*) FROM part GROUP BY 1, 2
+              UNION ALL SELECT 'supplier', s_suppkey, count(*) FROM supplier GROUP BY 1, 2)
+            GROUP BY dimension""",
+        "ids_with_null_parts": """
+            SELECT CAST(sum(n) AS BIGINT) AS n_rows,
+              CAST(coalesce(sum(n) FILTER (WHERE id IS NULL), 0) AS BIGINT) AS blank_ids,
+              count(*) FILTER (WHERE id IS NOT NULL AND n > 1) AS repeated_ids
+            FROM (SELECT CASE WHEN source <> 'Receipts' AND split_part(transaction_id, '-', 3) = '4'
+                         THEN NULL ELSE transaction_id END AS id, count(*) AS n
+                  FROM ledger GROUP BY 1)""",
         "id_audit": """
             SELECT CAST(sum(n) AS BIGINT) AS n_rows,
               CAST(coalesce(sum(n) FILTER (WHERE id = ''), 0) AS BIGINT) AS blank_ids,
@@ -558,7 +652,7 @@ def statements() -> dict[str, str]:
         "monthly_lines_with_plan": "SELECT * FROM monthly_lines",
         "balance_rollforward_with_plan": "SELECT * EXCLUDE (so_far) FROM summary",
         "published_summary": "SELECT * EXCLUDE (so_far) FROM summary",
-        "forecast_vs_driver": _side_by_side(open_lines, "projected", cell),
+        "forecast_vs_driver": _side_by_side(open_lines, f"({DRIVER_CELLS})", cell),
         "check_report": CHECKS.format(
             recon_line=recon_line,
             recon_activity=recon_activity,
@@ -566,7 +660,8 @@ def statements() -> dict[str, str]:
             forecast_side=_side_by_side("projected", "projected", cell),
             report_side=_side_by_side(open_lines, "projected", cell),
             unused=unused,
-            control_sides=CONTROL_SIDES,
+            control_sides=CONTROL_SIDES.format(agreed="true"),
+            agreed_amounts=AGREED_AMOUNTS.format(driver_cells=DRIVER_CELLS),
         ),
     }
 
@@ -580,6 +675,9 @@ def statements() -> dict[str, str]:
     ledger = f"WITH {LEDGER}\n"
     report = f"WITH {LEDGER},{report_ctes('WHERE false')},{SECTION_SIDES}\n"
     planned = f"WITH {LEDGER},{report_ctes('')},{SECTION_SIDES}\n"
+    # Read several times each: computed once.
+    for step in ("records", "actuals", "closed_totals", "monthly_lines", "top_ids"):
+        report = report.replace(f"\n{step} AS (", f"\n{step} AS MATERIALIZED (")
     found = {name: ledger + sql for name, sql in on_ledger.items()}
     found |= {name: report + sql for name, sql in on_report.items()}
     found |= {name: planned + sql for name, sql in on_plan.items()}

@@ -15,6 +15,8 @@ from tidebook.functions import blank
 from tidebook.operators.report import final_balance
 from tidebook.plans.lines import LineBook
 from tidebook.plans.scenario import Scenario
+from tidebook.sources.extract import UNKNOWN_ENTITY
+
 
 class GateFailure(Exception):
     """A gate failed; nothing may be published."""
@@ -60,7 +62,7 @@ def combine(*parts: DataFrame) -> DataFrame:
 
 def enforce(checks: DataFrame) -> None:
     """Raise for the first failed gate. The frame holds one row per gate."""
-    failed = checks.filter(~F.col("passed")).orderBy("ord").take(1)
+    failed = checks.filter(~F.col("passed")).orderBy("ord", "check_id").take(1)
     if failed:
         row = failed[0]
         raise GateFailure(
@@ -88,6 +90,28 @@ def mapping_checks(rules: DataFrame) -> DataFrame:
     )
 
 
+def repeated_dimension_keys(dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Rows, keys and repeated keys of each dimension; a repeated key multiplies events."""
+    keys = [
+        frame.select(F.lit(name).alias("dimension"), "dimension_key") for name, frame in dimensions.items()
+    ]
+    per_key = combine(*keys).groupBy("dimension", "dimension_key").agg(F.count("*").alias("n"))
+    return per_key.groupBy("dimension").agg(
+        F.sum("n").alias("n_rows"),
+        F.count("dimension_key").alias("n_keys"),
+        F.count_if(F.col("dimension_key").isNotNull() & (F.col("n") > 1)).alias("repeated_keys"),
+        F.min(F.when(F.col("n") > 1, F.col("dimension_key").cast("string"))).alias("sample_key"),
+    )
+
+
+def dimension_checks(dimensions: dict[str, DataFrame]) -> DataFrame:
+    found = repeated_dimension_keys(dimensions).agg(
+        F.sum("repeated_keys").alias("n"),
+        F.min(F.when(F.col("repeated_keys") > 0, F.concat_ws("/", "dimension", "sample_key"))).alias("sample"),
+    )
+    return _rows(found, Gate("close", "repeated_dimension_key", 7).row("n", sample="sample"))
+
+
 def unmapped_categories(ledger: DataFrame) -> DataFrame:
     return (
         ledger.filter(F.col("reporting_line").isNull())
@@ -122,6 +146,7 @@ def ledger_checks(
         rows_where(F.col("reporting_line").isNull()).alias("unmapped"),
         rows_where(missing_vendor(vendor_sources)).alias("no_vendor"),
         rows_where(~inside).alias("outside"),
+        rows_where(F.col("entity_id") == UNKNOWN_ENTITY).alias("no_entity"),
     )
     no_id = blank(F.col("transaction_id"))
     repeated = (F.col("n_rows") > 1) & ~no_id
@@ -130,10 +155,11 @@ def ledger_checks(
         F.sum("unmapped").alias("unmapped"),
         F.sum("no_vendor").alias("no_vendor"),
         F.sum("outside").alias("outside"),
+        F.sum("no_entity").alias("no_entity"),
         F.sum(F.when(no_id, F.col("n_rows")).when(repeated, 1).otherwise(0)).alias("bad_ids"),
         *[
             F.min(F.when(F.col(c) > 0, F.col("transaction_id"))).alias(f"{c}_sample")
-            for c in ("unmapped", "no_vendor", "outside")
+            for c in ("unmapped", "no_vendor", "outside", "no_entity")
         ],
         F.min(F.when(repeated, F.col("transaction_id"))).alias("bad_ids_sample"),
     )
@@ -141,6 +167,7 @@ def ledger_checks(
         (Gate("close", "unmapped_category", 10), "unmapped"),
         (Gate("close", "repeated_transaction_id", 20), "bad_ids"),
         (Gate("close", "missing_counterparty", 30), "no_vendor"),
+        (Gate("close", "missing_entity", 35), "no_entity"),
         (Gate("close", "outside_closed_window", 40, notice=not strict_window), "outside"),
     )
     return _rows(
@@ -198,48 +225,68 @@ def control_totals(ledger: DataFrame) -> DataFrame:
 
 
 def compare_totals(totals: DataFrame, expected: DataFrame) -> DataFrame:
-    """Null-safe: an expected total with no rows behind it does not agree."""
+    """Every group of either side; a total that one side lacks does not agree."""
     keys = ["cash_flow_section", "cash_direction"]
-    return expected.join(totals, keys, "left").select(
+    return expected.join(totals, keys, "full").select(
         *keys,
         "amount",
         "expected_amount",
-        F.col("amount").eqNullSafe(F.col("expected_amount")).alias("agrees"),
+        F.coalesce(F.col("amount") == F.col("expected_amount"), F.lit(False)).alias("agrees"),
     )
 
 
+# Positions of the control gates: the order in which the figures are agreed.
+CONTROL_ORDER = {
+    "control_operating_inflow": 60,
+    "control_operating_outflow": 61,
+    "control_investing_outflow": 62,
+    "control_financing_inflow": 63,
+    "control_all_net": 64,
+}
+OTHER_CONTROL = 65
+
+
 def control_checks(totals: DataFrame, expected: DataFrame) -> DataFrame:
-    """One gate row per expected total."""
-    compared = compare_totals(totals, expected)
+    """One gate row per total of either side, and one that there is an agreement at all."""
     name = F.concat_ws(
         "_", F.lit("control"), F.lower("cash_flow_section"), F.lower("cash_direction")
     )
-    return compared.select(
+    position = F.lit(OTHER_CONTROL)
+    for check_id, place in CONTROL_ORDER.items():
+        position = F.when(F.col("check_id") == check_id, place).otherwise(position)
+    compared = compare_totals(totals, expected).withColumn("check_id", name).select(
         F.lit("close").alias("stage"),
-        name.alias("check_id"),
-        F.lit(60).alias("ord"),
+        "check_id",
+        position.alias("ord"),
         F.when(F.col("agrees"), 0).otherwise(1).cast("bigint").alias("violations"),
         F.col("amount").cast("string").alias("observed"),
         F.col("expected_amount").cast("string").alias("expected"),
         F.lit(None).cast("string").alias("sample_key"),
         F.col("agrees").alias("passed"),
     )
+    agreed = expected.agg(F.count("expected_amount").alias("n"))
+    some = Gate("close", "control_agreement", 59).row("if(n = 0, 1, 0)", "if(n = 0, 'none', 'given')", "'given'")
+    return _rows(agreed, some).unionByName(compared)
 
 
 def amount_checks(actual: DataFrame, expected: DataFrame, gate: Gate) -> DataFrame:
-    """``entity_id, amount`` against ``entity_id, expected_amount``, null-safe."""
-    compared = expected.join(actual, "entity_id", "left").withColumn(
-        "wrong", ~F.col("amount").eqNullSafe(F.col("expected_amount"))
+    """``entity_id, amount`` against ``entity_id, expected_amount``, entities of either side.
+
+    An agreement without any amount is a violation.
+    """
+    compared = expected.join(actual, "entity_id", "full").withColumn(
+        "wrong", ~F.coalesce(F.col("amount") == F.col("expected_amount"), F.lit(False))
     )
     found = compared.agg(
         F.sum(F.col("wrong").cast("int")).alias("n"),
         F.min(F.when(F.col("wrong"), F.col("entity_id"))).alias("sample"),
         F.sum("amount").alias("amount"),
         F.sum("expected_amount").alias("expected_amount"),
+        F.count("expected_amount").alias("agreed"),
     )
     return _rows(
         found,
-        gate.row("n", "amount", "expected_amount", "sample"),
+        gate.row("coalesce(n, 0) + if(agreed = 0 AND coalesce(n, 0) = 0, 1, 0)", "amount", "expected_amount", "sample"),
     )
 
 

@@ -52,6 +52,10 @@ class Inputs:
     plan: DataFrame | None = None
     expectations: Expectations = Expectations()
     strict_window: bool = True
+    #: keys of the dimensions that the extracts join, by name
+    dimensions: dict[str, DataFrame] | None = None
+    #: whether all rows are of one entity, so that exports need not name it
+    single_entity: bool = False
 
 
 @dataclass(frozen=True)
@@ -154,6 +158,8 @@ def run_checks(inputs: Inputs, tables: Tables) -> DataFrame:
             *cell,
         ),
     ]
+    if inputs.dimensions:
+        parts.append(checks.dimension_checks(inputs.dimensions))
     if agreed.control_totals is not None:
         totals = checks.control_totals(tables.actuals)
         parts.append(checks.control_checks(totals, agreed.control_totals))

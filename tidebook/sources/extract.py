@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import MONEY, text_literal
 
+# Rows of no entity are reported together under this name, and a gate counts them.
+UNKNOWN_ENTITY = "unknown"
+
 
 @dataclass(frozen=True)
 class Extract:
@@ -18,6 +21,7 @@ class Extract:
 
     ``source``, ``source_system``, ``source_file`` and ``direction`` may be
     constants or depend on the row, so one scan can feed several sources.
+    ``record_id`` must be NULL when a part of the id is; the id gate counts those.
     """
 
     frame: DataFrame
@@ -45,7 +49,7 @@ class Extract:
             frame = frame.filter(scenario.closed(F.expr(self.event_date)))
         status = f"upper(trim({self.status}))"
         return frame.selectExpr(
-            f"CAST({self.entity_id} AS STRING) AS entity_id",
+            f"coalesce(CAST({self.entity_id} AS STRING), '{UNKNOWN_ENTITY}') AS entity_id",
             f"{self.record_id} AS transaction_id",
             f"{self.source_system} AS source_system",
             f"{self.source_file} AS source_file",

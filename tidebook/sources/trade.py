@@ -15,7 +15,7 @@ from tidebook.functions import MONEY
 from tidebook.plans.lines import LAST_MONTH, PLAN_ONLY, RECURRING, Line, LineBook
 from tidebook.plans.scenario import Scenario
 from tidebook.sources.constants import constant_frame
-from tidebook.sources.extract import Extract
+from tidebook.sources.extract import UNKNOWN_ENTITY, Extract
 
 SCENARIO = Scenario("9+12", fiscal_year=2000, actual_months=9, forecast_months=12)
 
@@ -76,34 +76,31 @@ def mapping(spark: SparkSession) -> DataFrame:
     return constant_frame(spark, MAPPING_ROWS, MAPPING_SCHEMA)
 
 
-def one_per_key(frame: DataFrame, key: str) -> DataFrame:
-    """One row per key, the smallest.
-
-    A repeated dimension row cannot multiply an event, and since the key is known
-    to be unique, the optimizer leaves the join out where nothing of it is used.
-    The shuffle is the one a shuffled join on the key needs anyway.
-    """
-    others = [c for c in frame.columns if c != key]
-    smallest = frame.groupBy(key).agg(F.min(F.struct(*others)).alias("row"))
-    return smallest.select(key, *[f"row.{c}" for c in others])
+def dimension_keys(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The keys of each dimension that events are joined with."""
+    keys = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+    return {
+        name: read(spark, sf_dir, name).select(F.col(key).alias("dimension_key"))
+        for name, key in keys.items()
+    }
 
 
-def extracts(spark: SparkSession, sf_dir: str) -> list[Extract]:
+def extracts(spark: SparkSession, sf_dir: str, **facts: DataFrame) -> list[Extract]:
     """Dimension joins are left joins: an event of an unknown party must not vanish.
 
+    A repeated dimension row multiplies its events, so the id gate sees it; the
+    gate on dimension keys names the row. ``facts`` replace ``orders`` or ``lineitem``.
+
     Unhinted, so dimensions are broadcast only while their known size allows it;
     beyond that they are shuffled and adaptive execution splits hot keys.
     """
-    customers = one_per_key(
-        read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey"
-    )
-    orders = read(spark, sf_dir, "orders").join(
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = facts.get("orders", read(spark, sf_dir, "orders")).join(
         customers, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
-    parts = one_per_key(read(spark, sf_dir, "part"), "p_partkey")
-    suppliers = one_per_key(read(spark, sf_dir, "supplier"), "s_suppkey")
+    parts, suppliers = read(spark, sf_dir, "part"), read(spark, sf_dir, "supplier")
     items = (
-        read(spark, sf_dir, "lineitem")
+        facts.get("lineitem", read(spark, sf_dir, "lineitem"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
     )
@@ -138,7 +135,7 @@ def extracts(spark: SparkSession, sf_dir: str) -> list[Extract]:
             source_system=by_source("Credit desk", "Capital projects", "Accounts payable"),
             source_file="'lineitem.parquet'",
             entity_id="s_nationkey",
-            record_id="concat_ws('-', 'LIN', l_orderkey, l_linenumber, l_partkey, l_suppkey)",
+            record_id="concat('LIN-', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)",
             category=f"CASE WHEN {credit} THEN lower(trim(l_returnflag)) ELSE trim(p_type) END",
             vendor="trim(s_name)",
             event_date="l_shipdate",
@@ -154,7 +151,7 @@ def bank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One opening snapshot per nation: what its customers hold."""
     return (
         read(spark, sf_dir, "customer")
-        .groupBy(F.col("c_nationkey").cast("string").alias("entity_id"))
+        .groupBy(F.coalesce(F.col("c_nationkey").cast("string"), F.lit(UNKNOWN_ENTITY)).alias("entity_id"))
         .agg(F.sum(F.col("c_acctbal").cast(MONEY)).alias("available_balance"))
         .select(
             "entity_id",
