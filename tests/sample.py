@@ -47,8 +47,21 @@ HEADERS = {
     "transformed/activity_mapping.csv": "source,category,business_activity,cash_flow_section,reporting_line",
     "reporting/forecast_scenario.csv": "scenario,fiscal_year,actual_months,forecast_months",
     "reporting/plan_schedule.csv": "reporting_month,reporting_line,amount_usd",
+    "reporting/agreed_figures.csv": "figure,cash_flow_section,cash_direction,amount_usd",
 }
 
+# The figures agreed for the sample.
+AGREED = [
+    ("control_total", "Operating", "inflow", 3500000),
+    ("control_total", "Operating", "outflow", -3000000),
+    ("control_total", "Investing", "outflow", -3500000),
+    ("control_total", "Financing", "inflow", 2000000),
+    ("control_total", "All", "net", -1000000),
+    ("opening_amount", "", "", 2000000),
+    ("total_net_change", "", "", -7000012),
+    ("final_balance", "", "", -5000012),
+]
+
 
 def tables() -> dict[str, list[list]]:
     """Rows per file."""
@@ -61,25 +74,26 @@ def tables() -> dict[str, list[list]]:
             [f"SALE-{label}", last, "BTC", coins, COIN_PRICE, coins * COIN_PRICE, "SETTLED"]
         )
         found["raw/operating_payments.csv"] += [
-            [f"INV-PWR-{label}", f"{label}-15", "Prairie Grid Power", "Mining power", mwh, POWER_RATE, mwh * POWER_RATE, "PAID"],
-            [f"INV-OH-{label}", f"{label}-20", "Northline Facilities", "Overhead", "", "", OVERHEAD[month - 1], "PAID"],
+            [f"INV-PWR-{label}", f"{label}-15", "Vendor of power", "Mining power", mwh, POWER_RATE, mwh * POWER_RATE, "PAID"],
+            [f"INV-OH-{label}", f"{label}-20", "Vendor of offices", "Overhead", "", "", OVERHEAD[month - 1], "PAID"],
         ]
         found["raw/capital_payments.csv"].append(
-            [f"PAY-DC-{label}", last, "PRJ-DC-SITEA", "Summit Data Build LLC", "Data center buildout", BUILDOUT[month - 1], "PAID"]
+            [f"PAY-DC-{label}", last, "PRJ-1", "Vendor of buildings", "Data center buildout", BUILDOUT[month - 1], "PAID"]
         )
     for month, amount in EQUIPMENT.items():
         label = f"2026-{month:02d}"
         found["raw/capital_payments.csv"].append(
-            [f"PAY-MIN-EQ-{label}", f"{label}-12", "PRJ-MIN-FLEET", "Bitmain Technologies", "Mining equipment", amount, "PAID"]
+            [f"PAY-MIN-EQ-{label}", f"{label}-12", "PRJ-2", "Vendor of machines", "Mining equipment", amount, "PAID"]
         )
     for month, amount in DRAWS.items():
         label = f"2026-{month:02d}"
         found["raw/loan_draws.csv"].append(
-            [f"DRAW-CL-{label}", f"{label}-08", "TL-2026-A", "First Prairie Bank", amount, "FUNDED"]
+            [f"DRAW-CL-{label}", f"{label}-08", "LOAN-1", "Lender one", amount, "FUNDED"]
         )
     found["raw/bank_balance.csv"].append(["ACCT-USD-100100", "2026-12-31", "USD", OPENING])
     found["transformed/activity_mapping.csv"] += [list(row) for row in MAPPING]
     found["reporting/forecast_scenario.csv"].append(["9+12", 2026, 9, 12])
+    found["reporting/agreed_figures.csv"] += [list(row) for row in AGREED]
     return found
 
 
@@ -106,6 +120,7 @@ def inputs(spark, folder: str, **changes):
         lines=cashbook.LINES,
         vendor_sources=cashbook.VENDOR_SOURCES,
         plan=files.plan(),
-        expectations=cashbook.sample_expectations(spark),
+        expectations=files.expectations(),
+        single_entity=True,
     )
     return Inputs(**(given | changes))

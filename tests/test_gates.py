@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+import tidebook.__main__ as cli
 from tests import sample
 from tidebook.operators import checks, forecast, ledger, reconcile, report
 from tidebook.plans import staged_run
@@ -38,6 +39,7 @@ def close_checks(spark, folder):
 
 
 PAYMENTS, SALES = "raw/operating_payments.csv", "raw/bitcoin_sales.csv"
+AGREED = "reporting/agreed_figures.csv"
 
 
 @pytest.mark.parametrize(
@@ -63,16 +65,51 @@ PAYMENTS, SALES = "raw/operating_payments.csv", "raw/bitcoin_sales.csv"
     ],
 )
 def test_close(spark, tmp_path, file, change, gate):
-    failed = [
-        r["check_id"]
-        for r in close_checks(spark, folder_with(tmp_path, file, change))
-        .filter("NOT passed")
-        .orderBy("ord", "check_id")
-        .collect()
-    ]
-    assert gate in failed
-    # Several control totals can move together; they share one position.
-    assert failed[0] == gate or gate.startswith("control_") and failed[0].startswith("control_")
+    assert first_failure(close_checks(spark, folder_with(tmp_path, file, change))) == gate
+
+
+def test_control_gates_have_their_own_order(spark, tmp_path):
+    """Two totals move together: the one agreed on first is raised."""
+    folder = folder_with(tmp_path, PAYMENTS, lambda rows: rows[0].__setitem__(6, "260000.01"))
+    rows = close_checks(spark, folder).filter("NOT passed").orderBy("ord").collect()
+    assert [r["check_id"] for r in rows] == ["control_operating_outflow", "control_all_net"]
+    assert len({r["ord"] for r in rows}) == 2
+
+
+def test_a_total_that_nobody_agreed_on_fails(spark, tmp_path):
+    def shorter(rows):
+        del rows[3]
+
+    assert first_failure(close_checks(spark, folder_with(tmp_path, AGREED, shorter))) == "control_financing_inflow"
+
+
+def test_an_empty_agreement_fails(spark, tmp_path):
+    folder = folder_with(tmp_path, AGREED, lambda rows: rows.clear())
+    given = sample.inputs(spark, folder)
+    assert first_failure(close_checks(spark, folder)) == "control_agreement"
+    none = given.expectations.opening
+    opening = ledger.opening_balance(given.bank)
+    assert first_failure(checks.opening_amount_checks(opening.limit(0), none)) == "opening_amount"
+    assert first_failure(checks.opening_amount_checks(opening, none)) == "opening_amount"
+
+
+@pytest.mark.parametrize(("row", "gate"), [(0, "control_operating_inflow"), (5, "opening_amount"), (6, "total_net_change"), (7, "final_balance")])
+def test_a_run_with_a_wrong_agreed_figure_publishes_nothing(spark, tmp_path, row, gate):
+    folder = folder_with(tmp_path / "in", AGREED, lambda rows: rows[row].__setitem__(3, 17))
+    with pytest.raises(checks.GateFailure) as caught:
+        cli.main(folder, str(tmp_path / "out"))
+    assert caught.value.check_id == gate
+    assert staged_run.published_run(spark, str(tmp_path / "out")) is None
+
+
+def test_a_run_without_agreed_figures_says_so(spark, tmp_path):
+    rows = sample.tables()
+    del rows[AGREED]
+    given = sample.inputs(spark, sample.write(tmp_path / "in", rows))
+    tables = staged_run.run(spark, given, str(tmp_path / "out"))
+    found = spark.read.parquet(f"{tmp_path}/out/runs/{tables.run_id}/checks").filter("stage = 'close'").collect()
+    notice = {r["check_id"]: r for r in found}["figures_without_agreement"]
+    assert (notice["violations"], notice["passed"]) == (4, True)
 
 
 def test_other_statuses_are_dropped_silently(spark, tmp_path):

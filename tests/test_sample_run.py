@@ -21,7 +21,7 @@ def run(spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("out"))
     inputs = sample.inputs(spark, folder)
     tables = staged_run.run(spark, inputs, out)
-    staged_run.export_csv(tables, f"{out}/csv", single_file=True)
+    staged_run.export_csv(tables, f"{out}/csv", single_entity=True, single_file=True)
     return inputs, tables, out
 
 
@@ -92,7 +92,7 @@ def test_opening(run):
 
 def test_every_gate_has_a_row_and_passed(spark, run):
     rows = spark.read.parquet(f"{run[2]}/runs/{run[1].run_id}/checks").collect()
-    assert len(rows) == len({r["check_id"] for r in rows}) == 31
+    assert len(rows) == len({r["check_id"] for r in rows}) == 34
     assert all(r["passed"] for r in rows)
 
 

@@ -1,4 +1,8 @@
-"""``python -m tidebook DATA_DIR OUT_DIR``: run the cash-flow folder end to end."""
+"""``python -m tidebook DATA_DIR OUT_DIR``: run the cash-flow folder end to end.
+
+Figures agreed beforehand are read from ``reporting/agreed_figures.csv``; a run that
+differs from them publishes nothing, and a run without the file says so in its checks.
+"""
 
 from __future__ import annotations
 
@@ -7,11 +11,16 @@ import sys
 from pyspark.sql import SparkSession
 
 from tidebook.plans import staged_run
+from tidebook.session import settings
 from tidebook.sources import cashbook
+from tidebook.sources.files import size_of
 
 
 def main(data_dir: str, out_dir: str) -> None:
     spark = SparkSession.builder.appName("tidebook").getOrCreate()
+    cores = spark.sparkContext.defaultParallelism
+    for key, value in settings(size_of(spark, data_dir), cores).items():
+        spark.conf.set(key, value)
     files = cashbook.CashbookFiles(spark, data_dir)
     inputs = staged_run.Inputs(
         extracts=files.extracts(),
@@ -21,9 +30,11 @@ def main(data_dir: str, out_dir: str) -> None:
         lines=cashbook.LINES,
         vendor_sources=cashbook.VENDOR_SOURCES,
         plan=files.plan(),
+        expectations=files.expectations(),
+        single_entity=True,
     )
     tables = staged_run.run(spark, inputs, out_dir)
-    staged_run.export_csv(tables, f"{out_dir.rstrip('/')}/csv/{tables.run_id}")
+    staged_run.export_csv(tables, f"{out_dir.rstrip('/')}/csv/{tables.run_id}", inputs.single_entity)
     print(f"published run {tables.run_id}")
 
 

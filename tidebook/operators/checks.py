@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions import blank
@@ -269,6 +269,15 @@ def control_checks(totals: DataFrame, expected: DataFrame) -> DataFrame:
     return _rows(agreed, some).unionByName(compared)
 
 
+def agreement_notice(spark: SparkSession, missing: list[str]) -> DataFrame:
+    """Says which figures of a run have no agreement to hold them against."""
+    found = spark.range(1).select(
+        F.lit(len(missing)).alias("n"), F.lit(", ".join(missing) or None).cast("string").alias("sample")
+    )
+    gate = Gate("close", "figures_without_agreement", 58, notice=True)
+    return _rows(found, gate.row("n", sample="sample"))
+
+
 def amount_checks(actual: DataFrame, expected: DataFrame, gate: Gate) -> DataFrame:
     """``entity_id, amount`` against ``entity_id, expected_amount``, entities of either side.
 

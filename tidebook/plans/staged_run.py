@@ -11,7 +11,6 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +20,7 @@ from tidebook.plans.lines import LineBook
 from tidebook.plans.scenario import Scenario
 from tidebook.sources.constants import constant_frame
 from tidebook.sources.extract import Extract
-from tidebook.sources.files import write_csv, write_table
+from tidebook.sources.files import exists, write_csv, write_table
 
 CLOSED, OUTSIDE = "closed", "outside"
 MANIFEST_SCHEMA = "run_id string, published_at timestamp"
@@ -40,6 +39,10 @@ class Expectations:
     net_change: DataFrame | None = None
     final_balance: DataFrame | None = None
 
+    def missing(self) -> list[str]:
+        """Figures that nobody agreed on; a run says so, and cannot check them."""
+        return [name for name, frame in vars(self).items() if frame is None]
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -158,6 +161,7 @@ def run_checks(inputs: Inputs, tables: Tables) -> DataFrame:
             *cell,
         ),
     ]
+    parts.append(checks.agreement_notice(inputs.mapping.sparkSession, agreed.missing()))
     if inputs.dimensions:
         parts.append(checks.dimension_checks(inputs.dimensions))
     if agreed.control_totals is not None:
@@ -197,49 +201,32 @@ def run(spark: SparkSession, inputs: Inputs, out_dir: str) -> Tables:
 def published_run(spark: SparkSession, out_dir: str) -> str | None:
     """Folder of the latest published run."""
     out_dir = out_dir.rstrip("/")
-    try:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{out_dir}/published")
-        latest = manifest.agg(F.max_by("run_id", "published_at").alias("run_id")).first()["run_id"]
-    except AnalysisException:
+    if not exists(spark, f"{out_dir}/published"):
         return None
+    manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{out_dir}/published")
+    latest = manifest.agg(F.max_by("run_id", "published_at").alias("run_id")).first()["run_id"]
     return f"{out_dir}/runs/{latest}" if latest else None
 
 
-def export_csv(tables: Tables, folder: str, single_file: bool = False) -> None:
-    """The published tables as ordered CSV: ledgers, opening balance, lines, summaries."""
+def export_csv(tables: Tables, folder: str, single_entity: bool, single_file: bool = False) -> None:
+    """The published tables as ordered CSV: ledgers, opening balance, lines, summaries.
+
+    Only a run of one entity, by declaration of its binding, leaves the entity out.
+    """
     out = folder.rstrip("/")
-    write_csv(
-        ledger.transactions(tables.actuals).drop("entity_id"),
-        f"{out}/cash_transactions",
-        "cash_date",
-        "transaction_id",
-        single_file=single_file,
-    )
-    write_csv(
-        tables.forecast.drop("entity_id"),
-        f"{out}/forecast_transactions",
-        "reporting_month",
-        "transaction_id",
-        single_file=single_file,
-    )
-    write_csv(
-        tables.opening.drop("entity_id"),
-        f"{out}/opening_balance",
-        "account_id",
-        single_file=single_file,
-    )
+    outputs = {
+        "cash_transactions": (ledger.transactions(tables.actuals), "cash_date", "transaction_id"),
+        "forecast_transactions": (tables.forecast, "reporting_month", "transaction_id"),
+        "opening_balance": (tables.opening, "account_id"),
+    }
     for kind in ("Actual", "Forecast"):
         of_kind = F.col("amount_type") == kind
-        write_csv(
-            tables.lines.filter(of_kind).drop("entity_id"),
-            f"{out}/{kind.lower()}_cash_flow_lines",
-            "reporting_month",
-            "display_order",
-            single_file=single_file,
-        )
-        write_csv(
-            tables.summary.filter(of_kind).drop("entity_id"),
-            f"{out}/{kind.lower()}_cash_summary",
-            "reporting_month",
-            single_file=single_file,
-        )
+        lines, summary = tables.lines.filter(of_kind), tables.summary.filter(of_kind)
+        outputs[f"{kind.lower()}_cash_flow_lines"] = (lines, "reporting_month", "display_order")
+        outputs[f"{kind.lower()}_cash_summary"] = (summary, "reporting_month")
+    for name, (frame, *order) in outputs.items():
+        if single_entity:
+            frame = frame.drop("entity_id")
+        else:
+            order = ["entity_id", *order]
+        write_csv(frame, f"{out}/{name}", *order, single_file=single_file)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, which all executors share; Spark's end removes it."""
+    folder = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Store a small frame that many consumers share in the checkpoint folder.
 

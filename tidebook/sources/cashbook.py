@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.functions import text_literal
+from tidebook.functions import cleaned, text_literal
 from tidebook.plans.lines import LAST_MONTH, PLAN_ONLY, RECURRING, Line, LineBook
 from tidebook.plans.scenario import Scenario
+from tidebook.plans.staged_run import Expectations
 from tidebook.sources import schemas
-from tidebook.sources.constants import constant_frame
 from tidebook.sources.extract import Extract
-from tidebook.sources.files import read_csv
+from tidebook.sources.files import exists, read_csv
 
 ENTITY = "company"
+AGREED_FILE = "reporting/agreed_figures.csv"
 
 # Labels, file names and lines that the published rows carry.
 MINING = "Bitcoin mining operations"
@@ -114,6 +115,29 @@ class CashbookFiles:
             ),
         ]
 
+    def expectations(self) -> Expectations:
+        """Agreed figures, if the folder has any. A file without a figure fails that figure's gate."""
+        path = f"{self.folder}/{AGREED_FILE}"
+        if not exists(self.spark, path):
+            return Expectations()
+        agreed = self._read(AGREED_FILE, schemas.AGREED_FIGURES)
+
+        def of_entity(figure: str) -> DataFrame:
+            rows = agreed.filter(cleaned(F.col("figure")) == figure)
+            return rows.select(F.lit(ENTITY).alias("entity_id"), F.col("amount_usd").alias("expected_amount"))
+
+        controls = agreed.filter(cleaned(F.col("figure")) == "control_total")
+        return Expectations(
+            control_totals=controls.select(
+                cleaned(F.col("cash_flow_section")).alias("cash_flow_section"),
+                cleaned(F.col("cash_direction")).alias("cash_direction"),
+                F.col("amount_usd").alias("expected_amount"),
+            ),
+            opening=of_entity("opening_amount"),
+            net_change=of_entity("total_net_change"),
+            final_balance=of_entity("final_balance"),
+        )
+
     def _extract(
         self, file, schema, *, source, system, record_id, category, vendor, event_date, direction, amount, kept
     ) -> Extract:
@@ -132,30 +156,3 @@ class CashbookFiles:
             status="status",
             kept_status=kept,
         )
-
-
-def sample_expectations(spark: SparkSession):
-    """Control figures agreed for the sample folder. Fixed values."""
-    from tidebook.plans.staged_run import Expectations
-
-    controls = [
-        ("Operating", "inflow", 3_500_000),
-        ("Operating", "outflow", -3_000_000),
-        ("Investing", "outflow", -3_500_000),
-        ("Financing", "inflow", 2_000_000),
-        ("All", "net", -1_000_000),
-    ]
-
-    def one(amount):
-        return constant_frame(spark, [(ENTITY, amount)], "entity_id string, expected_amount bigint")
-
-    return Expectations(
-        control_totals=constant_frame(
-            spark, controls, "cash_flow_section string, cash_direction string, expected_amount bigint"
-        ),
-        opening=one(2_000_000),
-        net_change=one(-7_000_012),
-        final_balance=one(-5_000_012),
-    )
-
-

@@ -7,6 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength()
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Header CSV with declared columns. A bad value or a wrong header fails the read."""
     return (

@@ -26,4 +26,9 @@ ACTIVITY_MAPPING = (
     "reporting_line string"
 )
 SCENARIO = "scenario string, fiscal_year int, actual_months int, forecast_months int"
+# Figures: control_total (by section and direction, All and net for the whole),
+# opening_amount, total_net_change, final_balance.
+AGREED_FIGURES = (
+    "figure string, cash_flow_section string, cash_direction string, amount_usd decimal(18,2)"
+)
 PLAN_SCHEDULE = "reporting_month date, reporting_line string, amount_usd bigint"
