@@ -346,7 +346,7 @@ def _runs_of(shape: Shape, receivers: int):
             begin = begin[pick]
             for r, at in _dealt((head["key"] % np.uint64(receivers)).astype(np.int64)):
                 text = _gathered(body, begin[at], head["size"][at].astype(np.int64))
-                rows.append((r, head[at].tobytes(), text.tobytes()))
+                rows.append((r, _by_column(head[at]), squeezed(text.tobytes())))
         columns = list(zip(*rows)) or [(), (), ()]
         return pa.table(
             {
@@ -360,6 +360,30 @@ def _runs_of(shape: Shape, receivers: int):
     return run
 
 
+def squeezed(data: bytes) -> bytes:
+    """Compressed for the way to another task; its length comes first."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
+def _by_column(head: np.ndarray) -> bytes:
+    return squeezed(b"".join(head[name].tobytes() for name in head.dtype.names))
+
+
+def _from_columns(data: bytes, kind: np.dtype) -> np.ndarray:
+    data, at = unsqueezed(data), 0
+    out = np.empty(len(data) // kind.itemsize, kind)
+    for name in kind.names:
+        size = len(out) * kind[name].itemsize
+        out[name] = np.frombuffer(data[at : at + size], kind[name])
+        at += size
+    return out
+
+
 def _distinct(head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One entry per key and content, and which of the given ones it is."""
     order = np.lexsort((head["id"], head["content"], head["key"]))
@@ -379,9 +403,9 @@ Index = Callable[[np.ndarray, list[np.ndarray]], tuple[np.ndarray, np.ndarray, n
 
 def _answers(index: Index):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(p, RUN) for p in table.column("runs").to_pylist()]
+        parts = [_from_columns(p.as_py(), RUN) for p in table.column("runs")]
         chunks = table.column("chunk").to_numpy()
-        body = np.concatenate([np.frombuffer(p, np.uint8) for p in table.column("bytes").to_pylist()])
+        body = np.concatenate([np.frombuffer(unsqueezed(p.as_py()), np.uint8) for p in table.column("bytes")])
         sent = np.concatenate(parts)
         sender = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         begin = np.cumsum(sent["size"], dtype=np.int64) - sent["size"]
@@ -413,7 +437,7 @@ def _answers(index: Index):
         n = last - first
         taken = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
         back = answer[taken]
-        rows = [(int(chunks[s]), back[at].tobytes()) for s, at in _dealt(np.repeat(sender, n))]
+        rows = [(int(chunks[s]), _by_column(back[at])) for s, at in _dealt(np.repeat(sender, n))]
         return pa.table(
             {
                 "receiver": pa.array([c for c, _ in rows], pa.int64()),
@@ -429,7 +453,7 @@ class Answers:
     """What the shards answered a chunk."""
 
     def __init__(self, packed: list[bytes]):
-        found = np.concatenate([np.frombuffer(p, ANSWER) for p in packed]) if packed else np.empty(0, ANSWER)
+        found = np.concatenate([_from_columns(p, ANSWER) for p in packed]) if packed else np.empty(0, ANSWER)
         self.found = found[np.argsort(found["content"], kind="stable")]
 
     def windows(self, runs: Runs, contents: np.ndarray) -> tuple[np.ndarray, ...]:

@@ -31,18 +31,22 @@ WINDOW = 50
 GRAM = 24
 TRIGGER = 8
 MODULUS = 16
-BLOCK_ROWS = 200_000
+BLOCK_ROWS = 50_000
 KINDS = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")]
 
 
+def _rows(text: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """The ``width`` bytes from each start on, zeros beyond the text."""
+    padded = np.concatenate([text, np.zeros(width, np.uint8)])
+    return np.lib.stride_tricks.sliding_window_view(padded, width)[start]
+
+
 def _strings(text: np.ndarray, start: np.ndarray, stop: np.ndarray, width: int) -> np.ndarray:
     """The stretches as fixed-width strings, the last byte their length, so that order and equality are exact."""
-    size = stop - start
-    place = start[:, None] + np.arange(width)
-    there = np.arange(width) < size[:, None]
     rows = np.zeros((len(start), width + 1), np.uint8)
-    rows[:, :width] = np.where(there, text[np.minimum(place, len(text) - 1)], 0)
-    rows[:, width] = np.minimum(size, 255)
+    rows[:, :width] = _rows(text, start, width)
+    rows[:, width] = np.minimum(stop - start, 255)
+    rows[:, :width][np.arange(width, dtype=np.uint8) >= rows[:, width:]] = 0
     return rows.view(f"S{width + 1}").ravel()
 
 
@@ -105,9 +109,8 @@ def first_ids(runs: np.ndarray, texts: list[np.ndarray], window: int = WINDOW):
     windows = np.repeat(bounds[:-1] - first, count) + np.arange(count.sum())
     order = corpus_order(text, bounds, windows, window)
     fresh = np.ones(len(order), bool)
-    reach = np.arange(window)
     for a in range(0, len(order) - 1, BLOCK_ROWS):
-        rows = text[windows[order[a : a + BLOCK_ROWS + 1], None] + reach]
+        rows = _rows(text, windows[order[a : a + BLOCK_ROWS + 1]], window)
         fresh[a + 1 : a + len(rows)] = (rows[1:] != rows[:-1]).any(axis=1)
     start = np.flatnonzero(fresh)
     own = runs["id"][run].astype(np.int64)
