@@ -8,9 +8,8 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
-import uuid
 from collections.abc import Callable
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,30 +21,34 @@ from tidebook.functions import cents, status_code
 from tidebook.operators import checks, forecast, ledger, lineage, reconcile, report
 from tidebook.plans import staged_run
 from tidebook.plans.lines import LAST_MONTH, RECURRING
-from tidebook.session import checkpoint_dir, cut_lineage
+from tidebook.session import cut_lineage, scratch
 from tidebook.sources import trade
 from tidebook.sources.extract import UNKNOWN_ENTITY, kept_records
-from tidebook.sources.files import read_csv, write_csv
+from tidebook.sources.files import read_csv, write_csv, write_table
 
 SCENARIO, LINES = trade.SCENARIO, trade.LINES
 VENDOR_SOURCES = (trade.OPERATING, trade.CAPITAL, trade.CREDITS)
 
 
 class Book:
-    """The operators bound to one folder of driver tables; all frames are lazy."""
+    """The operators bound to one folder of driver tables; all frames are lazy.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, planned: bool = False):
+    ``rules`` replace the mapping, ``facts`` the raw tables of those names.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, planned: bool = False, rules=None, **facts):
         self.spark = spark
         self.sf_dir = sf_dir
         self.plan = trade.plan(spark, sf_dir) if planned else None
+        self.rules, self.facts = rules, facts
 
     @cached_property
     def extracts(self):
-        return trade.extracts(self.spark, self.sf_dir)
+        return trade.extracts(self.spark, self.sf_dir, **self.facts)
 
     @cached_property
     def mapping(self) -> DataFrame:
-        return trade.mapping(self.spark)
+        return self.rules if self.rules is not None else trade.mapping(self.spark)
 
     @cached_property
     def full_ledger(self) -> DataFrame:
@@ -88,9 +91,8 @@ class Book:
         return self.totals.unionByName(ledger.monthly_totals(self.forecast))
 
 
-@lru_cache(maxsize=4)
 def book_of(spark: SparkSession, sf_dir: str, planned: bool = False) -> Book:
-    """Queries of one session share their lazy frames; every query still computes its rows."""
+    """Made anew for each query, so that each lists the files that are there then."""
     return Book(spark, sf_dir, planned)
 
 
@@ -413,16 +415,17 @@ def run_inputs(book: Book, expectations=staged_run.Expectations()) -> staged_run
     )
 
 
-def check_report(spark, sf_dir):
-    """One row per gate, over ledger, forecast and report, with planned amounts.
+def _checked(shared: Book, altered: Callable[[DataFrame], DataFrame] = lambda lines: lines) -> DataFrame:
+    """All gates over a book; ``altered`` changes the report lines after they were added up.
 
     The monthly tiers have several consumers each, so they are stored once.
     """
-    shared, book = book_of(spark, sf_dir, planned=True), Book(spark, sf_dir, planned=True)
+    spark, sf_dir = shared.spark, shared.sf_dir
+    book = Book(spark, sf_dir, planned=True)
     book.opening = shared.opening
     book.totals = cut_lineage(shared.totals)
     book.forecast = cut_lineage(book.forecast)
-    book.lines = cut_lineage(book.lines)
+    book.lines = cut_lineage(altered(book.lines))
     tables = staged_run.Tables(
         run_id="",
         ledger=staged_run.with_window(shared.full_ledger, SCENARIO),
@@ -439,10 +442,33 @@ def check_report(spark, sf_dir):
         net_change=net_change,
         final_balance=agreed_balance(opening, net_change),
     )
-    found = staged_run.run_checks(run_inputs(shared, agreed), tables)
+    found = staged_run.run_checks(run_inputs(shared, agreed), tables, closed=shared.actuals)
     return found.select("stage", "check_id", "ord", "violations", "observed", "expected", "passed")
 
 
+def check_report(spark, sf_dir):
+    """One row per gate, over ledger, forecast and report, with planned amounts."""
+    return _checked(book_of(spark, sf_dir, planned=True))
+
+
+def check_report_broken(spark, sf_dir):
+    """The gates where a rule is missing, payments are repeated and a report line is altered."""
+    items = trade.read(spark, sf_dir, "lineitem")
+    repeated = items.unionByName(items.filter("l_orderkey % 1000 = 7"))
+    rules = trade.mapping(spark).filter("category <> 'PROMO'")
+    cell = (F.col("reporting_line") == "Overhead paid") & (F.col("reporting_month") == F.lit("2000-09-01").cast("date"))
+
+    def altered(lines):
+        return lines.withColumn("signed_amount_usd", F.col("signed_amount_usd") + F.when(cell, 1).otherwise(0))
+
+    return _checked(Book(spark, sf_dir, planned=True, rules=rules, lineitem=repeated), altered)
+
+
+def asked_ids(book: Book) -> DataFrame:
+    """Ids to follow, as a written table: few, and of a size that the joins with them know."""
+    return write_table(trade.example_ids(book.actuals), f"{scratch(book.spark, 'ids')}/asked")
+
+
 def trace_ids(spark, sf_dir):
     """Every source record, followed to the report."""
     book = book_of(spark, sf_dir)
@@ -453,7 +479,7 @@ def trace_ids(spark, sf_dir):
 def trace_selected(spark, sf_dir):
     """The largest transaction of every entity and line, followed to the report."""
     book = book_of(spark, sf_dir)
-    ids = trade.example_ids(book.actuals)
+    ids = asked_ids(book)
     traced = lineage.trace(book.extracts, book.mapping, book.actuals, book.lines, ids)
     return in_cents(traced, "amount")
 
@@ -464,14 +490,13 @@ def id_audit(spark, sf_dir):
 
 def id_presence(spark, sf_dir):
     book = book_of(spark, sf_dir)
-    ids = trade.example_ids(book.actuals)
+    ids = asked_ids(book)
     return lineage.id_presence(ids, book.extracts, book.actuals)
 
 
 def trace_line_sum(spark, sf_dir):
     book = book_of(spark, sf_dir)
-    actuals = book.actuals
-    return lineage.trace_line_sums(actuals, book.lines, trade.example_ids(actuals))
+    return lineage.trace_line_sums(book.actuals, book.lines, asked_ids(book))
 
 
 def drilldown_month_line(spark, sf_dir):
@@ -516,15 +541,10 @@ def cash_by_month_and_line(spark, sf_dir):
     return report.cash_measures(book_of(spark, sf_dir).actuals, by)
 
 
-def _run_folder(spark: SparkSession) -> str:
-    """A new folder, in the place the cluster names for shared files."""
-    return f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
-
-
 def published_summary(spark, sf_dir):
     """The summary as a full run stages, checks and publishes it."""
     inputs = run_inputs(book_of(spark, sf_dir, planned=True))
-    folder = _run_folder(spark)
+    folder = scratch(spark, "run")
     tables = staged_run.run(spark, inputs, folder)
     published = staged_run.published_run(spark, folder)
     return spark.read.schema(tables.summary.schema).parquet(f"{published}/cash_summary")
@@ -533,7 +553,7 @@ def published_summary(spark, sf_dir):
 def lines_through_csv(spark, sf_dir):
     """Monthly lines written as ordered CSV and read back with declared columns."""
     lines = book_of(spark, sf_dir).lines
-    folder = f"{_run_folder(spark)}/lines"
+    folder = f"{scratch(spark, 'run')}/lines"
     write_csv(lines, folder, "reporting_month", "entity_id", "display_order")
     declared = ", ".join(f"{name} {kind}" for name, kind in lines.dtypes)
     return read_csv(spark, folder, declared)
@@ -579,6 +599,7 @@ QUERIES = (
     period_counts,
     forecast_vs_driver,
     check_report,
+    check_report_broken,
     trace_ids,
     trace_selected,
     id_audit,

@@ -113,8 +113,11 @@ def stage(inputs: Inputs, folder: str) -> Tables:
     )
 
 
-def run_checks(inputs: Inputs, tables: Tables) -> DataFrame:
-    """Every gate over the staged tables, one row per gate."""
+def run_checks(inputs: Inputs, tables: Tables, closed: DataFrame | None = None) -> DataFrame:
+    """Every gate over the staged tables, one row per gate.
+
+    ``closed`` is the closed ledger where it can be read for less than the staged one.
+    """
     scenario, book, agreed = inputs.scenario, inputs.lines, inputs.expectations
     roster = tables.opening.select("entity_id").unionByName(tables.totals.select("entity_id"))
     roster = roster.distinct()
@@ -165,7 +168,7 @@ def run_checks(inputs: Inputs, tables: Tables) -> DataFrame:
     if inputs.dimensions:
         parts.append(checks.dimension_checks(inputs.dimensions))
     if agreed.control_totals is not None:
-        totals = checks.control_totals(tables.actuals)
+        totals = checks.control_totals(tables.actuals if closed is None else closed)
         parts.append(checks.control_checks(totals, agreed.control_totals))
     if agreed.opening is not None:
         parts.append(checks.opening_amount_checks(tables.opening, agreed.opening))
