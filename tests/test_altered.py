@@ -22,21 +22,17 @@ ALTERED = {
     "missing_supplier": ("supplier", "SELECT * FROM t WHERE s_suppkey > 3"),
     "null_nation": ("customer", "SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey) FROM t"),
 }
-CHECKED = (
-    "canonical_ledger",
-    "id_audit",
-    "duplicate_line_ids",
-    "control_totals_agree",
-    "control_totals_unexpected",
-    "repeated_dimension_keys",
-    "balance_rollforward",
-    "recon_line",
-    "trace_ids",
-    "trace_selected",
-    "trace_line_sum",
-    "id_presence",
-    "check_report",
-)
+CHECKED = {
+    "null_line_number": ("canonical_ledger", "id_audit", "duplicate_line_ids", "trace_ids", "check_report"),
+    "repeated_customer": (
+        "canonical_ledger", "id_audit", "control_totals_agree", "repeated_dimension_keys", "trace_ids", "check_report",
+    ),
+    "status_text": ("canonical_ledger", "id_audit", "control_totals_agree", "control_totals_unexpected"),
+    "missing_supplier": (
+        "balance_rollforward", "recon_line", "trace_selected", "trace_line_sum", "id_presence", "check_report",
+    ),
+    "null_nation": ("balance_rollforward", "recon_line", "check_report"),
+}
 
 
 @pytest.fixture(scope="module", params=list(ALTERED))
@@ -52,9 +48,11 @@ def altered(request, sf_dir, tmp_path_factory):
     return request.param, folder
 
 
-@pytest.mark.parametrize("name", CHECKED)
-def test_equal_to_its_sql(spark, altered, name):
-    assert difference(QUERIES[name](spark, altered[1]), connect(altered[1]), SQL[name]) is None
+def test_equal_to_their_sql(spark, altered):
+    name, folder = altered
+    duck = connect(folder)
+    found = {query: difference(QUERIES[query](spark, folder), duck, SQL[query]) for query in CHECKED[name]}
+    assert {query: text for query, text in found.items() if text} == {}
 
 
 FAILS = {
