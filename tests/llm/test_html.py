@@ -81,3 +81,5 @@ def test_markup(source, text):
 
 def test_deep_and_long_pages_end():
     assert h.main_text("<div>" * 3000 + "text " * 100_000, None).count("text") == 100_000
+    assert h.main_text("<p><span>a " * 50_000, None).count("a") == 50_000
+    assert h.main_text("<div class='x'><span>a " * 50_000, None).count("a") == 50_000

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import uuid
+import atexit
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +20,21 @@ from tidebook.session import checkpoint_dir
 SLICE_BYTES = 4 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, whose Python may run where it is not installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        folder = tempfile.mkdtemp(prefix="tidebook-")  # from here Spark serves it
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        name = f"{folder}/tidebook-{context.applicationId}"
+        context.addPyFile(shutil.make_archive(name, "zip", root_dir=root, base_dir="tidebook"))
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,15 +67,12 @@ def partitions(spark: SparkSession) -> int:
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
     """The strings in runs of about ``limit`` bytes, nulls as empty strings; a long one runs alone."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if not len(texts):
-        return
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
     while start < len(texts):
         floor = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, floor + limit, "right")))
-        yield texts.slice(start, stop - start)
+        yield pc.fill_null(texts.slice(start, stop - start).cast(pa.large_string()), "")
         start = stop
 
 

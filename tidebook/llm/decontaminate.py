@@ -148,6 +148,7 @@ def decontaminate(
     window: int = WINDOW,
 ) -> DataFrame:
     """The rows with ``words`` (their number), ``hits`` (spans of words) and ``items`` (ids)."""
+    common.ship(docs.sparkSession)
     docs = docs.drop("words", "hits", "items")
     found = F.lit(None).cast(SEARCHED)
     for block in item_blocks(benchmark, item_col, item_text_col):

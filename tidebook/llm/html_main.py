@@ -76,18 +76,22 @@ TOKEN = re.compile(
 MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 CANDIDATES = 4
+#: Elements nested deeper are read as if they were not there, their text stays.
+MAX_DEPTH = 200
 MIN_LENGTH = 20
 
 
 class _Element:
-    __slots__ = ("tag", "name", "parent", "left_out", "key", "path")
+    __slots__ = ("tag", "parent", "depth", "inside", "left_out", "path")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
         self.tag, self.parent = tag, parent
+        self.depth = parent.depth + 1 if parent else 0
+        self.inside = bool(parent and (parent.inside or parent.tag in ("article", "main")))
         marks = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in MARKS.finditer(attributes)} if attributes else {}
         classes = marks.get("class", "").lower().split()
-        self.name = ".".join([tag, *sorted(re.sub(r"\d+", "#", c) for c in classes)])
-        self.path = f"{parent.path}>{self.name}" if parent else self.name
+        name = ".".join([tag, *sorted(re.sub(r"\d+", "#", c) for c in classes)])
+        self.path = f"{parent.path}>{name}" if parent else name
         self.left_out = bool(parent and parent.left_out) or self._marked(marks, classes)
 
     def _marked(self, marks: dict, classes: list[str]) -> bool:
@@ -95,19 +99,11 @@ class _Element:
             return False
         if self.tag in LEFT_OUT_TAGS:
             return True
-        if self.tag == "header" and not self._inside("article", "main"):
+        if self.tag == "header" and not self.inside:
             return True
         names = [*classes, marks.get("id", "").lower(), marks.get("role", "").lower()]
         words = {w for name in names for w in WORD.findall(name)}
-        return bool(words & LEFT_OUT_WORDS) or bool(words & HEADER_WORDS and not self._inside("article", "main"))
-
-    def _inside(self, *tags: str) -> bool:
-        at = self.parent
-        while at is not None:
-            if at.tag in tags:
-                return True
-            at = at.parent
-        return False
+        return bool(words & LEFT_OUT_WORDS) or bool(words & HEADER_WORDS and not self.inside)
 
 
 class Page:
@@ -167,7 +163,7 @@ class Page:
             return
         if tag == "a":
             self.links = 1
-        if not attributes.endswith("/") or tag in BLOCK:
+        if self.at.depth < MAX_DEPTH and (not attributes.endswith("/") or tag in BLOCK):
             self.at = _Element(tag, attributes, self.at)
 
     def _close(self, tag: str) -> None:
@@ -265,6 +261,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
             rows = [main_text(s.as_py() or "", w.as_py()) for s, w in zip(sources, winners)]
             yield pa.array(rows, pa.string())
 
+    common.ship(pages.sparkSession)
     pages = pages.drop("main_text")
     winners = common.stored(winning_paths(pages, url_col, html_col), "winning-paths")
     winners = winners.select(F.col("host").alias("__host"), F.col("path").alias("__path"))

@@ -115,6 +115,7 @@ def token_pieces(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY
 ) -> DataFrame:
     """One row per piece: the id, piece, start, length and the CRC of its ids."""
+    common.ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     arrow = pa.schema(
         [
@@ -239,6 +240,7 @@ def pack(
     pieces: DataFrame, capacity: int = CAPACITY, per_partition: int = PARTITION_PIECES, rounds: int = ROUNDS
 ) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``; ``length`` is a piece's size."""
+    common.ship(pieces.sparkSession)
     columns = pieces.columns
     rows = common.stored(pieces.withColumn("row", F.monotonically_increasing_id()), "packing-pieces")
     n = rows.count()

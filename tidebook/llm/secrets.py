@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidebook.llm import common
+
 # The rules, in the order in which kinds are listed.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -175,4 +177,5 @@ def find_secrets(docs: DataFrame, model: RatioModel, text_col: str = "text") ->
             ]
             yield pa.array(rows, pa.struct([("spans", pa.list_(kind_of))]))
 
+    common.ship(docs.sparkSession)
     return docs.withColumn("found", found(F.col(text_col)))

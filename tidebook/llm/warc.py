@@ -36,7 +36,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.common import partitions, stored, text_or_empty
+from tidebook.llm.common import partitions, ship, stored, text_or_empty
 
 ARCHIVE_BYTES = 1 << 30
 CHUNK = 1 << 20
@@ -143,6 +143,7 @@ def write_warc(
     archive_bytes: int = ARCHIVE_BYTES,
 ) -> DataFrame:
     """Write all rows as archives into a shared ``folder``; the manifest of what was written."""
+    ship(pages.sparkSession)
     pages = pages.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(url_col).cast("string").alias("url"),
@@ -261,5 +262,6 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_warc(manifest: DataFrame) -> DataFrame:
     """One row per record of the archives that a manifest names; an archive is read by one task."""
+    ship(manifest.sparkSession)
     paths = manifest.select("path").repartition(partitions(manifest.sparkSession), "path")
     return paths.mapInArrow(_reader, RECORDS)
