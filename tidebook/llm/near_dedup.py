@@ -17,10 +17,11 @@
    compared with the hub. Then members outside the hub's component are compared
    with the bucket's other members by sketch, in blocks of bounded size, and one
    pair per two components that may be linked is sent on. Each pair sent on is
-   confirmed on the two full sets. Confirmed pairs join components. While some pair
-   fails, the comparison is repeated without it and with more pairs each time, so
-   it ends with every pair in a bucket either confirmed, refuted, or inside one
-   component. No step writes all pairs of a bucket, and none drops any.
+   confirmed on the two full sets. Confirmed pairs join components. If some pair
+   fails, the comparison is repeated without it and with more pairs per node, the
+   last time with all that may still be linked, so it ends with every pair in a
+   bucket confirmed, refuted, or inside one component. No step writes all pairs of a
+   bucket, and none drops any.
 5. **Components** are found by alternating stars, in a few rounds on written tables.
 
 Defined cases: null texts, empty texts and texts without words have an empty set
@@ -48,7 +49,8 @@ SAMPLES = 120
 SKETCH_BITS = 512
 PARITY_BITS = 2048
 BLOCK = 2_000
-EXTRA_PAIRS = 4
+#: Pairs per node beyond those that join two components, round by round; the last sends all that may be linked.
+ROUNDS = (0, 8, 1 << 60)
 SLICE_BYTES = 2 << 20
 SIGNATURE = "struct<n:long,fingerprint:binary,bands:array<long>,sketch:binary,parity:binary>"
 
@@ -120,7 +122,7 @@ def signatures(texts: pa.Array, width: int, rows: int, bands: int) -> list[dict]
         own = hashes[bounds[text] : bounds[text + 1]]
         out[text] = {
             "n": len(own),
-            "fingerprint": hashlib.blake2b(own.tobytes(), digest_size=16).digest(),
+            "fingerprint": _fingerprint(own),
             "bands": keys[i].tolist(),
             "sketch": sketch[i].tobytes(),
             "parity": parity[i].tobytes(),
@@ -150,15 +152,24 @@ def _signature_udf(width: int, rows: int, bands: int):
     return sign
 
 
+def _fingerprint(hashes: np.ndarray) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
 def _set_udf(width: int):
-    @F.arrow_udf("binary")
+    """A text's full set, and the fingerprint by which its node is known."""
+
+    @F.arrow_udf("struct<fingerprint:binary,members:binary>")
     def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = []
+            names, sets = [], []
             for part in common.slices(texts, SLICE_BYTES):
                 hashes, bounds = shingle_sets(part, width)
-                found += [hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.array(found, pa.binary())
+                for a, b in zip(bounds[:-1], bounds[1:]):
+                    names.append(_fingerprint(hashes[a:b]))
+                    sets.append(hashes[a:b].tobytes())
+            columns = [pa.array(names, pa.binary()), pa.array(sets, pa.binary())]
+            yield pa.StructArray.from_arrays(columns, ["fingerprint", "members"])
 
     return shingles
 
@@ -338,13 +349,8 @@ class _Nodes:
         asked = self.slots.select("node").distinct()
         ids = common.stored(self.rows.join(asked, "node", "left_semi").select("first_id", "fingerprint", "node"), "asked")
         texts = docs.join(ids.select("first_id"), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-        held = texts.select(_set_udf(self.width)(F.col("text")).alias("members"))
-
-        @F.arrow_udf("binary")
-        def fingerprint(sets: pa.Array) -> pa.Array:
-            return pa.array([hashlib.blake2b(s.as_buffer(), digest_size=16).digest() for s in sets], pa.binary())
-
-        named = held.withColumn("fingerprint", fingerprint("members")).join(ids, "fingerprint")
+        held = texts.select(_set_udf(self.width)(F.col("text")).alias("s")).select("s.*")
+        named = held.join(ids, "fingerprint")
         return common.stored(named.groupBy("node").agg(F.first("members").alias("members")), "sets")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
@@ -398,25 +404,23 @@ class _Nodes:
         refuted = found.filter("NOT linked").select("a", "b")
         links = found.filter("linked").select("a", "b")
         parts = components(links)
-        extra = 0
-        while True:
-            found = self.confirmed(self.cross_pairs(parts, refuted, extra))
-            links = parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(
-                found.filter("linked").select("a", "b")
-            )
+        for extra in ROUNDS:
+            found = self.confirmed(common.stored(self.cross_pairs(parts, refuted, extra), "cross-pairs"))
             tally = found.agg(F.count_if("linked").alias("yes"), F.count_if(~F.col("linked")).alias("no")).first()
             if tally["yes"]:
-                parts = components(links)
+                joined = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                parts = components(joined.unionByName(found.filter("linked").select("a", "b")))
             if not tally["no"]:
-                return parts
+                break
             refuted = refuted.unionByName(found.filter("NOT linked").select("a", "b"))
-            extra = max(EXTRA_PAIRS, 4 * extra)
+        return parts
 
 
 def near_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, text_hash) of every row."""
+    common.ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = docs.withColumn("s", _signature_udf(width, *band_shape(percent))("text"))
     signed = common.stored(signed.select("doc_id", F.xxhash64("text").alias("text_hash"), "s.*"), "signatures")
