@@ -8,10 +8,11 @@ shuffle, so both do this, with an index of their own in step 3:
    with the smallest rolling hash is its key; equal windows have equal keys, and
    consecutive windows mostly share theirs. A chunk sends each key once.
 2. Keys that occur once in the corpus are done. The others go back to their chunks.
-3. A chunk cuts out the runs of windows with a repeated key and sends each distinct
-   run once to the shard of its key. All windows that are equal to one in a run are
-   in the same shard. Runs that are the same in all places need no index; the others
-   are indexed, and the shard answers for each run which windows occur elsewhere.
+3. A chunk cuts out the runs of windows with a repeated key and sends the hash of
+   each distinct run once to the shard of its key. All windows that are equal to one
+   in a run are in the same shard. Runs that are the same in all places need no
+   index. Of the others the shard asks one chunk each for the text, indexes them, and
+   answers for each run which windows occur elsewhere.
 4. The chunk takes the answers to its documents.
 
 Keys that are in very many chunks are hot. Their windows are sent one by one and
@@ -41,9 +42,14 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 PACKED = "receiver long, chunk long, packed binary"
-RUNS = "receiver long, chunk long, runs binary, bytes binary"
+TEXTS = "receiver long, chunk long, packed binary, bytes binary"
 #: A run as sent to a shard; ``id`` is the smallest document id, ``several`` whether it stands for more than one place.
-RUN = np.dtype([("key", "<u8"), ("content", "<u8"), ("id", "<i8"), ("windows", "<i4"), ("size", "<i4"), ("several", "u1")])
+RUN = np.dtype([("key", "<u8"), ("content", "<u8"), ("id", "<i8"), ("windows", "<i4"), ("several", "u1")])
+#: What a chunk is asked for, and what it sends.
+WANTED = np.dtype([("content", "<u8")])
+TEXT = np.dtype([("content", "<u8"), ("size", "<i4")])
+#: Who sent a row to a chunk.
+FROM_KEYS, FROM_INDEX, FROM_WANTED = -1, -2, -3
 #: Windows ``low`` to ``high`` of a run occur elsewhere, first in document ``id``.
 ANSWER = np.dtype([("content", "<u8"), ("low", "<i4"), ("high", "<i4"), ("id", "<i8")])
 
@@ -285,7 +291,7 @@ def _repeated(hot: int):
         return pa.table(
             {
                 "receiver": pa.array([c for c, _ in rows], pa.int64()),
-                "chunk": pa.array([-1] * len(rows), pa.int64()),
+                "chunk": pa.array([FROM_KEYS] * len(rows), pa.int64()),
                 "packed": pa.array([p for _, p in rows], pa.binary()),
             }
         )
@@ -321,38 +327,74 @@ def _gathered(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarr
     return data[place]
 
 
-def _runs_of(shape: Shape, receivers: int):
+def _rows_to(rows: list[tuple[int, bytes]], chunk: int) -> pa.Table:
+    return pa.table(
+        {
+            "receiver": pa.array([r for r, _ in rows], pa.int64()),
+            "chunk": pa.array([chunk] * len(rows), pa.int64()),
+            "packed": pa.array([p for _, p in rows], pa.binary()),
+        }
+    )
+
+
+def _packed_from(sent: pa.Table, sender: int) -> list[bytes]:
+    chunk = sent.column("chunk").to_numpy()
+    return [p for p, c in zip(sent.column("packed").to_pylist(), chunk) if c == sender]
+
+
+def _receivers(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    return _dealt((keys % np.uint64(n)).astype(np.int64))
+
+
+def _heads_of(shape: Shape, receivers: int):
+    """What a chunk tells the shards about its runs, without their text."""
+
     def run(key: tuple, docs: pa.Table, sent: pa.Table) -> pa.Table:
         repeated, ids = Repeated(sent.column("packed").to_pylist()), _ids(docs)
-        heads, bodies = [], []
+        heads = [np.empty(0, RUN)]
         for first, part in parts_of(docs) if len(repeated.keys) else ():
-            units = shape.units(part)
-            runs = repeated.runs(shape, units)
-            if not len(runs.start):
-                continue
+            runs = repeated.runs(shape, shape.units(part))
             head = np.zeros(len(runs.start), RUN)
             head["key"], head["content"] = runs.key, runs.contents(shape.window)
             head["id"], head["windows"] = ids[runs.text + first], runs.count
-            begin = units.begins[runs.start]
-            head["size"] = units.ends[runs.start + runs.count + shape.window - 2] - begin
-            head, pick = _distinct(head)
-            heads.append(head)
-            bodies.append(_gathered(units.data, begin[pick], head["size"].astype(np.int64)))
+            heads.append(_distinct(head)[0])
+        head = _distinct(np.concatenate(heads))[0]
+        rows = [(r, _by_column(head[at])) for r, at in _receivers(head["key"], receivers)]
+        return _rows_to(rows, key[0].as_py())
+
+    return run
+
+
+def _texts_of(shape: Shape, receivers: int):
+    """The text of the runs that shards ask this chunk for."""
+
+    def run(key: tuple, docs: pa.Table, sent: pa.Table) -> pa.Table:
+        wanted = [_from_columns(p, WANTED) for p in _packed_from(sent, FROM_WANTED)]
+        asked = np.sort(np.concatenate(wanted)["content"]) if wanted else np.empty(0, np.uint64)
+        repeated = Repeated(_packed_from(sent, FROM_KEYS) if len(asked) else [])
+        open_ = np.ones(len(asked), bool)
         rows = []
-        if heads:
-            head, body = np.concatenate(heads), np.concatenate(bodies)
-            begin = np.cumsum(head["size"], dtype=np.int64) - head["size"]
-            head, pick = _distinct(head)
-            begin = begin[pick]
-            for r, at in _dealt((head["key"] % np.uint64(receivers)).astype(np.int64)):
-                text = _gathered(body, begin[at], head["size"][at].astype(np.int64))
-                rows.append((r, _by_column(head[at]), squeezed(text.tobytes())))
-        columns = list(zip(*rows)) or [(), (), ()]
+        for _, part in parts_of(docs) if len(asked) else ():
+            units = shape.units(part)
+            runs = repeated.runs(shape, units)
+            contents = runs.contents(shape.window)
+            at = np.minimum(np.searchsorted(asked, contents), len(asked) - 1)
+            there = np.flatnonzero((asked[at] == contents) & open_[at])
+            there = there[np.unique(at[there], return_index=True)[1]]
+            open_[at[there]] = False
+            begin = units.begins[runs.start[there]]
+            text = np.zeros(len(there), TEXT)
+            text["content"] = contents[there]
+            text["size"] = units.ends[runs.start[there] + runs.count[there] + shape.window - 2] - begin
+            for r, own in _receivers(runs.key[there], receivers):
+                body = _gathered(units.data, begin[own], text["size"][own].astype(np.int64))
+                rows.append((r, _by_column(text[own]), squeezed(body.tobytes())))
+        columns = list(zip(*_joined(rows))) or [(), (), ()]
         return pa.table(
             {
                 "receiver": pa.array(columns[0], pa.int64()),
-                "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()),
-                "runs": pa.array(columns[1], pa.binary()),
+                "chunk": pa.array([key[0].as_py()] * len(columns[0]), pa.int64()),
+                "packed": pa.array(columns[1], pa.binary()),
                 "bytes": pa.array(columns[2], pa.binary()),
             }
         )
@@ -360,6 +402,23 @@ def _runs_of(shape: Shape, receivers: int):
     return run
 
 
+def _joined(rows: list[tuple[int, bytes, bytes]]) -> list[tuple[int, bytes, bytes]]:
+    """One row per receiver."""
+    by: dict[int, list] = {}
+    for r, text, body in rows:
+        by.setdefault(r, []).append((text, body))
+    out = []
+    for r, parts in by.items():
+        text = np.concatenate([_from_columns(t, TEXT) for t, _ in parts])
+        out.append((r, _by_column(text), squeezed(b"".join(unsqueezed(b) for _, b in parts))))
+    return out
+
+
+def _gathered(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    return data[place]
+
+
 def squeezed(data: bytes) -> bytes:
     """Compressed for the way to another task; its length comes first."""
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
@@ -396,29 +455,55 @@ def _distinct(head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, order[start]
 
 
+def _heads(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All runs that a shard was told of, which row each came with, and the rows' chunks."""
+    parts = [_from_columns(p.as_py(), RUN) for p in table.column("packed")]
+    sender = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    return np.concatenate(parts or [np.empty(0, RUN)]), sender, table.column("chunk").to_numpy()
+
+
+def _for_index(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which distinct runs need the index, and which are answered by their number alone.
+
+    Keys with one content have nothing else to be compared with, but a single run
+    of several windows may repeat within itself.
+    """
+    many = np.zeros(len(runs), bool)
+    same = runs["key"][1:] == runs["key"][:-1]
+    many[1:] |= same
+    many[:-1] |= same
+    inside = np.flatnonzero(many | (runs["windows"] > 1) & (runs["several"] == 0))
+    return inside, np.flatnonzero(~many & (runs["several"] > 0))
+
+
+def _wanted(key: tuple, table: pa.Table) -> pa.Table:
+    """Each run that needs the index is asked of one of the chunks that have it."""
+    sent, sender, chunks = _heads(table)
+    runs, pick = _distinct(sent)
+    inside, _ = _for_index(runs)
+    asked = np.zeros(len(inside), WANTED)
+    asked["content"] = runs["content"][inside]
+    rows = [(int(chunks[s]), _by_column(asked[at])) for s, at in _dealt(sender[pick[inside]])]
+    return _rows_to(rows, FROM_WANTED)
+
+
 #: What an index answers: for each distinct run the windows that occur elsewhere, as
 #: arrays (run, low, high, id).
 Index = Callable[[np.ndarray, list[np.ndarray]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def _answers(index: Index):
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [_from_columns(p.as_py(), RUN) for p in table.column("runs")]
-        chunks = table.column("chunk").to_numpy()
-        body = np.concatenate([np.frombuffer(unsqueezed(p.as_py()), np.uint8) for p in table.column("bytes")])
-        sent = np.concatenate(parts)
-        sender = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        begin = np.cumsum(sent["size"], dtype=np.int64) - sent["size"]
-        runs, pick = _distinct(sent)
-        # Keys with one content are answered by the count; the others by the index.
-        many = np.zeros(len(runs), bool)
-        same = runs["key"][1:] == runs["key"][:-1]
-        many[1:] |= same
-        many[:-1] |= same
-        inside = np.flatnonzero(many | (runs["windows"] > 1) & (runs["several"] == 0))
-        alone = np.flatnonzero(~many & (runs["several"] > 0))
-        texts = [body[begin[p] : begin[p] + runs["size"][i]] for i, p in zip(inside.tolist(), pick[inside].tolist())]
-        found, low, high, ids = index(runs[inside], texts)
+    def run(key: tuple, table: pa.Table, texts: pa.Table) -> pa.Table:
+        sent, sender, chunks = _heads(table)
+        runs, _ = _distinct(sent)
+        inside, alone = _for_index(runs)
+        held = {}
+        for packed, body in zip(texts.column("packed"), texts.column("bytes")):
+            text, body = _from_columns(packed.as_py(), TEXT), np.frombuffer(unsqueezed(body.as_py()), np.uint8)
+            ends = np.cumsum(text["size"], dtype=np.int64)
+            for content, size, end in zip(text["content"].tolist(), text["size"].tolist(), ends.tolist()):
+                held[content] = body[end - size : end]
+        found, low, high, ids = index(runs[inside], [held[c] for c in runs["content"][inside].tolist()])
         answer = np.zeros(len(alone) + len(found), ANSWER)
         which = np.concatenate([alone, inside[found]]).astype(np.int64)
         answer["content"] = runs["content"][which]
@@ -438,13 +523,7 @@ def _answers(index: Index):
         taken = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
         back = answer[taken]
         rows = [(int(chunks[s]), _by_column(back[at])) for s, at in _dealt(np.repeat(sender, n))]
-        return pa.table(
-            {
-                "receiver": pa.array([c for c, _ in rows], pa.int64()),
-                "chunk": pa.array([-2] * len(rows), pa.int64()),
-                "packed": pa.array([p for _, p in rows], pa.binary()),
-            }
-        )
+        return _rows_to(rows, FROM_INDEX)
 
     return run
 
@@ -478,6 +557,7 @@ def covered(
     hot: int = HOT_CHUNKS,
 ) -> DataFrame:
     """One row per document: its id, and what ``finish`` makes of its units and a mask of those covered."""
+    common.ship(docs.sparkSession)
     docs = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
@@ -486,15 +566,15 @@ def covered(
     docs = docs.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(n))).groupBy("chunk")
     keys = docs.applyInArrow(_keys_of(shape, n), PACKED)
     repeated = keys.groupBy("receiver").applyInArrow(_repeated(hot), PACKED)
-    runs = docs.cogroup(repeated.groupBy("receiver")).applyInArrow(_runs_of(shape, n), RUNS)
-    answers = runs.groupBy("receiver").applyInArrow(_answers(index), PACKED)
+    back = repeated.groupBy("receiver")
+    heads = docs.cogroup(back).applyInArrow(_heads_of(shape, n), PACKED).groupBy("receiver")
+    wanted = heads.applyInArrow(_wanted, PACKED)
+    texts = docs.cogroup(repeated.unionByName(wanted).groupBy("receiver")).applyInArrow(_texts_of(shape, n), TEXTS)
+    answers = heads.cogroup(texts.groupBy("receiver")).applyInArrow(_answers(index), PACKED)
     back = repeated.unionByName(answers).groupBy("receiver")
 
     def apply(key: tuple, table: pa.Table, sent: pa.Table) -> pa.Table:
-        which = sent.column("chunk").to_numpy()
-        packed = sent.column("packed").to_pylist()
-        repeated = Repeated([p for p, w in zip(packed, which) if w == -1])
-        known = Answers([p for p, w in zip(packed, which) if w == -2])
+        repeated, known = Repeated(_packed_from(sent, FROM_KEYS)), Answers(_packed_from(sent, FROM_INDEX))
         ids, rows = _ids(table), []
         for first, part in parts_of(table):
             units = shape.units(part)
