@@ -18,13 +18,21 @@ from pyspark.sql import functions as F
 from tidebook.session import checkpoint_dir
 
 SLICE_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the executors, whose Python may run where it is not installed."""
+    """Hand this package to the executors, whose Python may run where it is not installed.
+
+    Texts may be long: unless the session says otherwise, batches for Python are
+    bounded by bytes, on both sides of the way, and not by rows alone.
+    """
+    if spark.conf.get(BATCH_LIMIT, None) is None:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
