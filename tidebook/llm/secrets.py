@@ -66,11 +66,13 @@ def random_strings(n: int = SAMPLE_TOKENS, seed: int = SEED) -> list[str]:
 def labelled_samples(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(token, is_secret): generated keys, and identifiers of a bounded sample of documents.
 
+    About ``SAMPLE_DOCUMENTS`` texts are taken by their hash, and ``SAMPLE_TOKENS`` of their words.
     Words of one case pattern, joined by nothing, ``_``, ``-`` or ``/``, stand for
     the names that programs and addresses have.
     """
-    order = F.xxhash64(F.col(text_col))
-    chosen = docs.select(text_col).filter(F.col(text_col).isNotNull()).orderBy(order).limit(SAMPLE_DOCUMENTS)
+    texts = docs.select(text_col).filter(F.col(text_col).isNotNull())
+    share = int(1e9 * min(1.0, SAMPLE_DOCUMENTS / max(1, texts.count())))
+    chosen = texts.filter(F.pmod(F.xxhash64(text_col), F.lit(1_000_000_000)) < share)
     word = F.explode(F.regexp_extract_all(text_col, F.lit(r"([A-Za-z]{4,})"), 1))
     words = chosen.select(word.alias("word")).distinct().orderBy(F.xxhash64("word"), "word")
     words = words.limit(SAMPLE_TOKENS)
