@@ -4,8 +4,8 @@ Two texts are equal when they are the same after every run of white space has
 become one blank. Each step reads on only for the rows whose group still has a
 second member:
 
-1. Rows are counted by length.
-2. Rows of a length that occurs twice are counted by the hash of a prefix.
+1. Rows are counted by length; rows alike in length and prefix are one row there.
+2. Of a length that occurs twice, the prefixes whose hash occurs twice go on.
 3. The full hash is taken only of rows whose length and prefix occur twice;
    rows are then grouped by it.
 
@@ -41,11 +41,6 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
-    counted = rows.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    return counted.filter("__rows > 1").select(*keys)
-
-
 def _marks(heads: DataFrame) -> DataFrame:
     """Bit maps of the surviving heads, at most 256 rows of 4 KB."""
     place = F.pmod("__head", F.lit(MARKS))
@@ -62,9 +57,10 @@ def exact_dedup(
     norm = normalised(F.col(text_col))
     length = F.length(norm)
     head = F.xxhash64(length, F.substring(norm, 1, prefix))
-    keys = stored(docs.select(length.alias("__length"), head.alias("__head")), "dedup-keys")
-    lengths = _repeated(keys, "__length")
-    heads = _repeated(keys.join(lengths, "__length", "left_semi"), "__length", "__head")
+    keys = docs.groupBy(length.alias("__length"), head.alias("__head")).agg(F.count("*").alias("__rows"))
+    keys = stored(keys, "dedup-keys")
+    lengths = keys.groupBy("__length").agg(F.sum("__rows").alias("__all")).filter("__all > 1")
+    heads = keys.filter("__rows > 1").join(lengths, "__length", "left_semi")
     marks = F.broadcast(stored(_marks(heads), "dedup-marks"))
 
     place = F.pmod("__head", F.lit(MARKS))
