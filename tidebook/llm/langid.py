@@ -44,7 +44,7 @@ MAX_PIECE = 8
 SAMPLE_DOCUMENTS = 600
 ROUNDS = 4
 SMOOTHING = 0.05
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 PREDICTED = "struct<lang_pred:string,score:double>"
 MASKS = np.array([(1 << (8 * n)) - 1 for n in range(MAX_PIECE)] + [2**64 - 1], np.uint64)
 
@@ -113,7 +113,7 @@ class Lattice:
         for t in range(1, self.longest + 1):
             rows = start[: self.active[t]] + t
             for size in range(1, min(MAX_PIECE, t) + 1):
-                self.edges[t, size] = pieces.find(size, value[rows - size] & MASKS[size])
+                self.edges[t, size] = pieces.find(size, value[rows - size] & MASKS[size]).astype(np.int32)
 
     def forward(self, odds: np.ndarray) -> list[np.ndarray]:
         """alpha[t]: summed probability of the first t bytes, per word and language."""
@@ -265,6 +265,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
             yield pa.StructArray.from_arrays(
                 [pa.array(found, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
             )
+            pa.default_memory_pool().release_unused()
 
     common.ship(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")

@@ -46,8 +46,8 @@ CAPACITY = 2048
 CLOSING = 0
 PARTITION_PIECES = 5_000
 ROUNDS = 4
-CACHED_WORDS = 400_000
-SLICE_BYTES = 12 << 20
+CACHED_WORDS = 200_000
+SLICE_BYTES = 4 << 20
 DUAL_STEPS = 40
 
 # A word of Latin letters, then signs other than the apostrophe: the tokenizer cuts
@@ -143,6 +143,7 @@ def token_pieces(
                 yield pa.RecordBatch.from_arrays(
                     [names, *(pa.array(c, k) for c, k in zip(columns, arrow.types[1:]))], schema=arrow
                 )
+            pa.default_memory_pool().release_unused()
 
     schema = T.StructType(
         [
