@@ -83,3 +83,16 @@ def test_deep_and_long_pages_end():
     assert h.main_text("<div>" * 3000 + "text " * 100_000, None).count("text") == 100_000
     assert h.main_text("<p><span>a " * 50_000, None).count("a") == 50_000
     assert h.main_text("<div class='x'><span>a " * 50_000, None).count("a") == 50_000
+
+
+def test_article_classes_that_differ_on_a_host(spark):
+    usual = "<body><article class='post {}'><h1>Title</h1><p>{}</p></article></body>"
+    body = "The text of this page, which is long enough to count."
+    rows = [(i, "http://c/", usual.format("category-news", body)) for i in range(5)]
+    rows.append((6, "http://c/", usual.format("category-sport format-video", body)))
+    rows.append((7, "http://c/", f"<body class=x><!-- <article> --><div><p>{body}</p></div></body>"))
+    rows.append((8, "http://c/", f"<body><article class='post category-news'></article><div><p>{body}</p></div></body>"))
+    got = found(spark, rows)
+    assert got[0] == got[6] == f"Title\n\n{body}"
+    assert got[7] == body
+    assert got[8] == ""

@@ -10,7 +10,8 @@
 3. Spark adds the proposals up by host and path; the path with the highest sum wins.
    A page gives each path at most one vote in all, so long pages do not outvote.
 4. Each page is read again: its text is that of its containers with the host's
-   winning path. A page without such a container uses its own best one.
+   winning path, and empty where those hold no text. A page that opens no element of
+   that path uses its own best container.
 
 Inside a block white space becomes one blank; ``br`` is white space. Character
 references are decoded. Blocks are joined in page order by two line feeds.
@@ -111,6 +112,7 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[tuple[_Element, str, int]] = []
+        self.opened: set[str] = set()
         self.at = self.root = _Element("page", "", None)
         self.pieces: list[str] = []
         self.linked, self.links = 0, 0
@@ -165,6 +167,8 @@ class Page:
             self.links = 1
         if self.at.depth < MAX_DEPTH and (not attributes.endswith("/") or tag in BLOCK):
             self.at = _Element(tag, attributes, self.at)
+            if not self.at.left_out:
+                self.opened.add(self.at.path)
 
     def _close(self, tag: str) -> None:
         if tag in BLOCK:
@@ -200,33 +204,21 @@ class Page:
             text for block, text, _ in self.blocks if block.path == path or block.path.startswith(inside)
         )
 
-    def has(self, path: str) -> bool:
-        inside = path + ">"
-        return any(block.path == path or block.path.startswith(inside) for block, _, _ in self.blocks)
-
 
 CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dt dd td th tr tbody table ul ol dl figcaption figure".split())
 
 
 def main_text(source: str, winner: str | None) -> str:
     page = Page(source)
-    if winner and page.has(winner):
-        return page.text_of(winner)
     # An element of the winning path may be there without text: then the page has none.
-    if winner and _empty_container(source, winner):
-        return ""
+    if winner and (winner in page.opened or winner == page.root.path):
+        return page.text_of(winner)
     shares = page.shares()
     if shares:
         return page.text_of(min(shares, key=lambda path: (-shares[path], path)))
     return "\n\n".join(text for _, text, _ in page.blocks)
 
 
-def _empty_container(source: str, winner: str) -> bool:
-    """Whether the page opens the winner's last element, judged by its tag when that is a telling one."""
-    tag = winner.rpartition(">")[2].partition(".")[0]
-    return tag in ("article", "main") and re.search(rf"<{tag}\b", source, re.IGNORECASE) is not None
-
-
 def host(url: Column) -> Column:
     """The host in lower case, without user, port and a leading ``www.``; empty where there is none."""
     found = F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
