@@ -96,3 +96,29 @@ def test_article_classes_that_differ_on_a_host(spark):
     assert got[0] == got[6] == f"Title\n\n{body}"
     assert got[7] == body
     assert got[8] == ""
+
+
+P, LI = "<p>" + "paragraph " * 40 + "</p>", "".join(f"<li>item {i} of a list with some words</li>" for i in range(40))
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        f"<h1>Head</h1>{P}<ul>{LI}</ul>",
+        f"<h1>Head</h1>{P}<blockquote>{P * 4}</blockquote><p>Last words.</p>",
+        f"<h1>Head</h1>{P}<table>{''.join(f'<tr><td>cell {i} of the table, and more</td></tr>' for i in range(50))}</table>",
+        f"<section class=lead>{P}</section><section class=body><h2>Next</h2>{P * 3}</section>",
+        f"<h1>Head</h1><div class=body>{P * 3}</div>",
+        "".join(f"<div class='part{chr(97 + i)}'>{P}</div>" for i in range(9)),
+    ],
+)
+@pytest.mark.parametrize("outer", ["article", "div"])
+def test_no_part_of_the_container_wins_over_it(inner, outer):
+    source = f"<body><nav>Menu</nav><div class=wrap><{outer}>{inner}</{outer}></div><footer>Foot</footer></body>"
+    whole = "\n\n".join(t for _, t, _ in h.Page(source).blocks)
+    assert h.main_text(source, None) == whole
+    shares = h.Page(source).shares()
+    assert h.main_text(source, max(shares, key=shares.get)) == whole
+    other = source.replace(inner, f"<h1>Other</h1>{P}<ul><li>one</ul>")
+    if outer == "article":
+        assert h.main_text(other, max(shares, key=shares.get)).startswith("Other")

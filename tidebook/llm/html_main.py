@@ -5,8 +5,11 @@
    ``post-17`` and ``post-18`` are one path. Parts that are never main text (menus,
    headers, footers, sidebars, notices, adverts, forms, scripts, comments of
    readers) are recognised by tag, role and class and left out.
-2. A block's length, less what is inside links, counts for its parent and half for
-   its grandparent. A page proposes its best containers, with their shares.
+2. A block's length, less what is inside links, counts for its container and half for
+   the next one around it. Lists, tables, quotes, figures and sections are content, not
+   containers. What a container got goes to the article around it, and on to ancestors
+   of which it holds nearly all, apart from headings and text that stand beside it.
+   A page proposes all its containers, with their shares.
 3. Spark adds the proposals up by host and path; the path with the highest sum wins.
    A page gives each path at most one vote in all, so long pages do not outvote.
 4. Each page is read again: its text is that of its containers with the host's
@@ -44,6 +47,10 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre section summary table tbody td tfoot "
     "th thead tr ul".split()
 )
+CONTENT = frozenset(
+    "p h1 h2 h3 h4 h5 h6 hgroup li blockquote pre dt dd td th tr tbody thead tfoot caption table ul ol dl figcaption "
+    "figure section details summary".split()
+)
 LEFT_OUT_TAGS = frozenset(
     "head title nav aside footer form button select option dialog menu label fieldset audio video".split()
 )
@@ -76,14 +83,16 @@ TOKEN = re.compile(
 )
 MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
-CANDIDATES = 4
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: A container goes up to an ancestor in which others hold no more than this part of the text.
+OTHERS = 0.1
 #: Elements nested deeper are read as if they were not there, their text stays.
 MAX_DEPTH = 200
 MIN_LENGTH = 20
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "inside", "left_out", "path")
+    __slots__ = ("tag", "parent", "depth", "inside", "left_out", "path", "container")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
         self.tag, self.parent = tag, parent
@@ -94,6 +103,7 @@ class _Element:
         name = ".".join([tag, *sorted(re.sub(r"\d+", "#", c) for c in classes)])
         self.path = f"{parent.path}>{name}" if parent else name
         self.left_out = bool(parent and parent.left_out) or self._marked(marks, classes)
+        self.container: _Element = parent.container if parent and (tag in CONTENT or tag not in BLOCK) else self
 
     def _marked(self, marks: dict, classes: list[str]) -> bool:
         if self.tag in ("html", "body", "main", "article"):
@@ -185,18 +195,35 @@ class Page:
 
     def shares(self) -> dict[str, float]:
         """Each container path's part of all that the page's blocks count."""
-        score: dict[str, float] = defaultdict(float)
+        score: dict[_Element, float] = defaultdict(float)
+        direct: dict[_Element, list[int]] = defaultdict(lambda: [0, 0])
         for block, text, linked in self.blocks:
-            plain = len(text) - linked
+            plain, inner = len(text) - linked, block.container
+            direct[inner][block.tag in HEADINGS] += plain
             if plain < MIN_LENGTH or 2 * linked > len(text):
                 continue
-            inner = block.parent if block.tag in CONTENT and block.parent is not None else block
-            score[inner.path] += plain
+            score[inner] += plain
             if inner.parent is not None:
-                score[inner.parent.path] += plain / 2
+                score[inner.parent.container] += plain / 2
+        # By path: text that stands in the container itself, and all text and all headings inside it.
+        own: dict[str, int] = defaultdict(int)
+        held: dict[str, int] = defaultdict(int)
+        heads: dict[str, int] = defaultdict(int)
+        for inner, (text_, headings) in direct.items():
+            own[inner.path] += text_
+            at: _Element | None = inner
+            while at is not None:
+                held[at.path] += text_ + headings
+                heads[at.path] += headings
+                at = at.parent
         total = sum(score.values())
-        best = sorted(score, key=lambda path: (-score[path], path))[:CANDIDATES]
-        return {path: score[path] / total for path in best}
+        shares: dict[str, float] = defaultdict(float)
+        whole: dict[str, str] = {}
+        for element, points in score.items():
+            if element.path not in whole:
+                whole[element.path] = _whole(element, own, held, heads)
+            shares[whole[element.path]] += points / total
+        return dict(shares)
 
     def text_of(self, path: str) -> str:
         inside = path + ">"
@@ -205,7 +232,25 @@ class Page:
         )
 
 
-CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dt dd td th tr tbody table ul ol dl figcaption figure".split())
+def _whole(element: _Element, own: dict[str, int], held: dict[str, int], heads: dict[str, int]) -> str:
+    """Path of the container to which an element's text belongs, with what stands beside it."""
+    around = {}
+    at: _Element | None = element
+    while at is not None:
+        around.setdefault(at.tag, at)
+        at = at.parent
+    at = chosen = around.get("article") or around.get("main") or element
+    others = 0
+    while at.parent is not None:
+        up = at.parent
+        joined = own[up.path] + heads[up.path] - heads[at.path]
+        others += held[up.path] - held[at.path] - joined
+        if others > OTHERS * held[up.path]:
+            break
+        if joined or (others and up.tag not in ("html", "body", "page")):
+            chosen = up
+        at = up
+    return chosen.path
 
 
 def main_text(source: str, winner: str | None) -> str:
