@@ -122,3 +122,25 @@ def test_no_part_of_the_container_wins_over_it(inner, outer):
     other = source.replace(inner, f"<h1>Other</h1>{P}<ul><li>one</ul>")
     if outer == "article":
         assert h.main_text(other, max(shares, key=shares.get)).startswith("Other")
+
+
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        ("<h2 id='related-work'>a</h2><h2 id=legal>b</h2><p id='search'>c</p>", "a\n\nb\n\nc"),
+        ("<section id='legal-history'><p>a</p></section><p class='notice-period'>b</p>", "a\n\nb"),
+        ("<div id='search-results-we-found'>a</div><div class='content-with-sidebar'>b</div>", "a\n\nb"),
+        ("<div class='share-buttons'>a</div><div id=related>b</div><div class='ad-300x250 big'>c</div>d", "d"),
+        ("<div role='navigation'>a</div><div class='post-comments'>b</div><div id='skip-link'>c</div>d", "d"),
+        ("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p>", "a x=1 b"),
+        ("<object data=x><param name=y>a</object><canvas>b</canvas>", "ab"),
+        ("<div><svg><path d='M0'/><text>no</text></svg>a</div>b", "a\n\nb"),
+        ("<div><svg><path d='M0'>no</div><p>a</p>", "a"),
+        ("<svg><g><text>no<p>a</p><math><mi>x<p>b</p>", "a\n\nx\n\nb"),
+        ("<svg><foreignObject><div>no</div></foreignObject></svg>a", "a"),
+        ("<object><p>a</p></div><canvas><div>b</div>c", "a\n\nb\n\nc"),
+    ],
+)
+def test_only_named_parts_are_left_out(inner, text):
+    page_ = h.Page(f"<body><article>{inner}</article></body>")
+    assert "\n\n".join(t for _, t, _ in page_.blocks) == text

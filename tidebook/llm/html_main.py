@@ -3,8 +3,9 @@
 1. Each page is cut into blocks of text. A block's path lists the tags and classes
    of the elements around it, generalised: digits in a class are replaced, so that
    ``post-17`` and ``post-18`` are one path. Parts that are never main text (menus,
-   headers, footers, sidebars, notices, adverts, forms, scripts, comments of
-   readers) are recognised by tag, role and class and left out.
+   headers, footers, sidebars, notices, adverts, forms, scripts, drawings, comments
+   of readers) are recognised by tag, role, class and id and left out. A class, id or
+   role counts as a whole: ``share-buttons`` names such a part, ``legal-history`` not.
 2. A block's length, less what is inside links, counts for its container and half for
    the next one around it. Lists, tables, quotes, figures and sections are content, not
    containers. What a container got goes to the article around it, and on to ancestors
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from tidebook.llm import common
 
 # Element kinds, and words in a class, id or role that mark what is not main text.
-RAW = ("script", "style", "template", "textarea", "noscript", "iframe", "svg", "math", "object", "canvas")
+RAW = ("script", "style", "template", "textarea", "noscript", "iframe")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body center caption dd details dialog div dl dt fieldset figcaption figure "
@@ -52,7 +53,7 @@ CONTENT = frozenset(
     "figure section details summary".split()
 )
 LEFT_OUT_TAGS = frozenset(
-    "head title nav aside footer form button select option dialog menu label fieldset audio video".split()
+    "head title nav aside footer form button select option dialog menu label fieldset audio video svg".split()
 )
 LEFT_OUT_WORDS = frozenset(
     "ad ads adv advert advertisement advertising adsense sponsor sponsored sponsors promo promoted promotion banner "
@@ -62,6 +63,18 @@ LEFT_OUT_WORDS = frozenset(
     "topbar toolbar pagination pager skip legal copyright complementary contentinfo".split()
 )
 HEADER_WORDS = frozenset("header masthead".split())
+#: Words that make a known compound with those above, as in ``share-buttons``; any other keeps the element.
+BESIDE_WORDS = frozenset(
+    "area bar block blocks box boxes btn button buttons card cards center column container fixed global google group "
+    "holder icon icons inner inline item items large left link links list lists main md menu mobile module mw outer "
+    "page panel post posts primary right row secondary section site slot small sticky story stories tertiary tools "
+    "top bottom unit wp wrap wrapper x form entry article articles text".split()
+)
+COMPOUNDS = frozenset("skip-to-content skip-to-main skip-to-main-content".split())
+#: Tags that end an svg or math element left open, as in browsers, and tags inside them that hold plain markup.
+BREAKOUT = BLOCK | frozenset("b big br code em embed head i img meta nobr ruby s small span strike strong sub sup tt u".split())
+FOREIGN = frozenset("svg math".split())
+PLAIN_INSIDE = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 CLOSED_BY = {
     "p": BLOCK - {"body", "html"},
     "li": frozenset({"li"}),
@@ -82,7 +95,8 @@ TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-WORD = re.compile(r"[a-z]+")
+WORD = re.compile(r"[^\W\d_]+")
+SLUGGED = frozenset("p h1 h2 h3 h4 h5 h6 hgroup".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: A container goes up to an ancestor in which others hold no more than this part of the text.
 OTHERS = 0.1
@@ -92,7 +106,7 @@ MIN_LENGTH = 20
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "inside", "left_out", "path", "container")
+    __slots__ = ("tag", "parent", "depth", "inside", "left_out", "path", "container", "foreign")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
         self.tag, self.parent = tag, parent
@@ -103,6 +117,8 @@ class _Element:
         name = ".".join([tag, *sorted(re.sub(r"\d+", "#", c) for c in classes)])
         self.path = f"{parent.path}>{name}" if parent else name
         self.left_out = bool(parent and parent.left_out) or self._marked(marks, classes)
+        inner = parent.foreign if parent and tag not in PLAIN_INSIDE else None
+        self.foreign: _Element | None = self if tag in FOREIGN else inner
         self.container: _Element = parent.container if parent and (tag in CONTENT or tag not in BLOCK) else self
 
     def _marked(self, marks: dict, classes: list[str]) -> bool:
@@ -112,9 +128,20 @@ class _Element:
             return True
         if self.tag == "header" and not self.inside:
             return True
-        names = [*classes, marks.get("id", "").lower(), marks.get("role", "").lower()]
-        words = {w for name in names for w in WORD.findall(name)}
-        return bool(words & LEFT_OUT_WORDS) or bool(words & HEADER_WORDS and not self.inside)
+        tokens = [*classes, *marks.get("role", "").lower().split()]
+        # Ids of headings and paragraphs in an article are made from its text.
+        if not (self.inside and self.tag in SLUGGED):
+            tokens += marks.get("id", "").lower().split()
+        return any(_names_left_out(token, self.inside) for token in tokens)
+
+
+def _names_left_out(token: str, inside: bool) -> bool:
+    """Whether all of a class, id or role names what is never main text."""
+    if token in COMPOUNDS:
+        return True
+    words = set(WORD.findall(token))
+    named = words & (LEFT_OUT_WORDS if inside else LEFT_OUT_WORDS | HEADER_WORDS)
+    return bool(named) and words <= named | BESIDE_WORDS
 
 
 class Page:
@@ -160,6 +187,8 @@ class Page:
         self.linked = 0
 
     def _open(self, tag: str, attributes: str) -> None:
+        if self.at.foreign is not None and tag in BREAKOUT and self.at.foreign.parent is not None:
+            self.at = self.at.foreign.parent
         if tag == "br":
             self._text(" ")
             return
