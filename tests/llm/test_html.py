@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from tidebook.llm import html_main as h
@@ -144,3 +146,30 @@ def test_no_part_of_the_container_wins_over_it(inner, outer):
 def test_only_named_parts_are_left_out(inner, text):
     page_ = h.Page(f"<body><article>{inner}</article></body>")
     assert "\n\n".join(t for _, t, _ in page_.blocks) == text
+
+
+@pytest.mark.parametrize("tag", ["div", "blockquote", "span"])
+@pytest.mark.parametrize("n", [150, 250, 3000])
+def test_end_tags_match_at_any_depth(tag, n):
+    nested = f"<{tag}>" * n + "deep<div class=ad>advert</div><!-- c -->words" + f"</{tag}>" * n
+    article = f"<article><div class=body><p>First paragraph of it.</p>{nested}<p>After that it goes on.</p></div></article>"
+    page_ = h.Page(f"<body><div>{article}</div><footer>no</footer></body>")
+    text = "\n\n".join(t for _, t, _ in page_.blocks)
+    assert text == "First paragraph of it.\n\ndeep\n\nwords\n\nAfter that it goes on."
+    assert page_.text_of("page>body>div>article") == text
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<div>" * 100_000 + "</section>a" * 50_000,
+        "<b><div>" + "<x>" * 100_000 + "</b>a<hr>" * 50_000,
+        "<li>" + "<x>" * 100_000 + "a<hr>" * 50_000,
+        "<div class='x'>a" * 100_000 + "</div>" * 100_000,
+        "<svg>" * 100_000 + "<p>a" * 50_000,
+    ],
+)
+def test_deep_markup_takes_no_square_time(source):
+    started = time.process_time()
+    assert h.main_text(source, None).count("a") >= 50_000
+    assert time.process_time() - started < 20

@@ -100,13 +100,13 @@ SLUGGED = frozenset("p h1 h2 h3 h4 h5 h6 hgroup".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: A container goes up to an ancestor in which others hold no more than this part of the text.
 OTHERS = 0.1
-#: Elements nested deeper are read as if they were not there, their text stays.
+#: Elements nested deeper share the path of the one at this depth.
 MAX_DEPTH = 200
 MIN_LENGTH = 20
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "inside", "left_out", "path", "container", "foreign")
+    __slots__ = ("tag", "parent", "depth", "inside", "left_out", "path", "holder", "block", "container", "foreign")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
         self.tag, self.parent = tag, parent
@@ -114,12 +114,18 @@ class _Element:
         self.inside = bool(parent and (parent.inside or parent.tag in ("article", "main")))
         marks = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in MARKS.finditer(attributes)} if attributes else {}
         classes = marks.get("class", "").lower().split()
-        name = ".".join([tag, *sorted(re.sub(r"\d+", "#", c) for c in classes)])
-        self.path = f"{parent.path}>{name}" if parent else name
+        # The element whose path this is, itself unless nested too deep.
+        self.holder: _Element = parent.holder if parent and self.depth > MAX_DEPTH else self
+        if self.holder is self:
+            name = ".".join([tag, *sorted(re.sub(r"\d+", "#", c) for c in classes)])
+            self.path = f"{parent.path}>{name}" if parent else name
+        else:
+            self.path = self.holder.path
         self.left_out = bool(parent and parent.left_out) or self._marked(marks, classes)
         inner = parent.foreign if parent and tag not in PLAIN_INSIDE else None
-        self.foreign: _Element | None = self if tag in FOREIGN else inner
-        self.container: _Element = parent.container if parent and (tag in CONTENT or tag not in BLOCK) else self
+        self.foreign: _Element | None = inner or (self if tag in FOREIGN else None)
+        self.block: _Element = parent.block if parent and tag not in BLOCK else self
+        self.container: _Element = parent.container if parent and (tag in CONTENT or tag not in BLOCK) else self.holder
 
     def _marked(self, marks: dict, classes: list[str]) -> bool:
         if self.tag in ("html", "body", "main", "article"):
@@ -151,6 +157,9 @@ class Page:
         self.blocks: list[tuple[_Element, str, int]] = []
         self.opened: set[str] = set()
         self.at = self.root = _Element("page", "", None)
+        # Open elements by tag, innermost last, and the open scopes: end tags are matched at any depth.
+        self.stack: dict[str, list[_Element]] = defaultdict(list)
+        self.scopes = [self.root]
         self.pieces: list[str] = []
         self.linked, self.links = 0, 0
         done = 0
@@ -179,33 +188,31 @@ class Page:
         if self.pieces:
             text = " ".join(html.unescape("".join(self.pieces)).split())
             if text:
-                block = self.at
-                while block.tag not in BLOCK and block.parent is not None:
-                    block = block.parent
-                self.blocks.append((block, text, min(self.linked, len(text))))
+                self.blocks.append((self.at.block, text, min(self.linked, len(text))))
             self.pieces = []
         self.linked = 0
 
     def _open(self, tag: str, attributes: str) -> None:
-        if self.at.foreign is not None and tag in BREAKOUT and self.at.foreign.parent is not None:
-            self.at = self.at.foreign.parent
+        if self.at.foreign is not None and tag in BREAKOUT:
+            self._leave(self.at.foreign)
         if tag == "br":
             self._text(" ")
             return
         if tag in BLOCK:
             self._end_block()
-            at = self.at
-            while at.parent is not None and at.tag not in SCOPES:
-                if tag in CLOSED_BY.get(at.tag, ()):
-                    self.at = at.parent
-                    break
-                at = at.parent
+            closed = [self.stack[t][-1] for t, by in CLOSED_BY.items() if tag in by and self.stack[t]]
+            nearest = max(closed, key=lambda element: element.depth, default=None)
+            if nearest is not None and nearest.depth > self.scopes[-1].depth:
+                self._leave(nearest)
         if tag in VOID:
             return
         if tag == "a":
             self.links = 1
-        if self.at.depth < MAX_DEPTH and (not attributes.endswith("/") or tag in BLOCK):
+        if not attributes.endswith("/") or tag in BLOCK:
             self.at = _Element(tag, attributes, self.at)
+            self.stack[tag].append(self.at)
+            if tag in SCOPES:
+                self.scopes.append(self.at)
             if not self.at.left_out:
                 self.opened.add(self.at.path)
 
@@ -214,13 +221,16 @@ class Page:
             self._end_block()
         if tag == "a":
             self.links = 0
-        at = self.at
-        while at.parent is not None and at.tag != tag:
-            if tag not in SCOPES and at.tag in SCOPES:
-                return
-            at = at.parent
-        if at.parent is not None:
-            self.at = at.parent
+        if self.stack[tag] and (tag in SCOPES or self.stack[tag][-1].depth > self.scopes[-1].depth):
+            self._leave(self.stack[tag][-1])
+
+    def _leave(self, element: _Element) -> None:
+        """Close an open element and all that is open inside it."""
+        while self.at.depth >= element.depth and self.at.parent is not None:
+            self.stack[self.at.tag].pop()
+            if self.at.tag in SCOPES:
+                self.scopes.pop()
+            self.at = self.at.parent
 
     def shares(self) -> dict[str, float]:
         """Each container path's part of all that the page's blocks count."""
