@@ -72,3 +72,51 @@ def test_empty_table_and_one_sided_sample(spark):
     model = secrets.RatioModel.fit(lone)
     assert not model.is_secret("Zx8qLk2Vb9TnRw4Yc7Pd1Gf6Hj3M")
     assert secrets.find_secrets(documents(spark, []), model).collect() == []
+
+
+def keys(alphabet: str, size: int, n: int = 400) -> list[str]:
+    rng = random.Random(size)
+    return ["".join(rng.choices(alphabet, k=size)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("alphabet", [string.ascii_letters, string.ascii_letters + string.digits])
+@pytest.mark.parametrize(("size", "share"), [(12, 0.8), (16, 0.95), (20, 0.98), (24, 0.99), (40, 0.99)])
+@pytest.mark.parametrize("before", ["", "www-very/long/path_of/the-server/where_it/stands/"])
+def test_keys_of_letters_short_ones_and_those_in_paths(model, alphabet, size, share, before):
+    found = 0
+    for key in keys(alphabet, size):
+        text = f"é see {before}{key} there"
+        found += any(text[a:b].endswith(key) and k == 3 for a, k, b in secrets.spans_of(text, model))
+    assert found >= share * 400
+
+
+def test_words_and_numbers_are_no_secrets(model):
+    plain = "2024 2024-05-17 1234567890123 +49 711 1234567 (509) 555-1234 COVID-19 ISO-8859-1 192.168.10.24 12.5% A4 I a == = -- //"
+    assert secrets.spans_of(plain, model) == []
+    assert sum(len(secrets.spans_of(prose(i, 2_000), model)) for i in range(50)) == 0
+
+
+def test_tokens_by_vector_are_those_by_pattern(model, monkeypatch):
+    """Whole tokens against a scan by a regular expression, at any size of pieces."""
+    rng = random.Random(5)
+    for n in range(300):
+        text = "".join(rng.choices("aZ9+/_-= é日^.\n", weights=[9, 9, 9, 1, 2, 2, 2, 3, 2, 1, 1, 1, 1, 1], k=rng.randint(0, 80)))
+        whole = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_-]+={0,2}", text) if model.is_secret(m[0])]
+        assert model.secrets_in(text)[0] == whole
+        got = secrets.spans_of(text, model)
+        assert got == sorted(set(got))
+        assert all(a >= c for (_, _, c), (a, _, _) in zip(got, got[1:]))
+        monkeypatch.setattr(secrets, "PIECE", 7)
+        assert secrets.spans_of(text, model) == got
+        monkeypatch.undo()
+
+
+def test_padded_keys(model):
+    for key in keys(string.ascii_letters + string.digits + "+/", 30, 100):
+        assert [(a, b) for a, _, b in secrets.spans_of(f"a {key}== b", model)] == [(2, 34)]
+
+
+def test_uncovered_parts_beside_a_rule(model):
+    key = "Zx8qLk2Vb9TnRw4Yc7Pd1Gf6Hj3M"
+    text = f"the/path/{'0123456789abcdef' * 2}/{key}"
+    assert [(k, text[a:b]) for a, k, b in secrets.spans_of(text, model)] == [(2, "0123456789abcdef" * 2), (3, key)]

@@ -1,8 +1,11 @@
 """Secrets in texts: three fixed rules, and Markov models of characters for the rest.
 
 Two models of character pairs, one of random strings and one of ordinary
-identifiers, are counted in Spark from labelled samples. A token is a secret when
-the logarithm of the ratio of its likelihoods under the two is high enough.
+identifiers and numbers, are counted in Spark from labelled samples. A token is a
+secret when the logarithm of the ratio of its likelihoods under the two is high
+enough. Every token is judged, whatever its length and characters. Of a token that
+is none as a whole, the parts between ``/``, ``-`` and ``_`` are judged, those in turn
+whose mean is high enough together, or else each alone.
 
 The rules find their spans whatever the models say; the models add spans of kind
 ``random`` for tokens that no rule covers. Starts and ends count code points.
@@ -18,8 +21,10 @@ from __future__ import annotations
 import random
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +44,18 @@ ACCESS = re.compile(rf"AKIA[A-Z0-9]{{{ACCESS_MIN - 4},}}")
 HEX = re.compile(rf"[0-9a-f]{{{HEX_MIN},}}")
 KINDS = ("assign", "access", "hex", "random")
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+SEPARATORS = "/_-"
+NO_TOKEN = re.compile(r"[^A-Za-z0-9+/_=-]")
+PIECE = 1 << 20
 ALPHABET = string.ascii_letters + string.digits + "+/_-="
 SAMPLE_TOKENS = 20_000
 SAMPLE_DOCUMENTS = 2_000
 SEED = 7
 #: A token is a secret when the ratio's logarithm reaches this sum and this mean per pair.
-MIN_SUM, MIN_MEAN = 12.0, 0.5
+MIN_SUM, MIN_MEAN = 15.0, 0.5
 BACK_OFF = 5.0
+#: Part of the characters of tokens that may be any, which bounds what one pair can say.
+ANY_SHARE = 0.02
 
 FOUND = "struct<spans:array<struct<kind:string,start:long,stop:long>>>"
 
@@ -57,10 +66,11 @@ def random_strings(n: int = SAMPLE_TOKENS, seed: int = SEED) -> list[str]:
     alphabets = (
         string.hexdigits[:16],
         string.ascii_uppercase + string.digits,
+        string.ascii_lowercase + string.digits,
         string.ascii_letters + string.digits,
         string.ascii_letters + string.digits + "+/",
     )
-    return ["".join(rng.choices(alphabets[i % 4], k=rng.randint(20, 64))) for i in range(n)]
+    return ["".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(20, 64))) for i in range(n)]
 
 
 def labelled_samples(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -68,7 +78,8 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, text_col: str = "text
 
     About ``SAMPLE_DOCUMENTS`` texts are taken by their hash, and ``SAMPLE_TOKENS`` of their words.
     Words of one case pattern, joined by nothing, ``_``, ``-`` or ``/``, stand for
-    the names that programs and addresses have.
+    the names that programs and addresses have. Numbers drawn by the words' hashes,
+    alone, as dates and after capitals, stand for those that texts have.
     """
     texts = docs.select(text_col).filter(F.col(text_col).isNotNull())
     share = int(1e9 * min(1.0, SAMPLE_DOCUMENTS / max(1, texts.count())))
@@ -77,6 +88,12 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, text_col: str = "text
     words = chosen.select(word.alias("word")).distinct().orderBy(F.xxhash64("word"), "word")
     words = words.limit(SAMPLE_TOKENS)
     follower = F.reverse("word")
+
+    def number(seed: int, most: int):
+        """One to ``most`` digits."""
+        size = F.pmod(F.xxhash64("word", F.lit(seed)), F.lit(most)).cast("int") + 1
+        return F.substring(F.pmod(F.xxhash64("word", F.lit(-seed)), F.lit(10**12)).cast("string"), F.lit(1), size)
+
     joined = F.explode(
         F.array(
             F.col("word"),
@@ -85,6 +102,9 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, text_col: str = "text
             F.concat(F.lower("word"), F.lit("/"), F.lower("word"), F.lit("-"), F.lower("word")),
             F.concat(F.upper("word"), F.lit("_"), F.upper("word")),
             F.concat(F.initcap("word"), F.initcap(follower), F.lit("2")),
+            number(1, 12),
+            F.concat(number(2, 4), F.lit("-"), number(3, 2), F.lit("-"), number(4, 2)),
+            F.concat(F.upper(F.substring("word", 1, 3)), F.lit("-"), number(5, 6)),
         )
     )
     ordinary = words.select(joined.alias("token"), F.lit(False).alias("is_secret"))
@@ -118,6 +138,8 @@ class RatioModel:
         single = counts.sum(axis=1) + 1
         single /= single.sum(axis=1, keepdims=True)
         odds = (counts + BACK_OFF * single[:, None, :]) / (counts.sum(axis=2, keepdims=True) + BACK_OFF)
+        # For what the samples lack, part of a token's characters may be any.
+        odds = (1 - ANY_SHARE) * odds + ANY_SHARE / len(ALPHABET)
         return cls(np.log(odds[1] / odds[0]))
 
     def scores(self, token: str) -> tuple[float, float]:
@@ -130,10 +152,70 @@ class RatioModel:
         total, mean = self.scores(token)
         return total >= MIN_SUM and mean >= MIN_MEAN
 
+    def secrets_in(self, text: str) -> list[list[tuple[int, int]]]:
+        """Bounds of secrets: whole tokens, then parts in turn, then parts alone."""
+        # One byte per code point; what the alphabet lacks only ends tokens.
+        data = np.frombuffer(text.encode("latin-1", "replace"), np.uint8)
+        codes = CODES[data]
+        kind = KIND[data]
+        body = kind > 1
+        starts = np.flatnonzero(body & ~_after(body))
+        padding = (kind == 1) & _after(body)
+        padding |= (kind == 1) & _after(padding)
+        inside = body | padding
+        last = np.ones(len(data), bool)
+        last[:-1] = ~inside[1:] | (padding[:-1] & body[1:])
+        stops = np.flatnonzero(inside & last) + 1
+        before = _after(codes)
+        before[starts] = BEGIN
+        sums = np.zeros(len(data) + 1)
+        sums[1:] = self.table[before, codes]
+        sums[1:][~inside] = 0
+        np.cumsum(sums, out=sums)
+        first = self.table[BEGIN]
+
+        def secret(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            total = sums[b] - sums[a + 1] + first[codes[a]]
+            hot = total >= MIN_MEAN * (b - a)
+            return hot, hot & (total >= MIN_SUM)
+
+        whole = secret(starts, stops)[1]
+        part = (kind == 3) | padding & ~_after(kind == 2)
+        part_starts = np.flatnonzero((kind == 3) & ~_after(kind == 3))
+        ends = np.ones(len(data), bool)
+        ends[:-1] = ~part[1:] | (padding[:-1] & body[1:])
+        part_stops = np.flatnonzero(part & ends) + 1
+        part_stops = part_stops[np.searchsorted(part_stops, part_starts, "right")]
+        hot, alone = secret(part_starts, part_stops)
+        owner = np.searchsorted(starts, part_starts, "right")
+        begins = hot & ~(_after(hot) & (_after(owner) == owner))
+        finishes = np.ones(len(hot), bool)
+        finishes[:-1] = ~hot[1:] | begins[1:]
+        group_starts, group_stops = part_starts[begins], part_stops[hot & finishes]
+        joined = secret(group_starts, group_stops)[1]
+        bounds = (
+            (starts[whole], stops[whole]),
+            (group_starts[joined], group_stops[joined]),
+            (part_starts[alone], part_stops[alone]),
+        )
+        return [list(zip(a.tolist(), b.tolist())) for a, b in bounds]
+
+
+def _after(values: np.ndarray) -> np.ndarray:
+    """For each place the value of the one before, and zero for the first."""
+    moved = np.zeros_like(values)
+    moved[1:] = values[:-1]
+    return moved
 
-CODES = np.zeros(256, np.int64)
+
+CODES = np.zeros(256, np.uint8)
 for _i, _c in enumerate(ALPHABET + "^"):
     CODES[ord(_c)] = _i
+BEGIN = len(ALPHABET)
+#: 3 in a part of a token, 2 between parts, 1 what may end a token, 0 no token.
+KIND = np.zeros(256, np.uint8)
+for _c in ALPHABET:
+    KIND[ord(_c)] = 1 if _c == "=" else 2 if _c in SEPARATORS else 3
 
 
 def rule_spans(text: str) -> list[tuple[int, int, int]]:
@@ -151,19 +233,36 @@ def _span(match: re.Match, kind: int) -> tuple[int, int, int]:
     return match.start(), kind, match.end()
 
 
+def _pieces(text: str) -> Iterator[tuple[int, int]]:
+    """Bounds of pieces of about PIECE characters that cut no token."""
+    start = 0
+    while start < len(text):
+        end = NO_TOKEN.search(text, min(start + PIECE, len(text)))
+        stop = end.end() if end else len(text)
+        yield start, stop
+        start = stop
+
+
 def spans_of(text: str, model: RatioModel) -> list[tuple[int, int, int]]:
     found = rule_spans(text)
-    added, at = [], 0
-    for match in TOKEN.finditer(text):
-        token = match[0]
-        if token.isalpha() or token.isdigit():
-            continue
-        while at < len(found) and found[at][2] <= match.start():
-            at += 1
-        covered = any(s < match.end() and match.start() < e for s, _, e in found[max(0, at - 3) :][:8])
-        if not covered and model.is_secret(token):
-            added.append(_span(match, 3))
-    return sorted(found + added)
+    rule_starts = [start for start, _, _ in found]
+    reached = list(accumulate((stop for _, _, stop in found), max))
+
+    def free(start: int, stop: int) -> bool:
+        k = bisect_left(rule_starts, stop)
+        return not k or reached[k - 1] <= start
+
+    for at, end in _pieces(text):
+        taken: list[tuple[int, int]] = []
+        for tokens in model.secrets_in(text[at:end]):
+            added = []
+            for start, stop in tokens:
+                k = bisect_left(taken, (stop, 0))
+                if free(at + start, at + stop) and not (k and taken[k - 1][1] > start):
+                    added.append((start, stop))
+            taken = sorted(taken + added)
+        found += [(at + start, 3, at + stop) for start, stop in taken]
+    return sorted(found)
 
 
 def find_secrets(docs: DataFrame, model: RatioModel, text_col: str = "text") -> DataFrame:
