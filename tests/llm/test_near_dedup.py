@@ -93,3 +93,23 @@ def test_bands_miss_fewer_than_one_in_a_million(percent):
     rows, bands = near_dedup.band_shape(percent)
     assert rows * bands <= near_dedup.SAMPLES
     assert (1 - (percent / 100) ** rows) ** bands < 1e-6
+
+
+@pytest.mark.parametrize("known", [0, 64])
+def test_buckets_of_lone_templates_are_dealt_in_bounded_blocks(spark, monkeypatch, known):
+    """Most members share bands without a link, so nearly a whole bucket is lone."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "KNOWN", known)
+    sizes, dealt = [], near_dedup._Nodes.dealt
+
+    def spied(self, parts, refuted):
+        rows = dealt(self, parts, refuted)
+        sizes.extend(r["count"] for r in rows.groupBy("key", "lone_block", "block", "lone").count().collect())
+        return rows
+
+    monkeypatch.setattr(near_dedup._Nodes, "dealt", spied)
+    template = prose(900, 160)
+    rows = [(i, edited(template, i, 6 + i % 9)) for i in range(150)]
+    rows += [(500 + i, edited(rows[i * 7][1], 700 + i, 1)) for i in range(20)]
+    assert found(near_dedup.near_dedup(documents(spark, rows), width=3, percent=85)) == expected(rows, 3, 85)
+    assert sizes and max(sizes) <= 3 * 16

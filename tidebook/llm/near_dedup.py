@@ -15,13 +15,12 @@
    above without any error.
 4. **Links.** Each bucket's smallest node is its hub, and every member is first
    compared with the hub. Then members outside the hub's component are compared
-   with the bucket's other members by sketch, in blocks of bounded size, and one
-   pair per two components that may be linked is sent on. Each pair sent on is
-   confirmed on the two full sets. Confirmed pairs join components. If some pair
-   fails, the comparison is repeated without it and with more pairs per node, the
-   last time with all that may still be linked, so it ends with every pair in a
-   bucket confirmed, refuted, or inside one component. No step writes all pairs of a
-   bucket, and none drops any.
+   with the bucket's other members by both bitmaps, both sides in blocks of bounded
+   size, and one pair per two components that may be linked is sent on. Each pair
+   sent on is confirmed on the two full sets. Confirmed pairs join components. If some
+   pair fails, the comparison is repeated without it and with more pairs per node, the
+   last time with all that may still be linked, written in portions, so it ends with
+   every pair in a bucket confirmed, refuted, or inside one component. No step drops any.
 5. **Components** are found by alternating stars, in a few rounds on written tables.
 
 Defined cases: null texts, empty texts and texts without words have an empty set
@@ -40,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.llm import common
@@ -50,7 +49,10 @@ SKETCH_BITS = 512
 PARITY_BITS = 2048
 BLOCK = 2_000
 #: Pairs per node beyond those that join two components, round by round; the last sends all that may be linked.
-ROUNDS = (0, 8, 1 << 60)
+ROUNDS = (0, 8, None)
+#: Refuted pairs that a node carries along, so that others are chosen; all are left out afterwards.
+KNOWN = 64
+PORTION = 1 << 16
 SLICE_BYTES = 2 << 20
 SIGNATURE = "struct<n:long,fingerprint:binary,bands:array<long>,sketch:binary,parity:binary>"
 
@@ -270,12 +272,12 @@ class _Forest:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of rows with equal first two columns, over the borders of batches."""
+    """Runs of rows with equal first three columns, over the borders of batches."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        keys = [batch.column(i).to_numpy() for i in (0, 1)]
-        cuts = np.flatnonzero((keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])) + 1
-        if held and len(batch) and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in (0, 1)):
+        keys = [batch.column(i).to_numpy() for i in (0, 1, 2)]
+        cuts = np.flatnonzero(np.any([key[1:] != key[:-1] for key in keys], axis=0)) + 1
+        if held and len(batch) and any(held[-1].column(i)[-1] != batch.column(i)[0] for i in (0, 1, 2)):
             yield pa.Table.from_batches(held)
             held = []
         for a, b in zip([0, *cuts], [*cuts, len(batch)]):
@@ -288,39 +290,69 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _spanning(percent: int, extra: int):
-    """Pairs of one block of a bucket: enough to join what may be linked, and ``extra`` per node."""
+def _spanning(percent: int, extra: int | None):
+    """Pairs of two blocks of a bucket: enough to join what may be linked, and ``extra`` per node, or all."""
+    lowest = lowest_estimate(percent)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
-            lone = group.column("lone").to_numpy()
-            node, part = group.column("node").to_numpy(), group.column("component").to_numpy()
-            size, refuted = group.column("n").to_numpy(), group.column("refuted").combine_chunks()
-            parity = _matrix(group.column("parity").combine_chunks(), PARITY_BITS)
-            members = np.flatnonzero(~lone)
-            first, second, bits = [], [], []
-            for i in np.flatnonzero(lone).tolist():
-                apart = members[part[members] != part[i]]
-                differ = differing(parity[apart], parity[i])
-                ok = may_link(size[apart] + size[i], differ, percent)
-                apart, differ = apart[ok], differ[ok]
-                if refuted[i].is_valid and len(refuted[i]):
-                    fresh = ~np.isin(node[apart], refuted[i].values.to_numpy())
-                    apart, differ = apart[fresh], differ[fresh]
-                first.append(np.full(len(apart), i))
-                second.append(apart)
-                bits.append(differ / (size[apart] + size[i]))
-            if not first or not sum(map(len, first)):
-                continue
-            first, second, bits = map(np.concatenate, (first, second, bits))
-            forest, used, pairs = _Forest(), {}, []
-            for k in np.argsort(bits, kind="stable").tolist():
-                i, j = int(first[k]), int(second[k])
+    def candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each node of the lone block those of the other that may be linked, and how far they differ."""
+        lone = group.column("lone").to_numpy()
+        node, part = group.column("node").to_numpy(), group.column("component").to_numpy()
+        size, refuted = group.column("n").to_numpy(), group.column("refuted").combine_chunks()
+        parity = _matrix(group.column("parity").combine_chunks(), PARITY_BITS)
+        sketch = _matrix(group.column("sketch").combine_chunks(), SKETCH_BITS)
+        members = np.flatnonzero(~lone)
+        same = group.column("lone_block")[0] == group.column("block")[0]
+        for i in np.flatnonzero(lone).tolist():
+            apart = members[part[members] != part[i]]
+            if same:  # of a block with itself each pair once
+                apart = apart[node[apart] > node[i]]
+            # The smaller size bounds what two sets share.
+            small, large = np.minimum(size[apart], size[i]), np.maximum(size[apart], size[i])
+            apart = apart[100 * small >= percent * large]
+            apart = apart[estimate(differing(sketch[apart], sketch[i])) >= lowest]
+            differ = differing(parity[apart], parity[i])
+            ok = may_link(size[apart] + size[i], differ, percent)
+            apart, differ = apart[ok], differ[ok]
+            if refuted[i].is_valid and len(refuted[i]):
+                fresh = ~np.isin(node[apart], refuted[i].values.to_numpy())
+                apart, differ = apart[fresh], differ[fresh]
+            if len(apart):
+                yield i, apart, differ / (size[apart] + size[i])
+
+    def portions(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        node, part = group.column("node").to_numpy(), group.column("component").to_numpy()
+        first: list[np.ndarray] = []
+        second: list[np.ndarray] = []
+        bits: list[np.ndarray] = []
+        held = 0
+        for i, apart, differ in candidates(group):
+            first.append(np.full(len(apart), i, np.int32))
+            second.append(apart.astype(np.int32))
+            bits.append(differ.astype(np.float32))
+            held += len(apart)
+            if extra is None and held >= PORTION:
+                yield node[np.concatenate(first)], node[np.concatenate(second)]
+                first, second, held = [], [], 0
+            if extra is None:
+                bits = []
+        if not first:
+            return
+        i_all, j_all = np.concatenate(first), np.concatenate(second)
+        if extra is not None:
+            forest, used, chosen = _Forest(), {}, []
+            for k in np.argsort(np.concatenate(bits), kind="stable"):
+                i, j = int(i_all[k]), int(j_all[k])
                 if forest.join(int(part[i]), int(part[j])) or used.get(i, 0) < extra:
                     used[i] = used.get(i, 0) + 1
-                    pairs.append((min(node[i], node[j]), max(node[i], node[j])))
-            a, b = zip(*pairs)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                    chosen.append(k)
+            i_all, j_all = i_all[chosen], j_all[chosen]
+        yield node[i_all], node[j_all]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            for x, y in portions(group):
+                yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
     return run
 
@@ -372,32 +404,59 @@ class _Nodes:
         )
         return pairs.join(right, "b").join(left, "a").filter(passes).select("a", "b")
 
-    def cross_pairs(self, parts: DataFrame, refuted: DataFrame | None, extra: int) -> DataFrame:
-        """Pairs between the components of a bucket that its hub has not joined."""
+    def dealt(self, parts: DataFrame, refuted: DataFrame) -> DataFrame:
+        """Rows of two blocks of a bucket each: nodes outside its hub's component, and those to compare them with.
+
+        Blocks of lone nodes come first. Two of them meet once; each meets all blocks of others.
+        """
         wide = self.slots.filter("members > 2").join(parts, "node", "left")
         wide = wide.withColumn("component", F.coalesce("component", "node"))
         hub = parts.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
         wide = wide.join(hub, "hub", "left").withColumn("hub_component", F.coalesce("hub_component", "hub"))
-        blocks = F.ceil(F.col("members") / BLOCK)
-        wide = common.stored(
-            wide.select("key", "node", "component", (F.col("component") != F.col("hub_component")).alias("lone"), blocks.alias("blocks")),
-            "wide",
+        lone = F.col("component") != F.col("hub_component")
+        wide = common.stored(wide.select("key", "node", "component", lone.alias("lone")), "wide")
+        sizes = wide.groupBy("key").agg(F.count_if("lone").alias("l"), F.count_if(~F.col("lone")).alias("m"))
+        sizes = sizes.filter("l > 0").select(
+            "key", F.ceil(F.col("l") / BLOCK).alias("l"), F.ceil(F.greatest("m", F.lit(1)) / BLOCK).alias("m")
+        )
+        code = F.xxhash64("node")
+        own = F.when(F.col("lone"), F.pmod(code, F.col("l"))).otherwise(F.col("l") + F.pmod(code, F.col("m")))
+        wide = wide.join(sizes, "key").withColumn("own", own)
+        one = wide.filter("lone").select(
+            "key",
+            F.col("own").alias("lone_block"),
+            F.explode(F.sequence("own", F.col("l") + F.col("m") - 1)).alias("block"),
+            F.lit(True).alias("lone"),
+            "node",
+            "component",
+        )
+        last = F.when(F.col("lone"), F.col("own")).otherwise(F.col("l") - 1)
+        other = wide.select(
+            "key",
+            F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("lone_block"),
+            F.col("own").alias("block"),
+            F.lit(False).alias("lone"),
+            "node",
+            "component",
+        )
+        rows = one.unionByName(other).join(self.rows.select("node", "n", "parity", "sketch"), "node")
+        each = refuted.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+            refuted.select(F.col("b").alias("node"), F.col("a").alias("other"))
         )
-        lone = wide.filter("lone").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        open_keys = wide.filter("lone").select("key").distinct()
-        held = wide.join(open_keys, "key", "left_semi").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        rows = lone.unionByName(held.withColumn("lone", F.lit(False)))
-        rows = rows.join(self.rows.select("node", "n", "parity"), "node")
-        if refuted is None:
-            rows = rows.withColumn("refuted", F.lit(None).cast("array<long>"))
-        else:
-            each = refuted.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-                refuted.select(F.col("b").alias("node"), F.col("a").alias("other"))
-            )
-            rows = rows.join(each.groupBy("node").agg(F.collect_set("other").alias("refuted")), "node", "left")
-        rows = rows.select("key", "block", "lone", "node", "component", "n", "parity", "refuted")
-        dealt = rows.repartition(common.partitions(self.spark), "key", "block").sortWithinPartitions("key", "block")
-        return dealt.mapInArrow(_spanning(self.percent, extra), "a long, b long").distinct()
+        order = Window.partitionBy("node").orderBy("other")
+        each = each.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= KNOWN)
+        each = each.groupBy("node").agg(F.collect_list("other").alias("refuted")).withColumn("lone", F.lit(True))
+        rows = rows.join(each, ["node", "lone"], "left")
+        return rows.select(
+            "key", "lone_block", "block", "lone", "node", "component", "n", "parity", "sketch", "refuted"
+        )
+
+    def cross_pairs(self, parts: DataFrame, refuted: DataFrame, extra: int | None) -> DataFrame:
+        """Pairs between the components of a bucket that its hub has not joined."""
+        place = ("key", "lone_block", "block")
+        rows = self.dealt(parts, refuted).repartition(common.partitions(self.spark), *place)
+        rows = rows.sortWithinPartitions(*place)
+        return rows.mapInArrow(_spanning(self.percent, extra), "a long, b long").distinct()
 
     def components(self) -> DataFrame:
         found = self.confirmed(self.star_pairs())
@@ -405,12 +464,14 @@ class _Nodes:
         links = found.filter("linked").select("a", "b")
         parts = components(links)
         for extra in ROUNDS:
-            found = self.confirmed(common.stored(self.cross_pairs(parts, refuted, extra), "cross-pairs"))
+            pairs = common.stored(self.cross_pairs(parts, refuted, extra), "cross-pairs")
+            found = self.confirmed(pairs.join(refuted, ["a", "b"], "left_anti"))
             tally = found.agg(F.count_if("linked").alias("yes"), F.count_if(~F.col("linked")).alias("no")).first()
             if tally["yes"]:
                 joined = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
                 parts = components(joined.unionByName(found.filter("linked").select("a", "b")))
-            if not tally["no"]:
+            # Pairs refuted before stand for others as those refuted now do.
+            if tally["yes"] == pairs.count():
                 break
             refuted = refuted.unionByName(found.filter("NOT linked").select("a", "b"))
         return parts
