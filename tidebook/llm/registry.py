@@ -16,6 +16,7 @@ from tidebook.llm import (
     langid,
     near_dedup,
     packing,
+    periodic_runs,
     secrets,
     statements,
     substring_dedup,
@@ -108,6 +109,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def runs_as_rows(found: DataFrame) -> DataFrame:
+    best = F.col("runs.strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs.spans").cast("long").alias("n_runs"),
+        *(best[c].alias(c) for c in ("start", "length", "period", "exponent_milli")),
+        "runs.runs_sha256",
+        "runs.collapsed_sha256",
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs_as_rows(periodic_runs.find_runs(docs, seed=periodic_runs.cycle_seed("doc_id")))
+
+
 QUERIES = (
     op1_suffix_dedup,
     op2_decontamination,
@@ -119,6 +136,7 @@ QUERIES = (
     op8_substring_dedup,
     op9_language_id,
     op10_warc,
+    op12_periodic_runs,
 )
 
 
