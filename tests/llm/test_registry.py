@@ -20,6 +20,7 @@ COLUMNS = {
     "op9_language_id": ["doc_id", "held_out", "lang_pred", "score"],
     "op10_warc": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
     "op12_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op13_slack_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
 }
 
 

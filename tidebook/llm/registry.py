@@ -18,6 +18,7 @@ from tidebook.llm import (
     packing,
     periodic_runs,
     secrets,
+    slack_packing,
     statements,
     substring_dedup,
     suffix_dedup,
@@ -125,6 +126,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_as_rows(periodic_runs.find_runs(docs, seed=periodic_runs.cycle_seed("doc_id")))
 
 
+def op13_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = slack_packing.token_pieces(docs, public_tokenizers.path(slack_packing.TOKENIZER))
+    return slack_packing.pack(pieces)
+
+
 QUERIES = (
     op1_suffix_dedup,
     op2_decontamination,
@@ -137,6 +144,7 @@ QUERIES = (
     op9_language_id,
     op10_warc,
     op12_periodic_runs,
+    op13_slack_packing,
 )
 
 
