@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidebook.llm import (
     decontaminate,
+    divergence,
     exact_dedup,
     html_main,
     langid,
@@ -110,6 +111,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def runs_as_rows(found: DataFrame) -> DataFrame:
     best = F.col("runs.strongest")
     return found.select(
@@ -143,6 +148,7 @@ QUERIES = (
     op8_substring_dedup,
     op9_language_id,
     op10_warc,
+    op11_source_divergence,
     op12_periodic_runs,
     op13_slack_packing,
 )

@@ -48,7 +48,50 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM norm WINDOW same AS (PARTITION BY body)
 """
 
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+places AS (SELECT n, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS c FROM places GROUP BY lang, term HAVING count(DISTINCT n) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+seen AS (
+  SELECT lang, source, term, count(*) AS c FROM places JOIN (SELECT lang, term FROM kept) USING (lang, term) GROUP BY ALL
+),
+totals AS (SELECT lang, source, sum(c) AS n FROM seen GROUP BY ALL),
+probable AS (
+  SELECT g.lang, g.source, k.term, coalesce(s.c, 0) AS c,
+         1 + (CAST(1000000000 AS HUGEINT) * (coalesce(s.c, 0) + 1)) // (coalesce(t.n, 0) + l.v) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (k.c + 1)) // (l.n + l.v) AS q
+  FROM groups AS g JOIN kept AS k ON k.lang = g.lang JOIN langs AS l ON l.lang = g.lang
+  LEFT JOIN totals AS t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN seen AS s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM probable AS a JOIN probable AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+),
+rows AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups AS g JOIN groups AS h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN sums AS s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM probable WHERE c > 0 AND p > q
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM rows
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 STATEMENTS = {
     "op2_decontamination": DECONTAMINATION,
     "op6_exact_dedup": EXACT_DEDUP,
+    "op11_source_divergence": DIVERGENCE,
 }
