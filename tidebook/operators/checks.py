@@ -72,6 +72,95 @@ def enforce(checks: DataFrame) -> None:
         )
 
 
+# --- scenario, feeds and amounts ---------------------------------------------
+
+SCENARIO_GATES = (
+    ("scenario_rows", 1, "n <> 1", "n", "1"),
+    ("scenario_complete", 2, "n - complete", "complete", "n"),
+    ("scenario_months", 3, "bad_months", "coalesce(worst_months, CAST(bad_months AS STRING))", "'1..12 closed, 1 or more open'"),
+    ("scenario_name", 4, "bad_names", "coalesce(some_name, CAST(bad_names AS STRING))", "coalesce(wanted_name, 'as its months')"),
+)
+
+
+def scenario_checks(table: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """The rules of a scenario table as gate rows, whatever it holds.
+
+    Exactly one row, no empty field, months in range, a name that says the months. With
+    ``groups`` (their columns are in the table too) each group is a scenario table of its
+    own, and one without rows is judged as well.
+    """
+    by = groups.columns if groups is not None else []
+    name = F.trim(F.col("scenario"))
+    wanted = F.concat(F.col("actual_months").cast("string"), F.lit("+"), F.col("forecast_months").cast("string"))
+    complete = name.isNotNull() & F.col("fiscal_year").isNotNull() & wanted.isNotNull()
+    usable = F.col("actual_months").between(1, 12) & (F.col("forecast_months") >= 1)
+    rows = table.select(
+        *by,
+        F.lit(1).alias("one"),
+        complete.cast("int").alias("is_complete"),
+        F.when(~usable, wanted).alias("months"),
+        F.when(name != wanted, name).alias("name"),
+        F.when(name != wanted, wanted).alias("wanted"),
+    )
+    if groups is not None:
+        rows = rows.unionByName(groups.distinct(), allowMissingColumns=True)
+    found = rows.groupBy(*by).agg(
+        F.count("one").alias("n"),
+        F.coalesce(F.sum("is_complete"), F.lit(0)).alias("complete"),
+        F.count("months").alias("bad_months"),
+        F.min("months").alias("worst_months"),
+        F.count("name").alias("bad_names"),
+        F.min("name").alias("some_name"),
+        F.min("wanted").alias("wanted_name"),
+    )
+    gates = [
+        Gate("scenario", check_id, place).row(f"CAST({violations} AS INT)", observed, expected, observed)
+        for check_id, place, violations, observed, expected in SCENARIO_GATES
+    ]
+    return found.selectExpr(*by, f"inline(array({', '.join(gates)}))")
+
+
+def reject_checks(rejects: DataFrame, allowed: int = 0) -> DataFrame:
+    """Records that could not be read; more than ``allowed`` fail the run."""
+    found = rejects.groupBy("feed", "record_id").agg(F.count("*").alias("n")).agg(
+        F.count("*").alias("n"),
+        F.min(F.concat_ws("/", "feed", F.coalesce("record_id", F.lit("no id")))).alias("sample"),
+    )
+    gate = Gate("read", "unreadable_records", 3)
+    return _rows(found, gate.row(f"greatest(n - {allowed}, 0)", "n", str(allowed), "sample"))
+
+
+AMOUNT_OUTCOMES = ("no price", "one factor missing", "differs", "agrees")
+
+
+def amount_identity(priced: DataFrame, tolerance_cents: int = 0) -> DataFrame:
+    """Each record's amount beside the product of its quantity and unit price.
+
+    The product is exact, and rounded to cents, halves up, before it is compared. A
+    record with neither factor is no subject of the rule; one with one of them breaks it.
+    """
+    quantity, price, amount = F.col("quantity"), F.col("unit_price"), F.col("amount")
+    product = F.round(quantity * price, 2).cast("decimal(38,2)")
+    off = ((amount - product) * 100).cast("decimal(38,0)")
+    outcome = (
+        F.when(quantity.isNull() & price.isNull(), "no price")
+        .when(quantity.isNull() | price.isNull(), "one factor missing")
+        .when(F.coalesce(F.abs(off) > tolerance_cents, F.lit(True)), "differs")
+        .otherwise("agrees")
+    )
+    return priced.withColumn("product", product).withColumn("off_cents", off).withColumn("outcome", outcome)
+
+
+def amount_checks_by_record(priced: DataFrame, tolerance_cents: int = 0) -> DataFrame:
+    wrong = F.col("outcome").isin("one factor missing", "differs")
+    found = amount_identity(priced, tolerance_cents).agg(
+        F.count_if(wrong).alias("n"),
+        F.sum(F.when(wrong, F.abs("off_cents"))).alias("off"),
+        F.min(F.when(wrong, F.col("transaction_id"))).alias("sample"),
+    )
+    return _rows(found, Gate("close", "amount_is_product", 45).row("n", sample="sample"))
+
+
 # --- mapping and ledger ------------------------------------------------------
 
 

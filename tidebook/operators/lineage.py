@@ -8,9 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.operators.ledger import classify
-from tidebook.plans.scenario import shift_month
+from tidebook.operators.ledger import build_ledger, classify
+from tidebook.plans.scenario import Scenario, shift_month
 from tidebook.sources.extract import Extract, all_records
+from tidebook.sources.ids import literal_ids
 
 CLASSIFICATION = ("source_category", "business_activity", "cash_flow_section", "reporting_line")
 
@@ -45,10 +46,12 @@ def trace(
     ledger: DataFrame,
     report_lines: DataFrame,
     ids: DataFrame | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
     """Every source record (or those of ``ids``) with its rule, ledger row and line.
 
     Records that never reached the ledger are kept, with ``outcome`` saying why.
+    ``with_file`` adds the file that the record came from.
     """
     records = classify(_only(all_records(extracts), ids), mapping)
     booked = booked_once(_only(ledger, ids), report_lines)
@@ -60,6 +63,7 @@ def trace(
         "entity_id",
         "transaction_id",
         "source",
+        *(["source_file"] if with_file else []),
         "status",
         "vendor",
         "cash_date",
@@ -84,6 +88,27 @@ def trace(
     )
 
 
+def records_of_ids(
+    extracts: Sequence[Extract], mapping: DataFrame, scenario: Scenario, ids: DataFrame
+) -> tuple[list[Extract], DataFrame]:
+    """Extracts and closed ledger cut down to the ids asked for.
+
+    Up to ``LITERAL_IDS`` ids become predicates on the key columns, which the file
+    scan prunes by; more are left to the joins.
+    """
+    asked = literal_ids(ids)
+    chosen = list(extracts) if asked is None else [e.for_ids(asked) for e in extracts]
+    return chosen, build_ledger(chosen, mapping, closed_only=scenario)
+
+
+def trace_selected(
+    extracts: Sequence[Extract], mapping: DataFrame, scenario: Scenario, report_lines: DataFrame, ids: DataFrame
+) -> DataFrame:
+    """As ``trace`` for some ids, reading of the feeds what can hold them."""
+    chosen, ledger = records_of_ids(extracts, mapping, scenario, ids)
+    return trace(chosen, mapping, ledger, report_lines, ids)
+
+
 def id_audit(ledger: DataFrame) -> DataFrame:
     """Rows, blank ids and repeated ids of a ledger, one row."""
     per_id = ledger.groupBy(F.trim(F.coalesce("transaction_id", F.lit(""))).alias("id")).agg(

@@ -14,12 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.operators import checks, forecast, ledger, reconcile, report
+from tidebook.operators import checks, forecast, ledger, lookup, reconcile, report
 from tidebook.operators.checks import Gate
 from tidebook.plans.lines import LineBook
 from tidebook.plans.scenario import Scenario
 from tidebook.sources.constants import constant_frame
-from tidebook.sources.extract import Extract
+from tidebook.sources.extract import Extract, priced_records
 from tidebook.sources.files import exists, write_csv, write_table
 
 CLOSED, OUTSIDE = "closed", "outside"
@@ -59,6 +59,13 @@ class Inputs:
     dimensions: dict[str, DataFrame] | None = None
     #: whether all rows are of one entity, so that exports need not name it
     single_entity: bool = False
+    #: values that could not be read, and how many records may have some
+    rejects: DataFrame | None = None
+    allowed_rejects: int = 0
+    #: cents by which an amount may differ from quantity x price; None: not asked
+    amount_tolerance_cents: int | None = None
+    #: folders of the ledger tier laid out by id; 0: no such tier
+    id_buckets: int = 0
 
 
 @dataclass(frozen=True)
@@ -70,6 +77,8 @@ class Tables:
     forecast: DataFrame
     lines: DataFrame
     summary: DataFrame
+    unreadable: DataFrame | None = None
+    by_id: lookup.LedgerIndex | None = None
 
     @property
     def actuals(self) -> DataFrame:
@@ -92,6 +101,10 @@ def stage(inputs: Inputs, folder: str) -> Tables:
     full_ledger = with_window(ledger.build_ledger(inputs.extracts, inputs.mapping), scenario)
     staged_ledger = write_table(full_ledger, f"{folder}/ledger", "window", "reporting_month")
     closed = staged_ledger.filter(F.col("window") == CLOSED)
+    unreadable = None if inputs.rejects is None else write_table(inputs.rejects, f"{folder}/unreadable_values")
+    by_id = None
+    if inputs.id_buckets:
+        by_id = lookup.write_index(staged_ledger, f"{folder}/ledger_by_id", inputs.id_buckets)
     totals = write_table(ledger.monthly_totals(closed), f"{folder}/monthly_totals")
     opening = write_table(ledger.opening_balance(inputs.bank), f"{folder}/opening_balance")
 
@@ -109,7 +122,7 @@ def stage(inputs: Inputs, folder: str) -> Tables:
         report.monthly_summary(lines, opening, book), f"{folder}/cash_summary", "amount_type"
     )
     return Tables(
-        folder.rsplit("/", 1)[-1], staged_ledger, totals, opening, projected, lines, summary
+        folder.rsplit("/", 1)[-1], staged_ledger, totals, opening, projected, lines, summary, unreadable, by_id
     )
 
 
@@ -165,6 +178,12 @@ def run_checks(inputs: Inputs, tables: Tables, closed: DataFrame | None = None)
         ),
     ]
     parts.append(checks.agreement_notice(inputs.mapping.sparkSession, agreed.missing()))
+    if inputs.rejects is not None:
+        unreadable = inputs.rejects if tables.unreadable is None else tables.unreadable
+        parts.append(checks.reject_checks(unreadable, inputs.allowed_rejects))
+    if inputs.amount_tolerance_cents is not None:
+        priced = priced_records(inputs.extracts)
+        parts.append(checks.amount_checks_by_record(priced, inputs.amount_tolerance_cents))
     if inputs.dimensions:
         parts.append(checks.dimension_checks(inputs.dimensions))
     if agreed.control_totals is not None:
@@ -187,6 +206,15 @@ def ledger_totals(tables: Tables) -> DataFrame:
     return tables.totals.unionByName(ledger.monthly_totals(tables.forecast))
 
 
+def checked_scenario(spark: SparkSession, table: DataFrame, out_dir: str) -> Scenario:
+    """The scenario of a table. One that breaks a rule leaves its gates as a run's checks, and nothing else."""
+    found = checks.scenario_checks(table)
+    if found.filter(~F.col("passed")).take(1):
+        found = write_table(found.coalesce(1), f"{out_dir.rstrip('/')}/runs/{uuid.uuid4().hex}/checks")
+        checks.enforce(found)
+    return Scenario.from_frame(table)
+
+
 def run(spark: SparkSession, inputs: Inputs, out_dir: str) -> Tables:
     """Stage, check, enforce, publish. Raises ``GateFailure`` and publishes nothing."""
     run_id = uuid.uuid4().hex

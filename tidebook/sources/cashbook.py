@@ -12,6 +12,7 @@ from tidebook.plans.staged_run import Expectations
 from tidebook.sources import schemas
 from tidebook.sources.extract import Extract
 from tidebook.sources.files import exists, read_csv
+from tidebook.sources.quarantine import Split, all_rejects, read_text_csv, split_readable
 
 ENTITY = "company"
 AGREED_FILE = "reporting/agreed_figures.csv"
@@ -32,21 +33,37 @@ SALES = "Bitcoin sales"
 OPERATING = "Operating payments"
 CAPITAL = "Capital payments"
 DRAWS = "Loan draws"
+FILE_NAME = "file_name"
+FEEDS = (
+    ("bitcoin_sales.csv", schemas.SALES, "sale_id"),
+    ("operating_payments.csv", schemas.OPERATING_PAYMENTS, "invoice_id"),
+    ("capital_payments.csv", schemas.CAPITAL_PAYMENTS, "payment_id"),
+    ("loan_draws.csv", schemas.LOAN_DRAWS, "draw_id"),
+)
 VENDOR_SOURCES = (OPERATING, CAPITAL, DRAWS)
 
 
 class CashbookFiles:
-    """The folder layout: ``raw/``, ``transformed/`` and ``reporting/``."""
+    """The folder layout: ``raw/``, ``transformed/`` and ``reporting/``.
+
+    An extract may be one file or a folder of them. ``quarantine`` sets unreadable
+    records apart instead of failing the read; ``with_files`` has each record name the
+    file that it came from instead of its extract.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, quarantine: bool = False, with_files: bool = False):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.quarantine, self.with_files = quarantine, with_files
 
     def _read(self, path: str, schema: str) -> DataFrame:
         return read_csv(self.spark, f"{self.folder}/{path}", schema)
 
+    def scenario_table(self) -> DataFrame:
+        return self._read("reporting/forecast_scenario.csv", schemas.SCENARIO)
+
     def scenario(self) -> Scenario:
-        return Scenario.from_frame(self._read("reporting/forecast_scenario.csv", schemas.SCENARIO))
+        return Scenario.from_frame(self.scenario_table())
 
     def mapping(self) -> DataFrame:
         return self._read("transformed/activity_mapping.csv", schemas.ACTIVITY_MAPPING)
@@ -73,6 +90,8 @@ class CashbookFiles:
                 direction="inflow",
                 amount="usd_received",
                 kept="SETTLED",
+                quantity="btc_sold",
+                unit_price="usd_per_btc",
             ),
             self._extract(
                 "operating_payments.csv",
@@ -86,6 +105,8 @@ class CashbookFiles:
                 direction="outflow",
                 amount="amount_paid",
                 kept="PAID",
+                quantity="mwh",
+                unit_price="rate_per_mwh",
             ),
             self._extract(
                 "capital_payments.csv",
@@ -138,14 +159,44 @@ class CashbookFiles:
             final_balance=of_entity("final_balance"),
         )
 
+    def rejects(self) -> DataFrame | None:
+        """Values of all extracts that could not be read, where quarantine is on."""
+        if not self.quarantine:
+            return None
+        return all_rejects(*[self._split(*feed) for feed in FEEDS])
+
+    def _split(self, file: str, schema: str, record_id: str) -> Split:
+        raw = read_text_csv(self.spark, f"{self.folder}/raw/{file}", schema)
+        raw = raw.select("*", F.col("_metadata.file_name").alias(FILE_NAME))
+        return split_readable(raw, schema, file, f"trim({record_id})")
+
+    def _records(self, file: str, schema: str, record_id: str) -> DataFrame:
+        if self.quarantine:
+            return self._split(file, schema, record_id).valid
+        return self._read(f"raw/{file}", schema).select("*", F.col("_metadata.file_name").alias(FILE_NAME))
+
     def _extract(
-        self, file, schema, *, source, system, record_id, category, vendor, event_date, direction, amount, kept
+        self,
+        file,
+        schema,
+        *,
+        source,
+        system,
+        record_id,
+        category,
+        vendor,
+        event_date,
+        direction,
+        amount,
+        kept,
+        quantity=None,
+        unit_price=None,
     ) -> Extract:
         return Extract(
-            frame=self._read(f"raw/{file}", schema),
+            frame=self._records(file, schema, record_id),
             source=text_literal(source),
             source_system=text_literal(system),
-            source_file=text_literal(file),
+            source_file=FILE_NAME if self.with_files else text_literal(file),
             entity_id=text_literal(ENTITY),
             record_id=f"trim({record_id})",
             category=category,
@@ -155,4 +206,6 @@ class CashbookFiles:
             amount=amount,
             status="status",
             kept_status=kept,
+            quantity=quantity,
+            unit_price=unit_price,
         )

@@ -7,6 +7,7 @@ capital payments or credits, in one scan of ``lineitem``.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidebook.plans.lines import LAST_MONTH, PLAN_ONLY, RECURRING, Line, LineBoo
 from tidebook.plans.scenario import Scenario
 from tidebook.sources.constants import constant_frame
 from tidebook.sources.extract import UNKNOWN_ENTITY, Extract
+from tidebook.sources.ids import IdFormat
 
 SCENARIO = Scenario("9+12", fiscal_year=2000, actual_months=9, forecast_months=12)
 
@@ -51,6 +53,11 @@ MAPPING_SCHEMA = (
     "cash_flow_section string, reporting_line string"
 )
 
+ORDER_IDS = IdFormat("ORD", (("o_orderkey", "bigint"),))
+ITEM_IDS = IdFormat(
+    "LIN", (("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"))
+)
+
 SCHEMAS = {
     "orders": (
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -58,11 +65,11 @@ SCHEMAS = {
     ),
     "lineitem": (
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-        "l_extendedprice double, l_returnflag string, l_linestatus string, "
+        "l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, "
         "l_shipdate timestamp_ntz"
     ),
     "customer": "c_custkey bigint, c_nationkey int, c_acctbal double",
-    "part": "p_partkey bigint, p_type string",
+    "part": "p_partkey bigint, p_type string, p_retailprice double",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
     "nation": "n_nationkey int",
 }
@@ -85,6 +92,17 @@ def dimension_keys(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def read_with_file(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The rows with the name of the file that each came from, as Spark knows it."""
+    return read(spark, sf_dir, table).select("*", F.col("_metadata.file_name").alias("file_name"))
+
+
+def extracts_with_files(spark: SparkSession, sf_dir: str) -> list[Extract]:
+    """The extracts with each record's own file instead of the feed's name."""
+    facts = {name: read_with_file(spark, sf_dir, name) for name in ("orders", "lineitem")}
+    return [replace(e, source_file="file_name") for e in extracts(spark, sf_dir, **facts)]
+
+
 def extracts(spark: SparkSession, sf_dir: str, **facts: DataFrame) -> list[Extract]:
     """Dimension joins are left joins: an event of an unknown party must not vanish.
 
@@ -120,7 +138,8 @@ def extracts(spark: SparkSession, sf_dir: str, **facts: DataFrame) -> list[Extra
             source_system="'Order desk'",
             source_file="'orders.parquet'",
             entity_id="c_nationkey",
-            record_id="concat('ORD-', o_orderkey)",
+            record_id=ORDER_IDS.expression(),
+            id_format=ORDER_IDS,
             category="lower(trim(o_orderstatus))",
             vendor="''",
             event_date="o_orderdate",
@@ -135,7 +154,10 @@ def extracts(spark: SparkSession, sf_dir: str, **facts: DataFrame) -> list[Extra
             source_system=by_source("Credit desk", "Capital projects", "Accounts payable"),
             source_file="'lineitem.parquet'",
             entity_id="s_nationkey",
-            record_id="concat('LIN-', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)",
+            record_id=ITEM_IDS.expression(),
+            id_format=ITEM_IDS,
+            quantity="l_quantity",
+            unit_price="p_retailprice",
             category=f"CASE WHEN {credit} THEN lower(trim(l_returnflag)) ELSE trim(p_type) END",
             vendor="trim(s_name)",
             event_date="l_shipdate",
