@@ -9,6 +9,7 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_statements
 from tidebook.functions import cents, status_code
-from tidebook.operators import checks, forecast, ledger, lineage, reconcile, report
+from tidebook.operators import backtest, checks, forecast, ledger, lineage, lookup, reconcile, report, what_if
+from tidebook.operators.what_if import Change, WhatIf
 from tidebook.plans import staged_run
+from tidebook.plans.growth import Growth
 from tidebook.plans.lines import LAST_MONTH, RECURRING
 from tidebook.session import cut_lineage, scratch
-from tidebook.sources import trade
-from tidebook.sources.extract import UNKNOWN_ENTITY, kept_records
-from tidebook.sources.files import read_csv, write_csv, write_table
+from tidebook.sources import quarantine, trade
+from tidebook.sources.extract import UNKNOWN_ENTITY, kept_records, priced_records
+from tidebook.sources.files import file_order, read_csv, read_csv_placed, write_csv, write_table
+from tidebook.sources.ids import literal_ids
 
 SCENARIO, LINES = trade.SCENARIO, trade.LINES
 VENDOR_SOURCES = (trade.OPERATING, trade.CAPITAL, trade.CREDITS)
@@ -479,8 +483,7 @@ def trace_ids(spark, sf_dir):
 def trace_selected(spark, sf_dir):
     """The largest transaction of every entity and line, followed to the report."""
     book = book_of(spark, sf_dir)
-    ids = asked_ids(book)
-    traced = lineage.trace(book.extracts, book.mapping, book.actuals, book.lines, ids)
+    traced = lineage.trace_selected(book.extracts, book.mapping, SCENARIO, book.lines, asked_ids(book))
     return in_cents(traced, "amount")
 
 
@@ -491,7 +494,18 @@ def id_audit(spark, sf_dir):
 def id_presence(spark, sf_dir):
     book = book_of(spark, sf_dir)
     ids = asked_ids(book)
-    return lineage.id_presence(ids, book.extracts, book.actuals)
+    chosen, closed = lineage.records_of_ids(book.extracts, book.mapping, SCENARIO, ids)
+    return lineage.id_presence(ids, chosen, closed)
+
+
+def ledger_rows_by_id(spark, sf_dir):
+    """The asked-for ids read from a ledger tier that is laid out by id."""
+    book = book_of(spark, sf_dir)
+    index = lookup.write_index(book.full_ledger, f"{scratch(spark, 'by-id')}/ledger", buckets=32)
+    asked = literal_ids(asked_ids(book))
+    if asked is None:
+        raise ValueError("more entities and lines than ids that a lookup takes")
+    return in_cents(index.rows(spark, asked), "signed_amount")
 
 
 def trace_line_sum(spark, sf_dir):
@@ -559,6 +573,149 @@ def lines_through_csv(spark, sf_dir):
     return read_csv(spark, folder, declared)
 
 
+# Texts as a feed might bring them: by key, some values cannot be read.
+ORDER_FEED = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice decimal(18,2), o_orderdate date"
+ORDER_TEXT = (
+    "CAST(o_orderkey AS STRING) AS o_orderkey",
+    "CASE WHEN o_orderkey % 211 = 17 THEN concat('C', o_custkey) ELSE CAST(o_custkey AS STRING) END AS o_custkey",
+    "o_orderstatus",
+    "CASE WHEN o_orderkey % 97 = 5 THEN 'n/a' WHEN o_orderkey % 97 = 6 THEN '  ' "
+    "ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END AS o_totalprice",
+    "CASE WHEN o_orderkey % 89 = 3 THEN concat(date_format(o_orderdate, 'yyyy'), '-13-01') "
+    "WHEN o_orderkey % 89 = 4 THEN date_format(o_orderdate, 'yyyy') "
+    "ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS o_orderdate",
+)
+ITEM_FEED = "l_orderkey bigint, l_linenumber int, l_quantity decimal(18,2), l_extendedprice decimal(18,2), l_shipdate date"
+ITEM_TEXT = (
+    "CAST(l_orderkey AS STRING) AS l_orderkey",
+    "CAST(l_linenumber AS STRING) AS l_linenumber",
+    "CASE WHEN l_orderkey % 101 = 7 THEN '1O' ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS STRING) END AS l_quantity",
+    "CASE WHEN l_orderkey % 103 = 7 THEN concat('USD ', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)) "
+    "ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END AS l_extendedprice",
+    "date_format(l_shipdate, 'yyyy-MM-dd') AS l_shipdate",
+)
+
+
+def _feeds(spark, sf_dir):
+    orders = trade.read(spark, sf_dir, "orders").selectExpr(*ORDER_TEXT)
+    items = trade.read(spark, sf_dir, "lineitem").selectExpr(*ITEM_TEXT)
+    return (
+        quarantine.split_readable(orders, ORDER_FEED, "orders", "concat('ORD-', o_orderkey)"),
+        quarantine.split_readable(items, ITEM_FEED, "lineitem", "concat('LIN-', l_orderkey, '-', l_linenumber)"),
+    )
+
+
+def quarantined_records(spark, sf_dir):
+    """Values of two text feeds that cannot be read, with record, column and reason."""
+    return quarantine.all_rejects(*_feeds(spark, sf_dir))
+
+
+def records_past_quarantine(spark, sf_dir):
+    """What is left of the feeds: typed records, their amounts, and days without a value."""
+    orders, items = (split.valid for split in _feeds(spark, sf_dir))
+    both = orders.selectExpr("'orders' AS feed", "o_totalprice AS amount", "o_orderdate AS day").unionByName(
+        items.selectExpr("'lineitem' AS feed", "l_extendedprice AS amount", "l_shipdate AS day")
+    )
+    by_month = both.groupBy("feed", F.trunc("day", "month").alias("month")).agg(
+        F.count("*").alias("n_records"), F.count("amount").alias("n_amounts"), F.sum("amount").alias("amount")
+    )
+    return in_cents(by_month, "amount")
+
+
+WHAT_IFS = (
+    WhatIf("as is"),
+    WhatIf("more orders", {"Order cash received": Change(quantity=Decimal("1.1"))}),
+    WhatIf(
+        "dearer parts",
+        {
+            "Order cash received": Change(price=Decimal("0.85")),
+            "Parts paid": Change(quantity=Decimal("1.0375"), price=Decimal("1.2")),
+        },
+    ),
+    WhatIf("list price", {"Parts paid": Change(quantity=Decimal("0.5"), unit_price=Decimal("1234.5"))}),
+)
+
+
+def _what_ifs(spark, sf_dir):
+    book = book_of(spark, sf_dir, planned=True)
+    quantities = what_if.quantity_drivers(book.extracts, book.mapping, SCENARIO, LINES)
+    return book, what_if.what_if_lines(book.profile, SCENARIO, LINES, WHAT_IFS, book.plan, quantities)
+
+
+def what_if_lines(spark, sf_dir):
+    """Monthly lines under other quantities and prices, every what-if in one plan."""
+    return _what_ifs(spark, sf_dir)[1]
+
+
+def what_if_balances(spark, sf_dir):
+    book, changed = _what_ifs(spark, sf_dir)
+    return what_if.what_if_balances(changed, book.opening)
+
+
+GROWTH = Growth({"Order cash received": Decimal("0.015"), "Overhead paid": Decimal("0.0325")})
+
+
+def forecast_with_growth(spark, sf_dir):
+    """The planned forecast where two run rates grow by month."""
+    book = book_of(spark, sf_dir, planned=True)
+    return forecast.project_forecast(book.profile, SCENARIO, LINES, book.plan, GROWTH)
+
+
+def backtest_error(spark, sf_dir):
+    """How far the forecasts of earlier closes were off, by line and distance."""
+    cells = backtest.backtest(book_of(spark, sf_dir).profile, SCENARIO, LINES)
+    return backtest.accuracy(cells, "close_month", "months_ahead", "reporting_line")
+
+
+def amount_identity(spark, sf_dir):
+    """Amounts against quantity times list price, one cent allowed."""
+    priced = priced_records(trade.extracts(spark, sf_dir))
+    judged = checks.amount_identity(priced, tolerance_cents=1)
+    return judged.groupBy("source", "source_category", "outcome").agg(
+        F.count("*").alias("n_records"), F.sum(F.abs("off_cents")).cast("bigint").alias("off_cents")
+    )
+
+
+def exported_order(spark, sf_dir):
+    """Monthly lines from several CSV files, with the place of each row over all of them."""
+    lines = book_of(spark, sf_dir).lines
+    folder = f"{scratch(spark, 'run')}/lines"
+    order = ("reporting_month", "entity_id", "display_order")
+    write_csv(lines, folder, *order, parts=5)
+    declared = ", ".join(f"{name} {kind}" for name, kind in lines.dtypes)
+    placed = file_order(read_csv_placed(spark, folder, declared), *order)
+    return placed.select(*order, "signed_amount_usd", "rank", "in_order")
+
+
+def records_by_file(spark, sf_dir):
+    """Kept records by the file that Spark read them from."""
+    records = kept_records(trade.extracts_with_files(spark, sf_dir))
+    by_file = records.groupBy("source_file", "source").agg(
+        F.count("*").alias("n_records"), F.sum("amount").alias("amount")
+    )
+    return in_cents(by_file, "amount")
+
+
+def scenario_checks(spark, sf_dir):
+    """The scenario rules over one small table per nation: none, one or two rows, some of them wrong."""
+    nation = trade.read(spark, sf_dir, "nation")
+    groups = nation.select(F.col("n_nationkey").cast("string").alias("entity_id"))
+    proposed = nation.filter("n_nationkey % 3 > 0").selectExpr(
+        "CAST(n_nationkey AS STRING) AS entity_id",
+        "explode(sequence(1, n_nationkey % 3)) AS row",
+        "n_nationkey",
+    )
+    table = proposed.selectExpr(
+        "entity_id",
+        "CASE WHEN n_nationkey % 5 = 0 THEN NULL WHEN n_nationkey % 7 = 2 THEN '9+12' "
+        "ELSE concat(n_nationkey - 4 + row, '+', if(n_nationkey % 4 = 0, 0, 12)) END AS scenario",
+        "2000 AS fiscal_year",
+        "n_nationkey - 4 + row AS actual_months",
+        "if(n_nationkey % 4 = 0, 0, 12) AS forecast_months",
+    )
+    return checks.scenario_checks(table, groups).drop("sample_key")
+
+
 QUERIES = (
     kept_status_counts,
     canonical_ledger,
@@ -614,6 +771,17 @@ QUERIES = (
     cash_by_month_and_line,
     published_summary,
     lines_through_csv,
+    quarantined_records,
+    records_past_quarantine,
+    ledger_rows_by_id,
+    what_if_lines,
+    what_if_balances,
+    forecast_with_growth,
+    backtest_error,
+    amount_identity,
+    exported_order,
+    records_by_file,
+    scenario_checks,
 )
 
 

@@ -198,7 +198,27 @@ FROM (SELECT {keys}, CAST(sum(signed_amount_usd) AS BIGINT) AS report_usd
 FULL JOIN (SELECT {keys}, CAST(sum(signed_amount_usd) AS BIGINT) AS ledger_usd
       FROM {ledger} GROUP BY {keys}) USING ({keys})"""
 
-# One row per ledger id: how often it is booked, and its first occurrence.
+# One row per ledger id: how often it is booked, and its first occurrence. Only ids that
+# are booked more than once are put in order.
+BOOKED = """
+booked AS MATERIALIZED (
+  SELECT b.transaction_id, b.source_category, b.business_activity, b.cash_flow_section,
+    b.signed_amount_usd, reporting_month, reporting_line, l.signed_amount_usd AS line_amount_usd
+  FROM actuals b LEFT JOIN monthly_lines l USING (entity_id, reporting_month, reporting_line)
+  WHERE b.transaction_id IS NOT NULL {asked}
+),
+times AS MATERIALIZED (SELECT transaction_id, count(*) AS ledger_rows FROM booked GROUP BY transaction_id),
+first_booked AS MATERIALIZED (
+  SELECT booked.*, ledger_rows FROM booked JOIN times USING (transaction_id) WHERE ledger_rows = 1
+  UNION ALL
+  SELECT * EXCLUDE (place) FROM (
+    SELECT booked.*, ledger_rows, row_number() OVER (PARTITION BY transaction_id
+        ORDER BY reporting_month NULLS FIRST, source_category NULLS FIRST, business_activity NULLS FIRST,
+        cash_flow_section NULLS FIRST, reporting_line NULLS FIRST, signed_amount_usd NULLS FIRST,
+        line_amount_usd NULLS FIRST) AS place
+    FROM booked JOIN times USING (transaction_id) WHERE ledger_rows > 1) WHERE place = 1
+)"""
+
 TRACE = """
 SELECT r.entity_id, r.transaction_id, r.source, r.status, r.vendor, r.cash_date,
   r.source_category, CAST(r.amount * 100 AS BIGINT) AS amount_cents,
@@ -219,17 +239,128 @@ SELECT r.entity_id, r.transaction_id, r.source, r.status, r.vendor, r.cash_date,
        ELSE 'reported' END AS outcome
 FROM records r
 LEFT JOIN mapping m ON m.source = r.source AND m.category = r.source_category
-LEFT JOIN (
-  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY reporting_month NULLS FIRST,
-      source_category NULLS FIRST, business_activity NULLS FIRST, cash_flow_section NULLS FIRST,
-      reporting_line NULLS FIRST, signed_amount_usd NULLS FIRST, line_amount_usd NULLS FIRST) AS place,
-    count(*) OVER (PARTITION BY transaction_id) AS ledger_rows
-  FROM (SELECT b.transaction_id, b.source_category, b.business_activity, b.cash_flow_section,
-          b.signed_amount_usd, reporting_month, reporting_line, l.signed_amount_usd AS line_amount_usd
-        FROM actuals b
-        LEFT JOIN monthly_lines l USING (entity_id, reporting_month, reporting_line))
-  QUALIFY place = 1) a ON a.transaction_id = r.transaction_id
-"""
+LEFT JOIN first_booked a ON a.transaction_id = r.transaction_id
+{asked}"""
+
+FEEDS = """
+WITH order_feed AS (
+  SELECT 'ORD-' || o_orderkey AS id, o_custkey, o_orderkey % 211 = 17 AS bad_customer,
+    CASE WHEN o_orderkey % 97 = 5 THEN 'n/a' END AS bad_price, o_orderkey % 97 = 6 AS no_price,
+    CASE o_orderkey % 89 WHEN 3 THEN strftime(o_orderdate, '%Y') || '-13-01'
+      WHEN 4 THEN strftime(o_orderdate, '%Y') END AS bad_day,
+    CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(o_orderdate AS DATE) AS day
+  FROM orders
+),
+item_feed AS (
+  SELECT 'LIN-' || l_orderkey || '-' || l_linenumber AS id, l_orderkey % 101 = 7 AS bad_quantity,
+    l_orderkey % 103 = 7 AS bad_price, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
+    CAST(l_shipdate AS DATE) AS day
+  FROM lineitem
+)"""
+
+WHAT_IF = """
+quantities AS (
+  SELECT coalesce(CAST(s_nationkey AS VARCHAR), 'unknown') AS entity_id,
+    CASE WHEN p_type IN ('SMALL', 'MEDIUM') THEN 'Parts paid' ELSE 'Overhead paid' END AS reporting_line,
+    CAST(sum(CAST(l_quantity AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS quantity
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey
+  WHERE upper(trim(l_linestatus)) = 'F' AND coalesce(l_returnflag, '') <> 'R'
+    AND trim(p_type) IN ('SMALL', 'MEDIUM', 'ECONOMY', 'STANDARD')
+    AND l_shipdate >= TIMESTAMP '2000-07-01' AND l_shipdate < TIMESTAMP '2000-10-01'
+  GROUP BY 1, 2
+),
+changed_lines AS (
+  SELECT w.what_if, g.entity_id, g.reporting_month, g.reporting_line, g.cash_flow_section,
+    if(g.is_open, 'Forecast', 'Actual') AS amount_type,
+    CAST(CASE WHEN NOT g.is_open THEN coalesce(c.total, 0)
+      ELSE coalesce(p.amount_usd,
+        CASE WHEN w.what_if = 'more orders' AND g.reporting_line = 'Order cash received'
+               THEN CAST(round_even(r.amount_usd * 1.1, 0) AS BIGINT)
+             WHEN w.what_if = 'dearer parts' AND g.reporting_line = 'Order cash received'
+               THEN CAST(round_even(r.amount_usd * 0.85, 0) AS BIGINT)
+             WHEN w.what_if = 'dearer parts' AND g.reporting_line = 'Parts paid'
+               THEN CAST(round_even(r.amount_usd * 1.0375 * 1.2, 0) AS BIGINT)
+             WHEN w.what_if = 'list price' AND g.reporting_line = 'Parts paid'
+               THEN CAST(round_even(-(q.quantity * 0.5 * 1234.5) / 3, 0) AS BIGINT)
+             ELSE coalesce(r.amount_usd, a.amount_usd) END, 0) END AS BIGINT) AS signed_amount_usd
+  FROM grid g
+  CROSS JOIN (VALUES ('as is'), ('more orders'), ('dearer parts'), ('list price')) AS w(what_if)
+  LEFT JOIN plan p ON p.entity_id = g.entity_id AND p.reporting_month = g.reporting_month
+    AND p.reporting_line = g.reporting_line
+  LEFT JOIN run_rate r ON r.entity_id = g.entity_id AND r.reporting_line = g.reporting_line
+  LEFT JOIN last_active a ON a.entity_id = g.entity_id AND a.reporting_line = g.reporting_line
+  LEFT JOIN quantities q ON q.entity_id = g.entity_id AND q.reporting_line = g.reporting_line
+  LEFT JOIN closed_totals c ON c.entity_id = g.entity_id AND c.reporting_month = g.reporting_month
+    AND c.reporting_line = g.reporting_line
+)"""
+
+# Growth by month: each factor is the one before times 1 + rate, at twelve decimal places.
+GROWN = """
+grown(reporting_line, rate, reporting_month, factor) AS (
+  SELECT reporting_line, rate, DATE '2000-10-01', CAST(1 + rate AS DECIMAL(17,12))
+  FROM (VALUES ('Order cash received', CAST(0.015 AS DECIMAL(5,4))), ('Overhead paid', CAST(0.0325 AS DECIMAL(5,4))))
+    AS v(reporting_line, rate)
+  UNION ALL
+  SELECT reporting_line, rate, CAST(reporting_month + INTERVAL 1 MONTH AS DATE),
+    CAST(factor * (1 + rate) AS DECIMAL(17,12))
+  FROM grown WHERE reporting_month < DATE '2001-09-01'
+)"""
+
+BACKTEST = """
+SELECT close_month, CAST(months_ahead AS INTEGER) AS months_ahead, reporting_line, count(*) AS n_cells,
+  CAST(sum(forecast) AS BIGINT) AS forecast_usd, CAST(sum(actual) AS BIGINT) AS actual_usd,
+  CAST(sum(forecast - actual) AS BIGINT) AS bias_usd,
+  CAST(sum(abs(forecast - actual)) AS BIGINT) AS absolute_error_usd,
+  CASE WHEN sum(abs(actual)) > 0
+    THEN CAST(sum(abs(forecast - actual)) * 1000 // sum(abs(actual)) AS BIGINT) END AS error_milli
+FROM (
+  SELECT c.close_month, datediff('month', c.close_month, m.reporting_month) AS months_ahead, l.reporting_line,
+    CAST(coalesce(CASE l.driver_kind
+      WHEN 'recurring' THEN (SELECT round(sum(t.total) / 3.0) FROM closed_totals t
+        WHERE t.entity_id = e.entity_id AND t.reporting_line = l.reporting_line
+          AND t.reporting_month <= c.close_month AND t.reporting_month > c.close_month - INTERVAL 3 MONTH)
+      ELSE (SELECT arg_max(t.total, t.reporting_month) FROM closed_totals t
+        WHERE t.entity_id = e.entity_id AND t.reporting_line = l.reporting_line
+          AND t.reporting_month <= c.close_month) END, 0) AS BIGINT) AS forecast,
+    CAST(coalesce(a.total, 0) AS BIGINT) AS actual
+  FROM entities e
+  CROSS JOIN (SELECT reporting_month AS close_month FROM months WHERE NOT is_open) c
+  JOIN months m ON NOT m.is_open AND m.reporting_month > c.close_month
+  CROSS JOIN (SELECT * FROM lines WHERE driver_kind <> 'plan_only') l
+  LEFT JOIN closed_totals a ON a.entity_id = e.entity_id AND a.reporting_line = l.reporting_line
+    AND a.reporting_month = m.reporting_month
+  WHERE c.close_month >= DATE '2000-03-01')
+GROUP BY 1, 2, 3"""
+
+SCENARIO_CHECKS = """
+WITH proposed AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS entity_id, n_nationkey AS k, unnest(range(1, n_nationkey % 3 + 1)) AS row
+  FROM nation
+),
+rows AS (
+  SELECT entity_id, k - 4 + row AS a, if(k % 4 = 0, 0, 12) AS f,
+    (k - 4 + row) || '+' || if(k % 4 = 0, 0, 12) AS wanted,
+    CASE WHEN k % 5 = 0 THEN NULL WHEN k % 7 = 2 THEN '9+12' ELSE (k - 4 + row) || '+' || if(k % 4 = 0, 0, 12) END AS name
+  FROM proposed
+),
+found AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS entity_id, count(r.entity_id) AS n, count(r.name) AS complete,
+    count(*) FILTER (WHERE a NOT BETWEEN 1 AND 12 OR f < 1) AS bad_months,
+    min(wanted) FILTER (WHERE a NOT BETWEEN 1 AND 12 OR f < 1) AS worst,
+    count(*) FILTER (WHERE name <> wanted) AS bad_names,
+    min(name) FILTER (WHERE name <> wanted) AS name, min(wanted) FILTER (WHERE name <> wanted) AS wanted
+  FROM nation LEFT JOIN rows r ON r.entity_id = CAST(n_nationkey AS VARCHAR) GROUP BY n_nationkey
+)
+SELECT entity_id, 'scenario' AS stage, check_id, ord, CAST(violations AS BIGINT) AS violations, observed, expected,
+  violations = 0 AS passed
+FROM (
+  SELECT entity_id, 'scenario_rows' AS check_id, 1 AS ord, if(n = 1, 0, 1) AS violations,
+    CAST(n AS VARCHAR) AS observed, '1' AS expected FROM found
+  UNION ALL SELECT entity_id, 'scenario_complete', 2, n - complete, CAST(complete AS VARCHAR), CAST(n AS VARCHAR) FROM found
+  UNION ALL SELECT entity_id, 'scenario_months', 3, bad_months, coalesce(worst, CAST(bad_months AS VARCHAR)),
+    '1..12 closed, 1 or more open' FROM found
+  UNION ALL SELECT entity_id, 'scenario_name', 4, bad_names, coalesce(name, CAST(bad_names AS VARCHAR)),
+    coalesce(wanted, 'as its months') FROM found)"""
 
 MEASURES = """
   CAST(sum(CASE WHEN cash_direction = 'inflow' THEN signed_amount_usd ELSE 0 END) AS BIGINT) AS cash_inflow,
@@ -551,6 +682,25 @@ def statements() -> dict[str, str]:
               count(*) FILTER (WHERE id <> '' AND n > 1) AS repeated_ids
             FROM (SELECT trim(coalesce(transaction_id, '')) AS id, count(*) AS n
                   FROM ledger GROUP BY 1)""",
+        "records_by_file": """
+            SELECT source_file, source, count(*) AS n_records, CAST(sum(amount) * 100 AS BIGINT) AS amount_cents
+            FROM kept GROUP BY source_file, source""",
+        "amount_identity": """
+            SELECT source, source_category, outcome, count(*) AS n_records,
+              CAST(sum(abs(off)) AS BIGINT) AS off_cents
+            FROM (SELECT source, source_category, off,
+                CASE WHEN quantity IS NULL AND price IS NULL THEN 'no price'
+                     WHEN quantity IS NULL OR price IS NULL THEN 'one factor missing'
+                     WHEN coalesce(abs(off) > 1, true) THEN 'differs' ELSE 'agrees' END AS outcome
+              FROM (SELECT *, CAST((amount - round(quantity * price, 2)) * 100 AS HUGEINT) AS off
+                FROM (SELECT CASE WHEN l_returnflag = 'R' THEN 'Credits'
+                      WHEN p_type IN ('LARGE', 'PROMO') THEN 'Capital payments' ELSE 'Operating payments' END AS source,
+                    CASE WHEN l_returnflag = 'R' THEN lower(trim(l_returnflag)) ELSE trim(p_type) END AS source_category,
+                    CAST(l_quantity AS DECIMAL(12,4)) AS quantity, CAST(p_retailprice AS DECIMAL(12,4)) AS price,
+                    CAST(l_extendedprice AS DECIMAL(18,2)) AS amount
+                  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey
+                  WHERE upper(trim(l_linestatus)) = 'F')))
+            GROUP BY source, source_category, outcome""",
         "drilldown_month_line": f"""
             SELECT {TRANSACTIONS} FROM ledger
             WHERE reporting_month = DATE '2000-09-01' AND reporting_line = 'Parts paid'""",
@@ -618,9 +768,11 @@ def statements() -> dict[str, str]:
                 count(*) FILTER (WHERE amount_type = 'Actual') AS actual_months,
                 count(*) FILTER (WHERE amount_type = 'Forecast') AS forecast_months,
                 max(reporting_month) AS last_month FROM summary GROUP BY 1) USING (entity_id)""",
-        "trace_ids": TRACE,
-        "trace_selected": TRACE
-        + "WHERE r.transaction_id IN (SELECT transaction_id FROM top_ids)",
+        "exported_order": """
+            SELECT reporting_month, entity_id, display_order, signed_amount_usd,
+              row_number() OVER (ORDER BY reporting_month, entity_id, display_order) AS rank, true AS in_order
+            FROM monthly_lines""",
+        "backtest_error": BACKTEST,
         "id_presence": """
             SELECT transaction_id, source_rows, ledger_rows,
               source_rows = 1 AND ledger_rows = 1 AS found_once
@@ -696,6 +848,51 @@ def statements() -> dict[str, str]:
         assert before in broken
         broken = broken.replace(before, after)
     found = {name: ledger + sql for name, sql in on_ledger.items()}
+    asked = "transaction_id IN (SELECT transaction_id FROM top_ids)"
+    for name, here in (("trace_ids", ""), ("trace_selected", asked)):
+        booked = BOOKED.format(asked=f"AND b.{here}" if here else "")
+        found[name] = report.rstrip() + "," + booked + TRACE.format(asked=f"WHERE r.{here}" if here else "")
+    found["ledger_rows_by_id"] = report + """
+        SELECT entity_id, transaction_id, source_system, source_file, source, source_category, vendor, cash_date,
+          reporting_month, business_activity, cash_flow_section, reporting_line, cash_direction,
+          CAST(signed_amount * 100 AS BIGINT) AS signed_amount_cents, signed_amount_usd
+        FROM ledger WHERE transaction_id IN (SELECT transaction_id FROM top_ids)"""
+    changed = planned.rstrip() + "," + WHAT_IF
+    found["what_if_lines"] = changed + "SELECT * FROM changed_lines"
+    found["what_if_balances"] = changed + """
+        SELECT what_if, entity_id, reporting_month, amount_type, net_change_in_cash,
+          CAST(available_balance_usd + sum(net_change_in_cash) OVER (
+            PARTITION BY what_if, entity_id ORDER BY reporting_month) AS BIGINT) AS ending_cash
+        FROM (SELECT what_if, entity_id, reporting_month, amount_type,
+                CAST(sum(signed_amount_usd) AS BIGINT) AS net_change_in_cash
+              FROM changed_lines GROUP BY 1, 2, 3, 4) LEFT JOIN opening USING (entity_id)"""
+    grown = planned.replace("WITH ", f"WITH RECURSIVE {GROWN},", 1)
+    for before, after in (
+        ("coalesce(p.amount_usd, r.amount_usd, a.amount_usd, 0)",
+         "coalesce(p.amount_usd, CAST(round_even(r.amount_usd * coalesce(f.factor, 1), 0) AS BIGINT), a.amount_usd, 0)"),
+        ("  WHERE g.is_open\n",
+         "  LEFT JOIN grown f ON f.reporting_line = g.reporting_line AND f.reporting_month = g.reporting_month\n"
+         "  WHERE g.is_open\n"),
+    ):
+        assert before in grown
+        grown = grown.replace(before, after)
+    found["forecast_with_growth"] = grown + f"SELECT {TRANSACTIONS} FROM projected"
+    found["scenario_checks"] = SCENARIO_CHECKS
+    found["quarantined_records"] = FEEDS + """
+        SELECT 'orders' AS feed, id AS record_id, 'o_custkey' AS column_name, 'C' || o_custkey AS raw_value,
+          'not bigint' AS reason FROM order_feed WHERE bad_customer AND o_custkey IS NOT NULL
+        UNION ALL SELECT 'orders', id, 'o_totalprice', bad_price, 'not decimal(18,2)' FROM order_feed WHERE bad_price IS NOT NULL
+        UNION ALL SELECT 'orders', id, 'o_orderdate', bad_day, 'not date' FROM order_feed WHERE bad_day IS NOT NULL
+        UNION ALL SELECT 'lineitem', id, 'l_quantity', '1O', 'not decimal(18,2)' FROM item_feed WHERE bad_quantity
+        UNION ALL SELECT 'lineitem', id, 'l_extendedprice', 'USD ' || amount, 'not decimal(18,2)'
+          FROM item_feed WHERE bad_price AND amount IS NOT NULL"""
+    found["records_past_quarantine"] = FEEDS + """
+        SELECT feed, month, count(*) AS n_records, count(amount) AS n_amounts, CAST(sum(amount) * 100 AS BIGINT) AS amount_cents
+        FROM (SELECT 'orders' AS feed, CAST(date_trunc('month', day) AS DATE) AS month, if(no_price, NULL, amount) AS amount
+              FROM order_feed WHERE NOT (bad_customer AND o_custkey IS NOT NULL) AND bad_price IS NULL AND bad_day IS NULL
+              UNION ALL SELECT 'lineitem', CAST(date_trunc('month', day) AS DATE), amount
+              FROM item_feed WHERE NOT bad_quantity AND NOT (bad_price AND amount IS NOT NULL))
+        GROUP BY feed, month"""
     found["check_report_broken"] = broken + on_plan["check_report"]
     found |= {name: report + sql for name, sql in on_report.items()}
     found |= {name: planned + sql for name, sql in on_plan.items()}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import month_label, text_literal
 from tidebook.operators.ledger import TRANSACTION_COLUMNS
+from tidebook.plans.growth import FACTOR, Growth
 from tidebook.plans.lines import LAST_MONTH, RECURRING, Line, LineBook
 from tidebook.plans.scenario import TRAILING_MONTHS, Scenario
 
@@ -78,6 +79,20 @@ def _driver(line: Line) -> str:
     return line.column if line.driver_kind in DRIVER_RULES else "CAST(NULL AS BIGINT)"
 
 
+def _grown(line: Line, scenario: Scenario, growth: Growth) -> str:
+    """The driver in each open month; in closed months as it is."""
+    driver = _driver(line)
+    if line.driver_kind != RECURRING or not growth.rates.get(line.reporting_line):
+        return driver
+    factors = growth.factors(line.reporting_line, scenario.forecast_months)
+    listed = ", ".join(f"CAST({f} AS {FACTOR})" for f in factors)
+    last = scenario.last_closed_month
+    ahead = f"(year(reporting_month) - {last.year}) * 12 + month(reporting_month) - {last.month}"
+    # At most 18 digits, so that the product keeps every decimal place; a larger driver fails.
+    grown = f"CAST(bround(CAST({driver} AS DECIMAL(18,0)) * try_element_at(array({listed}), {ahead}), 0) AS BIGINT)"
+    return f"if(reporting_month > DATE '{last}', {grown}, {driver})"
+
+
 LINE_FIELDS = (
     "cash_flow_section",
     "business_activity",
@@ -109,14 +124,19 @@ def calendar_cells(
     lines: LineBook,
     plan: DataFrame | None = None,
     which: str = "all",
+    growth: Growth | None = None,
 ) -> DataFrame:
     """One row per entity, month and line: closed amount, or projection, or zero.
 
     A plan row replaces the driver of its entity, month and line. Plan rows that
-    match no open cell have no effect; ``unused_overrides`` lists them.
+    match no open cell have no effect; ``unused_overrides`` lists them. Growth is
+    that of run rates; it changes neither plan rows nor other lines.
     """
     month = F.col("reporting_month")
 
+    def driver(line):
+        return _driver(line) if growth is None else _grown(line, scenario, growth)
+
     def closed_amount(line):
         name = text_literal(line.reporting_line)
         return f"element_at(closed_amounts, struct(reporting_month, {name} AS reporting_line))"
@@ -124,7 +144,7 @@ def calendar_cells(
     cells = profile.select("*", F.explode(scenario.months(which)).alias("reporting_month")).select(
         "entity_id",
         "reporting_month",
-        _each_line(lines, closed_amount_usd=closed_amount, driver_amount_usd=_driver),
+        _each_line(lines, closed_amount_usd=closed_amount, driver_amount_usd=driver),
     )
     if plan is None:
         cells = cells.withColumn("plan_amount_usd", F.lit(None).cast("bigint"))
@@ -146,7 +166,11 @@ def calendar_cells(
 
 
 def project_forecast(
-    profile: DataFrame, scenario: Scenario, lines: LineBook, plan: DataFrame | None = None
+    profile: DataFrame,
+    scenario: Scenario,
+    lines: LineBook,
+    plan: DataFrame | None = None,
+    growth: Growth | None = None,
 ) -> DataFrame:
     """Forecast ledger: one transaction per entity, line and open month.
 
@@ -154,7 +178,7 @@ def project_forecast(
     """
     month = F.col("reporting_month")
     return (
-        calendar_cells(profile, scenario, lines, plan, "forecast")
+        calendar_cells(profile, scenario, lines, plan, "forecast", growth)
         .select(
             "*",
             F.concat_ws("-", "id_prefix", month_label(month)).alias("transaction_id"),
