@@ -52,7 +52,7 @@ def test_awkward_rows(spark, tokenizer):
 
 @pytest.mark.parametrize("text", ["don't they'll 's", "naïve café—x ÀÉß ªº µm", "İstanbul ΣΑΣ. é", "a1b22\x1c3.5%\x85y", "x<|endoftext|>y", "### -- !?x"])
 def test_words_as_the_tokenizer_has_them(tokenizer, text):
-    (ids,) = packing.Tokens.of(PATH).of_texts(pa.array([text], pa.large_string()))
+    (ids,) = packing.Tokens(PATH).of_texts(pa.array([text], pa.large_string()))
     assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0]
 
 

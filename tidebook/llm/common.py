@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,6 +70,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def release() -> None:
+    """Give freed memory back at a task's end: Spark keeps its Python workers, and what they hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this allocator
+        pass
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

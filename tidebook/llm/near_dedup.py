@@ -150,6 +150,7 @@ def _signature_udf(width: int, rows: int, bands: int):
             for part in common.slices(texts, SLICE_BYTES):
                 found += signatures(part, width, rows, bands)
             yield pa.array(found, kind)
+        common.release()
 
     return sign
 
@@ -158,20 +159,21 @@ def _fingerprint(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def _set_udf(width: int):
-    """A text's full set, and the fingerprint by which its node is known."""
+SETS = "fingerprint binary, members binary"
 
-    @F.arrow_udf("struct<fingerprint:binary,members:binary>")
-    def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            names, sets = [], []
-            for part in common.slices(texts, SLICE_BYTES):
+
+def _full_sets(width: int):
+    """Texts' full sets, and the fingerprints by which their nodes are known."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in common.slices(batch.column(0), SLICE_BYTES):
                 hashes, bounds = shingle_sets(part, width)
-                for a, b in zip(bounds[:-1], bounds[1:]):
-                    names.append(_fingerprint(hashes[a:b]))
-                    sets.append(hashes[a:b].tobytes())
-            columns = [pa.array(names, pa.binary()), pa.array(sets, pa.binary())]
-            yield pa.StructArray.from_arrays(columns, ["fingerprint", "members"])
+                own = [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+                names, sets = [_fingerprint(h) for h in own], [h.tobytes() for h in own]
+                columns = [pa.array(names, pa.binary()), pa.array(sets, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["fingerprint", "members"])
+        common.release()
 
     return shingles
 
@@ -381,7 +383,8 @@ class _Nodes:
         asked = self.slots.select("node").distinct()
         ids = common.stored(self.rows.join(asked, "node", "left_semi").select("first_id", "fingerprint", "node"), "asked")
         texts = docs.join(ids.select("first_id"), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-        held = texts.select(_set_udf(self.width)(F.col("text")).alias("s")).select("s.*")
+        # Not a column function: the join would ask for its result above and below the semi join.
+        held = texts.select("text").mapInArrow(_full_sets(self.width), SETS)
         named = held.join(ids, "fingerprint")
         return common.stored(named.groupBy("node").agg(F.first("members").alias("members")), "sets")
 
@@ -459,7 +462,7 @@ class _Nodes:
         return rows.mapInArrow(_spanning(self.percent, extra), "a long, b long").distinct()
 
     def components(self) -> DataFrame:
-        found = self.confirmed(self.star_pairs())
+        found = self.confirmed(common.stored(self.star_pairs(), "star-pairs"))
         refuted = found.filter("NOT linked").select("a", "b")
         links = found.filter("linked").select("a", "b")
         parts = components(links)

@@ -66,7 +66,6 @@ class Tokens:
     """Ids of words as bytes; words seen lately are kept, at most ``CACHED_WORDS``."""
 
     LETTERS = _byte_letters()
-    by_path: dict[str, Tokens] = {}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -75,12 +74,6 @@ class Tokens:
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
-    @classmethod
-    def of(cls, path: str) -> Tokens:
-        if path not in cls.by_path:
-            cls.by_path[path] = cls(path)
-        return cls.by_path[path]
-
     def _part(self, part: str) -> bytes:
         ids = self.known.get(part)
         if ids is None:
@@ -128,7 +121,7 @@ def token_pieces(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens.of(tokenizer_path)
+        tokens = Tokens(tokenizer_path)
         for batch in batches:
             done = 0
             for part in common.slices(batch.column(1), SLICE_BYTES):
@@ -144,6 +137,8 @@ def token_pieces(
                     [names, *(pa.array(c, k) for c, k in zip(columns, arrow.types[1:]))], schema=arrow
                 )
             pa.default_memory_pool().release_unused()
+        del tokens
+        common.release()
 
     schema = T.StructType(
         [
