@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -32,16 +33,72 @@ ODDS = np.array([[0.3, 0.1], [0.2, 0.1], [0.1, 0.2], [0.1, 0.1], [0.1, 0.3], [0.
 
 def test_forward_sums_all_segmentations():
     words = pa.array(["ab", "abba", "b", "aababba"], pa.large_string())
-    scores = langid.Lattice(words, langid.Pieces.of(PIECES)).word_scores(ODDS, 4)
+    scores = langid.word_scores(words, langid.Pieces.of(PIECES), ODDS)
     for i, word in enumerate(words.to_pylist()):
         for k in range(2):
             expected = summed(b" " + word.encode(), dict(zip(PIECES, ODDS[:, k])))
             assert np.isclose(np.exp(scores[i, k]), expected)
 
 
+def exact(word: bytes, pieces: list[bytes], odds: np.ndarray):
+    """Forward and backward sums in whole fractions, and the expected uses of each piece."""
+    odds = {p: Fraction(float(x)) for p, x in zip(pieces, odds)}
+    n = len(word)
+    alpha, beta = [Fraction(1)] + [Fraction(0)] * n, [Fraction(0)] * n + [Fraction(1)]
+    for e in range(1, n + 1):
+        alpha[e] = sum((alpha[b] * odds[word[b:e]] for b in range(max(0, e - 36), e) if word[b:e] in odds), Fraction(0))
+    for b in range(n - 1, -1, -1):
+        beta[b] = sum((beta[e] * odds[word[b:e]] for e in range(b + 1, min(n, b + 36) + 1) if word[b:e] in odds), Fraction(0))
+    uses = dict.fromkeys(pieces, Fraction(0))
+    for b in range(n):
+        for e in range(b + 1, min(n, b + 36) + 1):
+            if word[b:e] in odds:
+                uses[word[b:e]] += alpha[b] * odds[word[b:e]] * beta[e] / alpha[n]
+    return alpha[n], uses
+
+
+def logarithm(x: Fraction) -> float:
+    shift = x.denominator.bit_length() - x.numerator.bit_length()
+    return float(np.log(float(x * 2**shift)) - shift * np.log(2))
+
+
+LONG_PIECES = PIECES + [b"abababab", b"ababababa", b" ababababab", b"babababababababab", b"ab" * 12, b"a" * 20 + b"b", "語".encode(), "日本語".encode()] + [
+    bytes([x]) for x in sorted(set("日本語".encode()))
+]
+
+
+@pytest.mark.parametrize("run", [1 << 15, 40, 3])
+def test_long_pieces_words_and_runs(monkeypatch, run):
+    monkeypatch.setattr(langid, "RUN", run)
+    rng = np.random.RandomState(2)
+    odds = rng.dirichlet(np.ones(len(LONG_PIECES)) * 0.5, size=3).T + 1e-7
+    words = ["ab" * 9, "日本語" * 12, "a" * 25 + "b" * 40, "ab" * 70, "b", "日本" * 11 + "ababa", "a" * 20 + "b", "ab" * 100]
+    held = pa.array(words, pa.large_string())
+    monkeypatch.setattr(langid, "CELLS", 6 if run == 3 else langid.CELLS)
+    scores = langid.word_scores(held, langid.Pieces.of(LONG_PIECES), odds)
+    lattice = langid.Lattice.of_words(held, langid.Pieces.of(LONG_PIECES))
+    for k in range(3):
+        wanted = [exact(b" " + w.encode(), LONG_PIECES, odds[:, k]) for w in words]
+        assert np.allclose(scores[:, k], [logarithm(total) for total, _ in wanted], rtol=1e-9)
+        counts = np.zeros((len(words), 3))
+        counts[:, k] = np.arange(1, len(words) + 1)
+        uses = lattice.expected(odds, counts)[:, k]
+        assert np.allclose(uses, [sum(float(u[p]) * (i + 1) for i, (_, u) in enumerate(wanted)) for p in LONG_PIECES])
+
+
+def test_the_whole_vocabulary_is_found(vocabulary):
+    pieces = langid.Pieces.of(vocabulary)
+    data = b"".join(vocabulary)
+    value, bounds = langid._numbers_at(data), np.cumsum([0, *map(len, vocabulary)])
+    for n in pieces.keys:
+        own = [i for i, p in enumerate(vocabulary) if len(p) == n]
+        assert pieces.find(n, value, bounds[own]).tolist() == own
+    assert max(pieces.keys) > 30 and len(vocabulary) >= 50_256
+
+
 def test_expected_uses_are_those_of_all_segmentations():
     words = pa.array(["abba"], pa.large_string())
-    uses = langid.Lattice(words, langid.Pieces.of(PIECES)).expected(ODDS, np.ones((1, 2)))
+    uses = langid.Lattice.of_words(words, langid.Pieces.of(PIECES)).expected(ODDS, np.ones((1, 2)))
     odds, word = dict(zip(PIECES, ODDS[:, 0])), b" abba"
     total, counts = summed(word, odds), np.zeros(len(PIECES))
     for cuts in itertools.product((False, True), repeat=len(word) - 1):
@@ -53,11 +110,13 @@ def test_expected_uses_are_those_of_all_segmentations():
     assert np.allclose(uses[:, 0], counts / total)
 
 
-def test_long_words_are_scored_in_runs():
-    words = pa.array(["ab" * 100], pa.large_string())
-    lattice = langid.Lattice(words, langid.Pieces.of(PIECES))
-    assert lattice.length.sum() == 201 and lattice.longest == langid.RUN + 1
-    assert np.isfinite(lattice.word_scores(ODDS, 1)).all()
+def test_words_met_before_keep_their_scores(monkeypatch):
+    monkeypatch.setattr(langid, "KNOWN_WORDS", 3)
+    model = langid.LanguageModel(["x", "y"], langid.Pieces.of(PIECES), ODDS, np.zeros(2))
+    scorer = langid.Scorer(model)
+    for words in (["ab", "b"], ["b", "abba"], ["ab", "abba", "a", "bb"], ["b"]):
+        own = scorer._per_word(pa.array(words, pa.large_string()))
+        assert np.allclose(own, langid.word_scores(pa.array(words, pa.large_string()), model.pieces, ODDS))
 
 
 def rows(spark, pairs):
