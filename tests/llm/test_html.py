@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import re
 import time
 
 import pytest
@@ -173,3 +175,135 @@ def test_deep_markup_takes_no_square_time(source):
     started = time.process_time()
     assert h.main_text(source, None).count("a") >= 50_000
     assert time.process_time() - started < 20
+
+
+LEFT = "Words that are not of the article, though they are many of them. "
+
+
+@pytest.mark.parametrize(
+    "outside",
+    [
+        "<div class='user-comments'>{}</div>", "<section class='reader-comments'><p>{}</p></section>",
+        "<div class='comment-thread'>{}</div>", "<ol class='commentlist'><li>{}</ol>", "<div class='commentList'>{}</div>",
+        "<div class='sponsored-content'>{}</div>", "<div class='adsbygoogle'>{}</div>", "<div class='x dfp-ad'>{}</div>",
+        "<div class='cookie-policy-banner'>{}</div>", "<div class='related-content'>{}</div>",
+        "<div class='social-media'>{}</div>", "<div class='share-this'>{}</div>", "<div class='adSlot-3'>{}</div>",
+        "<p class='advertisement'>{}</p>", "<div class='relatedPosts'>{}</div>", "<div id='disqus_thread'>{}</div>",
+    ],
+)
+@pytest.mark.parametrize("where", ["inside", "beside"])
+def test_parts_beside_the_article(outside, where):
+    body = "<h1>Title</h1>" + "".join(f"<p>Paragraph {i} of the article, with its words.</p>" for i in range(6))
+    part = outside.format(LEFT)
+    if where == "beside" and "disqus" not in outside:
+        source = f"<body><div class='wrap'><article>{body}</article>{part}</div></body>"
+    else:
+        source = f"<body><article>{body.replace('</h1>', '</h1>' + part) if 'disqus' not in outside else body}</article></body>"
+    text = h.main_text(source, None)
+    assert "not of the article" not in text and text.startswith("Title") and text.endswith("5 of the article, with its words.")
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<div class='post'><div class='article-header'><h1>T</h1></div><div class='body'><p>{}</p></div></div>", "T\n\n{}"),
+        ("<div class='post'><div class='post-header'><h1>T</h1></div><p>{}</p></div>", "T\n\n{}"),
+        ("<div><header class='entry-header'><h1>T</h1></header><p>{}</p></div>", "T\n\n{}"),
+        ("<header class='site-header'><h1>No</h1></header><div><p>{}</p></div>", "{}"),
+        ("<article><p class='promo'>a</p><h2 class='banner'>b</h2><p class='legal'>c</p><p>{}</p></article>", "a\n\nb\n\nc\n\n{}"),
+        ("<article><p>{}</p><label>d</label><fieldset><p>e</p></fieldset></article>", "{}\n\nd\n\ne"),
+        ("<article><p>{}</p><form><label>no</label></form></article>", "{}"),
+        ("<article><section class='social-history'><p>{}</p></section></article>", "{}"),
+        ("<article><div class='share-price-table'><p>{}</p></div></article>", "{}"),
+    ],
+)
+def test_parts_of_the_article(source, text):
+    words = "The words of the article, which are long enough to count as such."
+    assert h.main_text(f"<body>{source.format(words)}</body>", None) == text.format(words)
+
+
+def test_paths_with_equal_votes_go_by_name(spark):
+    body = "The same number of words stands in both of these containers here."
+    for first, second in (("aa", "bb"), ("bb", "aa")):
+        inner = "<div class='{}'><div class='in'><p>{}</p></div></div>"
+        source = f"<body>{inner.format(first, body)}{inner.format(second, body[::-1])}</body>"
+        shares = h.Page(source).shares()
+        best = sorted(p for p in shares if shares[p] == max(shares.values()))
+        assert best[0].endswith("div.aa>div.in") and best[1].endswith("div.bb>div.in")
+        rows = [(i, "http://tie/", source) for i in range(4)]
+        assert set(found(spark, rows).values()) == {body if first == "aa" else body[::-1]}
+
+
+def test_a_container_far_down_can_win(spark):
+    def deep(i):
+        noise = f"<div class='n'><p>{'Something that stands further up. ' * 4}</p></div>"
+        inner = f"<div class='story'><p>Page {i} has its text down here. {'It is long. ' * 30}</p></div>"
+        return "<body>" + noise + "<div class='very-long-name-of-a-wrapper'>" * 300 + inner + noise + "</div>" * 300 + "</body>"
+
+    got = found(spark, [(i, "http://deep/", deep(i)) for i in range(4)])
+    assert all(text.startswith(f"Page {i} has") and "further up" not in text for i, text in got.items())
+
+
+class Templates:
+    """Hosts with templates of their own; each page is made together with its main text."""
+
+    CONTAINERS = ["<article{c}>", "<main{c}>", "<div class='story{c2}'>", "<div class='entry-content'>", "<section class='post-body'>"]
+    AROUND = ["<nav><ul><li><a href='/'>Home</a><li><a href='/n'>News</a></ul></nav>", "<header class='masthead'><h1>Name of the site</h1></header>",
+              "<div class='sidebar'><p>{t}</p></div>", "<aside><p>{t}</p></aside>", "<div class='newsletter-signup'><p>{t}</p></div>",
+              "<div class='cookie-banner'>{t}</div>", "<div class='ad-slot'>{t}</div>", "<form><label>Name</label><input></form>",
+              "<script>var a='<p>{t}</p>'</script>", "<!-- {t} -->", "<ul class='breadcrumbs'><li>{t}</ul>"]
+    AFTER = ["<div class='comments'><h3>Comments</h3><p>{t}</p><p>{t}</p></div>", "<section id='comments'><p>{t}</p></section>",
+             "<div class='related-articles'><p>{t}</p></div>", "<div class='social-share'><p>{t}</p></div>", "<footer><p>{t}</p></footer>"]
+
+    def __init__(self, seed):
+        self.rng = random.Random(seed)
+        self.container = self.rng.choice(self.CONTAINERS)
+        self.before = self.rng.sample(self.AROUND, 4)
+        self.after = self.rng.sample(self.AFTER, 3)
+        self.inside = self.rng.sample(self.AROUND[5:7] + self.AFTER[2:4], 1)
+        self.wrap = self.rng.choice(["", "<div class='wrap'>", "<div id='page'><div class='col-{n}'>"])
+
+    def words(self, n):
+        return " ".join(self.rng.choice("river stone paper cloud garden winter letter window music table".split()) for _ in range(n))
+
+    def page(self, n):
+        rng, parts, blocks = self.rng, [], []
+
+        def block(markup, text):
+            parts.append(markup)
+            blocks.append(text)
+
+        title = self.words(5)
+        block(f"<h1>{title}</h1>", title)
+        for _ in range(rng.randint(4, 9)):
+            kind, text = rng.random(), self.words(rng.randint(12, 60))
+            if kind < 0.6:
+                block(f"<p>{text} &amp; <b>bold</b> <a href='/x'>link</a></p>", f"{text} & bold link")
+            elif kind < 0.7:
+                block(f"<h2 id='related-{n}'>{text[:30].strip()}</h2>", " ".join(text[:30].split()))
+            elif kind < 0.85:
+                block(f"<ul><li>{text}</li>", text)
+                parts.append("</ul>")
+            else:
+                block(f"<blockquote><p>{text}</p></blockquote>", text)
+        parts.insert(rng.randint(2, len(parts)), self.inside[0].format(t=self.words(15)))
+        opened = self.container.format(c=f" class='post-{n}'", c2=f" s{n}")
+        closed = f"</{re.match('<([a-z]+)', opened)[1]}>"
+        wrap = self.wrap.format(n=n)
+        around = [x.format(t=self.words(20)) for x in self.before]
+        after = [x.format(t=self.words(25)) for x in self.after]
+        source = f"<html><head><title>{title}</title></head><body>{''.join(around)}{wrap}{opened}{''.join(parts)}{closed}{''.join(after)}{'</div>' * wrap.count('<div')}</body></html>"
+        return source, "\n\n".join(blocks)
+
+
+def test_generated_sites_give_exactly_their_main_texts(spark):
+    rows, wanted = [], {}
+    for host in range(40):
+        site = Templates(host)
+        for n in range(8):
+            source, text = site.page(n)
+            wanted[100 * host + n] = text
+            rows.append((100 * host + n, f"http://site{host}.example/{n}", source))
+    got = found(spark, rows)
+    wrong = [i for i, text in wanted.items() if got[i] != text]
+    assert not wrong, (len(wrong), wrong[:5], got[wrong[0]], wanted[wrong[0]])

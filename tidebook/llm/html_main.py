@@ -5,7 +5,11 @@
    ``post-17`` and ``post-18`` are one path. Parts that are never main text (menus,
    headers, footers, sidebars, notices, adverts, forms, scripts, drawings, comments
    of readers) are recognised by tag, role, class and id and left out. A class, id or
-   role counts as a whole: ``share-buttons`` names such a part, ``legal-history`` not.
+   role is taken word by word, ``commentList`` and ``comment-list`` alike: it names such
+   a part when all its words do or usually stand beside such words, or when it begins or
+   ends with a word that has no other use (``reader-comments``, ``dfp-ad``).
+   ``legal-history`` names none. Headings and paragraphs of an article are left out
+   only by the latter, and a header whose name says that it is the article's stays.
 2. A block's length, less what is inside links, counts for its container and half for
    the next one around it. Lists, tables, quotes, figures and sections are content, not
    containers. What a container got goes to the article around it, and on to ancestors
@@ -18,7 +22,9 @@
    that path uses its own best container.
 
 Inside a block white space becomes one blank; ``br`` is white space. Character
-references are decoded. Blocks are joined in page order by two line feeds.
+references are decoded. Blocks are joined in page order by two line feeds. Elements are
+told apart down to ``MAX_DEPTH``, which is as deep as browsers nest; what is deeper
+belongs to the one there. Long paths are shortened by a hash of their first part.
 
 Defined cases: null, empty and text-free pages give an empty text. Text outside
 any element is a page's own container. Unclosed and misnested tags close as
@@ -29,6 +35,7 @@ an empty result. Columns of the input stay; ``main_text`` is replaced.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import defaultdict
@@ -53,7 +60,7 @@ CONTENT = frozenset(
     "figure section details summary".split()
 )
 LEFT_OUT_TAGS = frozenset(
-    "head title nav aside footer form button select option dialog menu label fieldset audio video svg".split()
+    "head title nav aside footer form button select option dialog menu audio video svg".split()
 )
 LEFT_OUT_WORDS = frozenset(
     "ad ads adv advert advertisement advertising adsense sponsor sponsored sponsors promo promoted promotion banner "
@@ -71,6 +78,22 @@ BESIDE_WORDS = frozenset(
     "top bottom unit wp wrap wrapper x form entry article articles text".split()
 )
 COMPOUNDS = frozenset("skip-to-content skip-to-main skip-to-main-content".split())
+#: Words that, first or last in a name, leave no doubt; others do so last, or with certain words beside them.
+FIRST_OR_LAST = frozenset("comment comments commentlist commenters disqus sponsored advert advertisement adsbygoogle adsense".split())
+LAST = frozenset("ad ads advertising".split())
+BESIDE_THEM = {
+    "cookie": frozenset("policy law settings preferences info message choices".split()),
+    "cookies": frozenset("policy law settings preferences info message choices".split()),
+    "social": frozenset("media network networks follow profiles channels".split()),
+    "related": frozenset("content news reading topics pages products videos coverage".split()),
+    "share": frozenset("this on via it us page".split()),
+}
+#: Words that are written as one with those above.
+JOINED = re.compile(
+    r"(comments?|ads?|cookies?|social|share|related)"
+    r"(list|thread|threads|section|area|box|boxes|slot|unit|banner|bar|notice|consent|buttons?|links?|icons?|media|posts?|articles?|wrap|wrapper|container)"
+)
+ARTICLE_WORDS = frozenset("article post entry story title headline content".split())
 #: Tags that end an svg or math element left open, as in browsers, and tags inside them that hold plain markup.
 BREAKOUT = BLOCK | frozenset("b big br code em embed head i img meta nobr ruby s small span strike strong sub sup tt u".split())
 FOREIGN = frozenset("svg math".split())
@@ -96,12 +119,15 @@ TOKEN = re.compile(
 )
 MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[^\W\d_]+")
+#: Where small and capital letters meet, as in ``commentList``.
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 SLUGGED = frozenset("p h1 h2 h3 h4 h5 h6 hgroup".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: A container goes up to an ancestor in which others hold no more than this part of the text.
 OTHERS = 0.1
 #: Elements nested deeper share the path of the one at this depth.
-MAX_DEPTH = 200
+MAX_DEPTH = 512
+LONG_PATH = 400
 MIN_LENGTH = 20
 
 
@@ -113,12 +139,12 @@ class _Element:
         self.depth = parent.depth + 1 if parent else 0
         self.inside = bool(parent and (parent.inside or parent.tag in ("article", "main")))
         marks = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in MARKS.finditer(attributes)} if attributes else {}
-        classes = marks.get("class", "").lower().split()
+        classes = marks.get("class", "").split()
         # The element whose path this is, itself unless nested too deep.
         self.holder: _Element = parent.holder if parent and self.depth > MAX_DEPTH else self
         if self.holder is self:
-            name = ".".join([tag, *sorted(re.sub(r"\d+", "#", c) for c in classes)])
-            self.path = f"{parent.path}>{name}" if parent else name
+            name = ".".join([tag, *sorted(re.sub(r"\d+", "#", c.lower()) for c in classes)])
+            self.path = f"{_short(parent.path)}>{name}" if parent else name
         else:
             self.path = self.holder.path
         self.left_out = bool(parent and parent.left_out) or self._marked(marks, classes)
@@ -132,21 +158,54 @@ class _Element:
             return False
         if self.tag in LEFT_OUT_TAGS:
             return True
-        if self.tag == "header" and not self.inside:
+        tokens = [*classes, *marks.get("role", "").split()]
+        if self.tag == "header" and not self.inside and not any(_is_articles_own(t) for t in tokens):
             return True
-        tokens = [*classes, *marks.get("role", "").lower().split()]
-        # Ids of headings and paragraphs in an article are made from its text.
-        if not (self.inside and self.tag in SLUGGED):
-            tokens += marks.get("id", "").lower().split()
-        return any(_names_left_out(token, self.inside) for token in tokens)
+        if self.inside and self.tag in SLUGGED:
+            return any(_leaves_no_doubt(_words(token)) for token in tokens)  # their other classes are of style
+        # Ids of headings and paragraphs are made from the article's text. Other ids inside an article
+        # often are those of its parts: they count as whole names only.
+        ids = [] if self.tag in SLUGGED else marks.get("id", "").split()
+        return any(_names_left_out(token, self.inside) for token in [*tokens, *ids]) or any(
+            _leaves_no_doubt(_words(token)) for token in (tokens if self.inside else [*tokens, *ids])
+        )
+
+
+def _short(path: str) -> str:
+    """A path that may go on growing: its first part is told by a hash where it is long."""
+    return path if len(path) <= LONG_PATH else "#" + hashlib.blake2b(path.encode(), digest_size=16).hexdigest()
+
+
+def _words(token: str) -> list[str]:
+    found = []
+    for word in WORD.findall(CAMEL.sub(" ", token).lower()):
+        joined = JOINED.fullmatch(word)
+        found += joined.groups() if joined else [word]
+    return found
+
+
+def _is_articles_own(token: str) -> bool:
+    """Whether the name of a header says that it is the article's."""
+    words = set(_words(token))
+    return bool(words & HEADER_WORDS and words & ARTICLE_WORDS)
+
+
+def _leaves_no_doubt(words: list[str]) -> bool:
+    if not words:
+        return False
+    if words[0] in FIRST_OR_LAST or words[-1] in FIRST_OR_LAST or words[-1] in LAST:
+        return True
+    beside = BESIDE_THEM.get(words[0], frozenset())
+    known = beside | LEFT_OUT_WORDS | BESIDE_WORDS
+    return words[0] in BESIDE_THEM and len(words) > 1 and all(w in known for w in words[1:])
 
 
 def _names_left_out(token: str, inside: bool) -> bool:
     """Whether all of a class, id or role names what is never main text."""
-    if token in COMPOUNDS:
+    if token.lower() in COMPOUNDS:
         return True
-    words = set(WORD.findall(token))
-    named = words & (LEFT_OUT_WORDS if inside else LEFT_OUT_WORDS | HEADER_WORDS)
+    words = set(_words(token))
+    named = words & (LEFT_OUT_WORDS if inside or _is_articles_own(token) else LEFT_OUT_WORDS | HEADER_WORDS)
     return bool(named) and words <= named | BESIDE_WORDS
 
 
@@ -248,13 +307,19 @@ class Page:
         own: dict[str, int] = defaultdict(int)
         held: dict[str, int] = defaultdict(int)
         heads: dict[str, int] = defaultdict(int)
+        sums: dict[int, dict[_Element, list[int]]] = defaultdict(lambda: defaultdict(lambda: [0, 0]))
         for inner, (text_, headings) in direct.items():
             own[inner.path] += text_
-            at: _Element | None = inner
-            while at is not None:
-                held[at.path] += text_ + headings
-                heads[at.path] += headings
-                at = at.parent
+            sums[inner.depth][inner][0] += text_ + headings
+            sums[inner.depth][inner][1] += headings
+        for depth in range(max(sums, default=0), -1, -1):
+            for element, (all_, headings) in sums[depth].items():
+                held[element.path] += all_
+                heads[element.path] += headings
+                if element.parent is not None:
+                    up = sums[depth - 1][element.parent]
+                    up[0] += all_
+                    up[1] += headings
         total = sum(score.values())
         shares: dict[str, float] = defaultdict(float)
         whole: dict[str, str] = {}
@@ -265,10 +330,19 @@ class Page:
         return dict(shares)
 
     def text_of(self, path: str) -> str:
-        inside = path + ">"
-        return "\n\n".join(
-            text for block, text, _ in self.blocks if block.path == path or block.path.startswith(inside)
-        )
+        known: dict[_Element, bool] = {}
+
+        def within(element: _Element) -> bool:
+            chain = []
+            at: _Element | None = element.holder
+            while at is not None and at not in known and at.path != path:
+                chain.append(at)
+                at = at.parent
+            answer = at is not None and known.get(at, True)
+            known.update(dict.fromkeys(chain, answer))
+            return answer
+
+        return "\n\n".join(text for block, text, _ in self.blocks if within(block))
 
 
 def _whole(element: _Element, own: dict[str, int], held: dict[str, int], heads: dict[str, int]) -> str:
