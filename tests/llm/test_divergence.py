@@ -53,7 +53,7 @@ def table(spark, rows):
 @pytest.mark.parametrize("small", [False, True])
 def test_awkward_rows(spark, monkeypatch, small):
     if small:
-        for name, value in (("BLOCK_POSTINGS", 50), ("CHUNK_POSTINGS", 3), ("PAIR_BLOCK", 5), ("HELD_PAIRS", 4)):
+        for name, value in (("BLOCK_POSTINGS", 50), ("CHUNK_POSTINGS", 3), ("PAIR_BLOCK", 5), ("HELD_PAIRS", 4), ("MERGED_POSTINGS", 10)):
             monkeypatch.setattr(divergence, name, value)
     found = divergence.divergence(table(spark, ROWS))
     assert sorted(map(tuple, found.collect())) == expected(ROWS)
@@ -95,10 +95,39 @@ def test_runs_are_sorted_and_merged_by_term(monkeypatch):
         assert keys == sorted(keys)
         blocks += run
     chunks = sorted(blocks, key=lambda c: (c["shard"], c["lang"], c["first"]))
-    found = list(divergence.merged(iter(chunks)))
-    assert [k for k, _ in found] == sorted({k for k, _ in found})
-    assert {k[1:]: v for k, v in found} == {k: dict(v) for k, v in wanted.items()}
-    assert len(found) == len(wanted)
+    kinds = divergence.chunk_schema()
+    for step in (1, 30, 10_000):
+        batches = [pa.RecordBatch.from_pylist(chunks[i : i + 7], kinds) for i in range(0, len(chunks), 7)]
+        found = defaultdict(dict)
+        for part in divergence.merged(divergence._chunks(iter(batches)), step):
+            terms = set()
+            for lang, term, source, count, docs in zip(*(part[c].to_pylist() for c in ("lang", "term", "source")), part["count"].tolist(), part["docs"].tolist()):
+                assert source not in found[lang, term]
+                found[lang, term][source] = [count, docs]
+                terms.add((lang, term))
+            assert len(part["starts"]) == len(terms)
+        assert found == {k: dict(v) for k, v in wanted.items()}
+
+
+def test_a_term_in_all_chunks_is_added_up_while_they_come():
+    import numpy as np
+
+    def chunk():
+        return divergence._Open(0, "x", ["t"], np.array([0, 3]), pa.array(["a", "b", "c"]), np.array([1, 2, 3]), np.array([1, 1, 1]))
+
+    most = []
+
+    def watched():
+        for _ in range(5_000):
+            yield chunk()
+
+    original = divergence._compacted
+    divergence._compacted = lambda heap: most.append(sum(x.held for _, _, x in heap)) or original(heap)
+    try:
+        (part,) = divergence.merged(watched(), 30)
+    finally:
+        divergence._compacted = original
+    assert part["count"].tolist() == [5_000, 10_000, 15_000] and max(most) < 100
 
 
 def test_totals_beyond_64_bits(spark):

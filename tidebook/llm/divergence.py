@@ -6,10 +6,11 @@
    runs, one per hash shard of (language, term), sorted by language and term, in chunks of
    ``CHUNK_POSTINGS``. The chunks are a written table in the shared folder.
 2. **Merge.** A shard's chunks arrive in the order of their first terms, whatever run they
-   are from. A heap holds the chunks that are open; the least term is taken from all of
-   them at once, which gives its frequencies in every group. Only chunks that overlap are
-   in memory, and a chunk is opened when the merge has come to its first term. Terms in
-   fewer than ``MIN_DOCS`` documents of their language go here.
+   are from. A heap holds the chunks that are open by their next term; terms before the
+   next chunk's first are taken from all of them and added up, which gives their
+   frequencies in every group. Only chunks that overlap are in memory, and what one
+   term fills many chunks with is added up as it comes. Terms in fewer than
+   ``MIN_DOCS`` documents of their language go here.
 3. **Corrections.** With p0 the probability of a term that a group lacks, the sum over all
    kept terms of a pair of groups is
      V f(p0, q0), as if both lacked every term,
@@ -32,11 +33,13 @@ gives an empty result. Other columns of the input are not carried along.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,8 +49,9 @@ from tidebook.llm import common
 MIN_DOCS = 3
 TOP_TERMS = 200
 UNIT = 1_000_000_000
-BLOCK_POSTINGS = 1_000_000
+BLOCK_POSTINGS = 500_000
 CHUNK_POSTINGS = 2_000
+MERGED_POSTINGS = 200_000
 SALTS = 16
 PAIR_BLOCK = 1 << 21
 HELD_PAIRS = 1 << 20
@@ -161,8 +165,8 @@ class Block:
         return (common.mixed(terms[term] + salts[lang]) % np.uint64(self.shards)).astype(np.int64)
 
 
-def _spiller(shards: int):
-    kind = pa.schema(
+def chunk_schema() -> pa.Schema:
+    return pa.schema(
         [
             ("shard", pa.int32()),
             ("lang", pa.string()),
@@ -175,6 +179,10 @@ def _spiller(shards: int):
         ]
     )
 
+
+def _spiller(shards: int):
+    kind = chunk_schema()
+
     def spilled(block: Block) -> Iterator[pa.RecordBatch]:
         rows = []
         for chunk in block.runs():
@@ -198,6 +206,7 @@ def _spiller(shards: int):
                     yield from spilled(block)
             pa.default_memory_pool().release_unused()
         yield from spilled(block)
+        common.release()
 
     return index
 
@@ -210,72 +219,145 @@ def spill_runs(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -
 
 
 class _Open:
-    """A chunk in the merge, at one of its terms."""
-
-    def __init__(self, chunk: dict):
-        self.chunk, self.at = chunk, 0
-
-    def key(self) -> tuple:
-        return self.chunk["shard"], self.chunk["lang"], self.chunk["terms"][self.at]
+    """A chunk in the merge, from one of its terms on."""
 
-    def postings(self) -> Iterator[tuple[str, int, int]]:
-        c, start = self.chunk, self.chunk["ends"][self.at - 1] if self.at else 0
-        span = slice(start, c["ends"][self.at])
-        return zip(c["sources"][span], c["counts"][span], c["docs"][span])
+    def __init__(self, shard: int, lang: str, terms: list[str], ends: np.ndarray, sources: pa.Array, *sums: np.ndarray):
+        self.shard, self.lang, self.terms, self.ends = shard, lang, terms, ends
+        self.sources, self.sums = sources, sums
+        self.at = 0
 
+    @property
+    def key(self) -> tuple[int, str, str]:
+        return self.shard, self.lang, self.terms[self.at]
 
-def merged(chunks: Iterator[dict]) -> Iterator[tuple[tuple, dict[str, list[int]]]]:
-    """Each (shard, language, term) once, in order, with occurrences and documents by source.
-
-    ``chunks`` come in the order of shard, language and first term.
+    @property
+    def held(self) -> int:
+        return int(self.ends[-1] - self.ends[self.at])
+
+    def until(self, limit: tuple | None) -> tuple | None:
+        """Takes the postings of terms before ``limit``: language, terms, rows of each, sources, sums."""
+        stop = len(self.terms)
+        if limit is not None and (self.shard, self.lang) == limit[:2]:
+            stop = bisect.bisect_left(self.terms, limit[2], self.at)
+        if stop == self.at:
+            return None
+        a, b = int(self.ends[self.at]), int(self.ends[stop])
+        taken = (
+            self.lang, self.terms[self.at : stop], np.diff(self.ends[self.at : stop + 1]),
+            self.sources.slice(a, b - a), *(x[a:b] for x in self.sums),
+        )
+        self.at = stop
+        return taken
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Open]:
+    for batch in batches:
+        columns = {name: batch.column(name) for name in batch.schema.names}
+        shards, langs = columns["shard"].to_pylist(), columns["lang"].to_pylist()
+        for i in range(len(batch)):
+            lists = {c: columns[c][i].values for c in ("terms", "ends", "sources", "counts", "docs")}
+            ends = np.concatenate([[0], lists["ends"].to_numpy()])
+            counts, docs = lists["counts"].to_numpy(), lists["docs"].to_numpy()
+            yield _Open(shards[i], langs[i], lists["terms"].to_pylist(), ends, lists["sources"], counts, docs)
+
+
+def _joined(parts: list[tuple]) -> dict[str, np.ndarray | pa.Array]:
+    """Postings of several runs added up: one row per language, term and source, rows of a term together."""
+    langs = sorted({p[0] for p in parts})
+    lang = np.concatenate([np.full(int(p[2].sum()), langs.index(p[0])) for p in parts])
+    names: dict[str, int] = {}
+    term = np.concatenate([np.repeat([names.setdefault(t, len(names)) for t in p[1]], p[2]) for p in parts])
+    coded = pa.concat_arrays([p[3] for p in parts]).dictionary_encode()
+    source, sources = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    key = (lang * len(names) + term) * len(sources) + source
+    key, count, docs = _summed(key, *(np.concatenate([p[k] for p in parts]) for k in (4, 5)))
+    key, source = np.divmod(key, len(sources))
+    lang, term = np.divmod(key, len(names))
+    return {
+        "lang": pa.array(langs).take(pa.array(lang)), "term": pa.array(list(names)).take(pa.array(term)),
+        "source": sources.take(pa.array(source)), "count": count, "docs": docs,
+        "starts": np.flatnonzero(np.concatenate([[True], np.diff(key) != 0])),
+    }
+
+
+def _compacted(heap: list) -> list:
+    """What is open as one chunk per shard and language, equal postings added up."""
+    by: dict[tuple, list] = {}
+    for _, _, opened in heap:
+        by.setdefault((opened.shard, opened.lang), []).append(opened.until(None))
+    out = []
+    for n, ((shard, lang), parts) in enumerate(sorted(by.items(), key=lambda x: x[0])):
+        found = _joined(parts)
+        size = np.diff(np.append(found["starts"], len(found["count"])))
+        terms = found["term"].take(pa.array(found["starts"])).to_pylist()
+        order = np.array(sorted(range(len(terms)), key=terms.__getitem__))
+        place = np.repeat(found["starts"][order] - (np.cumsum(size[order]) - size[order]), size[order]) + np.arange(size.sum())
+        ends = np.concatenate([[0], np.cumsum(size[order])])
+        rows = found["source"].take(pa.array(place)), found["count"][place], found["docs"][place]
+        opened = _Open(shard, lang, [terms[i] for i in order], ends, *rows)
+        out.append((opened.key, -1 - n, opened))
+    return out
+
+
+def merged(chunks: Iterator[_Open], step: int | None = None) -> Iterator[dict]:
+    """All postings added up, in portions; a term is in one portion only.
+
+    ``chunks`` come in the order of shard, language and first term. The heap has the open
+    ones by their next term. Whenever ``step`` postings are open, those of terms before
+    the next chunk's first are taken from it and leave; where too few can, as one term
+    fills the chunks of many runs, what is open is added up.
     """
+    step = MERGED_POSTINGS if step is None else step
     heap: list[tuple[tuple, int, _Open]] = []
+    held, most = 0, 2 * step
 
-    def until(limit: tuple | None):
+    def before(limit: tuple | None) -> list[tuple]:
+        parts = []
         while heap and (limit is None or heap[0][0] < limit):
-            key, found = heap[0][0], {}
-            while heap and heap[0][0] == key:
-                _, n, opened = heap[0]
-                for source, count, docs in opened.postings():
-                    own = found.setdefault(source, [0, 0])
-                    own[0] += count
-                    own[1] += docs
-                opened.at += 1
-                if opened.at < len(opened.chunk["terms"]):
-                    heapq.heapreplace(heap, (opened.key(), n, opened))
-                else:
-                    heapq.heappop(heap)
-            yield key, found
-
-    for n, chunk in enumerate(chunks):
-        opened = _Open(chunk)
-        yield from until(opened.key())
-        heapq.heappush(heap, (opened.key(), n, opened))
-    yield from until(None)
+            _, n, opened = heapq.heappop(heap)
+            parts.append(opened.until(limit))
+            if opened.at < len(opened.terms):
+                heapq.heappush(heap, (opened.key, n, opened))
+        return parts
+
+    for n, opened in enumerate(chunks):
+        if held >= step:
+            parts = before(opened.key)
+            if parts:
+                held -= sum(len(p[3]) for p in parts)
+                yield _joined(parts)
+            if held >= most:
+                heap = _compacted(heap)
+                held = sum(x.held for _, _, x in heap)
+                most = max(2 * step, 2 * held)
+        heapq.heappush(heap, (opened.key, n, opened))
+        held += opened.held
+    parts = before(None)
+    if parts:
+        yield _joined(parts)
 
 
 def _merger(min_docs: int):
     names = ["lang", "term", "source", "count", "lang_count", "groups", "leads"]
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
-    kind = pa.schema(list(zip(names, kinds)))
-
-    def rows(found):
-        for (_, lang, term), by_source in found:
-            if term != OCCURS and sum(docs for _, docs in by_source.values()) < min_docs:
-                continue
-            total = sum(count for count, _ in by_source.values())
-            for i, (source, (count, _)) in enumerate(by_source.items()):
-                yield lang, term, source, count, total, len(by_source), i == 0
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
-        for row in rows(merged(c for batch in batches for c in batch.to_pylist())):
-            out.append(row)
-            if len(out) == 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], schema=kind)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], schema=kind)
+        for found in merged(_chunks(batches)):
+            starts = found["starts"]
+            size = np.diff(np.append(starts, len(found["count"])))
+            marks = pc.equal(found["term"], OCCURS).to_numpy(zero_copy_only=False)
+            often = np.add.reduceat(found["docs"], starts) >= min_docs
+            kept = pa.array(np.repeat(often, size) | marks)
+            leads = np.zeros(len(marks), bool)
+            leads[starts] = True
+            columns = [
+                found["lang"], found["term"], found["source"], pa.array(found["count"]),
+                pa.array(np.repeat(np.add.reduceat(found["count"], starts), size)),
+                pa.array(np.repeat(size, size).astype(np.int32)), pa.array(leads),
+            ]
+            table = pa.RecordBatch.from_arrays(columns, names).filter(kept)
+            for at in range(0, len(table), 50_000):
+                yield table.slice(at, 50_000)
+        common.release()
 
     return merge
 
