@@ -292,3 +292,92 @@ def test_report_from_cells_equals_report_from_profile(report_frames):
     lines = report.monthly_lines(cells, given.scenario, given.lines).select(*tables.lines.columns)
     assert lines.count() == 126
     assert lines.exceptAll(tables.lines).count() == 0
+
+
+def _cells(given, tables, **changed):
+    profile = forecast.entity_profile(tables.totals, given.scenario, given.lines, tables.opening)
+    frames = dict(
+        report_lines=tables.lines,
+        summary=tables.summary,
+        cash=staged_run.ledger_totals(tables),
+        forecast=tables.forecast,
+        drivers=forecast.calendar_cells(profile, given.scenario, given.lines, given.plan, "forecast"),
+    )
+    return checks.cell_checks(**(frames | changed), scenario=given.scenario)
+
+
+@pytest.mark.parametrize(
+    ("frame", "column", "month", "failed"),
+    [
+        ("lines", "signed_amount_usd", "2026-03-01", ["line_equals_transactions", "activity_equals_transactions"]),
+        (
+            "lines", "signed_amount_usd", "2026-12-01",
+            ["line_equals_transactions", "activity_equals_transactions", "report_matches_drivers"],
+        ),
+        ("summary", "net_operating_cash_flow", "2026-03-01", ["section_equals_transactions"]),
+        ("summary", "net_change_in_cash", "2027-09-01", ["section_equals_transactions"]),
+        ("forecast", "signed_amount_usd", "2026-12-01", ["forecast_matches_drivers"]),
+    ],
+)
+def test_altered_cells_fail_the_gates_of_their_level(report_frames, frame, column, month, failed):
+    given, tables = report_frames
+    here = F.col("reporting_month") == F.lit(month).cast("date")
+    rows = getattr(tables, frame).withColumn(column, F.col(column) + F.when(here, 1).otherwise(0))
+    found = _cells(given, tables, **{{"lines": "report_lines"}.get(frame, frame): rows}).orderBy("ord").collect()
+    assert len(found) == 5
+    assert sorted(r.check_id for r in found if not r.passed) == sorted(failed)
+    for r in found:
+        assert r.passed == (r.violations == 0) and (r.sample_key is None) == r.passed
+        if not r.passed:
+            assert month in r.sample_key and int(r.observed) >= r.violations > 0
+
+
+def test_rows_that_one_side_lacks_fail_at_their_levels(report_frames):
+    given, tables = report_frames
+    partial = tables.lines.filter("reporting_line <> 'Overhead paid'")
+    lost = {r.check_id: r.violations for r in _cells(given, tables, report_lines=partial).filter("NOT passed").collect()}
+    assert lost == {
+        "line_equals_transactions": 21, "activity_equals_transactions": 21, "report_matches_drivers": 12,
+    }
+    extra = staged_run.ledger_totals(tables).limit(1).withColumn("reporting_line", F.lit(None).cast("string"))
+    cash = staged_run.ledger_totals(tables).unionByName(extra)
+    assert first_failure(_cells(given, tables, cash=cash)) == "line_equals_transactions"
+
+
+def test_entity_rules_share_one_grouping(report_frames):
+    given, tables = report_frames
+    roster = tables.opening.select("entity_id")
+    expected = given.expectations
+    joint = checks.entity_checks(
+        checks.opening_part(tables.opening, roster),
+        checks.forecast_part(tables.forecast, roster, given.scenario, given.lines),
+        checks.line_part(tables.lines, given.scenario, given.lines),
+        checks.summary_part(tables.summary, given.scenario),
+        checks.opening_amount_part(tables.opening, expected.opening),
+        checks.net_change_part(tables.summary, expected.net_change),
+        checks.final_balance_part(tables.summary, expected.final_balance),
+    )
+    apart = checks.combine(
+        checks.opening_checks(tables.opening, roster),
+        checks.forecast_checks(tables.forecast, roster, given.scenario, given.lines),
+        checks.line_checks(tables.lines, given.scenario, given.lines),
+        checks.summary_checks(tables.summary, given.scenario),
+        checks.opening_amount_checks(tables.opening, expected.opening),
+        checks.net_change_checks(tables.summary, expected.net_change),
+        checks.final_balance_checks(tables.summary, expected.final_balance),
+    )
+    assert sorted(joint.collect()) == sorted(apart.collect()) and joint.count() == 13
+    assert joint.filter("NOT passed").count() == 0
+
+
+def test_entities_of_one_subject_are_not_missed_by_the_others(spark, report_frames):
+    """An agreement on an entity that nobody reports fails its own gate and no other."""
+    given, tables = report_frames
+    nobody = given.expectations.opening.withColumn("entity_id", F.lit("nobody")).unionByName(given.expectations.opening)
+    found = checks.entity_checks(
+        checks.opening_part(tables.opening, tables.opening.select("entity_id")),
+        checks.line_part(tables.lines, given.scenario, given.lines),
+        checks.summary_part(tables.summary, given.scenario),
+        checks.opening_amount_part(tables.opening, nobody),
+    )
+    assert [r.check_id for r in found.filter("NOT passed").collect()] == ["opening_amount"]

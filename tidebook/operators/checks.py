@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions import blank
-from tidebook.operators.report import final_balance
-from tidebook.plans.lines import LineBook
+from tidebook.operators.report import final_balance, net_column
+from tidebook.operators.reconcile import NET_CHANGE
+from tidebook.plans.lines import SECTIONS, LineBook
 from tidebook.plans.scenario import Scenario
 from tidebook.sources.extract import UNKNOWN_ENTITY
 
@@ -265,29 +266,105 @@ def ledger_checks(
     )
 
 
-def opening_checks(opening: DataFrame, roster: DataFrame) -> DataFrame:
+# --- per entity --------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class EntityPart:
+    """What one subject adds to the rules per entity.
+
+    ``rows`` have ``entity_id`` and columns of their own; ``sums`` say what becomes of
+    these per entity (SQL, with a name), ``found`` what becomes of those over all entities,
+    and ``gates`` are rows over that. An entity that a subject does not have is NULL there.
+    """
+
+    rows: DataFrame
+    sums: tuple[str, ...]
+    found: tuple[str, ...]
+    gates: tuple[str, ...]
+
+
+def entity_checks(*parts: EntityPart) -> DataFrame:
+    """All rules per entity with one grouping, whatever number of subjects they have."""
+    rows = parts[0].rows
+    for part in parts[1:]:
+        rows = rows.unionByName(part.rows, allowMissingColumns=True)
+    per_entity = rows.groupBy("entity_id").agg(*[F.expr(x) for part in parts for x in part.sums])
+    found = per_entity.selectExpr(*[x for part in parts for x in part.found])
+    return _rows(found, *[x for part in parts for x in part.gates])
+
+
+def opening_part(opening: DataFrame, roster: DataFrame) -> EntityPart:
     """Exactly one opening record for every entity that reports."""
-    records = opening.select("entity_id", F.lit(1).alias("n")).unionByName(
-        roster.select("entity_id", F.lit(0).alias("n"))
-    )
-    per_entity = records.groupBy("entity_id").agg(F.sum("n").alias("n"))
-    found = per_entity.agg(
-        F.count("*").alias("entities"),
-        F.sum("n").alias("records"),
-        F.sum(F.when(F.col("n") != 1, 1).otherwise(0)).alias("bad"),
-        F.min(F.when(F.col("n") != 1, F.col("entity_id"))).alias("sample"),
+    records = opening.select("entity_id", F.lit(1).alias("opening_record")).unionByName(
+        roster.select("entity_id", F.lit(0).alias("opening_record"))
+    )
+    gate = Gate("close", "one_opening_record", 50)
+    return EntityPart(
+        records,
+        ("sum(opening_record) AS openings",),
+        (
+            "count(openings) AS opening_entities",
+            "coalesce(sum(openings), 0) AS opening_records",
+            "count_if(openings <> 1) AS opening_wrong",
+            "min(entity_id) FILTER (WHERE openings <> 1) AS opening_sample",
+        ),
+        (
+            gate.row(
+                "opening_wrong + if(opening_entities = 0, 1, 0)",
+                "opening_records",
+                "greatest(opening_entities, 1)",
+                "opening_sample",
+            ),
+        ),
     )
-    return _rows(
-        found,
-        Gate("close", "one_opening_record", 50).row(
-            "coalesce(bad, 0) + if(entities = 0, 1, 0)",
-            "coalesce(records, 0)",
-            "greatest(entities, 1)",
-            "sample",
+
+
+def opening_checks(opening: DataFrame, roster: DataFrame) -> DataFrame:
+    return entity_checks(opening_part(opening, roster))
+
+
+def amount_part(actual: DataFrame, expected: DataFrame, gate: Gate) -> EntityPart:
+    """``entity_id, amount`` against ``entity_id, expected_amount``, entities of either side.
+
+    An agreement without any amount is a violation.
+    """
+    x = gate.check_id
+    wrong = f"({x}_seen > 0 AND NOT coalesce({x}_amount = {x}_agreed, false))"
+    rows = actual.select("entity_id", F.col("amount").alias(f"{x}_a"), F.lit(1).alias(f"{x}_s")).unionByName(
+        expected.select("entity_id", F.col("expected_amount").alias(f"{x}_e"), F.lit(1).alias(f"{x}_s")),
+        allowMissingColumns=True,
+    )
+    return EntityPart(
+        rows,
+        (f"sum({x}_a) AS {x}_amount", f"sum({x}_e) AS {x}_agreed", f"sum({x}_s) AS {x}_seen"),
+        (
+            f"count_if({wrong}) AS {x}_wrong",
+            f"min(entity_id) FILTER (WHERE {wrong}) AS {x}_sample",
+            f"sum({x}_amount) AS {x}_total",
+            f"sum({x}_agreed) AS {x}_wanted",
+            f"count({x}_agreed) AS {x}_agreements",
+        ),
+        (
+            gate.row(
+                f"{x}_wrong + if({x}_agreements = 0 AND {x}_wrong = 0, 1, 0)",
+                f"{x}_total",
+                f"{x}_wanted",
+                f"{x}_sample",
+            ),
         ),
     )
 
 
+def opening_amount_part(opening: DataFrame, expected: DataFrame) -> EntityPart:
+    actual = opening.select("entity_id", F.col("available_balance_usd").alias("amount"))
+    return amount_part(actual, expected, Gate("report", "opening_amount", 90))
+
+
+def opening_amount_checks(opening: DataFrame, expected: DataFrame) -> DataFrame:
+    return entity_checks(opening_amount_part(opening, expected))
+
+
 # --- control totals ----------------------------------------------------------
 
 
@@ -367,75 +444,109 @@ def agreement_notice(spark: SparkSession, missing: list[str]) -> DataFrame:
     return _rows(found, gate.row("n", sample="sample"))
 
 
-def amount_checks(actual: DataFrame, expected: DataFrame, gate: Gate) -> DataFrame:
-    """``entity_id, amount`` against ``entity_id, expected_amount``, entities of either side.
+# --- forecast ----------------------------------------------------------------
 
-    An agreement without any amount is a violation.
-    """
-    compared = expected.join(actual, "entity_id", "full").withColumn(
-        "wrong", ~F.coalesce(F.col("amount") == F.col("expected_amount"), F.lit(False))
-    )
-    found = compared.agg(
-        F.sum(F.col("wrong").cast("int")).alias("n"),
-        F.min(F.when(F.col("wrong"), F.col("entity_id"))).alias("sample"),
-        F.sum("amount").alias("amount"),
-        F.sum("expected_amount").alias("expected_amount"),
-        F.count("expected_amount").alias("agreed"),
+
+def forecast_part(forecast: DataFrame, roster: DataFrame, scenario: Scenario, lines: LineBook) -> EntityPart:
+    """Row count and id uniqueness per entity."""
+    wanted = scenario.forecast_months * len(lines)
+    ids = forecast.select("entity_id", "transaction_id", F.lit(1).alias("n")).unionByName(
+        roster.select("entity_id", F.lit(None).cast("string").alias("transaction_id"), F.lit(0).alias("n"))
     )
-    return _rows(
-        found,
-        gate.row("coalesce(n, 0) + if(agreed = 0 AND coalesce(n, 0) = 0, 1, 0)", "amount", "expected_amount", "sample"),
+    per_id = ids.groupBy("entity_id", "transaction_id").agg(F.sum("n").alias("forecast_n"))
+    short, repeated = f"forecast_rows <> {wanted}", "forecast_repeated > 0"
+    return EntityPart(
+        per_id.drop("transaction_id"),
+        ("sum(forecast_n) AS forecast_rows", "count_if(forecast_n > 1) AS forecast_repeated"),
+        (
+            "count(forecast_rows) AS forecast_entities",
+            "sum(forecast_rows) AS forecast_total",
+            f"count_if({short}) AS forecast_short",
+            f"min(entity_id) FILTER (WHERE {short}) AS forecast_short_sample",
+            "sum(forecast_repeated) AS forecast_copies",
+            f"min(entity_id) FILTER (WHERE {repeated}) AS forecast_copies_sample",
+        ),
+        (
+            Gate("forecast", "forecast_row_count", 70).row(
+                "forecast_short", "forecast_total", f"forecast_entities * {wanted}", "forecast_short_sample"
+            ),
+            Gate("forecast", "repeated_forecast_id", 75).row("forecast_copies", sample="forecast_copies_sample"),
+        ),
     )
 
 
-def opening_amount_checks(opening: DataFrame, expected: DataFrame) -> DataFrame:
-    actual = opening.select("entity_id", F.col("available_balance_usd").alias("amount"))
-    return amount_checks(actual, expected, Gate("report", "opening_amount", 90))
+def forecast_checks(forecast: DataFrame, roster: DataFrame, scenario: Scenario, lines: LineBook) -> DataFrame:
+    return entity_checks(forecast_part(forecast, roster, scenario, lines))
 
 
-# --- forecast ----------------------------------------------------------------
+# --- per cell ----------------------------------------------------------------
+
+#: Gate, level of the cells, and the two sides that have to agree.
+CELL_GATES = (
+    (Gate("forecast", "forecast_matches_drivers", 80), "line", "forecast", "driver"),
+    (Gate("report", "line_equals_transactions", 110), "line", "report", "ledger"),
+    (Gate("report", "activity_equals_transactions", 120), "activity", "report", "ledger"),
+    (Gate("report", "section_equals_transactions", 130), "section", "report", "ledger"),
+    (Gate("report", "report_matches_drivers", 220), "line", "open_report", "driver"),
+)
 
 
-def forecast_checks(
-    forecast: DataFrame, roster: DataFrame, scenario: Scenario, lines: LineBook
+def cell_checks(
+    report_lines: DataFrame, summary: DataFrame, cash: DataFrame, forecast: DataFrame, drivers: DataFrame, scenario: Scenario
 ) -> DataFrame:
-    """Row count and id uniqueness per entity, sharing one shuffle."""
-    per_entity_rows = scenario.forecast_months * len(lines)
-    ids = forecast.select("entity_id", "transaction_id", F.lit(1).alias("n")).unionByName(
-        roster.select("entity_id", F.lit(None).cast("string").alias("transaction_id"), F.lit(0).alias("n"))
-    )
-    per_id = ids.groupBy("entity_id", "transaction_id").agg(F.sum("n").alias("n"))
-    per_entity = per_id.groupBy("entity_id").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("repeated"),
-    )
-    short = F.col("n_rows") != per_entity_rows
-    found = per_entity.agg(
-        F.count("*").alias("entities"),
-        F.sum("n_rows").alias("n_rows"),
-        F.sum(F.when(short, 1).otherwise(0)).alias("wrong"),
-        F.min(F.when(short, F.col("entity_id"))).alias("wrong_sample"),
-        F.sum("repeated").alias("repeated"),
-        F.min(F.when(F.col("repeated") > 0, F.col("entity_id"))).alias("repeated_sample"),
-    )
-    return _rows(
-        found,
-        Gate("forecast", "forecast_row_count", 70).row(
-            "wrong", "n_rows", f"entities * {per_entity_rows}", "wrong_sample"
-        ),
-        Gate("forecast", "repeated_forecast_id", 75).row("repeated", sample="repeated_sample"),
-    )
+    """Report, both ledgers, forecast and drivers against each other, at every level, with one grouping.
 
+    ``cash`` are the totals of both ledgers; ``drivers`` what drivers and plan say of each
+    open cell. Every frame's cells are rows (level, side, amount); a side that has no
+    row for a cell counts as zero, but a report or forecast has to have one.
+    """
 
-def difference_checks(compared: DataFrame, gate: Gate, *key: str) -> DataFrame:
-    """Rows of a side-by-side frame that do not agree."""
-    wrong = ~F.col("agrees")
-    found = compared.agg(
-        F.sum(F.when(wrong, 1).otherwise(0)).alias("n"),
-        F.sum(F.when(wrong, F.col("difference_usd")).otherwise(0)).alias("off"),
-        F.min(F.when(wrong, F.concat_ws("/", *key))).alias("sample"),
-    )
-    return _rows(found, gate.row("n", "off", sample="sample"))
+    def at(level: str, part, section=None):
+        section = F.lit(None).cast("string") if section is None else F.col(section)
+        return F.struct(F.lit(level).alias("level"), section.alias("section"), part.alias("part"))
+
+    def cells(frame: DataFrame, side: str, *places, amount: str = "signed_amount_usd") -> DataFrame:
+        return frame.select(
+            "entity_id", "reporting_month", F.lit(side).alias("side"), F.col(amount).alias("amount"),
+            F.inline(F.array(*places)),
+        )
+
+    line = at("line", F.col("reporting_line"))
+    activity = at("activity", F.col("business_activity"), "cash_flow_section")
+    section, net = at("section", F.col("cash_flow_section")), at("section", F.lit(NET_CHANGE))
+    measures = [
+        F.struct(F.lit(name).alias("part"), F.col(column).alias("signed_amount_usd"))
+        for name, column in [*((s, net_column(s)) for s in SECTIONS), (NET_CHANGE, "net_change_in_cash")]
+    ]
+    by_section = summary.select("entity_id", "reporting_month", F.inline(F.array(*measures)))
+    union = combine(
+        cells(report_lines, "report", line, activity),
+        cells(report_lines.filter(scenario.is_open(F.col("reporting_month"))), "open_report", line),
+        cells(by_section, "report", at("section", F.col("part"))),
+        cells(cash, "ledger", line, activity, section, net),
+        cells(forecast, "forecast", line),
+        cells(drivers, "driver", line),
+    )
+    sides = sorted({side for _, _, *two in CELL_GATES for side in two})
+    sums = [f"sum(amount) FILTER (WHERE side = '{s}') AS {s}" for s in sides]
+    seen = [f"count_if(side = '{s}') AS {s}_rows" for s in sides]
+    per_cell = union.groupBy("level", "entity_id", "reporting_month", "section", "part").agg(
+        *[F.expr(x) for x in (*sums, *seen)]
+    )
+    found, rows = [], []
+    for gate, level, one, other in CELL_GATES:
+        wrong = (
+            f"(level = '{level}' AND {one}_rows + {other}_rows > 0 "
+            f"AND NOT coalesce({one} = coalesce({other}, 0), false))"
+        )
+        x = gate.check_id
+        found += [
+            f"count_if({wrong}) AS {x}_n",
+            f"coalesce(sum(coalesce({one}, 0) - coalesce({other}, 0)) FILTER (WHERE {wrong}), 0) AS {x}_off",
+            f"min(concat_ws('/', entity_id, reporting_month, part)) FILTER (WHERE {wrong}) AS {x}_sample",
+        ]
+        rows.append(gate.row(f"{x}_n", f"{x}_off", sample=f"{x}_sample"))
+    return _rows(per_cell.selectExpr(*found), *rows)
 
 
 def unused_override_checks(unused: DataFrame) -> DataFrame:
@@ -517,25 +628,27 @@ def period_counts(report_lines: DataFrame, summary: DataFrame) -> DataFrame:
     return lines_per_entity.join(months, "entity_id", "full")
 
 
-def line_checks(report_lines: DataFrame, scenario: Scenario, lines: LineBook) -> DataFrame:
+def line_part(report_lines: DataFrame, scenario: Scenario, lines: LineBook) -> EntityPart:
     """Every entity has one row per month and line."""
-    per_entity = report_lines.groupBy("entity_id").agg(F.count("*").alias("line_rows"))
-    return _counted(per_entity, {"line_row_count": (150, "line_rows", scenario.total_months * len(lines))})
+    rows = report_lines.select("entity_id", F.lit(1).alias("report_line"))
+    return _counted(
+        rows, ("count(report_line) AS line_rows",), "line_rows",
+        {"line_row_count": (150, "line_rows", scenario.total_months * len(lines))},
+    )
 
 
-def summary_checks(summary: DataFrame, scenario: Scenario) -> DataFrame:
+def line_checks(report_lines: DataFrame, scenario: Scenario, lines: LineBook) -> DataFrame:
+    return entity_checks(line_part(report_lines, scenario, lines))
+
+
+def summary_part(summary: DataFrame, scenario: Scenario) -> EntityPart:
     """Months per entity, and both balance identities, in one pass over the summary."""
     actual = F.col("amount_type") == "Actual"
-    per_entity = (
-        roll_forward_rows(summary, "amount_type")
-        .groupBy("entity_id")
-        .agg(
-            F.count("*").alias("summary_rows"),
-            F.sum(F.when(actual, 1).otherwise(0)).alias("actual_months"),
-            F.sum(F.when(actual, 0).otherwise(1)).alias("forecast_months"),
-            F.max("reporting_month").alias("last_month"),
-            *[F.sum(F.when(F.col(c), 0).otherwise(1)).alias(c) for c in ("adds_up", "continues")],
-        )
+    rows = roll_forward_rows(summary, "amount_type").select(
+        "entity_id",
+        F.col("reporting_month").alias("summary_month"),
+        F.when(actual, 1).otherwise(0).alias("is_actual"),
+        *[F.when(F.col(c), 0).otherwise(1).alias(f"not_{c}") for c in ("adds_up", "continues")],
     )
     wanted = {
         "summary_row_count": (140, "summary_rows", scenario.total_months),
@@ -544,47 +657,68 @@ def summary_checks(summary: DataFrame, scenario: Scenario) -> DataFrame:
         "last_month": (190, "last_month", scenario.last_month),
     }
     identities = {"balance_adds_up": (160, "adds_up"), "balance_continues": (165, "continues")}
-    return _counted(per_entity, wanted, identities)
+    sums = (
+        "count(is_actual) AS summary_rows",
+        "sum(is_actual) AS actual_months",
+        "sum(1 - is_actual) AS forecast_months",
+        "max(summary_month) AS last_month",
+        "sum(not_adds_up) AS adds_up",
+        "sum(not_continues) AS continues",
+    )
+    return _counted(rows, sums, "summary_rows", wanted, identities)
+
+
+def summary_checks(summary: DataFrame, scenario: Scenario) -> DataFrame:
+    return entity_checks(summary_part(summary, scenario))
 
 
 def _counted(
-    per_entity: DataFrame,
+    rows: DataFrame,
+    sums: tuple[str, ...],
+    counter: str,
     wanted: dict[str, tuple[int, str, object]],
     violations: dict[str, tuple[int, str]] | None = None,
-) -> DataFrame:
-    """Entities whose figure differs from the wanted one, and summed violation columns."""
-    aggregates, rows = ["count(*) AS entities"], []
+) -> EntityPart:
+    """Entities whose figure differs from the wanted one, and summed violation columns.
+
+    An entity is the subject's if ``counter`` is above zero.
+    """
+    entities = f"{counter}_entities"
+    found, gates = [f"count_if({counter} > 0) AS {entities}"], []
     for check_id, (position, column, value) in wanted.items():
-        wrong = f"NOT (CAST({column} AS STRING) <=> '{value}')"
-        aggregates += [
+        wrong = f"({counter} > 0 AND NOT (CAST({column} AS STRING) <=> '{value}'))"
+        found += [
             f"count_if({wrong}) AS {column}_wrong",
             f"min(entity_id) FILTER (WHERE {wrong}) AS {column}_sample",
-            f"max({column}) AS {column}_seen",
+            f"max({column}) FILTER (WHERE {counter} > 0) AS {column}_seen",
         ]
-        rows.append(
+        gates.append(
             Gate("report", check_id, position).row(
-                f"{column}_wrong + if(entities = 0, 1, 0)",
-                f"{column}_seen",
-                f"'{value}'",
-                f"{column}_sample",
+                f"{column}_wrong + if({entities} = 0, 1, 0)", f"{column}_seen", f"'{value}'", f"{column}_sample"
             )
         )
     for check_id, (position, column) in (violations or {}).items():
-        aggregates += [
+        found += [
             f"sum({column}) AS {column}_wrong",
             f"min(entity_id) FILTER (WHERE {column} > 0) AS {column}_sample",
         ]
-        rows.append(
-            Gate("report", check_id, position).row(f"{column}_wrong", sample=f"{column}_sample")
-        )
-    return _rows(per_entity.selectExpr(*aggregates), *rows)
+        gates.append(Gate("report", check_id, position).row(f"{column}_wrong", sample=f"{column}_sample"))
+    return EntityPart(rows, sums, tuple(found), tuple(gates))
+
+
+def net_change_part(summary: DataFrame, expected: DataFrame) -> EntityPart:
+    actual = summary.select("entity_id", F.col("net_change_in_cash").alias("amount"))
+    return amount_part(actual, expected, Gate("report", "total_net_change", 200))
 
 
 def net_change_checks(summary: DataFrame, expected: DataFrame) -> DataFrame:
-    actual = summary.groupBy("entity_id").agg(F.sum("net_change_in_cash").alias("amount"))
-    return amount_checks(actual, expected, Gate("report", "total_net_change", 200))
+    return entity_checks(net_change_part(summary, expected))
 
 
-def final_balance_checks(summary: DataFrame, expected: DataFrame) -> DataFrame:
+def final_balance_part(summary: DataFrame, expected: DataFrame) -> EntityPart:
     actual = final_balance(summary).select("entity_id", F.col("ending_cash").alias("amount"))
-    return amount_checks(actual, expected, Gate("report", "final_balance", 210))
+    return amount_part(actual, expected, Gate("report", "final_balance", 210))
+
+
+def final_balance_checks(summary: DataFrame, expected: DataFrame) -> DataFrame:
+    return entity_checks(final_balance_part(summary, expected))

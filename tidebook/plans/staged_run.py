@@ -14,8 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.operators import checks, forecast, ledger, lookup, reconcile, report
-from tidebook.operators.checks import Gate
+from tidebook.operators import checks, forecast, ledger, lookup, report
 from tidebook.plans.lines import LineBook
 from tidebook.plans.scenario import Scenario
 from tidebook.sources.constants import constant_frame
@@ -137,47 +136,26 @@ def run_checks(inputs: Inputs, tables: Tables, closed: DataFrame | None = None)
     cash = ledger_totals(tables)
     profile = forecast.entity_profile(tables.totals, scenario, book, roster=roster)
     expected_cells = forecast.calendar_cells(profile, scenario, book, inputs.plan, "forecast")
-    cell = ("entity_id", "reporting_month", "reporting_line")
-    open_lines = tables.lines.filter(scenario.is_open(F.col("reporting_month")))
+    entity_parts = [
+        checks.opening_part(tables.opening, roster),
+        checks.forecast_part(tables.forecast, roster, scenario, book),
+        checks.line_part(tables.lines, scenario, book),
+        checks.summary_part(tables.summary, scenario),
+    ]
+    if agreed.opening is not None:
+        entity_parts.append(checks.opening_amount_part(tables.opening, agreed.opening))
+    if agreed.net_change is not None:
+        entity_parts.append(checks.net_change_part(tables.summary, agreed.net_change))
+    if agreed.final_balance is not None:
+        entity_parts.append(checks.final_balance_part(tables.summary, agreed.final_balance))
     parts = [
         checks.mapping_checks(ledger.mapping_rules(inputs.mapping)),
         checks.ledger_checks(tables.ledger, scenario, inputs.vendor_sources, inputs.strict_window),
-        checks.opening_checks(tables.opening, roster),
-        checks.forecast_checks(tables.forecast, roster, scenario, book),
-        checks.difference_checks(
-            reconcile.side_by_side(tables.forecast, expected_cells, cell),
-            Gate("forecast", "forecast_matches_drivers", 80),
-            *cell,
-        ),
+        checks.entity_checks(*entity_parts),
+        checks.cell_checks(tables.lines, tables.summary, cash, tables.forecast, expected_cells, scenario),
         checks.cash_checks(cash, scenario, book),
-        checks.difference_checks(
-            reconcile.reconcile_lines(tables.lines, cash),
-            Gate("report", "line_equals_transactions", 110),
-            *cell,
-        ),
-        checks.difference_checks(
-            reconcile.reconcile_activities(tables.lines, cash),
-            Gate("report", "activity_equals_transactions", 120),
-            "entity_id",
-            "reporting_month",
-            "business_activity",
-        ),
-        checks.difference_checks(
-            reconcile.reconcile_sections(tables.summary, cash),
-            Gate("report", "section_equals_transactions", 130),
-            "entity_id",
-            "reporting_month",
-            "measure",
-        ),
-        checks.line_checks(tables.lines, scenario, book),
-        checks.summary_checks(tables.summary, scenario),
-        checks.difference_checks(
-            reconcile.side_by_side(open_lines, expected_cells, cell),
-            Gate("report", "report_matches_drivers", 220),
-            *cell,
-        ),
+        checks.agreement_notice(inputs.mapping.sparkSession, agreed.missing()),
     ]
-    parts.append(checks.agreement_notice(inputs.mapping.sparkSession, agreed.missing()))
     if inputs.rejects is not None:
         unreadable = inputs.rejects if tables.unreadable is None else tables.unreadable
         parts.append(checks.reject_checks(unreadable, inputs.allowed_rejects))
@@ -189,12 +167,6 @@ def run_checks(inputs: Inputs, tables: Tables, closed: DataFrame | None = None)
     if agreed.control_totals is not None:
         totals = checks.control_totals(tables.actuals if closed is None else closed)
         parts.append(checks.control_checks(totals, agreed.control_totals))
-    if agreed.opening is not None:
-        parts.append(checks.opening_amount_checks(tables.opening, agreed.opening))
-    if agreed.net_change is not None:
-        parts.append(checks.net_change_checks(tables.summary, agreed.net_change))
-    if agreed.final_balance is not None:
-        parts.append(checks.final_balance_checks(tables.summary, agreed.final_balance))
     if inputs.plan is not None:
         unused = forecast.unused_overrides(inputs.plan, roster, scenario, book)
         parts.append(checks.unused_override_checks(unused))
