@@ -136,3 +136,14 @@ def monthly_totals(ledger: DataFrame) -> DataFrame:
     partial aggregation before the shuffle.
     """
     return ledger.groupBy(*TOTAL_KEYS).agg(F.sum("signed_amount_usd").alias("signed_amount_usd"))
+
+
+def closed_sums(ledger: DataFrame) -> DataFrame:
+    """Totals by the keys of ``monthly_totals`` and direction, in dollars and in cents.
+
+    A run that needs several kinds of totals adds them up from these rows, so that
+    the ledger is read once for all of them.
+    """
+    return ledger.groupBy(*TOTAL_KEYS, "cash_direction").agg(
+        F.sum("signed_amount_usd").alias("signed_amount_usd"), F.sum("signed_amount").alias("signed_amount")
+    )

@@ -128,7 +128,8 @@ def stage(inputs: Inputs, folder: str) -> Tables:
 def run_checks(inputs: Inputs, tables: Tables, closed: DataFrame | None = None) -> DataFrame:
     """Every gate over the staged tables, one row per gate.
 
-    ``closed`` is the closed ledger where it can be read for less than the staged one.
+    ``closed`` is the closed ledger, or sums of it by section and direction, where that can
+    be read for less than the staged one.
     """
     scenario, book, agreed = inputs.scenario, inputs.lines, inputs.expectations
     roster = tables.opening.select("entity_id").unionByName(tables.totals.select("entity_id"))
