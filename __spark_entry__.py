@@ -791,9 +791,9 @@ QUERIES = (
 )
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     """Monthly cash summary with balances, per entity."""
-    return balance_rollforward(spark, "/root/testdata/sf0.001")
+    return balance_rollforward(spark, sf_dir)
 
 
 def _text_queries():
