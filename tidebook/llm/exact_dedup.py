@@ -20,8 +20,9 @@ execution splits.
 Defined cases: a null text counts as empty; empty texts are equal to each other.
 Rows that repeat a doc_id and its text share one decision, so all of them are
 kept or none. A null doc_id never wins against another id; where a group has no
-other, its rows are all kept. An empty table gives an empty result. Columns of
-the input stay; ones named like a result column are replaced.
+other, its rows are all kept. Texts may be of any length: they are hashed where they
+are read, and only lengths and hashes move. An empty table gives an empty result.
+Columns of the input stay; ones named like a result column are replaced.
 """
 
 from __future__ import annotations

@@ -29,8 +29,9 @@ belongs to the one there. Long paths are shortened by a hash of their first part
 Defined cases: null, empty and text-free pages give an empty text. Text outside
 any element is a page's own container. Unclosed and misnested tags close as
 browsers do in the plain cases. A null or unreadable url belongs to a host of its
-own name, the empty one. Repeated rows each give their result. An empty table gives
-an empty result. Columns of the input stay; ``main_text`` is replaced.
+own name, the empty one. Of paths with equal votes the first by name wins. Repeated
+rows each give their result. Pages may be of any length and depth; one task reads a
+page whole. An empty table gives an empty result. Columns of the input stay; ``main_text`` is replaced.
 """
 
 from __future__ import annotations

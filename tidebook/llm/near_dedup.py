@@ -27,8 +27,9 @@ Defined cases: null texts, empty texts and texts without words have an empty set
 and are linked with nothing. A text of fewer words than a shingle has one shingle,
 the whole sequence. Rows that repeat a doc_id and text share one decision. A null
 doc_id never names a component that has another id; where there is none, its rows
-are all kept. An empty table gives an empty result. Other columns are not carried
-along; ``text_hash`` tells apart rows that repeat a doc_id with another text.
+are all kept. Texts may be of any length: one task reads a text whole, with memory in
+proportion, and its full set travels as eight bytes per shingle. An empty table gives
+an empty result. Other columns are not carried along; ``text_hash`` tells apart rows that repeat a doc_id with another text.
 """
 
 from __future__ import annotations

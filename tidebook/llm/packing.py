@@ -19,8 +19,9 @@ The driver sees two sums per round. A partition is a bounded number of rows by a
 hash of the row's own number, so no id can make it large.
 
 Defined cases: a null text is empty and has the closing id alone. Rows that repeat
-a doc_id are packed as documents of their own. A null doc_id stays null. An empty
-table gives an empty result. Other columns of the input are not carried along.
+a doc_id are packed as documents of their own. A null doc_id stays null. A long text
+is turned into ids by one task, with memory in proportion, and cut into pieces. Equal
+lengths are packed in any order. An empty table gives an empty result. Other columns of the input are not carried along.
 """
 
 from __future__ import annotations

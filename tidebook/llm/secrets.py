@@ -12,8 +12,9 @@ The rules find their spans whatever the models say; the models add spans of kind
 
 Defined cases: a null text counts as empty and has no spans. Rows are judged one
 by one, so repeated rows repeat their result. With an empty or one-sided sample
-both models are the same, and only the rules find anything. Columns of the input
-stay; ``found`` is replaced.
+both models are the same, and only the rules find anything. Texts may be of any
+length; a long one is searched in pieces that cut no token. An empty table gives an
+empty result. Columns of the input stay; ``found`` is replaced.
 """
 
 from __future__ import annotations

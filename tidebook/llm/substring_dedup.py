@@ -14,8 +14,9 @@ Words are compared by 64-bit hashes of their bytes.
 
 Defined cases: a null text has no words; texts shorter than a window keep every
 word. Rows that repeat a text remove each other's words, whatever their ids. A null
-doc_id stays null. An empty table gives an empty result. Other columns are not
-carried along.
+doc_id stays null. A text is cut into words by one task, with some 35 bytes of memory
+per byte of it. An empty table gives an empty result. Other columns are not carried
+along.
 """
 
 from __future__ import annotations

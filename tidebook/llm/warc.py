@@ -16,7 +16,9 @@ the others are ``revisit`` records without payload that refer to it.
 Defined cases: a null payload counts as empty. A record with a null id is
 written and read with a null id; it is the response of its payload only where
 no other id has it. Rows that repeat the largest id are all responses. A null
-url leaves the target out. An empty table gives no archive and an empty result.
+url leaves the target out. The writer holds a payload and its compressed member in
+memory, a few times its size; the reader streams. An empty table gives no archive and an
+empty result.
 Other columns of the input are not part of an archive.
 """
 
