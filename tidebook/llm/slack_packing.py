@@ -15,9 +15,9 @@
    fewer than a sequence, become sequences of the powers of two that add up to them,
    which need no padding.
 
-So no sequence is padded, some ten pieces per round-off are cut beside those of long
-documents where lengths vary, and where they do not (all documents equally long, say)
-as many as the slack demands. A partition is a bounded number of rows by a hash of the
+So no sequence is padded. Beside long documents, those are cut that a partition's first
+round could not place, some 100 of its 5,000 where lengths vary (1.1 % more pieces on
+the 0.5 GB of the check tool); where they do not vary, as many as the slack demands. A partition is a bounded number of rows by a hash of the
 piece's own number, so no id can make it large; every round after the second leaves at
 most one open sequence per partition, so their number falls by PARTITION_PIECES /
 capacity at least. The driver sees one count per round.
