@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -113,3 +113,54 @@ def test_buckets_of_lone_templates_are_dealt_in_bounded_blocks(spark, monkeypatc
     rows += [(500 + i, edited(rows[i * 7][1], 700 + i, 1)) for i in range(20)]
     assert found(near_dedup.near_dedup(documents(spark, rows), width=3, percent=85)) == expected(rows, 3, 85)
     assert sizes and max(sizes) <= 3 * 16
+
+
+def dealt_rows(monkeypatch, run) -> list[int]:
+    """How many rows each round sends to be compared."""
+    sizes, dealt = [], near_dedup._Nodes.dealt
+
+    def spied(self, parts, refuted):
+        rows = dealt(self, parts, refuted)
+        sizes.append(rows.count())
+        return rows
+
+    with monkeypatch.context() as patched:
+        patched.setattr(near_dedup._Nodes, "dealt", spied)
+        run()
+    return sizes
+
+
+def slots(rows, width, percent):
+    """Rows of all buckets of at least three members."""
+    signed = near_dedup.signatures(pa.array([t for _, t in rows], pa.large_string()), width, *near_dedup.band_shape(percent))
+    keys = Counter(key for one in signed for key in one["bands"])
+    return sum(n for n in keys.values() if n > 2)
+
+
+def test_rows_of_a_bucket_that_fits_a_block_are_sent_once_and_settled_ones_not_again(spark, monkeypatch):
+    """A template under the threshold, and few copies: most members never have a pair that may be linked."""
+    template = prose(900, 160)
+    rows = [(i, edited(template, i, 6 + i % 9)) for i in range(150)]
+    rows += [(500 + i, edited(rows[i * 7][1], 700 + i, 1)) for i in range(20)]
+
+    def run():
+        assert found(near_dedup.near_dedup(documents(spark, rows), width=3, percent=85)) == expected(rows, 3, 85)
+
+    sizes = dealt_rows(monkeypatch, run)
+    assert 0 < sizes[0] <= slots(rows, 3, 85)
+    assert sum(sizes[1:]) < sizes[0]
+
+
+def test_rows_sent_grow_with_a_group_of_near_copies_and_not_with_its_square(spark, monkeypatch):
+    """All are linked with texts that are no hubs, and hardly any with each other."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    base, sent = prose(9, 300), []
+    for n in (80, 320):
+        rows = [(i, edited(base, 40 + i, 6)) for i in range(n)] + [(5000 + i, edited(base, 9000 + i, 1)) for i in range(n // 8)]
+
+        def run(rows=rows):
+            assert found(near_dedup.near_dedup(documents(spark, rows), width=3, percent=85)) == expected(rows, 3, 85)
+
+        sizes = dealt_rows(monkeypatch, run)
+        sent.append(sum(sizes) / slots(rows, 3, 85))
+    assert max(sent) < 2, sent

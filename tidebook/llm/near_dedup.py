@@ -14,13 +14,16 @@
    than the elements in which the sets differ, which bounds the similarity from
    above without any error.
 4. **Links.** Each bucket's smallest node is its hub, and every member is first
-   compared with the hub. Then members outside the hub's component are compared
-   with the bucket's other members by both bitmaps, both sides in blocks of bounded
-   size, and one pair per two components that may be linked is sent on. Each pair
-   sent on is confirmed on the two full sets. Confirmed pairs join components. If some
-   pair fails, the comparison is repeated without it and with more pairs per node, the
-   last time with all that may still be linked, written in portions, so it ends with
-   every pair in a bucket confirmed, refuted, or inside one component. No step drops any.
+   compared with the hub; buckets with more lone nodes than a block holds get further
+   hubs as long as these join many. Lone are the members outside the bucket's largest
+   component. They are compared with the bucket's other members by both bitmaps, and
+   one pair per two components that may be linked is sent on. A bucket that fits a
+   block is compared within it, each row sent once; in larger ones both sides come in
+   blocks of bounded size. Each pair sent on is confirmed on the two full sets.
+   Confirmed pairs join components. Where some pair failed, the nodes for which it
+   stood are compared again without it and with more pairs per node, the last time with
+   all that may still be linked, written in portions, so it ends with every pair in a
+   bucket confirmed, refuted, or inside one component. No step drops any.
 5. **Components** are found by alternating stars, in a few rounds on written tables.
 
 Defined cases: null texts, empty texts and texts without words have an empty set
@@ -161,6 +164,9 @@ def _fingerprint(hashes: np.ndarray) -> bytes:
 
 
 SETS = "fingerprint binary, members binary"
+#: Two blocks of a bucket.
+PLACE = ("key", "lone_block", "block")
+SENT = "key long, lone_block long, block long, tree long, a long, b long"
 
 
 def _full_sets(width: int):
@@ -298,18 +304,18 @@ def _spanning(percent: int, extra: int | None):
     lowest = lowest_estimate(percent)
 
     def candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each node of the lone block those of the other that may be linked, and how far they differ."""
+        """For each node of the lone block those that may be linked in the other, or in its own, and how far they differ."""
         lone = group.column("lone").to_numpy()
         node, part = group.column("node").to_numpy(), group.column("component").to_numpy()
         size, refuted = group.column("n").to_numpy(), group.column("refuted").combine_chunks()
         parity = _matrix(group.column("parity").combine_chunks(), PARITY_BITS)
         sketch = _matrix(group.column("sketch").combine_chunks(), SKETCH_BITS)
-        members = np.flatnonzero(~lone)
         same = group.column("lone_block")[0] == group.column("block")[0]
+        members = np.arange(len(lone)) if same else np.flatnonzero(~lone)
         for i in np.flatnonzero(lone).tolist():
             apart = members[part[members] != part[i]]
-            if same:  # of a block with itself each pair once
-                apart = apart[node[apart] > node[i]]
+            if same:  # two lone nodes of one block meet once
+                apart = apart[~lone[apart] | (node[apart] > node[i])]
             # The smaller size bounds what two sets share.
             small, large = np.minimum(size[apart], size[i]), np.maximum(size[apart], size[i])
             apart = apart[100 * small >= percent * large]
@@ -323,7 +329,8 @@ def _spanning(percent: int, extra: int | None):
             if len(apart):
                 yield i, apart, differ / (size[apart] + size[i])
 
-    def portions(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def portions(group: pa.Table) -> Iterator[dict[str, np.ndarray]]:
+        """Pairs a, b; unless all are sent, with the tree that they are of, and each of its nodes as a without b."""
         node, part = group.column("node").to_numpy(), group.column("component").to_numpy()
         first: list[np.ndarray] = []
         second: list[np.ndarray] = []
@@ -335,27 +342,36 @@ def _spanning(percent: int, extra: int | None):
             bits.append(differ.astype(np.float32))
             held += len(apart)
             if extra is None and held >= PORTION:
-                yield node[np.concatenate(first)], node[np.concatenate(second)]
+                yield {"a": node[np.concatenate(first)], "b": node[np.concatenate(second)]}
                 first, second, held = [], [], 0
             if extra is None:
                 bits = []
         if not first:
             return
         i_all, j_all = np.concatenate(first), np.concatenate(second)
-        if extra is not None:
-            forest, used, chosen = _Forest(), {}, []
-            for k in np.argsort(np.concatenate(bits), kind="stable"):
-                i, j = int(i_all[k]), int(j_all[k])
-                if forest.join(int(part[i]), int(part[j])) or used.get(i, 0) < extra:
-                    used[i] = used.get(i, 0) + 1
-                    chosen.append(k)
-            i_all, j_all = i_all[chosen], j_all[chosen]
-        yield node[i_all], node[j_all]
+        if extra is None:
+            yield {"a": node[i_all], "b": node[j_all]}
+            return
+        forest, used, chosen = _Forest(), {}, []
+        for k in np.argsort(np.concatenate(bits), kind="stable"):
+            i, j = int(i_all[k]), int(j_all[k])
+            if forest.join(int(part[i]), int(part[j])) or used.get(i, 0) < extra:
+                used[i] = used.get(i, 0) + 1
+                chosen.append(k)
+        tree = lambda rows: np.array([forest.root(int(x)) for x in part[rows]], np.int64)
+        met = np.unique(np.concatenate([i_all, j_all]))
+        i_all, j_all = i_all[chosen], j_all[chosen]
+        yield {"a": node[i_all], "b": node[j_all], "tree": tree(i_all)}
+        yield {"a": node[met], "tree": tree(met)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
-            for x, y in portions(group):
-                yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+            place = [group.column(name)[0] for name in PLACE]
+            for found in portions(group):
+                n = len(found["a"])
+                columns = [pa.repeat(value, n) for value in place]
+                columns += [pa.array(found[c]) if c in found else pa.nulls(n, pa.int64()) for c in ("tree", "a", "b")]
+                yield pa.RecordBatch.from_arrays(columns, [*PLACE, "tree", "a", "b"])
 
     return run
 
@@ -377,6 +393,8 @@ class _Nodes:
         hubs = slots.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("members"))
         shared = slots.join(hubs.filter("members > 1"), "key")
         self.slots = common.stored(shared, "buckets")
+        #: Rows of buckets that their hubs have not settled, and for which no pairs stand that are all links.
+        self.open = self.slots.filter("members > 2")
         self.sets = self._sets(docs)
 
     def _sets(self, docs: DataFrame) -> DataFrame:
@@ -400,6 +418,10 @@ class _Nodes:
     def star_pairs(self) -> DataFrame:
         """Hub and member of every bucket, as far as the sketches let them pass."""
         pairs = self.slots.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+        return self.passing(pairs)
+
+    def passing(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that the sketches let pass."""
         rows = self.rows.select("node", "n", "sketch", "parity")
         left = rows.select(*(F.col(c).alias(d) for c, d in zip(rows.columns, ("a", "n_a", "sketch_a", "parity_a"))))
         right = rows.select(*(F.col(c).alias(d) for c, d in zip(rows.columns, ("b", "n_b", "sketch_b", "parity_b"))))
@@ -408,42 +430,84 @@ class _Nodes:
         )
         return pairs.join(right, "b").join(left, "a").filter(passes).select("a", "b")
 
+    def wide(self, slots: DataFrame, parts: DataFrame) -> DataFrame:
+        """Rows of buckets with components; nodes outside the largest component of a bucket are lone in it."""
+        wide = slots.select("key", "node").join(parts, "node", "left")
+        wide = wide.withColumn("component", F.coalesce("component", "node"))
+        main = wide.groupBy("key", "component").agg(F.count("*").alias("rows"))
+        main = main.groupBy("key").agg(F.max_by("component", F.struct("rows", "component")).alias("main"))
+        return wide.join(main, "key").select("key", "node", "component", (F.col("component") != F.col("main")).alias("lone"))
+
+    def further_hubs(self, parts: DataFrame, refuted: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Components and refuted pairs after buckets of many lone nodes have met further hubs.
+
+        Every round gives such a bucket one more hub, the member with the most rows in its
+        buckets, since this is the one nearest to the others; it costs one pair per row.
+        It ends when a round leaves more than nine tenths of the lone rows.
+        """
+        large, before = self.open.filter(F.col("members") > BLOCK), None
+        if large.isEmpty():
+            return parts, refuted
+        near = common.stored(self.slots.groupBy("node").agg(F.sum("members").alias("near")), "near")
+        met = large.select("key", F.col("hub").alias("node")).distinct()
+        while True:
+            wide = common.stored(self.wide(large, parts), "wide")
+            many = wide.groupBy("key").agg(F.count_if("lone").alias("lone_rows")).filter(F.col("lone_rows") > BLOCK)
+            fresh = wide.join(many, "key").join(met, ["key", "node"], "left_anti").join(near, "node")
+            hubs = fresh.groupBy("key").agg(
+                F.max("lone_rows").alias("lone_rows"),
+                F.max_by(F.struct("node", "component"), F.struct("near", "node")).alias("hub"),
+            )
+            hubs = common.stored(hubs, "hubs")
+            left = hubs.agg(F.sum("lone_rows")).first()[0]
+            if not left or before and left > 0.9 * before:
+                return parts, refuted
+            before = left
+            pairs = wide.join(hubs, "key").filter("component <> hub.component")
+            pairs = pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+            pairs = pairs.distinct().join(refuted, ["a", "b"], "left_anti")
+            found = self.confirmed(common.stored(self.passing(pairs), "hub-pairs"))
+            parts = self.merged(parts, found.filter("linked").select("a", "b"))
+            refuted = refuted.unionByName(found.filter("NOT linked").select("a", "b"))
+            met = met.unionByName(hubs.select("key", "hub.node"))
+
+    def merged(self, parts: DataFrame, links: DataFrame) -> DataFrame:
+        """Components joined by more links."""
+        joined = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return components(joined.unionByName(links))
+
     def dealt(self, parts: DataFrame, refuted: DataFrame) -> DataFrame:
-        """Rows of two blocks of a bucket each: nodes outside its hub's component, and those to compare them with.
+        """Rows of two blocks of a bucket each: lone nodes, and those to compare them with.
 
-        Blocks of lone nodes come first. Two of them meet once; each meets all blocks of others.
+        A bucket that fits a block is one, with itself. In others blocks of lone nodes
+        come first: two of them meet once, and each meets all blocks of other nodes.
         """
-        wide = self.slots.filter("members > 2").join(parts, "node", "left")
-        wide = wide.withColumn("component", F.coalesce("component", "node"))
-        hub = parts.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-        wide = wide.join(hub, "hub", "left").withColumn("hub_component", F.coalesce("hub_component", "hub"))
-        lone = F.col("component") != F.col("hub_component")
-        wide = common.stored(wide.select("key", "node", "component", lone.alias("lone")), "wide")
+        wide = common.stored(self.wide(self.open, parts), "wide")
         sizes = wide.groupBy("key").agg(F.count_if("lone").alias("l"), F.count_if(~F.col("lone")).alias("m"))
+        fits = F.col("l") + F.col("m") <= BLOCK
         sizes = sizes.filter("l > 0").select(
-            "key", F.ceil(F.col("l") / BLOCK).alias("l"), F.ceil(F.greatest("m", F.lit(1)) / BLOCK).alias("m")
+            "key",
+            F.when(fits, 1).otherwise(F.ceil(F.col("l") / BLOCK)).alias("l"),
+            F.when(fits, 0).otherwise(F.ceil(F.col("m") / BLOCK)).alias("m"),
         )
         code = F.xxhash64("node")
-        own = F.when(F.col("lone"), F.pmod(code, F.col("l"))).otherwise(F.col("l") + F.pmod(code, F.col("m")))
+        own = F.when(F.col("lone"), F.pmod(code, F.col("l")))
+        own = own.otherwise(F.when(F.col("m") > 0, F.col("l") + F.pmod(code, F.col("m"))).otherwise(0))
         wide = wide.join(sizes, "key").withColumn("own", own)
-        one = wide.filter("lone").select(
-            "key",
-            F.col("own").alias("lone_block"),
-            F.explode(F.sequence("own", F.col("l") + F.col("m") - 1)).alias("block"),
-            F.lit(True).alias("lone"),
-            "node",
-            "component",
-        )
-        last = F.when(F.col("lone"), F.col("own")).otherwise(F.col("l") - 1)
-        other = wide.select(
+        # One row per block that this row's block meets; lone nodes come as such to their own block and later ones.
+        first = F.lit(0).cast("long")
+        last = F.when(F.col("lone"), F.col("l") + F.col("m") - 1).otherwise(F.col("l") - 1)
+        wide = wide.withColumn("other", F.explode(F.sequence(first, last)))
+        left = F.col("lone") & (F.col("other") >= F.col("own"))
+        rows = wide.select(
             "key",
-            F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("lone_block"),
-            F.col("own").alias("block"),
-            F.lit(False).alias("lone"),
+            F.when(left, F.col("own")).otherwise(F.col("other")).alias("lone_block"),
+            F.when(left, F.col("other")).otherwise(F.col("own")).alias("block"),
+            left.alias("lone"),
             "node",
             "component",
         )
-        rows = one.unionByName(other).join(self.rows.select("node", "n", "parity", "sketch"), "node")
+        rows = rows.join(self.rows.select("node", "n", "parity", "sketch"), "node")
         each = refuted.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
             refuted.select(F.col("b").alias("node"), F.col("a").alias("other"))
         )
@@ -456,26 +520,33 @@ class _Nodes:
         )
 
     def cross_pairs(self, parts: DataFrame, refuted: DataFrame, extra: int | None) -> DataFrame:
-        """Pairs between the components of a bucket that its hub has not joined."""
-        place = ("key", "lone_block", "block")
-        rows = self.dealt(parts, refuted).repartition(common.partitions(self.spark), *place)
-        rows = rows.sortWithinPartitions(*place)
-        return rows.mapInArrow(_spanning(self.percent, extra), "a long, b long").distinct()
+        """Pairs between components of a bucket that are not joined yet; unless all, as ``portions`` has them."""
+        rows = self.dealt(parts, refuted).repartition(common.partitions(self.spark), *PLACE)
+        rows = rows.sortWithinPartitions(*PLACE)
+        sent = rows.mapInArrow(_spanning(self.percent, extra), SENT)
+        return sent if extra is not None else sent.select("a", "b").distinct()
 
     def components(self) -> DataFrame:
         found = self.confirmed(common.stored(self.star_pairs(), "star-pairs"))
         refuted = found.filter("NOT linked").select("a", "b")
         links = found.filter("linked").select("a", "b")
         parts = components(links)
+        parts, refuted = self.further_hubs(parts, refuted)
         for extra in ROUNDS:
-            pairs = common.stored(self.cross_pairs(parts, refuted, extra), "cross-pairs")
-            found = self.confirmed(pairs.join(refuted, ["a", "b"], "left_anti"))
-            tally = found.agg(F.count_if("linked").alias("yes"), F.count_if(~F.col("linked")).alias("no")).first()
-            if tally["yes"]:
-                joined = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                parts = components(joined.unionByName(found.filter("linked").select("a", "b")))
-            # Pairs refuted before stand for others as those refuted now do.
-            if tally["yes"] == pairs.count():
+            sent = common.stored(self.cross_pairs(parts, refuted, extra), "cross-pairs")
+            pairs = sent.filter("b IS NOT NULL")
+            found = self.confirmed(pairs.select("a", "b").distinct().join(refuted, ["a", "b"], "left_anti"))
+            links = found.filter("linked").select("a", "b")
+            if not links.isEmpty():
+                parts = self.merged(parts, links)
+            if extra is None:
+                break
+            # Trees whose pairs are all links are joined. Pairs refuted before stand for others as those refuted now do.
+            failed = pairs.join(links, ["a", "b"], "left_anti").select(*PLACE, "tree").distinct()
+            again = sent.filter("b IS NULL").join(failed, [*PLACE, "tree"], "left_semi")
+            again = again.select("key", F.col("a").alias("node")).distinct()
+            self.open = common.stored(self.open.join(again, ["key", "node"], "left_semi"), "open-buckets")
+            if self.open.isEmpty():
                 break
             refuted = refuted.unionByName(found.filter("NOT linked").select("a", "b"))
         return parts
